@@ -94,3 +94,8 @@ def serialize(records: DataFrame) -> DataFrame:
 
 def status_counts(mediated: DataFrame) -> DataFrame:
     return mediated.groupBy("status").agg(F.count(F.lit(1)).alias("records"))
+
+
+def to_messages(raw: DataFrame) -> DataFrame:
+    """Raw usage columns -> JSON text ``value`` (the wire form)."""
+    return raw.select(F.to_json(F.struct(*[F.col(c) for c in raw.columns])).alias("value"))

@@ -21,6 +21,13 @@ def valid_usage(spark: SparkSession, sf_dir: str, rules: Rules = DEFAULT_RULES)
     return mediation.valid_records(mediated(spark, sf_dir, rules))
 
 
+def priced(spark: SparkSession, sf_dir: str, rules: Rules = DEFAULT_RULES) -> DataFrame:
+    """Rating with every intermediate column (status, stage costs)."""
+    records = rating.with_event_time(rating.dedupe_input(valid_usage(spark, sf_dir, rules)), rules)
+    enriched = rating.enrich(records, fixtures.customers(spark, sf_dir), fixtures.rate_plans(spark), rules)
+    return rating.price(enriched, rules)
+
+
 def rated(spark: SparkSession, sf_dir: str, rules: Rules = DEFAULT_RULES,
           already_rated: DataFrame | None = None) -> DataFrame:
     return rating.rate(valid_usage(spark, sf_dir, rules), fixtures.customers(spark, sf_dir),
@@ -32,5 +39,12 @@ def breakdown(spark: SparkSession, sf_dir: str, rules: Rules = DEFAULT_RULES) ->
                              fixtures.rate_plans(spark), rules)
 
 
+def service_lines(spark: SparkSession, sf_dir: str, rules: Rules = DEFAULT_RULES) -> DataFrame:
+    """B07-B12 only (before usage discounts)."""
+    totals = billing.usage_totals(rated(spark, sf_dir, rules), rules)
+    return billing.service_costs(billing.attach_plans(
+        totals, fixtures.customers(spark, sf_dir), fixtures.rate_plans(spark), rules))
+
+
 def invoices(spark: SparkSession, sf_dir: str, rules: Rules = DEFAULT_RULES) -> DataFrame:
     return billing.invoices(breakdown(spark, sf_dir, rules), rules)

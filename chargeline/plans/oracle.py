@@ -39,6 +39,11 @@ def _plans_values() -> str:
         f"FROM (VALUES {rows}) AS t(a, b, c, d, e, f, g)")
 
 
+def round_half_up(expr: str, scale: int) -> str:
+    """Spark's round(double): half-up on the value's shortest decimal text."""
+    return f"CAST(round(CAST(CAST({expr} AS VARCHAR) AS DECIMAL(38,18)), {scale}) AS DOUBLE)"
+
+
 def base_ctes(r: Rules = DEFAULT_RULES) -> str:
     roam = strs(r.roaming_cells)
     types = strs(r.record_types)
@@ -206,13 +211,13 @@ invoices AS (
   SELECT md5(concat(msisdn, '-{r.period_start.strftime('%Y-%m-%d')}')) AS invoice_id,
          msisdn, customer_name,
          {ts(r.period_start)} AS billing_period_start, {ts(r.period_end)} AS billing_period_end,
-         coalesce(round(voice_cost, {r.money_scale}), {zero}) AS voice_cost,
-         coalesce(round(sms_cost, {r.money_scale}), {zero}) AS sms_cost,
-         coalesce(round(data_cost, {r.money_scale}), {zero}) AS data_cost,
-         coalesce(round(voice_usage_minutes, {r.money_scale}), {zero}) AS voice_usage,
+         coalesce({round_half_up("voice_cost", r.money_scale)}, {zero}) AS voice_cost,
+         coalesce({round_half_up("sms_cost", r.money_scale)}, {zero}) AS sms_cost,
+         coalesce({round_half_up("data_cost", r.money_scale)}, {zero}) AS data_cost,
+         coalesce({round_half_up("voice_usage_minutes", r.money_scale)}, {zero}) AS voice_usage,
          coalesce(sms_usage_count, 0) AS sms_usage,
-         coalesce(round(data_usage_mb, {r.money_scale}), {zero}) AS data_usage,
-         coalesce(round(total_cost, {r.money_scale}), {zero}) AS total_cost,
+         coalesce({round_half_up("data_usage_mb", r.money_scale)}, {zero}) AS data_usage,
+         coalesce({round_half_up("total_cost", r.money_scale)}, {zero}) AS total_cost,
          {ts(r.as_of)} AS invoice_date, '{r.invoice_status}' AS status, region, student
   FROM breakdown)"""
 
@@ -241,3 +246,48 @@ def oracle(name: str, select: str, r: Rules = DEFAULT_RULES) -> None:
 oracle("report_revenue_by_region",
        f"SELECT region, {revenue_aggs('total_cost', 'customer_count')} FROM invoices GROUP BY region "
        "ORDER BY total_revenue DESC, region")
+
+
+NORM_COLS = ('record_id, record_type, "timestamp", msisdn, secondary_msisdn, duration_sec, '
+             'data_volume_mb, cell_id, technology')
+RATED_COLS = (NORM_COLS + ', cost, rate_plan_id, rating_status, billing_month')
+
+oracle("mediate_json_parse", f"SELECT {NORM_COLS}, 'valid' AS status FROM normalized")
+oracle("mediate_normalize", f"SELECT {NORM_COLS}, 'valid' AS status FROM normalized")
+oracle("mediate_validate", "SELECT * FROM mediated")
+oracle("mediate_status_counts", "SELECT status, count(*) AS records FROM mediated GROUP BY status")
+oracle("mediate_valid_dedup", "SELECT * FROM valid_unique")
+oracle("mediate_dead_letters", "SELECT * FROM mediated WHERE status = 'error'")
+
+oracle("rating_new_records", f"SELECT {RATED_COLS} FROM rated WHERE \"timestamp\" >= TIMESTAMP '2024-01-16 00:00:00'")
+oracle("rating_enriched",
+       'SELECT record_id, record_type, "timestamp", CAST(date_trunc(\'month\', "timestamp") AS DATE) AS billing_month, '
+       "msisdn, customer_rate_plan_id, customer_status, region, student, activation_date, plan_name, unit_price "
+       "FROM enriched")
+oracle("rating_status", "SELECT record_id, required_rate_plan_type, rating_status FROM priced")
+oracle("rating_status_counts", "SELECT rating_status, count(*) AS records FROM rated GROUP BY rating_status")
+oracle("rating_base_cost", "SELECT record_id, rating_status, base_cost FROM priced")
+oracle("rating_time_of_day", "SELECT record_id, cost_time_of_day FROM priced")
+oracle("rating_friday", "SELECT record_id, cost_friday FROM priced")
+oracle("rating_roaming", "SELECT record_id, cost FROM priced")
+oracle("rated_records", f"SELECT {RATED_COLS} FROM rated")
+
+oracle("billing_usage", "SELECT * FROM totals")
+oracle("billing_voice", "SELECT msisdn, voice_usage_minutes, voice_free_minutes, voice_billable_minutes, "
+       "voice_cost_rated, voice_cost0 AS voice_cost FROM svc")
+oracle("billing_sms", "SELECT msisdn, sms_usage_count, sms_free_units, sms_unit_price, sms_cost FROM svc")
+oracle("billing_data", "SELECT msisdn, data_usage_mb, data_threshold_mb, data_cost_rated, data_cost0 AS data_cost FROM svc")
+oracle("billing_discounts",
+       "SELECT msisdn, loyalty_months, subtotal_before_discounts, voice_cost, sms_cost, data_cost, "
+       "total_spending_discount, student_discount, urban_discount, loyalty_discount_rate, loyalty_discount, "
+       "seasonal_discount, total_cost_after_discounts, regulatory_fee, vat_amount, total_cost FROM breakdown")
+oracle("billing_invoices", "SELECT * FROM invoices")
+
+
+def _late_run_rules() -> Rules:
+    import datetime as dt
+    from dataclasses import replace
+    return replace(DEFAULT_RULES, as_of=dt.datetime(2024, 3, 5))
+
+
+oracle("billing_invoices_late_run", "SELECT * FROM invoices", _late_run_rules())

@@ -23,3 +23,156 @@ def query(name: str):
 @query("report_revenue_by_region")
 def report_revenue_by_region(spark, sf_dir):
     return reports.revenue_by_region(flows.invoices(spark, sf_dir))
+
+
+# ---------------------------------------------------------------- mediation
+from pyspark.sql import functions as F  # noqa: E402
+
+from chargeline.operators import billing, mediation, rating  # noqa: E402
+from chargeline.rules import DEFAULT_RULES  # noqa: E402
+from chargeline.sources import fixtures  # noqa: E402
+import datetime as _dt  # noqa: E402
+from dataclasses import replace as _replace  # noqa: E402
+
+
+@query("mediate_json_parse")
+def mediate_json_parse(spark, sf_dir):
+    """M01-M04 + M10: raw usage -> JSON text -> parsed -> normalised."""
+    messages = mediation.to_messages(fixtures.raw_usage(spark, sf_dir))
+    return mediation.normalize(mediation.parse_messages(messages))
+
+
+@query("mediate_normalize")
+def mediate_normalize(spark, sf_dir):
+    return mediation.normalize(fixtures.raw_usage(spark, sf_dir))
+
+
+@query("mediate_validate")
+def mediate_validate(spark, sf_dir):
+    return flows.mediated(spark, sf_dir)
+
+
+@query("mediate_status_counts")
+def mediate_status_counts(spark, sf_dir):
+    return mediation.status_counts(flows.mediated(spark, sf_dir))
+
+
+@query("mediate_valid_dedup")
+def mediate_valid_dedup(spark, sf_dir):
+    """M08/M09 on an at-least-once delivery: every message arrives twice."""
+    raw = fixtures.raw_usage(spark, sf_dir)
+    delivered = raw.unionByName(raw)
+    return mediation.dedupe_records(mediation.valid_records(mediation.mediate(delivered)))
+
+
+@query("mediate_dead_letters")
+def mediate_dead_letters(spark, sf_dir):
+    return mediation.dead_letters(flows.mediated(spark, sf_dir))
+
+
+# ---------------------------------------------------------------- rating
+MID_MONTH = _dt.datetime(2024, 1, 16)
+
+
+@query("rating_new_records")
+def rating_new_records(spark, sf_dir):
+    """R02 incremental run: a first run rated the records before mid-month; the
+    second run over the whole month rates only what is new."""
+    valid = flows.valid_usage(spark, sf_dir)
+    cust, plans = fixtures.customers(spark, sf_dir), fixtures.rate_plans(spark)
+    first = rating.rate(valid.filter(F.col("timestamp") < F.lit(MID_MONTH)), cust, plans)
+    return rating.rate(valid, cust, plans, DEFAULT_RULES, already_rated=first)
+
+
+@query("rating_enriched")
+def rating_enriched(spark, sf_dir):
+    return flows.priced(spark, sf_dir).select(
+        "record_id", "record_type", "timestamp", "billing_month", "msisdn",
+        "customer_rate_plan_id", "customer_status", "region", "student", "activation_date",
+        "plan_name", "unit_price")
+
+
+@query("rating_status")
+def rating_status_q(spark, sf_dir):
+    return flows.priced(spark, sf_dir).select("record_id", "required_rate_plan_type", "rating_status")
+
+
+@query("rating_status_counts")
+def rating_status_counts(spark, sf_dir):
+    return rating.status_breakdown(flows.rated(spark, sf_dir))
+
+
+@query("rating_base_cost")
+def rating_base_cost(spark, sf_dir):
+    return flows.priced(spark, sf_dir).select("record_id", "rating_status", "base_cost")
+
+
+@query("rating_time_of_day")
+def rating_time_of_day(spark, sf_dir):
+    return flows.priced(spark, sf_dir).select("record_id", "cost_time_of_day")
+
+
+@query("rating_friday")
+def rating_friday(spark, sf_dir):
+    return flows.priced(spark, sf_dir).select("record_id", "cost_friday")
+
+
+@query("rating_roaming")
+def rating_roaming(spark, sf_dir):
+    return flows.priced(spark, sf_dir).select("record_id", "cost")
+
+
+@query("rated_records")
+def rated_records(spark, sf_dir):
+    return flows.rated(spark, sf_dir)
+
+
+# ---------------------------------------------------------------- billing
+@query("billing_usage")
+def billing_usage(spark, sf_dir):
+    return billing.usage_totals(flows.rated(spark, sf_dir))
+
+
+@query("billing_voice")
+def billing_voice(spark, sf_dir):
+    return flows.service_lines(spark, sf_dir).select(
+        "msisdn", "voice_usage_minutes", "voice_free_minutes", "voice_billable_minutes",
+        "voice_cost_rated", "voice_cost")
+
+
+@query("billing_sms")
+def billing_sms(spark, sf_dir):
+    return flows.service_lines(spark, sf_dir).select(
+        "msisdn", "sms_usage_count", "sms_free_units", "sms_unit_price", "sms_cost")
+
+
+@query("billing_data")
+def billing_data(spark, sf_dir):
+    return flows.service_lines(spark, sf_dir).select(
+        "msisdn", "data_usage_mb", "data_threshold_mb", "data_cost_rated", "data_cost")
+
+
+BREAKDOWN_COLUMNS = ["msisdn", "loyalty_months", "subtotal_before_discounts", "voice_cost",
+                     "sms_cost", "data_cost", "total_spending_discount", "student_discount",
+                     "urban_discount", "loyalty_discount_rate", "loyalty_discount",
+                     "seasonal_discount", "total_cost_after_discounts", "regulatory_fee",
+                     "vat_amount", "total_cost"]
+
+
+@query("billing_discounts")
+def billing_discounts(spark, sf_dir):
+    return flows.breakdown(spark, sf_dir).select(*BREAKDOWN_COLUMNS)
+
+
+@query("billing_invoices")
+def billing_invoices(spark, sf_dir):
+    return flows.invoices(spark, sf_dir)
+
+
+LATE_RUN = _replace(DEFAULT_RULES, as_of=_dt.datetime(2024, 3, 5))
+
+
+@query("billing_invoices_late_run")
+def billing_invoices_late_run(spark, sf_dir):
+    """January billed on 5 March: seasonal month discount and longer tenure."""
+    return flows.invoices(spark, sf_dir, LATE_RUN)
