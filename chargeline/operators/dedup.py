@@ -15,13 +15,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def dedupe(df: DataFrame, keys: Sequence[str], order: Sequence[str] = ()) -> DataFrame:
-    """One row per ``keys``; survivor = smallest by ``order`` then remaining columns
-    in table order (NULLs sort first, as in Spark's struct ordering)."""
+def dedupe(df: DataFrame, keys: Sequence[str], order: Sequence[str] = (),
+           keep: str = "min") -> DataFrame:
+    """One row per ``keys``; survivor = smallest (``keep="min"``) or largest
+    (``keep="max"``) by ``order`` then the remaining columns in table order
+    (NULLs sort first, as in Spark's struct ordering)."""
     keys = list(keys)
     others = [c for c in df.columns if c not in keys]
     order = [c for c in order if c in others]
     rest = [c for c in others if c not in order]
-    packed = df.groupBy(*keys).agg(F.min(F.struct(*order, *rest)).alias("_survivor"))
+    pick = F.min if keep == "min" else F.max
+    packed = df.groupBy(*keys).agg(pick(F.struct(*order, *rest)).alias("_survivor"))
     return packed.select(*keys, *[F.col(f"_survivor.{c}").alias(c) for c in others]) \
         .select(*df.columns)

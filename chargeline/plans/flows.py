@@ -34,8 +34,10 @@ def rated(spark: SparkSession, sf_dir: str, rules: Rules = DEFAULT_RULES,
                        fixtures.rate_plans(spark), rules, already_rated)
 
 
-def breakdown(spark: SparkSession, sf_dir: str, rules: Rules = DEFAULT_RULES) -> DataFrame:
-    return billing.breakdown(rated(spark, sf_dir, rules), fixtures.customers(spark, sf_dir),
+def breakdown(spark: SparkSession, sf_dir: str, rules: Rules = DEFAULT_RULES,
+              rated_df: DataFrame | None = None) -> DataFrame:
+    rated_df = rated(spark, sf_dir, rules) if rated_df is None else rated_df
+    return billing.breakdown(rated_df, fixtures.customers(spark, sf_dir),
                              fixtures.rate_plans(spark), rules)
 
 
@@ -46,5 +48,6 @@ def service_lines(spark: SparkSession, sf_dir: str, rules: Rules = DEFAULT_RULES
         totals, fixtures.customers(spark, sf_dir), fixtures.rate_plans(spark), rules))
 
 
-def invoices(spark: SparkSession, sf_dir: str, rules: Rules = DEFAULT_RULES) -> DataFrame:
-    return billing.invoices(breakdown(spark, sf_dir, rules), rules)
+def invoices(spark: SparkSession, sf_dir: str, rules: Rules = DEFAULT_RULES,
+             rated_df: DataFrame | None = None) -> DataFrame:
+    return billing.invoices(breakdown(spark, sf_dir, rules, rated_df), rules)

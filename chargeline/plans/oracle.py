@@ -135,8 +135,19 @@ rated AS (
   SELECT record_id, record_type, "timestamp", msisdn, secondary_msisdn, duration_sec, data_volume_mb,
          cell_id, technology, cost, customer_rate_plan_id AS rate_plan_id, rating_status,
          CAST(date_trunc('month', "timestamp") AS DATE) AS billing_month
-  FROM priced),
-totals AS (
+  FROM priced)
+""" + ",\n" + billing_ctes(r)
+
+
+
+def billing_ctes(r: Rules = DEFAULT_RULES, p: str = "") -> str:
+    """Billing CTEs for one run (period, as_of); ``p`` prefixes the CTE names
+    so several runs can live in one statement."""
+    end_cmp = "<=" if r.inclusive_period_end else "<"
+    seasonal = r.as_of.month == r.seasonal_month
+    zero = "CAST(0 AS DOUBLE)"
+    return f"""
+{p}totals AS (
   SELECT msisdn,
          CAST(sum(CAST(CASE WHEN record_type = 'voice' THEN cost ELSE {zero} END AS DECIMAL(18,6))) AS DOUBLE) AS voice_cost_rated,
          CAST(sum(CAST(CASE WHEN record_type = 'sms' THEN cost ELSE {zero} END AS DECIMAL(18,6))) AS DOUBLE) AS sms_cost_rated,
@@ -147,7 +158,7 @@ totals AS (
   FROM rated
   WHERE rating_status = 'rated' AND "timestamp" >= {ts(r.period_start)} AND "timestamp" {end_cmp} {ts(r.period_end)}
   GROUP BY msisdn),
-billed AS (
+{p}billed AS (
   SELECT t.*, c.customer_name, c.rate_plan_id, c.student, c.region, c.activation_date,
          CAST(date_diff('day', c.activation_date, CAST({ts(r.as_of)} AS DATE)) AS DOUBLE) / {dbl(r.days_per_month)} AS loyalty_months,
          CASE WHEN p.service_type = 'voice' THEN p.free_units END AS voice_free_minutes,
@@ -156,14 +167,14 @@ billed AS (
          CASE WHEN p.service_type = 'data' THEN p.unit_price END AS data_unit_price,
          CASE WHEN p.service_type = 'data' THEN p.tiered_threshold_mb END AS data_threshold_mb,
          CASE WHEN p.service_type = 'data' THEN p.tiered_price_mb END AS data_tiered_price
-  FROM totals t JOIN customers c ON t.msisdn = c.msisdn
+  FROM {p}totals t JOIN customers c ON t.msisdn = c.msisdn
   LEFT JOIN rate_plans p ON c.rate_plan_id = p.rate_plan_id),
-billable AS (
+{p}billable AS (
   SELECT *,
          CASE WHEN voice_usage_minutes > voice_free_minutes THEN voice_usage_minutes - voice_free_minutes
               ELSE {zero} END AS voice_billable_minutes
-  FROM billed),
-svc AS (
+  FROM {p}billed),
+{p}svc AS (
   SELECT *,
          coalesce(CASE WHEN voice_billable_minutes > 0 AND voice_usage_minutes > 0
                        THEN voice_cost_rated * (voice_billable_minutes / voice_usage_minutes) ELSE {zero} END, {zero}) AS voice_cost0,
@@ -171,15 +182,15 @@ svc AS (
                        THEN (sms_usage_count - sms_free_units) * sms_unit_price ELSE {zero} END, {zero}) AS sms_cost,
          coalesce(CASE WHEN data_usage_mb <= data_threshold_mb THEN data_cost_rated
                        ELSE data_threshold_mb * data_unit_price + (data_usage_mb - data_threshold_mb) * data_tiered_price END, {zero}) AS data_cost0
-  FROM billable),
-svc2 AS (
+  FROM {p}billable),
+{p}svc2 AS (
   SELECT *, voice_cost0 + sms_cost + data_cost0 AS subtotal_before_discounts,
          CASE WHEN voice_usage_minutes >= {dbl(r.voice_threshold_minutes)} THEN voice_cost0 * {dbl(r.voice_discount_factor)}
               ELSE voice_cost0 END AS voice_cost,
          CASE WHEN data_usage_mb >= {dbl(r.data_threshold_mb)} THEN data_cost0 * {dbl(r.data_discount_factor)}
               ELSE data_cost0 END AS data_cost
-  FROM svc),
-disc AS (
+  FROM {p}svc),
+{p}disc AS (
   SELECT *,
          voice_cost + sms_cost + data_cost AS net_after_usage_discounts,
          CASE WHEN subtotal_before_discounts >= {dbl(r.spend_threshold)}
@@ -192,22 +203,22 @@ disc AS (
                    CASE WHEN loyalty_months / 12 * {dbl(r.loyalty_rate_per_year)} > {dbl(r.loyalty_max_rate)}
                         THEN {dbl(r.loyalty_max_rate)} ELSE loyalty_months / 12 * {dbl(r.loyalty_rate_per_year)} END
               ELSE {zero} END AS loyalty_discount_rate
-  FROM svc2),
-disc2 AS (
+  FROM {p}svc2),
+{p}disc2 AS (
   SELECT *,
          (voice_cost + sms_cost + data_cost) * loyalty_discount_rate AS loyalty_discount,
          {"(voice_cost + sms_cost + data_cost) * " + dbl(r.seasonal_rate) if seasonal else zero} AS seasonal_discount
-  FROM disc),
-disc3 AS (
+  FROM {p}disc),
+{p}disc3 AS (
   SELECT *,
          voice_cost + sms_cost + data_cost - total_spending_discount - student_discount - urban_discount
            - loyalty_discount - seasonal_discount AS total_cost_after_discounts,
          CASE WHEN coalesce(student, false) THEN {zero} ELSE {dbl(r.regulatory_fee)} END AS regulatory_fee
-  FROM disc2),
-disc4 AS (SELECT *, total_cost_after_discounts + regulatory_fee AS subtotal_with_fees FROM disc3),
-disc5 AS (SELECT *, subtotal_with_fees * {dbl(r.vat_rate)} AS vat_amount FROM disc4),
-breakdown AS (SELECT *, subtotal_with_fees + vat_amount AS total_cost FROM disc5),
-invoices AS (
+  FROM {p}disc2),
+{p}disc4 AS (SELECT *, total_cost_after_discounts + regulatory_fee AS subtotal_with_fees FROM {p}disc3),
+{p}disc5 AS (SELECT *, subtotal_with_fees * {dbl(r.vat_rate)} AS vat_amount FROM {p}disc4),
+{p}breakdown AS (SELECT *, subtotal_with_fees + vat_amount AS total_cost FROM {p}disc5),
+{p}invoices AS (
   SELECT md5(concat(msisdn, '-{r.period_start.strftime('%Y-%m-%d')}')) AS invoice_id,
          msisdn, customer_name,
          {ts(r.period_start)} AS billing_period_start, {ts(r.period_end)} AS billing_period_end,
@@ -219,15 +230,17 @@ invoices AS (
          coalesce({round_half_up("data_usage_mb", r.money_scale)}, {zero}) AS data_usage,
          coalesce({round_half_up("total_cost", r.money_scale)}, {zero}) AS total_cost,
          {ts(r.as_of)} AS invoice_date, '{r.invoice_status}' AS status, region, student
-  FROM breakdown)"""
-
+  FROM {p}breakdown)"""
 
 def money(expr: str, scale: int = 2) -> str:
     return f"CAST(round(CAST({expr} AS DECIMAL(18,6)), {scale}) AS DECIMAL(18,{scale}))"
 
 
-def with_base(select: str, r: Rules = DEFAULT_RULES) -> str:
-    return "WITH " + base_ctes(r).strip() + "\n" + select
+def with_base(select: str, r: Rules = DEFAULT_RULES, extra: str = "") -> str:
+    ctes = base_ctes(r).strip()
+    if extra:
+        ctes += ",\n" + extra.strip()
+    return "WITH " + ctes + "\n" + select
 
 
 def revenue_aggs(amount: str, count_name: str) -> str:
@@ -239,8 +252,8 @@ def revenue_aggs(amount: str, count_name: str) -> str:
 ORACLE: dict[str, str] = {}
 
 
-def oracle(name: str, select: str, r: Rules = DEFAULT_RULES) -> None:
-    ORACLE[name] = with_base(select, r)
+def oracle(name: str, select: str, r: Rules = DEFAULT_RULES, extra: str = "") -> None:
+    ORACLE[name] = with_base(select, r, extra)
 
 
 oracle("report_revenue_by_region",
@@ -291,3 +304,264 @@ def _late_run_rules() -> Rules:
 
 
 oracle("billing_invoices_late_run", "SELECT * FROM invoices", _late_run_rules())
+
+
+# ------------------------------------------------------------------ helpers
+def sql_str(text: str) -> str:
+    return "'" + text.replace("'", "''") + "'"
+
+
+def number_text(expr: str) -> str:
+    return f"regexp_replace(regexp_replace(CAST({money(expr)} AS VARCHAR), '0+$', ''), '\\.$', '')"
+
+
+def html_escape(expr: str) -> str:
+    for a, b in (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;"), ('"', "&quot;"), ("'", "&#39;")):
+        expr = f"replace({expr}, {sql_str(a)}, {sql_str(b)})"
+    return expr
+
+
+def render_template(template, r: Rules = DEFAULT_RULES) -> str:
+    parts = []
+    for kind, arg in template:
+        if kind == "lit":
+            parts.append(sql_str(arg))
+        elif kind == "rule":
+            parts.append(sql_str(str(getattr(r, arg))))
+        elif kind == "text":
+            parts.append(f"coalesce({html_escape(f'CAST({arg} AS VARCHAR)')}, '')")
+        elif kind == "plain":
+            parts.append(f"coalesce(CAST({arg} AS VARCHAR), '')")
+        elif kind == "num2":
+            parts.append(f"coalesce(CAST({money(arg)} AS VARCHAR), '')")
+        elif kind == "int":
+            parts.append(f"coalesce(CAST(CAST({arg} AS BIGINT) AS VARCHAR), '')")
+        elif kind == "title":
+            t = f"concat(upper(substr({arg}, 1, 1)), lower(substr({arg}, 2)))"
+            parts.append(f"coalesce({html_escape(t)}, '')")
+        elif kind == "yesno":
+            parts.append(f"CASE WHEN coalesce({arg}, false) THEN 'Yes' ELSE 'No' END")
+        elif kind == "date":
+            parts.append(f"coalesce(strftime({arg}, '%Y-%m-%d'), '')")
+        else:
+            raise ValueError(kind)
+    return "concat(" + ", ".join(parts) + ")"
+
+
+def original_data_sql(type_col: str = "record_type") -> str:
+    return (f"concat('record_type:', coalesce({type_col}, ''), ', msisdn:', coalesce(msisdn, ''), "
+            f"', duration:', coalesce({number_text('duration_sec')}, ''), "
+            f"', data_volume:', coalesce({number_text('data_volume_mb')}, ''))")
+
+
+# ------------------------------------------------------------------ customers
+oracle("eligible_customers", "SELECT msisdn, rate_plan_id FROM customers WHERE status = 'active'")
+oracle("customers_by_service",
+       "SELECT p.service_type, count(*) AS customer_count FROM customers c "
+       "JOIN rate_plans p ON c.rate_plan_id = p.rate_plan_id WHERE c.status = 'active' GROUP BY p.service_type")
+_profile_union = " UNION ALL ".join(
+    f"SELECT '{d}' AS dimension, CAST({d} AS VARCHAR) AS value FROM customers"
+    for d in ("rate_plan_id", "region", "student", "status", "subscription_type"))
+oracle("customer_profile",
+       "SELECT dimension, value, customer_count, "
+       + money("CAST(100 AS DOUBLE) * customer_count / sum(customer_count) OVER (PARTITION BY dimension)", 1)
+       + f" AS pct FROM (SELECT dimension, value, count(*) AS customer_count FROM ({_profile_union}) "
+       "GROUP BY dimension, value)")
+oracle("customer_insert_new", "SELECT * FROM customers WHERE activation_date >= DATE '2022-01-01'")
+
+# ------------------------------------------------------------------ reports
+oracle("report_customers",
+       "SELECT msisdn, customer_name, subscription_type, rate_plan_id, activation_date, status, region, "
+       "CASE WHEN student THEN 'Yes' ELSE 'No' END AS is_student FROM customers "
+       "ORDER BY customer_name NULLS LAST, msisdn")
+oracle("report_invoices",
+       f"SELECT invoice_id, msisdn, customer_name, {money('voice_cost')} AS voice_cost, "
+       f"{money('sms_cost')} AS sms_cost, {money('data_cost')} AS data_cost, {money('total_cost')} AS total_cost, "
+       "voice_usage, sms_usage, data_usage, status, invoice_date FROM invoices "
+       "ORDER BY invoice_date DESC NULLS FIRST, invoice_id")
+oracle("report_revenue_by_service",
+       f"SELECT service_type, {revenue_aggs('amount', 'total_invoices')} FROM ("
+       "SELECT 'voice' AS service_type, voice_cost AS amount FROM invoices UNION ALL "
+       "SELECT 'sms', sms_cost FROM invoices UNION ALL SELECT 'data', data_cost FROM invoices) "
+       "GROUP BY service_type ORDER BY total_revenue DESC, service_type")
+oracle("report_rated_records",
+       f'SELECT record_id, record_type, "timestamp", msisdn, {money("cost")} AS cost, rating_status '
+       "FROM rated WHERE rating_status = 'rated' "
+       f'ORDER BY "timestamp" DESC NULLS FIRST, record_id LIMIT {DEFAULT_RULES.report_row_limit}')
+_dead = (f"SELECT record_id, rating_status AS error_reason, '{DEFAULT_RULES.dead_record_source}' AS error_source, "
+         f'"timestamp" AS error_timestamp, {original_data_sql()} AS original_data FROM rated '
+         "WHERE rating_status IN ('unmatched', 'rejected', 'error')")
+oracle("report_dead_records",
+       f"{_dead} ORDER BY error_timestamp DESC NULLS FIRST, record_id LIMIT {DEFAULT_RULES.report_row_limit}")
+oracle("report_dead_records_unified",
+       f"SELECT record_id, 'error' AS error_reason, '{DEFAULT_RULES.mediation_source}' AS error_source, "
+       f'"timestamp" AS error_timestamp, {original_data_sql()} AS original_data FROM mediated '
+       f"WHERE status = 'error' UNION ALL {_dead}")
+
+
+# ------------------------------------------------------------------ invoices
+def _half_runs() -> tuple[Rules, Rules]:
+    import datetime as dt
+    from dataclasses import replace
+    mid = dt.datetime(2024, 1, 16)
+    return (replace(DEFAULT_RULES, period_end=mid, as_of=mid),
+            replace(DEFAULT_RULES, period_start=mid))
+
+
+_first, _second = _half_runs()
+_TWO_RUNS = billing_ctes(_first, "a_") + ",\n" + billing_ctes(_second, "b_") + """,
+latest AS (
+  SELECT * EXCLUDE (rn) FROM (
+    SELECT *, row_number() OVER (PARTITION BY msisdn ORDER BY invoice_date DESC, invoice_id DESC) AS rn
+    FROM (SELECT * FROM a_invoices UNION ALL SELECT * FROM b_invoices)) WHERE rn = 1)"""
+
+
+def _view_ctes(r: Rules = DEFAULT_RULES) -> str:
+    fee = dbl(r.regulatory_fee)
+    zero = "CAST(0 AS DOUBLE)"
+    seasonal = (f"subtotal * {dbl(r.seasonal_rate)}" if r.as_of.month == r.seasonal_month else zero)
+
+    def fact(svc, col, default):
+        return f"coalesce(CASE WHEN p.service_type = '{svc}' THEN p.{col} END, {default})"
+
+    return _TWO_RUNS + f""",
+view0 AS (
+  SELECT l.invoice_id, l.msisdn, l.customer_name, l.region, l.student, l.invoice_date,
+         l.billing_period_start, l.billing_period_end, l.status, l.voice_cost, l.sms_cost, l.data_cost,
+         l.total_cost, l.voice_usage, l.sms_usage, l.data_usage,
+         coalesce(CASE WHEN p.service_type = 'voice' THEN p.plan_name END, {sql_str(r.unknown_plan_name)}) AS plan_name,
+         {fact('voice', 'free_units', 0)} AS voice_free_minutes,
+         {fact('sms', 'free_units', 0)} AS sms_free_units,
+         {fact('data', 'tiered_threshold_mb', zero)} AS data_threshold_mb,
+         {fact('voice', 'unit_price', zero)} AS voice_unit_price,
+         {fact('sms', 'unit_price', zero)} AS sms_unit_price,
+         {fact('data', 'unit_price', zero)} AS data_unit_price,
+         {fact('data', 'tiered_price_mb', zero)} AS data_tiered_price,
+         l.voice_cost + l.sms_cost + l.data_cost AS subtotal
+  FROM latest l LEFT JOIN customers c ON l.msisdn = c.msisdn
+  LEFT JOIN rate_plans p ON c.rate_plan_id = p.rate_plan_id),
+view1 AS (
+  SELECT *, greatest({zero}, voice_usage - voice_free_minutes) AS voice_billable_minutes,
+         greatest(0, sms_usage - sms_free_units) AS sms_billable_count,
+         {fee} AS regulatory_fee,
+         CASE WHEN total_cost > subtotal + {fee} THEN total_cost - (subtotal + {fee}) ELSE {zero} END AS vat_amount,
+         {seasonal} AS seasonal_discount
+  FROM view0),
+inv_view AS (
+  SELECT *, greatest({zero}, seasonal_discount) AS total_discounts, {zero} AS usage_discounts,
+         {zero} AS loyalty_discount, {zero} AS student_discount, {zero} AS urban_discount
+  FROM view1)"""
+
+
+oracle("invoice_latest", "SELECT * FROM latest", extra=_TWO_RUNS)
+oracle("invoice_view", "SELECT * FROM inv_view", extra=_view_ctes())
+
+
+def _breakdown_sql(r: Rules = DEFAULT_RULES) -> str:
+    amounts = {
+        "subtotal_before_discounts": "subtotal_before_discounts",
+        "usage_discounts": "subtotal_before_discounts - net_after_usage_discounts",
+        "total_spending_discount": "total_spending_discount",
+        "student_discount": "student_discount",
+        "urban_discount": "urban_discount",
+        "loyalty_discount": "loyalty_discount",
+        "seasonal_discount": "seasonal_discount",
+        "total_discounts": "(subtotal_before_discounts - net_after_usage_discounts) + total_spending_discount"
+                           " + student_discount + urban_discount + loyalty_discount + seasonal_discount",
+        "total_cost_after_discounts": "total_cost_after_discounts",
+        "regulatory_fee": "b.regulatory_fee",
+        "vat_amount": "vat_amount",
+        "total_cost": "total_cost",
+    }
+    cols = ", ".join(f"{round_half_up(e, r.money_scale)} AS {n}" for n, e in amounts.items())
+    return (f"SELECT md5(concat(b.msisdn, '-{r.period_start.strftime('%Y-%m-%d')}')) AS invoice_id, "
+            f"b.msisdn, b.customer_name, coalesce(p.plan_name, {sql_str(r.unknown_plan_name)}) AS plan_name, {cols} "
+            "FROM breakdown b LEFT JOIN rate_plans p ON b.rate_plan_id = p.rate_plan_id")
+
+
+oracle("invoice_breakdown", _breakdown_sql())
+
+
+def _doc_sql() -> str:
+    from chargeline.functions.template import INVOICE_DOCUMENT
+    return f"SELECT invoice_id, msisdn, {render_template(INVOICE_DOCUMENT)} AS document FROM inv_view"
+
+
+def _outbox_sql(r: Rules = DEFAULT_RULES) -> str:
+    from chargeline.functions.template import INVOICE_MAIL_BODY
+    return (f"SELECT invoice_id, msisdn, concat({sql_str(r.mail_subject_prefix)}, strftime(invoice_date, '%Y-%m-%d')) "
+            f"AS subject, {render_template(INVOICE_MAIL_BODY, r)} AS body FROM inv_view")
+
+
+oracle("invoice_documents", _doc_sql(), extra=_view_ctes())
+oracle("invoice_outbox", _outbox_sql(), extra=_view_ctes())
+
+
+# ------------------------------------------------------------------ quality
+def _key_sql(table: str, source: str, key: str) -> str:
+    sub = f"(SELECT {key} AS k, count(*) AS n FROM {source} GROUP BY {key})"
+    return " UNION ALL ".join([
+        f"SELECT '{table}.{key}:duplicate_keys' AS check_name, CAST(count(*) FILTER (WHERE k IS NOT NULL AND n > 1) AS BIGINT) AS violations FROM {sub}",
+        f"SELECT '{table}.{key}:surplus_rows', CAST(coalesce(sum(CASE WHEN k IS NOT NULL AND n > 1 THEN n - 1 END), 0) AS BIGINT) FROM {sub}",
+        f"SELECT '{table}.{key}:null_keys', CAST(coalesce(sum(CASE WHEN k IS NULL THEN n END), 0) AS BIGINT) FROM {sub}",
+    ])
+
+
+oracle("quality_keys", " UNION ALL ".join([
+    _key_sql("customers", "customers", "msisdn"),
+    _key_sql("normalized_records", "valid_unique", "record_id"),
+    _key_sql("rated_records", "rated", "record_id"),
+    _key_sql("invoices", "invoices", "invoice_id"),
+]))
+oracle("quality_foreign_keys",
+       "SELECT record_id, rate_plan_id, rating_status FROM rated WHERE rate_plan_id IS NOT NULL "
+       "AND rate_plan_id NOT IN (SELECT rate_plan_id FROM rate_plans)")
+
+
+def _count_sql(table: str, source: str, checks: dict[str, str]) -> str:
+    return " UNION ALL ".join(
+        f"SELECT '{table}.{n}' AS check_name, CAST(count(*) FILTER (WHERE coalesce({c}, false)) AS BIGINT) AS violations FROM {source}"
+        for n, c in checks.items())
+
+
+def _not_in(col, values):
+    return f"({col} IS NOT NULL AND NOT {col} IN ({strs(values)}))"
+
+
+_r = DEFAULT_RULES
+oracle("quality_domains", " UNION ALL ".join([
+    _count_sql("normalized_records", "valid_unique", {
+        "record_type:domain": _not_in("record_type", _r.record_types),
+        "record_id:width": "length(record_id) > 50",
+        "record_type:width": "length(record_type) > 20",
+        "msisdn:width": "length(msisdn) > 15",
+        "secondary_msisdn:width": "length(secondary_msisdn) > 15",
+        "cell_id:width": "length(cell_id) > 50",
+        "technology:width": "length(technology) > 10"}),
+    _count_sql("customers", "customers", {
+        "region:domain": _not_in("region", ("rural", "urban")),
+        "msisdn:width": "length(msisdn) > 15",
+        "customer_name:width": "length(customer_name) > 100"}),
+    _count_sql("rated_records", "rated", {
+        "rating_status:domain": _not_in("rating_status", ("rated", "unmatched", "rejected", "error"))}),
+    _count_sql("invoices", "invoices", {
+        "status:domain": _not_in("status", ("pending", "paid", "failed")),
+        "region:domain": _not_in("region", ("rural", "urban"))}),
+]))
+oracle("quality_not_null", _count_sql("invoices", "invoices", {
+    f"{c}:not_null": f"{c} IS NULL"
+    for c in ("msisdn", "billing_period_start", "billing_period_end", "invoice_date")}))
+
+# ------------------------------------------------------------------ counters
+oracle("stage_counts", " UNION ALL ".join([
+    "SELECT 'mediation_in' AS stage, CAST(count(*) AS BIGINT) AS records FROM mediated",
+    "SELECT 'mediation_valid', CAST(count(*) FILTER (WHERE status = 'valid') AS BIGINT) FROM mediated",
+    "SELECT 'mediation_error', CAST(count(*) FILTER (WHERE status = 'error') AS BIGINT) FROM mediated",
+    "SELECT 'rating_out', CAST(count(*) AS BIGINT) FROM rated",
+    "SELECT 'rating_rated', CAST(count(*) FILTER (WHERE rating_status = 'rated') AS BIGINT) FROM rated",
+    "SELECT 'rating_rejected', CAST(count(*) FILTER (WHERE rating_status = 'rejected') AS BIGINT) FROM rated",
+    "SELECT 'rating_unmatched', CAST(count(*) FILTER (WHERE rating_status = 'unmatched') AS BIGINT) FROM rated",
+    "SELECT 'invoices', CAST(count(*) AS BIGINT) FROM invoices",
+    "SELECT 'invoices_student', CAST(count(*) FILTER (WHERE student) AS BIGINT) FROM invoices",
+    "SELECT 'invoices_urban', CAST(count(*) FILTER (WHERE region = 'urban') AS BIGINT) FROM invoices",
+]))

@@ -176,3 +176,159 @@ LATE_RUN = _replace(DEFAULT_RULES, as_of=_dt.datetime(2024, 3, 5))
 def billing_invoices_late_run(spark, sf_dir):
     """January billed on 5 March: seasonal month discount and longer tenure."""
     return flows.invoices(spark, sf_dir, LATE_RUN)
+
+
+# ---------------------------------------------------------------- customers
+from chargeline.operators import counters, customers as cust_ops, invoices as inv_ops, quality  # noqa: E402
+
+INCUMBENT_BEFORE = _dt.date(2022, 1, 1)
+
+
+@query("eligible_customers")
+def eligible_customers(spark, sf_dir):
+    return cust_ops.eligible(fixtures.customers(spark, sf_dir))
+
+
+@query("customers_by_service")
+def customers_by_service(spark, sf_dir):
+    return cust_ops.by_service(fixtures.customers(spark, sf_dir), fixtures.rate_plans(spark))
+
+
+@query("customer_profile")
+def customer_profile(spark, sf_dir):
+    return cust_ops.profile(fixtures.customers(spark, sf_dir))
+
+
+@query("customer_insert_new")
+def customer_insert_new(spark, sf_dir):
+    """The table holds the subscribers activated before 2022; a generator
+    run re-sends every subscriber (twice); only the absent ones are inserted."""
+    everyone = fixtures.customers(spark, sf_dir)
+    existing = everyone.filter(F.col("activation_date") < F.lit(INCUMBENT_BEFORE))
+    return cust_ops.insert_new(existing, everyone.unionByName(everyone))
+
+
+# ---------------------------------------------------------------- reports
+@query("report_customers")
+def report_customers(spark, sf_dir):
+    return reports.customers_report(fixtures.customers(spark, sf_dir))
+
+
+@query("report_invoices")
+def report_invoices(spark, sf_dir):
+    return reports.invoices_report(flows.invoices(spark, sf_dir))
+
+
+@query("report_revenue_by_service")
+def report_revenue_by_service(spark, sf_dir):
+    return reports.revenue_by_service(flows.invoices(spark, sf_dir))
+
+
+@query("report_rated_records")
+def report_rated_records(spark, sf_dir):
+    return reports.rated_records_report(flows.rated(spark, sf_dir))
+
+
+@query("report_dead_records")
+def report_dead_records(spark, sf_dir):
+    return reports.dead_records_report(flows.rated(spark, sf_dir))
+
+
+@query("report_dead_records_unified")
+def report_dead_records_unified(spark, sf_dir):
+    mediated = flows.mediated(spark, sf_dir)
+    rated = rating.rate(mediation.valid_records(mediated), fixtures.customers(spark, sf_dir),
+                        fixtures.rate_plans(spark))
+    return reports.dead_records_unified(mediation.dead_letters(mediated), rated)
+
+
+# ---------------------------------------------------------------- invoices
+FIRST_HALF = _replace(DEFAULT_RULES, period_end=MID_MONTH, as_of=MID_MONTH)
+SECOND_HALF = _replace(DEFAULT_RULES, period_start=MID_MONTH)
+
+
+def two_runs(spark, sf_dir):
+    """Invoices of two half-month billing runs over the same rated records."""
+    rated = flows.rated(spark, sf_dir)
+    return (flows.invoices(spark, sf_dir, FIRST_HALF, rated)
+            .unionByName(flows.invoices(spark, sf_dir, SECOND_HALF, rated)))
+
+
+def latest_view(spark, sf_dir):
+    return inv_ops.view(inv_ops.latest(two_runs(spark, sf_dir)), fixtures.customers(spark, sf_dir),
+                        fixtures.rate_plans(spark), DEFAULT_RULES)
+
+
+@query("invoice_latest")
+def invoice_latest(spark, sf_dir):
+    return inv_ops.latest(two_runs(spark, sf_dir))
+
+
+@query("invoice_view")
+def invoice_view(spark, sf_dir):
+    return latest_view(spark, sf_dir)
+
+
+@query("invoice_breakdown")
+def invoice_breakdown(spark, sf_dir):
+    return inv_ops.breakdown_view(flows.breakdown(spark, sf_dir), fixtures.rate_plans(spark))
+
+
+@query("invoice_documents")
+def invoice_documents(spark, sf_dir):
+    return inv_ops.documents(latest_view(spark, sf_dir))
+
+
+@query("invoice_outbox")
+def invoice_outbox(spark, sf_dir):
+    return inv_ops.outbox(latest_view(spark, sf_dir))
+
+
+# ---------------------------------------------------------------- quality
+def _quality_tables(spark, sf_dir):
+    mediated = flows.mediated(spark, sf_dir)
+    valid = mediation.dedupe_records(mediation.valid_records(mediated))
+    rated = rating.rate(valid, fixtures.customers(spark, sf_dir), fixtures.rate_plans(spark))
+    invoices = flows.invoices(spark, sf_dir, DEFAULT_RULES, rated)
+    return {"customers": fixtures.customers(spark, sf_dir), "normalized_records": valid,
+            "rated_records": rated, "invoices": invoices}
+
+
+@query("quality_keys")
+def quality_keys(spark, sf_dir):
+    t = _quality_tables(spark, sf_dir)
+    return quality.key_violations({
+        "customers": (t["customers"], "msisdn"),
+        "normalized_records": (t["normalized_records"], "record_id"),
+        "rated_records": (t["rated_records"], "record_id"),
+        "invoices": (t["invoices"], "invoice_id"),
+    })
+
+
+@query("quality_foreign_keys")
+def quality_foreign_keys(spark, sf_dir):
+    return quality.foreign_key_violations(flows.rated(spark, sf_dir), fixtures.rate_plans(spark))
+
+
+@query("quality_domains")
+def quality_domains(spark, sf_dir):
+    t = _quality_tables(spark, sf_dir)
+    out = None
+    for table, checks in quality.domain_checks().items():
+        part = quality.count_checks(t[table], table, checks)
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+@query("quality_not_null")
+def quality_not_null(spark, sf_dir):
+    return quality.count_checks(flows.invoices(spark, sf_dir), "invoices", quality.not_null_checks())
+
+
+# ---------------------------------------------------------------- counters
+@query("stage_counts")
+def stage_counts(spark, sf_dir):
+    mediated = flows.mediated(spark, sf_dir)
+    rated = rating.rate(mediation.valid_records(mediated), fixtures.customers(spark, sf_dir),
+                        fixtures.rate_plans(spark))
+    return counters.stage_counts(mediated, rated, flows.invoices(spark, sf_dir, DEFAULT_RULES, rated))
