@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from chargeline.functions.columns import in_range, ts_literal
 from chargeline.operators.dedup import dedupe
-from chargeline.operators.joins import broadcast_if_small
+from chargeline.operators.joins import broadcast_if_small, new_keys_only
 from chargeline.rules import DEFAULT_RULES, Rules
 
 RATED_COLUMNS = ["record_id", "record_type", "timestamp", "msisdn", "secondary_msisdn",
@@ -26,23 +26,15 @@ def dedupe_input(records: DataFrame) -> DataFrame:
     """One row per record_id, deterministic survivor."""
     return dedupe(records.select(*_INPUT_COLUMNS), ["record_id"], ["timestamp"])
 
-def not_yet_rated(records: DataFrame, rated: DataFrame | None,
-                  rules: Rules = DEFAULT_RULES) -> DataFrame:
+def not_yet_rated(records: DataFrame, rated: DataFrame | None) -> DataFrame:
     """Drop records whose id is already in the rated table.
 
     An absent table is an explicit ``None`` (first run), not a swallowed error.
-    When the rated table carries ``billing_month`` only the months of the run
-    period are read (partition pruning), so the anti-join does not shuffle the
-    whole history.
+    Expects ``billing_month`` on ``records`` (``with_event_time``); only the
+    rated partitions of the months this batch touches are read.
     """
-    if rated is None:
-        return records
-    ids = rated
-    if "billing_month" in rated.columns:
-        lo = F.lit(rules.period_start.date().replace(day=1))
-        hi = F.lit(rules.period_end.date())
-        ids = rated.filter((F.col("billing_month") >= lo) & (F.col("billing_month") <= hi))
-    return records.join(ids.select("record_id"), "record_id", "left_anti")
+    return new_keys_only(records, rated, "record_id", "billing_month")
+
 
 def with_event_time(records: DataFrame, rules: Rules = DEFAULT_RULES) -> DataFrame:
     """Missing event time -> run time ``as_of``; month of the record."""
@@ -144,8 +136,9 @@ def rate(records: DataFrame, customers: DataFrame, rate_plans: DataFrame,
     per record_id and the joins cannot multiply rows (unique dimension keys), so
     the second pass would be a no-op shuffle and is left out.
     """
-    fresh = not_yet_rated(dedupe_input(records), already_rated, rules)
-    enriched = enrich(with_event_time(fresh, rules), customers, rate_plans, rules)
+    timed = with_event_time(dedupe_input(records), rules)
+    fresh = not_yet_rated(timed, already_rated)
+    enriched = enrich(fresh, customers, rate_plans, rules)
     return project_rated(price(enriched, rules))
 
 def status_breakdown(rated: DataFrame) -> DataFrame:

@@ -55,6 +55,18 @@ def base_ctes(r: Rules = DEFAULT_RULES) -> str:
 customers AS (SELECT {", ".join(CUSTOMER_EXPRS)} FROM customer),
 rate_plans AS ({_plans_values()}),
 usage AS (SELECT {", ".join(USAGE_EXPRS)} FROM events),
+raw_usage AS (
+  SELECT record_id, record_type, strftime(ts, '%Y-%m-%d %H:%M:%S') AS "timestamp",
+         CASE WHEN record_type = 'voice' THEN party END AS caller_id,
+         CASE WHEN record_type = 'voice' THEN counterpart END AS callee_id,
+         CASE WHEN record_type = 'sms' THEN party END AS sender_id,
+         CASE WHEN record_type = 'sms' THEN counterpart END AS receiver_id,
+         CASE WHEN NOT coalesce(record_type IN ('voice', 'sms'), false) THEN party END AS user_id,
+         CAST(CASE WHEN record_type = 'voice' THEN secs END AS INTEGER) AS duration_sec,
+         CAST(CASE WHEN record_type = 'data' THEN mb END AS DOUBLE) AS data_volume_mb,
+         CAST(CASE WHEN record_type = 'data' THEN secs END AS INTEGER) AS session_duration_sec,
+         cell_id, technology
+  FROM usage),
 normalized AS (
   SELECT record_id, record_type, date_trunc('second', ts) AS "timestamp", party AS msisdn,
          CASE WHEN record_type IN ('voice', 'sms') THEN counterpart END AS secondary_msisdn,
@@ -565,3 +577,13 @@ oracle("stage_counts", " UNION ALL ".join([
     "SELECT 'invoices_student', CAST(count(*) FILTER (WHERE student) AS BIGINT) FROM invoices",
     "SELECT 'invoices_urban', CAST(count(*) FILTER (WHERE region = 'urban') AS BIGINT) FROM invoices",
 ]))
+
+# ------------------------------------------------------------------ streaming and sinks
+oracle("stream_mediation", "SELECT * FROM valid_unique")
+oracle("stream_dead_letters", "SELECT * FROM mediated WHERE status = 'error' "
+       "UNION ALL SELECT * FROM mediated WHERE status = 'error'")
+oracle("stream_normalized_store", "SELECT * FROM valid_unique")
+ORACLE["report_csv_roundtrip"] = ORACLE["report_revenue_by_region"]
+oracle("usage_archive_roundtrip", "SELECT * FROM raw_usage")
+oracle("rating_job_rerun", f"SELECT {RATED_COLS} FROM rated")
+oracle("billing_job_rerun", "SELECT * FROM invoices")
