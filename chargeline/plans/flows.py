@@ -1,53 +1,60 @@
 """End-to-end compositions of the stages over the lake tables.
 
 Each function returns a lazy DataFrame; nothing is collected. The billing
-period defaults to the fixture's month (see ``Rules``).
+period defaults to the fixture's month (see ``Rules``). ``source`` selects the
+usage stream: ``events`` (billing fixture) or ``orders`` (volume fixture).
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from chargeline.operators import billing, mediation, rating
+from chargeline.operators import billing, customers as customer_ops, mediation, rating
 from chargeline.rules import DEFAULT_RULES, Rules
 from chargeline.sources import fixtures
 
 
-def mediated(spark: SparkSession, sf_dir: str, rules: Rules = DEFAULT_RULES) -> DataFrame:
-    return mediation.mediate(fixtures.raw_usage(spark, sf_dir), rules)
+def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return customer_ops.conform(fixtures.customers(spark, sf_dir))
 
 
-def valid_usage(spark: SparkSession, sf_dir: str, rules: Rules = DEFAULT_RULES) -> DataFrame:
-    return mediation.valid_records(mediated(spark, sf_dir, rules))
+def mediated(spark: SparkSession, sf_dir: str, rules: Rules = DEFAULT_RULES,
+             source: str = "events") -> DataFrame:
+    return mediation.mediate(fixtures.raw_usage(spark, sf_dir, source), rules)
 
 
-def priced(spark: SparkSession, sf_dir: str, rules: Rules = DEFAULT_RULES) -> DataFrame:
+def valid_usage(spark: SparkSession, sf_dir: str, rules: Rules = DEFAULT_RULES,
+                source: str = "events") -> DataFrame:
+    return mediation.valid_records(mediated(spark, sf_dir, rules, source))
+
+
+def priced(spark: SparkSession, sf_dir: str, rules: Rules = DEFAULT_RULES,
+           source: str = "events") -> DataFrame:
     """Rating with every intermediate column (status, stage costs)."""
-    records = rating.with_event_time(rating.dedupe_input(valid_usage(spark, sf_dir, rules)), rules)
-    enriched = rating.enrich(records, fixtures.customers(spark, sf_dir), fixtures.rate_plans(spark), rules)
+    records = rating.with_event_time(rating.dedupe_input(valid_usage(spark, sf_dir, rules, source)), rules)
+    enriched = rating.enrich(records, customers(spark, sf_dir), fixtures.rate_plans(spark), rules)
     return rating.price(enriched, rules)
 
 
 def rated(spark: SparkSession, sf_dir: str, rules: Rules = DEFAULT_RULES,
-          already_rated: DataFrame | None = None) -> DataFrame:
-    return rating.rate(valid_usage(spark, sf_dir, rules), fixtures.customers(spark, sf_dir),
+          already_rated: DataFrame | None = None, source: str = "events") -> DataFrame:
+    return rating.rate(valid_usage(spark, sf_dir, rules, source), customers(spark, sf_dir),
                        fixtures.rate_plans(spark), rules, already_rated)
 
 
 def breakdown(spark: SparkSession, sf_dir: str, rules: Rules = DEFAULT_RULES,
-              rated_df: DataFrame | None = None) -> DataFrame:
-    rated_df = rated(spark, sf_dir, rules) if rated_df is None else rated_df
-    return billing.breakdown(rated_df, fixtures.customers(spark, sf_dir),
-                             fixtures.rate_plans(spark), rules)
+              rated_df: DataFrame | None = None, source: str = "events") -> DataFrame:
+    rated_df = rated(spark, sf_dir, rules, source=source) if rated_df is None else rated_df
+    return billing.breakdown(rated_df, customers(spark, sf_dir), fixtures.rate_plans(spark), rules)
 
 
 def service_lines(spark: SparkSession, sf_dir: str, rules: Rules = DEFAULT_RULES) -> DataFrame:
     """B07-B12 only (before usage discounts)."""
     totals = billing.usage_totals(rated(spark, sf_dir, rules), rules)
     return billing.service_costs(billing.attach_plans(
-        totals, fixtures.customers(spark, sf_dir), fixtures.rate_plans(spark), rules))
+        totals, customers(spark, sf_dir), fixtures.rate_plans(spark), rules))
 
 
 def invoices(spark: SparkSession, sf_dir: str, rules: Rules = DEFAULT_RULES,
-             rated_df: DataFrame | None = None) -> DataFrame:
-    return billing.invoices(breakdown(spark, sf_dir, rules, rated_df), rules)
+             rated_df: DataFrame | None = None, source: str = "events") -> DataFrame:
+    return billing.invoices(breakdown(spark, sf_dir, rules, rated_df, source), rules)

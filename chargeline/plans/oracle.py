@@ -9,7 +9,8 @@ start from identical rows); every rule is re-stated here in SQL.
 from __future__ import annotations
 
 from chargeline.rules import DEFAULT_RULES, Rules
-from chargeline.sources.fixtures import CUSTOMER_EXPRS, RATE_PLAN_ROWS, USAGE_EXPRS
+from chargeline.sources.fixtures import (CUSTOMER_EXPRS, ORDERS_USAGE_EXPRS, RATE_PLAN_ROWS,
+                                        USAGE_EXPRS)
 
 
 def dbl(x: float) -> str:
@@ -44,7 +45,18 @@ def round_half_up(expr: str, scale: int) -> str:
     return f"CAST(round(CAST(CAST({expr} AS VARCHAR) AS DECIMAL(38,18)), {scale}) AS DOUBLE)"
 
 
-def base_ctes(r: Rules = DEFAULT_RULES) -> str:
+ORDERS_TS_DUCKDB = ("l_shipdate + to_hours(CAST((l_partkey * 7 + l_linenumber * 5) % 24 AS BIGINT)) "
+                    "+ to_minutes(CAST((l_suppkey * 13) % 60 AS BIGINT)) AS ts")
+
+
+def usage_sql(source: str) -> str:
+    if source == "orders":
+        exprs = [ORDERS_TS_DUCKDB if e is None else e for e in ORDERS_USAGE_EXPRS]
+        return (f"SELECT {', '.join(exprs)} FROM lineitem JOIN orders ON l_orderkey = o_orderkey")
+    return f"SELECT {', '.join(USAGE_EXPRS)} FROM events"
+
+
+def base_ctes(r: Rules = DEFAULT_RULES, source: str = "events") -> str:
     roam = strs(r.roaming_cells)
     types = strs(r.record_types)
     prefixes = " OR ".join(f"starts_with(msisdn, '{p}')" for p in r.invalid_msisdn_prefixes)
@@ -54,7 +66,7 @@ def base_ctes(r: Rules = DEFAULT_RULES) -> str:
     return f"""
 customers AS (SELECT {", ".join(CUSTOMER_EXPRS)} FROM customer),
 rate_plans AS ({_plans_values()}),
-usage AS (SELECT {", ".join(USAGE_EXPRS)} FROM events),
+usage AS ({usage_sql(source)}),
 raw_usage AS (
   SELECT record_id, record_type, strftime(ts, '%Y-%m-%d %H:%M:%S') AS "timestamp",
          CASE WHEN record_type = 'voice' THEN party END AS caller_id,
@@ -248,8 +260,8 @@ def money(expr: str, scale: int = 2) -> str:
     return f"CAST(round(CAST({expr} AS DECIMAL(18,6)), {scale}) AS DECIMAL(18,{scale}))"
 
 
-def with_base(select: str, r: Rules = DEFAULT_RULES, extra: str = "") -> str:
-    ctes = base_ctes(r).strip()
+def with_base(select: str, r: Rules = DEFAULT_RULES, extra: str = "", source: str = "events") -> str:
+    ctes = base_ctes(r, source).strip()
     if extra:
         ctes += ",\n" + extra.strip()
     return "WITH " + ctes + "\n" + select
@@ -264,8 +276,9 @@ def revenue_aggs(amount: str, count_name: str) -> str:
 ORACLE: dict[str, str] = {}
 
 
-def oracle(name: str, select: str, r: Rules = DEFAULT_RULES, extra: str = "") -> None:
-    ORACLE[name] = with_base(select, r, extra)
+def oracle(name: str, select: str, r: Rules = DEFAULT_RULES, extra: str = "",
+           source: str = "events") -> None:
+    ORACLE[name] = with_base(select, r, extra, source)
 
 
 oracle("report_revenue_by_region",
@@ -587,3 +600,16 @@ ORACLE["report_csv_roundtrip"] = ORACLE["report_revenue_by_region"]
 oracle("usage_archive_roundtrip", "SELECT * FROM raw_usage")
 oracle("rating_job_rerun", f"SELECT {RATED_COLS} FROM rated")
 oracle("billing_job_rerun", "SELECT * FROM invoices")
+
+
+# ------------------------------------------------------------------ volume fixture
+def _orders_rules() -> Rules:
+    import datetime as dt
+    from dataclasses import replace
+    return replace(DEFAULT_RULES, period_start=dt.datetime(1996, 12, 1), period_end=dt.datetime(1997, 1, 1),
+                   as_of=dt.datetime(1997, 1, 1))
+
+
+oracle("mediate_valid_dedup_orders", "SELECT * FROM valid_unique", _orders_rules(), source="orders")
+oracle("rated_records_orders", f"SELECT {RATED_COLS} FROM rated", _orders_rules(), source="orders")
+oracle("billing_invoices_orders", "SELECT * FROM invoices", _orders_rules(), source="orders")

@@ -429,3 +429,24 @@ def billing_job_rerun(spark, sf_dir):
     for _ in range(2):
         jobs.run_billing(spark, cust, plans, tables)
     return spark.read.parquet(tables.invoices).select(*billing.INVOICE_COLUMNS)
+
+
+# ---------------------------------------------------------------- volume fixture
+ORDERS_RULES = _replace(DEFAULT_RULES, period_start=_dt.datetime(1996, 12, 1),
+                        period_end=_dt.datetime(1997, 1, 1), as_of=_dt.datetime(1997, 1, 1))
+
+
+@query("mediate_valid_dedup_orders")
+def mediate_valid_dedup_orders(spark, sf_dir):
+    """M09 on natural duplicates: the earliest copy of each record_id survives."""
+    return mediation.dedupe_records(flows.valid_usage(spark, sf_dir, ORDERS_RULES, "orders"))
+
+
+@query("rated_records_orders")
+def rated_records_orders(spark, sf_dir):
+    return flows.rated(spark, sf_dir, ORDERS_RULES, source="orders")
+
+
+@query("billing_invoices_orders")
+def billing_invoices_orders(spark, sf_dir):
+    return flows.invoices(spark, sf_dir, ORDERS_RULES, source="orders")

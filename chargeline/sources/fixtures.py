@@ -56,6 +56,25 @@ USAGE_EXPRS = [
     "CASE event_id % 4 WHEN 0 THEN '2G' WHEN 1 THEN '3G' WHEN 2 THEN '4G' ELSE '5G' END AS technology",
 ]
 
+# Volume fixture: order lines as usage (o_custkey is the subscriber). The key
+# (l_orderkey, l_linenumber) is not unique in the source, so this stream has
+# natural duplicates that differ in their other columns.
+ORDERS_USAGE_EXPRS = [
+    "concat('o-', cast(l_orderkey as varchar(20)), '-', cast(l_linenumber as varchar(20))) AS record_id",
+    None,  # ts: dialect-specific, see ORDERS_TS_SPARK / the oracle
+    "CASE l_linenumber % 3 WHEN 0 THEN 'voice' WHEN 1 THEN 'sms' ELSE 'data' END AS record_type",
+    "concat('+212', lpad(cast(o_custkey as varchar(20)), 9, '0')) AS party",
+    "concat('+212', lpad(cast(l_suppkey as varchar(20)), 9, '0')) AS counterpart",
+    "cast(l_quantity as bigint) * 37 AS secs",
+    "l_extendedprice / 10 AS mb",
+    "CASE WHEN l_partkey % 10 = 0 THEN CASE l_partkey % 30 WHEN 0 THEN 'PARIS' WHEN 10 THEN 'TOULOUSE' "
+    "ELSE 'NEW YORK' END "
+    "ELSE CASE l_partkey % 3 WHEN 0 THEN 'RABAT' WHEN 1 THEN 'FES' ELSE 'AGADIR' END END AS cell_id",
+    "CASE l_suppkey % 4 WHEN 0 THEN '2G' WHEN 1 THEN '3G' WHEN 2 THEN '4G' ELSE '5G' END AS technology",
+]
+ORDERS_TS_SPARK = ("l_shipdate + make_dt_interval(0, cast((l_partkey * 7 + l_linenumber * 5) % 24 as int), "
+                   "cast((l_suppkey * 13) % 60 as int), 0) AS ts")
+
 # FIXED VALUES: the rate-plan catalogue (id, plan, service, unit price,
 # free units, tier threshold MB, tier price per MB).
 RATE_PLAN_ROWS = [
@@ -76,8 +95,18 @@ def rate_plans(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(RATE_PLAN_ROWS, RATE_PLANS)
 
 
-def usage(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Typed usage: record_id, ts, record_type, party, counterpart, secs, mb, cell_id, technology."""
+def usage(spark: SparkSession, sf_dir: str, source: str = "events") -> DataFrame:
+    """Typed usage: record_id, ts, record_type, party, counterpart, secs, mb, cell_id, technology.
+
+    ``source="events"`` is the billing fixture; ``source="orders"`` the volume
+    fixture (line items joined with their orders on the order key).
+    """
+    if source == "orders":
+        lines = read_table(spark, sf_dir, "lineitem")
+        orders = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
+        joined = lines.join(orders, lines.l_orderkey == orders.o_orderkey, "inner")
+        exprs = [ORDERS_TS_SPARK if e is None else e for e in ORDERS_USAGE_EXPRS]
+        return joined.selectExpr(*exprs)
     return read_table(spark, sf_dir, "events").selectExpr(*USAGE_EXPRS)
 
 
@@ -106,5 +135,5 @@ def usage_raw(typed: DataFrame, timestamp_format: str = "yyyy-MM-dd HH:mm:ss") -
     )
 
 
-def raw_usage(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return usage_raw(usage(spark, sf_dir))
+def raw_usage(spark: SparkSession, sf_dir: str, source: str = "events") -> DataFrame:
+    return usage_raw(usage(spark, sf_dir, source))
