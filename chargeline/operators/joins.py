@@ -2,20 +2,32 @@
 
 from __future__ import annotations
 
+import time
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+# (plan hash, limit) -> (checked at, is small). A proven bound is reused for a
+# few minutes so that building many queries over the same dimension does not
+# re-run the check; after that it is proven again (the table may have grown).
+_SIZE_PROOFS: dict[tuple[int, int], tuple[float, bool]] = {}
+_PROOF_TTL_S = 300.0
+
 
 def broadcast_if_small(dim: DataFrame, max_rows: int) -> DataFrame:
     """Broadcast ``dim`` only after proving it has at most ``max_rows`` rows.
 
-    The proof is a bounded count (``limit(max_rows + 1)``), so it never scans
-    more than ``max_rows + 1`` rows per partition. A larger dimension is left
-    to the planner (sort-merge join, or AQE's own size-checked broadcast).
+    The proof is a bounded count (``limit(max_rows + 1)``), so it never reads
+    more than ``max_rows + 1`` rows. A larger dimension is left to the planner
+    (sort-merge join, or AQE's own size-checked broadcast at run time).
     """
-    if dim.limit(max_rows + 1).count() <= max_rows:
-        return F.broadcast(dim)
-    return dim
+    key = (dim.semanticHash(), max_rows)
+    now = time.monotonic()
+    hit = _SIZE_PROOFS.get(key)
+    if hit is None or now - hit[0] > _PROOF_TTL_S:
+        hit = (now, dim.limit(max_rows + 1).count() <= max_rows)
+        _SIZE_PROOFS[key] = hit
+    return F.broadcast(dim) if hit[1] else dim
 
 
 def new_keys_only(batch: DataFrame, existing: DataFrame | None, key: str,

@@ -92,7 +92,12 @@ def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def rate_plans(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(RATE_PLAN_ROWS, RATE_PLANS)
+    """The catalogue as an inline literal relation (a stable logical plan; no
+    driver-side RDD)."""
+    def row(values):
+        return F.struct(*[F.lit(v).cast(f.dataType).alias(f.name)
+                          for v, f in zip(values, RATE_PLANS.fields)])
+    return spark.range(1).select(F.inline(F.array(*[row(r) for r in RATE_PLAN_ROWS])))
 
 
 def usage(spark: SparkSession, sf_dir: str, source: str = "events") -> DataFrame:
