@@ -1,0 +1,94 @@
+"""Rating rules on hand-written rows (status chain, cost stages, boundaries)."""
+
+import datetime as dt
+
+import pytest
+
+from rows import customers, records
+from chargeline.operators import rating
+from chargeline.rules import DEFAULT_RULES
+from chargeline.sources.fixtures import rate_plans
+
+
+def rate_one(spark, rec, cust=None):
+    cust = cust or [{}]
+    out = rating.rate(records(spark, [rec]), customers(spark, cust), rate_plans(spark))
+    (row,) = out.collect()
+    return row
+
+
+# 2024-01-12 is a Friday, 2024-01-10 a Wednesday
+@pytest.mark.parametrize("clock,factor", [
+    ("07:59:59", 1.0), ("08:00:00", 0.98), ("12:59:59", 0.98), ("13:00:00", 1.0),
+    ("17:59:59", 1.0), ("18:00:00", 1.02), ("23:59:59", 1.02),
+])
+def test_time_of_day_boundaries(spark, clock, factor):
+    ts = dt.datetime.fromisoformat(f"2024-01-10T{clock}")
+    row = rate_one(spark, {"timestamp": ts, "duration_sec": 100.0})
+    assert row.rating_status == "rated"
+    expected = 100.0 * 0.01 * factor if factor != 1.0 else 100.0 * 0.01
+    assert row.cost == expected
+
+
+def test_morning_friday_roaming_stack_in_order(spark):
+    ts = dt.datetime(2024, 1, 12, 9, 30, 0)
+    row = rate_one(spark, {"timestamp": ts, "duration_sec": 200.0, "cell_id": "PARIS"},
+                   [{"rate_plan_id": 4}])
+    assert row.rating_status == "rated"
+    assert row.cost == 200.0 * 0.08 * 0.98 * 0.97 * 1.5
+
+
+def test_roaming_voice_on_standard_plan_is_rejected(spark):
+    row = rate_one(spark, {"cell_id": "NEW YORK"})
+    assert (row.rating_status, row.cost) == ("rejected", 0.0)
+
+
+def test_status_chain(spark):
+    assert rate_one(spark, {"msisdn": "+212999999999"}).rating_status == "unmatched"  # no customer
+    assert rate_one(spark, {}, [{"status": "suspended"}]).rating_status == "rejected"
+    assert rate_one(spark, {}, [{"rate_plan_id": None}]).rating_status == "unmatched"
+    assert rate_one(spark, {}, [{"rate_plan_id": 99}]).rating_status == "unmatched"
+    assert rate_one(spark, {"record_type": "data", "data_volume_mb": 5.0}).rating_status == "unmatched"
+    assert rate_one(spark, {"record_type": None}).rating_status == "unmatched"
+
+
+def test_plan_id_is_the_customers_even_when_unknown(spark):
+    row = rate_one(spark, {}, [{"rate_plan_id": 99}])
+    assert row.rate_plan_id == 99
+
+
+def test_null_and_non_positive_quantities_cost_nothing(spark):
+    for d in (None, 0.0):
+        assert rate_one(spark, {"duration_sec": d}).cost == 0.0
+    row = rate_one(spark, {"record_type": "data", "duration_sec": None, "data_volume_mb": None},
+                   [{"rate_plan_id": 3}])
+    assert (row.rating_status, row.cost) == ("rated", 0.0)
+
+
+def test_sms_rated_at_zero(spark):
+    row = rate_one(spark, {"record_type": "sms", "duration_sec": None}, [{"rate_plan_id": 2}])
+    assert (row.rating_status, row.cost) == ("rated", 0.0)
+
+
+def test_missing_event_time_becomes_run_time(spark):
+    row = rate_one(spark, {"timestamp": None})
+    assert row.timestamp == DEFAULT_RULES.as_of
+    assert row.billing_month == DEFAULT_RULES.as_of.date().replace(day=1)
+
+
+def test_dedup_keeps_earliest_copy(spark):
+    recs = records(spark, [
+        {"record_id": "dup", "timestamp": dt.datetime(2024, 1, 10, 5), "duration_sec": 10.0},
+        {"record_id": "dup", "timestamp": dt.datetime(2024, 1, 10, 4), "duration_sec": 20.0},
+    ])
+    (row,) = rating.rate(recs, customers(spark, [{}]), rate_plans(spark)).collect()
+    assert row.duration_sec == 20.0
+
+
+def test_already_rated_records_are_skipped(spark):
+    cust, plans = customers(spark, [{}]), rate_plans(spark)
+    recs = records(spark, [{}, {}, {}])
+    first = rating.rate(recs.limit(2), cust, plans)
+    second = rating.rate(recs, cust, plans, already_rated=first)
+    assert second.count() == 1
+    assert rating.rate(recs, cust, plans, already_rated=rating.rate(recs, cust, plans)).count() == 0
