@@ -87,3 +87,45 @@ def run_billing(spark: SparkSession, customers: DataFrame, rate_plans: DataFrame
     with job_conf(spark):
         writers.overwrite_partitions(inv, tables.invoices, "billing_period")
         return dict(obs.get)
+
+
+def run_reports(spark: SparkSession, customers: DataFrame, rate_plans: DataFrame,
+                tables: TablePaths, rules: Rules = DEFAULT_RULES) -> list[str]:
+    """Write the report set as CSV files under ``tables.reports``
+    (any Hadoop URI, e.g. an object store bucket)."""
+    from chargeline.operators import reports
+
+    rated = spark.read.parquet(tables.rated)
+    invoices = spark.read.parquet(tables.invoices)
+    out = {
+        "customers": reports.customers_report(customers),
+        "invoices": reports.invoices_report(invoices),
+        "revenue_by_region": reports.revenue_by_region(invoices),
+        "revenue_by_service": reports.revenue_by_service(invoices),
+        "rated_records": reports.rated_records_report(rated, rules),
+        "rate_plans": reports.rate_plans_report(rate_plans),
+        "dead_records": reports.dead_records_report(rated, rules),
+    }
+    written = []
+    for name, df in out.items():
+        path = f"{tables.reports}/{name}"
+        writers.write_report_csv(df, path)
+        written.append(path)
+    return written
+
+
+def run_period(spark: SparkSession, records: DataFrame, customers: DataFrame, rate_plans: DataFrame,
+               tables: TablePaths, rules: Rules = DEFAULT_RULES, input_paths: list[str] | None = None) -> dict:
+    """One billing cycle: rate new records, bill the period, write reports.
+
+    Each stage hands over through a written table (which also cuts the
+    lineage), so a lost executor only recomputes inside the current stage.
+    """
+    from chargeline.session import size_shuffle_partitions
+
+    if input_paths:
+        size_shuffle_partitions(spark, input_paths)
+    counts = {"rating": run_rating(spark, records, customers, rate_plans, tables, rules)}
+    counts["billing"] = run_billing(spark, customers, rate_plans, tables, rules)
+    counts["reports"] = run_reports(spark, customers, rate_plans, tables, rules)
+    return counts

@@ -83,3 +83,48 @@ class Rules:
 
 
 DEFAULT_RULES = Rules()
+
+
+# Where each rule lives in the per-stage YAML configuration files of the
+# source system (section path -> Rules field).
+CONFIG_KEYS = {
+    ("billing", "taxes", "vat_rate"): "vat_rate",
+    ("billing", "taxes", "regulatory_fee"): "regulatory_fee",
+    ("billing", "seasonal_discounts", "ramadan_month"): "seasonal_month",
+    ("billing", "seasonal_discounts", "ramadan_discount"): "seasonal_rate",
+    ("billing", "usage_thresholds", "voice", "threshold_minutes"): "voice_threshold_minutes",
+    ("billing", "usage_thresholds", "voice", "discount_rate"): "voice_discount_rate",
+    ("billing", "usage_thresholds", "data", "threshold_mb"): "data_threshold_mb",
+    ("billing", "usage_thresholds", "data", "discount_rate"): "data_discount_rate",
+    ("billing", "usage_thresholds", "total_spending", "threshold_amount"): "spend_threshold",
+    ("billing", "usage_thresholds", "total_spending", "discount_rate"): "spend_discount_rate",
+    ("billing", "discounts", "student_discount_rate"): "student_discount_rate",
+    ("billing", "discounts", "loyalty_discount_per_year"): "loyalty_rate_per_year",
+    ("billing", "discounts", "max_loyalty_discount"): "loyalty_max_rate",
+}
+
+
+def rules_from_config(config: dict, base: Rules = DEFAULT_RULES) -> Rules:
+    """Rules from a parsed YAML configuration; absent keys keep ``base``.
+
+    The urban discount key is deliberately not mapped: the source system
+    ignores it and applies its fixed rate (kept as ``urban_discount_rate``).
+    """
+    updates = {}
+    for path, field_name in CONFIG_KEYS.items():
+        node = config
+        for k in path:
+            if not isinstance(node, dict) or k not in node:
+                node = None
+                break
+            node = node[k]
+        if node is not None:
+            updates[field_name] = type(getattr(base, field_name))(node)
+    return replace(base, **updates)
+
+
+def rules_from_yaml(path: str, base: Rules = DEFAULT_RULES) -> Rules:
+    import yaml
+
+    with open(path) as fh:
+        return rules_from_config(yaml.safe_load(fh) or {}, base)

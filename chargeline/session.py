@@ -72,3 +72,34 @@ def is_local_path(path: str) -> bool:
 def ensure_dir(path: str) -> None:
     if is_local_path(path):
         os.makedirs(path.replace("file://", ""), exist_ok=True)
+
+
+def input_bytes(spark: SparkSession, paths: list[str]) -> int:
+    """Total size of the files under ``paths`` (file-system metadata only)."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    total = 0
+    for p in paths:
+        hpath = jvm.org.apache.hadoop.fs.Path(p)
+        fs = hpath.getFileSystem(conf)
+        if fs.exists(hpath):
+            total += fs.getContentSummary(hpath).getLength()
+    return total
+
+
+def size_shuffle_partitions(spark: SparkSession, paths: list[str],
+                            target_bytes: int = 128 << 20, expansion: float = 3.0,
+                            minimum: int = 8, maximum: int = 200_000) -> int:
+    """Set the initial shuffle partition count from the input size.
+
+    AQE only merges small shuffle partitions (and splits skewed join
+    partitions); it does not split an oversized aggregate partition. So the
+    initial count must be large enough for the biggest shuffle: Parquet input
+    expands (``expansion``) when decoded into shuffle rows, and each partition
+    should hold about ``target_bytes``. AQE then coalesces the excess.
+    """
+    n = int(input_bytes(spark, paths) * expansion / target_bytes) + 1
+    n = max(minimum, min(maximum, n))
+    spark.conf.set("spark.sql.shuffle.partitions", str(n))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(n))
+    return n
