@@ -11,7 +11,7 @@ from chargeline.operators import billing, rating
 from chargeline.plans import flows
 from chargeline.sources.fixtures import rate_plans
 
-HOT = "+212000000001"
+HOT = "+212000000012"  # active, voice plan
 
 
 def final_plan(df) -> str:
