@@ -64,3 +64,24 @@ def isin(col: Column, values: Iterable) -> Column:
 def msisdn_of(key: Column, country_code: str = "+212", width: int = 9) -> Column:
     """Subscriber number from an integer key: country code + zero-padded digits."""
     return F.concat(F.lit(country_code), F.lpad(key.cast("string"), width, "0"))
+
+
+# Zone-free handling of TIMESTAMP_NTZ values. ``date_format`` and ``date_trunc``
+# route an NTZ value through the session time zone, which moves wall-clock
+# times inside a daylight-saving gap; casts to string and date do not.
+def ntz_text(col: Column | str) -> Column:
+    """``yyyy-MM-dd HH:mm:ss`` text of a TIMESTAMP_NTZ (fraction dropped)."""
+    c = F.col(col) if isinstance(col, str) else col
+    return F.substring(c.cast("timestamp_ntz").cast("string"), 1, 19)
+
+
+def date_text(col: Column | str) -> Column:
+    """``yyyy-MM-dd`` text of a timestamp or date."""
+    c = F.col(col) if isinstance(col, str) else col
+    return c.cast("date").cast("string")
+
+
+def month_start(col: Column | str) -> Column:
+    """First day of the month (DATE) of a timestamp or date."""
+    c = F.col(col) if isinstance(col, str) else col
+    return F.trunc(c.cast("date"), "month")

@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from chargeline.functions.columns import decimal_text, html_escape, title_case
+from chargeline.functions.columns import date_text, decimal_text, html_escape, title_case
 
 INVOICE_DOCUMENT = [
     ("lit", "<!DOCTYPE html><html><head><meta charset=\"utf-8\"><title>Invoice "),
@@ -102,7 +102,7 @@ def part_column(kind: str, arg: str, rules) -> Column:
     if kind == "yesno":
         return F.when(F.coalesce(c, F.lit(False)), F.lit("Yes")).otherwise(F.lit("No"))
     if kind == "date":
-        return F.coalesce(F.date_format(c, "yyyy-MM-dd"), F.lit(""))
+        return F.coalesce(date_text(c), F.lit(""))
     raise ValueError(f"unknown template part {kind!r}")
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from chargeline.functions.columns import ts_literal
+from chargeline.functions.columns import date_text, ts_literal
 from chargeline.functions.template import INVOICE_DOCUMENT, render
 from chargeline.operators.dedup import dedupe
 from chargeline.operators.joins import broadcast_if_small
@@ -100,7 +100,7 @@ def documents(v: DataFrame, rules: Rules = DEFAULT_RULES) -> DataFrame:
 def outbox(v: DataFrame, rules: Rules = DEFAULT_RULES) -> DataFrame:
     """Notification rows (subject, body) -- delivery is not part of Spark."""
     from chargeline.functions.template import INVOICE_MAIL_BODY
-    subject = F.concat(F.lit(rules.mail_subject_prefix), F.date_format("invoice_date", "yyyy-MM-dd"))
+    subject = F.concat(F.lit(rules.mail_subject_prefix), date_text("invoice_date"))
     return v.select("invoice_id", "msisdn", subject.alias("subject"),
                     render(INVOICE_MAIL_BODY, rules).alias("body"))
 

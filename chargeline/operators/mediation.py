@@ -26,8 +26,20 @@ def parse_messages(messages: DataFrame, value_col: str = "value") -> DataFrame:
     return messages.select(F.from_json(text, USAGE_RAW).alias("m")).select("m.*")
 
 
+# Text shape of the default event-time format, yyyy-MM-dd HH:mm:ss.
+_DEFAULT_TS_SHAPE = r"^\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2}$"
+
+
 def parse_event_time(col: Column, rules: Rules = DEFAULT_RULES) -> Column:
-    """Text -> TIMESTAMP_NTZ; unparsable text becomes NULL instead of failing."""
+    """Text -> TIMESTAMP_NTZ; unparsable text becomes NULL instead of failing.
+
+    For the default format the text is checked for its exact shape and then
+    cast straight to TIMESTAMP_NTZ, which never consults a time zone (a
+    wall-clock time inside a daylight-saving gap of the session zone keeps
+    its value). Other formats go through ``try_to_timestamp``.
+    """
+    if rules.timestamp_format == "yyyy-MM-dd HH:mm:ss":
+        return F.when(col.rlike(_DEFAULT_TS_SHAPE), col.try_cast("timestamp_ntz"))
     return F.try_to_timestamp(col, F.lit(rules.timestamp_format)).cast("timestamp_ntz")
 
 

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from chargeline.functions.columns import in_range, ts_literal
+from chargeline.functions.columns import in_range, month_start, ts_literal
 from chargeline.operators.dedup import dedupe
 from chargeline.operators.joins import broadcast_if_small, new_keys_only
 from chargeline.rules import DEFAULT_RULES, Rules
@@ -40,7 +40,7 @@ def with_event_time(records: DataFrame, rules: Rules = DEFAULT_RULES) -> DataFra
     """Missing event time -> run time ``as_of``; month of the record."""
     ts = F.coalesce(F.col("timestamp"), ts_literal(rules.as_of))
     return (records.withColumn("timestamp", ts)
-            .withColumn("billing_month", F.to_date(F.date_trunc("month", F.col("timestamp")))))
+            .withColumn("billing_month", month_start("timestamp")))
 
 def enrich(records: DataFrame, customers: DataFrame, rate_plans: DataFrame,
            rules: Rules = DEFAULT_RULES) -> DataFrame:

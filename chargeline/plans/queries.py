@@ -31,6 +31,7 @@ from pyspark.sql import functions as F  # noqa: E402
 from chargeline.operators import billing, mediation, rating  # noqa: E402
 from chargeline.rules import DEFAULT_RULES  # noqa: E402
 from chargeline.sources import fixtures  # noqa: E402
+from chargeline.functions.columns import ts_literal  # noqa: E402
 import datetime as _dt  # noqa: E402
 from dataclasses import replace as _replace  # noqa: E402
 
@@ -80,7 +81,7 @@ def rating_new_records(spark, sf_dir):
     second run over the whole month rates only what is new."""
     valid = flows.valid_usage(spark, sf_dir)
     cust, plans = fixtures.customers(spark, sf_dir), fixtures.rate_plans(spark)
-    first = rating.rate(valid.filter(F.col("timestamp") < F.lit(MID_MONTH)), cust, plans)
+    first = rating.rate(valid.filter(F.col("timestamp") < ts_literal(MID_MONTH)), cust, plans)
     return rating.rate(valid, cust, plans, DEFAULT_RULES, already_rated=first)
 
 

@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from chargeline.functions.columns import ntz_text
 from chargeline.schemas import RATE_PLANS
 from chargeline.sources.tables import read_table
 
@@ -126,7 +127,8 @@ def usage_raw(typed: DataFrame, timestamp_format: str = "yyyy-MM-dd HH:mm:ss") -
     return typed.select(
         "record_id",
         "record_type",
-        F.date_format("ts", timestamp_format).alias("timestamp"),
+        (ntz_text("ts") if timestamp_format == "yyyy-MM-dd HH:mm:ss"
+         else F.date_format("ts", timestamp_format)).alias("timestamp"),
         F.when(voice, F.col("party")).alias("caller_id"),
         F.when(voice, F.col("counterpart")).alias("callee_id"),
         F.when(sms, F.col("party")).alias("sender_id"),

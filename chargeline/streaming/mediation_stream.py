@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from chargeline.functions.columns import month_start
 from chargeline.operators import mediation
 from chargeline.rules import DEFAULT_RULES, Rules
 from chargeline.schemas import NORMALIZED
@@ -97,15 +98,11 @@ def store_batch(table_path: str):
     """``foreachBatch`` callback: idempotent append of a normalised micro-batch."""
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        keyed = batch.withColumn("billing_month", _month(batch))
+        keyed = batch.withColumn("billing_month", month_start("timestamp"))
         writers.idempotent_append(spark, keyed, table_path, "record_id", "billing_month")
     return write
 
 
-def _month(df: DataFrame):
-    return F.to_date(F.date_trunc("month", F.col("timestamp")))
-
-
 def start_normalized_store(spark: SparkSession, source_path: str, table_path: str,
                            checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
     """Consume normalised records (a file sink of ``start_mediation``) into the
