@@ -31,18 +31,21 @@ def broadcast_if_small(dim: DataFrame, max_rows: int) -> DataFrame:
 
 
 def new_keys_only(batch: DataFrame, existing: DataFrame | None, key: str,
-                  partition_col: str | None = None) -> DataFrame:
+                  partition_col: str | None = None, touched: DataFrame | None = None) -> DataFrame:
     """Rows of ``batch`` whose ``key`` is not in ``existing`` (left anti join).
 
     When ``existing`` is partitioned by ``partition_col``, it is first
     semi-joined with the partition values the batch touches, which lets Spark
     prune every other partition (dynamic partition pruning): an incremental
-    run reads the months it writes, not the whole history.
+    run reads the months it writes, not the whole history. ``touched`` may
+    supply those partition values (any superset is correct) from a cheaper
+    lineage than ``batch``.
     """
     if existing is None:
         return batch
     stored = existing
     if partition_col and partition_col in existing.columns and partition_col in batch.columns:
-        touched = batch.select(partition_col).distinct()
-        stored = existing.join(touched, partition_col, "left_semi")
+        if touched is None:
+            touched = batch.select(partition_col)
+        stored = existing.join(touched.distinct(), partition_col, "left_semi")
     return batch.join(stored.select(key), key, "left_anti")

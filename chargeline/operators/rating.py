@@ -26,14 +26,15 @@ def dedupe_input(records: DataFrame) -> DataFrame:
     """One row per record_id, deterministic survivor."""
     return dedupe(records.select(*_INPUT_COLUMNS), ["record_id"], ["timestamp"])
 
-def not_yet_rated(records: DataFrame, rated: DataFrame | None) -> DataFrame:
+def not_yet_rated(records: DataFrame, rated: DataFrame | None,
+                  months: DataFrame | None = None) -> DataFrame:
     """Drop records whose id is already in the rated table.
 
     An absent table is an explicit ``None`` (first run), not a swallowed error.
     Expects ``billing_month`` on ``records`` (``with_event_time``); only the
     rated partitions of the months this batch touches are read.
     """
-    return new_keys_only(records, rated, "record_id", "billing_month")
+    return new_keys_only(records, rated, "record_id", "billing_month", months)
 
 
 def with_event_time(records: DataFrame, rules: Rules = DEFAULT_RULES) -> DataFrame:
@@ -137,7 +138,10 @@ def rate(records: DataFrame, customers: DataFrame, rate_plans: DataFrame,
     the second pass would be a no-op shuffle and is left out.
     """
     timed = with_event_time(dedupe_input(records), rules)
-    fresh = not_yet_rated(timed, already_rated)
+    # months of the raw input (a superset of the survivors' months): a narrow
+    # scan, so the history check does not recompute the de-duplication
+    months = with_event_time(records.select("timestamp"), rules).select("billing_month")
+    fresh = not_yet_rated(timed, already_rated, months)
     enriched = enrich(fresh, customers, rate_plans, rules)
     return project_rated(price(enriched, rules))
 

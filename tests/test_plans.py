@@ -58,3 +58,20 @@ def test_billing_prunes_months_and_pushes_filters_into_the_rated_scan(spark):
 def test_dedup_is_partially_aggregated(spark):
     text = explain(REGISTRY["mediate_valid_dedup"](spark, SF_SMALL), "formatted")
     assert "partial_min" in text
+
+
+def test_incremental_rating_prunes_history_months(spark):
+    from chargeline.operators import rating
+    from chargeline.plans import flows, jobs
+    from chargeline.session import scratch_path
+    from chargeline.sources.fixtures import rate_plans
+
+    tables = jobs.TablePaths(scratch_path(spark, "dpp-tables"))
+    cust, plans = flows.customers(spark, SF_SMALL), rate_plans(spark)
+    jobs.run_rating(spark, flows.valid_usage(spark, SF_SMALL), cust, plans, tables)
+    out = rating.rate(flows.valid_usage(spark, SF_SMALL), cust, plans,
+                      already_rated=spark.read.parquet(tables.rated))
+    text = explain(out, "formatted")
+    assert "dynamicpruningexpression(billing_month" in text
+    # the months come from a hash aggregate over the input, not a second dedup
+    assert text.count("SortAggregate") == 2
