@@ -92,3 +92,21 @@ def test_already_rated_records_are_skipped(spark):
     second = rating.rate(recs, cust, plans, already_rated=first)
     assert second.count() == 1
     assert rating.rate(recs, cust, plans, already_rated=rating.rate(recs, cust, plans)).count() == 0
+
+
+def test_unique_input_skips_dedup_with_same_result(spark):
+    import contextlib
+    import io
+
+    from chargeline.plans import flows
+    from conftest import SF_SMALL
+
+    valid = flows.valid_usage(spark, SF_SMALL)
+    cust, plans = flows.customers(spark, SF_SMALL), rate_plans(spark)
+    a = rating.rate(valid, cust, plans)
+    b = rating.rate(valid, cust, plans, input_unique=True)
+    assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.collect()))
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        b.explain()
+    assert "SortAggregate" not in buf.getvalue()
