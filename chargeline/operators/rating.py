@@ -130,14 +130,19 @@ def project_rated(priced: DataFrame) -> DataFrame:
     return priced.withColumn("rate_plan_id", F.col("customer_rate_plan_id")).select(*RATED_COLUMNS)
 
 def rate(records: DataFrame, customers: DataFrame, rate_plans: DataFrame,
-         rules: Rules = DEFAULT_RULES, already_rated: DataFrame | None = None) -> DataFrame:
+         rules: Rules = DEFAULT_RULES, already_rated: DataFrame | None = None,
+         input_unique: bool = False) -> DataFrame:
     """Valid normalised records -> rated records (one row per record_id).
 
     The reference de-duplicates again after rating; the input is already unique
     per record_id and the joins cannot multiply rows (unique dimension keys), so
     the second pass would be a no-op shuffle and is left out.
+
+    ``input_unique=True`` declares the input unique per record_id (e.g. the
+    idempotent normalised store) and skips the de-duplication shuffle.
     """
-    timed = with_event_time(dedupe_input(records), rules)
+    unique = records.select(*_INPUT_COLUMNS) if input_unique else dedupe_input(records)
+    timed = with_event_time(unique, rules)
     # months of the raw input (a superset of the survivors' months): a narrow
     # scan, so the history check does not recompute the de-duplication
     months = with_event_time(records.select("timestamp"), rules).select("billing_month")

@@ -61,10 +61,12 @@ class TablePaths:
 
 def run_rating(spark: SparkSession, records: DataFrame, customers: DataFrame,
                rate_plans: DataFrame, tables: TablePaths,
-               rules: Rules = DEFAULT_RULES) -> dict:
-    """Rate the records not rated yet and append them to the rated table."""
+               rules: Rules = DEFAULT_RULES, input_unique: bool = False) -> dict:
+    """Rate the records not rated yet and append them to the rated table.
+    ``input_unique`` when reading the normalised store (unique by record_id)."""
     existing = writers.read_table_or_none(spark, tables.rated)
-    out = rating.rate(records, customers, rate_plans, rules, already_rated=existing)
+    out = rating.rate(records, customers, rate_plans, rules, already_rated=existing,
+                      input_unique=input_unique)
     obs = Observation("rating")
     s = F.col("rating_status")
     out = out.observe(obs, F.count(F.lit(1)).alias("written"),
