@@ -92,13 +92,22 @@ def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, sf_dir, "customer").selectExpr(*CUSTOMER_EXPRS)
 
 
+def _sql_literal(v) -> str:
+    if v is None:
+        return "NULL"
+    if isinstance(v, str):
+        return "'" + v.replace("'", "''") + "'"
+    return repr(v)
+
+
 def rate_plans(spark: SparkSession) -> DataFrame:
     """The catalogue as an inline literal relation (a stable logical plan; no
-    driver-side RDD)."""
-    def row(values):
-        return F.struct(*[F.lit(v).cast(f.dataType).alias(f.name)
-                          for v, f in zip(values, RATE_PLANS.fields)])
-    return spark.range(1).select(F.inline(F.array(*[row(r) for r in RATE_PLAN_ROWS])))
+    driver-side RDD), built from one SQL expression."""
+    rows = ", ".join(
+        "named_struct(" + ", ".join(f"'{f.name}', CAST({_sql_literal(v)} AS {f.dataType.simpleString()})"
+                                   for v, f in zip(r, RATE_PLANS.fields)) + ")"
+        for r in RATE_PLAN_ROWS)
+    return spark.range(1).selectExpr(f"inline(array({rows}))")
 
 
 def usage(spark: SparkSession, sf_dir: str, source: str = "events") -> DataFrame:
