@@ -16,11 +16,8 @@ from pyspark.sql import functions as F
 from chargeline.functions.columns import exact_sum, ts_literal
 from chargeline.operators.joins import broadcast_if_small
 from chargeline.rules import DEFAULT_RULES, Rules
+from chargeline.schemas import INVOICE_COLUMNS  # noqa: F401  (public layout)
 
-INVOICE_COLUMNS = ["invoice_id", "msisdn", "customer_name", "billing_period_start",
-                   "billing_period_end", "voice_cost", "sms_cost", "data_cost", "voice_usage",
-                   "sms_usage", "data_usage", "total_cost", "invoice_date", "status", "region",
-                   "student"]
 
 
 def in_period(rules: Rules) -> Column:

@@ -12,10 +12,9 @@ from pyspark.sql import functions as F
 
 from chargeline.operators.dedup import dedupe
 from chargeline.rules import DEFAULT_RULES, Rules
-from chargeline.schemas import USAGE_RAW
+from chargeline.schemas import NORMALIZED, USAGE_RAW
 
-NORMALIZED_COLUMNS = ["record_id", "record_type", "timestamp", "msisdn", "secondary_msisdn",
-                      "duration_sec", "data_volume_mb", "cell_id", "technology", "status"]
+NORMALIZED_COLUMNS = NORMALIZED.fieldNames()
 
 
 def parse_messages(messages: DataFrame, value_col: str = "value") -> DataFrame:

@@ -14,13 +14,9 @@ from chargeline.functions.columns import in_range, month_start, ts_literal
 from chargeline.operators.dedup import dedupe
 from chargeline.operators.joins import broadcast_if_small, new_keys_only
 from chargeline.rules import DEFAULT_RULES, Rules
+from chargeline.schemas import NORMALIZED, RATED_COLUMNS
 
-RATED_COLUMNS = ["record_id", "record_type", "timestamp", "msisdn", "secondary_msisdn",
-                 "duration_sec", "data_volume_mb", "cell_id", "technology", "cost",
-                 "rate_plan_id", "rating_status", "billing_month"]
-
-_INPUT_COLUMNS = ["record_id", "record_type", "timestamp", "msisdn", "secondary_msisdn",
-                  "duration_sec", "data_volume_mb", "cell_id", "technology"]
+_INPUT_COLUMNS = [f for f in NORMALIZED.fieldNames() if f != "status"]
 
 def dedupe_input(records: DataFrame) -> DataFrame:
     """One row per record_id, deterministic survivor."""

@@ -1,7 +1,7 @@
 """Declared record layouts."""
 
-from pyspark.sql.types import (BooleanType, DateType, DoubleType, IntegerType, LongType,
-                               StringType, StructField, StructType, TimestampNTZType)
+from pyspark.sql.types import (BooleanType, DateType, DoubleType, IntegerType, StringType,
+                               StructField, StructType, TimestampNTZType)
 
 # Raw usage message as it arrives on the wire (JSON text).
 USAGE_RAW = StructType([
@@ -64,4 +64,4 @@ INVOICE_COLUMNS = ["invoice_id", "msisdn", "customer_name", "billing_period_star
                    "student"]
 
 __all__ = ["USAGE_RAW", "NORMALIZED", "CUSTOMERS", "RATE_PLANS", "RATED_COLUMNS",
-           "INVOICE_COLUMNS", "LongType"]
+           "INVOICE_COLUMNS"]
