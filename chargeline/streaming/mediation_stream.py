@@ -79,14 +79,21 @@ def start_mediation(messages: DataFrame, *, checkpoint_root: str, fmt: str = "pa
                     valid_path: str | None = None, dead_path: str | None = None,
                     servers: str | None = None, valid_topic: str | None = None,
                     dead_topic: str | None = None, trigger: dict | None = None,
+                    console_trigger: dict | None = None,
                     rules: Rules = DEFAULT_RULES) -> list[StreamingQuery]:
     """Start the valid and dead-letter queries (each with its own checkpoint).
 
     ``trigger`` defaults to ``{"availableNow": True}``; production passes
-    ``{"processingTime": "30 seconds"}``.
+    ``{"processingTime": "10 seconds"}``. ``console_trigger`` (e.g.
+    ``{"processingTime": "30 seconds"}``) adds a debug query printing every
+    mediated record, untruncated.
     """
     trigger = trigger or {"availableNow": True}
-    return [
+    debug = []
+    if console_trigger:
+        debug = [_sink(mediated_stream(messages, rules), "mediation_console", f"{checkpoint_root}/console",
+                       fmt="console", path=None, servers=None, topic=None, trigger=console_trigger)]
+    return debug + [
         _sink(valid_stream(messages, rules), "mediation_valid", f"{checkpoint_root}/valid",
               fmt=fmt, path=valid_path, servers=servers, topic=valid_topic, trigger=trigger),
         _sink(dead_letter_stream(messages, rules), "mediation_dead", f"{checkpoint_root}/dead",
@@ -113,6 +120,11 @@ def start_normalized_store(spark: SparkSession, source_path: str, table_path: st
             .trigger(**(trigger or {"availableNow": True})).start())
 
 
+def run_until_any_stops(spark: SparkSession) -> None:
+    """Block until one of the session's streaming queries stops (or fails)."""
+    spark.streams.awaitAnyTermination()
+
+
 def await_all(queries: list[StreamingQuery], timeout_s: int = 600) -> None:
     for q in queries:
         q.awaitTermination(timeout_s)

@@ -73,3 +73,14 @@ def test_normalized_store_is_idempotent(spark):
     assert stored.select("record_id").distinct().count() == 20
     assert {r.billing_month.isoformat() for r in stored.select("billing_month").distinct().collect()} \
         == {"2024-01-01"}
+
+
+def test_console_debug_query_runs_alongside(spark, capsys):
+    base = scratch_path(spark, "console-test")
+    inbox = f"{base}/inbox"
+    write_lines(inbox, "a.json", [msg("c1"), "junk"])
+    source = ms.usage_source(spark, "text", path=inbox)
+    queries = ms.start_mediation(source, checkpoint_root=f"{base}/ckpt", valid_path=f"{base}/valid",
+                                 dead_path=f"{base}/dead", console_trigger={"availableNow": True})
+    ms.await_all(queries)
+    assert [q.name for q in queries] == ["mediation_console", "mediation_valid", "mediation_dead"]
