@@ -91,6 +91,16 @@ def run_billing(spark: SparkSession, customers: DataFrame, rate_plans: DataFrame
         return dict(obs.get)
 
 
+def publish_customers(spark: SparkSession, customers: DataFrame, table: str, buckets: int,
+                      path: str | None = None) -> DataFrame:
+    """Store the subscriber dimension bucketed by msisdn (the key of both the
+    rating and the billing join) and return the table for those jobs. Run the
+    jobs with ``spark.sql.shuffle.partitions`` equal to ``buckets`` so the
+    usage side shuffles straight into the bucket layout."""
+    writers.save_bucketed(customers, table, "msisdn", buckets, path)
+    return spark.table(table)
+
+
 def run_reports(spark: SparkSession, customers: DataFrame, rate_plans: DataFrame,
                 tables: TablePaths, rules: Rules = DEFAULT_RULES) -> list[str]:
     """Write the report set as CSV files under ``tables.reports``

@@ -85,3 +85,17 @@ def read_usage_archive(spark: SparkSession, path: str, schema: StructType, fmt:
 
 def with_period_partition(invoices: DataFrame) -> DataFrame:
     return invoices.withColumn("billing_period", F.to_date("billing_period_start"))
+
+
+def save_bucketed(df: DataFrame, table: str, key: str, buckets: int, path: str | None = None) -> None:
+    """A catalog table bucketed and sorted by ``key``.
+
+    Joins and aggregations on ``key`` then read it already hash-partitioned
+    (one bucket per partition) and sorted, so the table is neither shuffled
+    nor sorted again on every run; only the other side shuffles, into the
+    same bucket layout.
+    """
+    w = df.repartition(buckets, key).write.mode("overwrite").bucketBy(buckets, key).sortBy(key)
+    if path:
+        w = w.option("path", path)
+    w.saveAsTable(table)

@@ -76,3 +76,39 @@ def test_incremental_rating_prunes_history_months(spark):
     # the months come from a hash aggregate over the input, not a second dedup
     import re
     assert len(re.findall(r"^\(\d+\) SortAggregate", text, re.M)) == 2
+
+
+def test_bucketed_customers_are_not_shuffled(spark):
+    import re
+
+    from chargeline.operators import billing, rating
+    from chargeline.plans import flows, jobs
+    from chargeline.session import scratch_path
+    from chargeline.sources.fixtures import rate_plans
+
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.shuffle.partitions": "8"}
+    old = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        cust = jobs.publish_customers(spark, flows.customers(spark, SF_SMALL), "customers_bucketed", 8,
+                                      scratch_path(spark, "customers-bucketed"))
+        rated = rating.rate(flows.valid_usage(spark, SF_SMALL), cust, rate_plans(spark))
+        for df in (rated, billing.breakdown(rated, cust, rate_plans(spark))):
+            text = explain(df, "simple")
+            assert "Bucketed: true" in text
+            # only the usage side shuffles: de-duplication by record_id, then
+            # usage by msisdn; the billing aggregate and both customer joins
+            # reuse that msisdn partitioning
+            shuffles = re.findall(r"Exchange hashpartitioning\((\w+)#", text)
+            assert sorted(shuffles) == ["msisdn", "record_id"], shuffles
+        assert rated.count() > 0
+    finally:
+        spark.sql("DROP TABLE IF EXISTS customers_bucketed")
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
