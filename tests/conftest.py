@@ -15,7 +15,8 @@ SF_MID = "/root/testdata/sf0.01"
 def spark():
     from chargeline.session import build_session
 
-    s = build_session("local[4]", 4, app_name="chargeline-tests")
+    s = build_session("local[4]", 4, app_name="chargeline-tests",
+                      extra={"spark.sql.warehouse.dir": tempfile.mkdtemp(prefix="chargeline-test-wh-")})
     s.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="chargeline-test-ckpt-"))
     yield s
     s.stop()
