@@ -88,9 +88,9 @@ def service_costs(df: DataFrame) -> DataFrame:
     mb, thr = F.col("data_usage_mb"), F.col("data_threshold_mb")
     data = F.when(mb <= thr, F.col("data_cost_rated")).otherwise(
         thr * F.col("data_unit_price") + (mb - thr) * F.col("data_tiered_price"))
-    return (df.withColumn("voice_cost", F.coalesce(voice, F.lit(0.0)))
-            .withColumn("sms_cost", F.coalesce(sms, F.lit(0.0)))
-            .withColumn("data_cost", F.coalesce(data, F.lit(0.0)))
+    return (df.withColumns({"voice_cost": F.coalesce(voice, F.lit(0.0)),
+                            "sms_cost": F.coalesce(sms, F.lit(0.0)),
+                            "data_cost": F.coalesce(data, F.lit(0.0))})
             .withColumn("subtotal_before_discounts",
                         F.col("voice_cost") + F.col("sms_cost") + F.col("data_cost")))
 
@@ -98,12 +98,13 @@ def service_costs(df: DataFrame) -> DataFrame:
 def discounts(df: DataFrame, rules: Rules = DEFAULT_RULES) -> DataFrame:
     """Usage, spend, student, urban, loyalty and seasonal discounts
     (additive on the post-usage-discount net), regulatory fee, VAT, total."""
-    df = (df.withColumn("voice_cost", F.when(F.col("voice_usage_minutes") >= rules.voice_threshold_minutes,
-                                             F.col("voice_cost") * rules.voice_discount_factor)
-                        .otherwise(F.col("voice_cost")))
-          .withColumn("data_cost", F.when(F.col("data_usage_mb") >= rules.data_threshold_mb,
-                                          F.col("data_cost") * rules.data_discount_factor)
-                      .otherwise(F.col("data_cost"))))
+    # each withColumns layer only reads columns of the previous layers
+    df = df.withColumns({
+        "voice_cost": F.when(F.col("voice_usage_minutes") >= rules.voice_threshold_minutes,
+                             F.col("voice_cost") * rules.voice_discount_factor).otherwise(F.col("voice_cost")),
+        "data_cost": F.when(F.col("data_usage_mb") >= rules.data_threshold_mb,
+                            F.col("data_cost") * rules.data_discount_factor).otherwise(F.col("data_cost")),
+    })
     net = F.col("voice_cost") + F.col("sms_cost") + F.col("data_cost")
     sub = F.col("subtotal_before_discounts")
     student = F.coalesce(F.col("student"), F.lit(False))
@@ -113,23 +114,25 @@ def discounts(df: DataFrame, rules: Rules = DEFAULT_RULES) -> DataFrame:
                           F.when(yearly > rules.loyalty_max_rate, F.lit(rules.loyalty_max_rate))
                           .otherwise(yearly)).otherwise(0.0)
     seasonal = rules.as_of.month == rules.seasonal_month
-    df = (df.withColumn("net_after_usage_discounts", net)
-          .withColumn("total_spending_discount",
-                      F.when(sub >= rules.spend_threshold, sub * rules.spend_discount_rate).otherwise(0.0))
-          .withColumn("student_discount",
-                      F.when(student, net * rules.student_discount_rate).otherwise(0.0))
-          .withColumn("urban_discount",
-                      F.when(F.col("region") == "urban", net * rules.urban_discount_rate).otherwise(0.0))
-          .withColumn("loyalty_discount_rate", loyalty_rate)
-          .withColumn("loyalty_discount", net * F.col("loyalty_discount_rate"))
-          .withColumn("seasonal_discount", net * rules.seasonal_rate if seasonal else F.lit(0.0)))
+    df = df.withColumns({
+        "net_after_usage_discounts": net,
+        "total_spending_discount":
+            F.when(sub >= rules.spend_threshold, sub * rules.spend_discount_rate).otherwise(0.0),
+        "student_discount": F.when(student, net * rules.student_discount_rate).otherwise(0.0),
+        "urban_discount":
+            F.when(F.col("region") == "urban", net * rules.urban_discount_rate).otherwise(0.0),
+        "loyalty_discount_rate": loyalty_rate,
+        "loyalty_discount": net * loyalty_rate,
+        "seasonal_discount": net * rules.seasonal_rate if seasonal else F.lit(0.0),
+        "regulatory_fee": F.when(student, F.lit(0.0)).otherwise(F.lit(rules.regulatory_fee)),
+    })
     after = (net - F.col("total_spending_discount") - F.col("student_discount")
              - F.col("urban_discount") - F.col("loyalty_discount") - F.col("seasonal_discount"))
-    return (df.withColumn("total_cost_after_discounts", after)
-            .withColumn("regulatory_fee", F.when(student, F.lit(0.0)).otherwise(F.lit(rules.regulatory_fee)))
-            .withColumn("subtotal_with_fees", F.col("total_cost_after_discounts") + F.col("regulatory_fee"))
-            .withColumn("vat_amount", F.col("subtotal_with_fees") * rules.vat_rate)
-            .withColumn("total_cost", F.col("subtotal_with_fees") + F.col("vat_amount")))
+    df = df.withColumn("total_cost_after_discounts", after)
+    with_fees = F.col("total_cost_after_discounts") + F.col("regulatory_fee")
+    vat = with_fees * rules.vat_rate
+    return df.withColumns({"subtotal_with_fees": with_fees, "vat_amount": vat,
+                           "total_cost": with_fees + vat})
 
 
 def invoice_identity(rules: Rules = DEFAULT_RULES) -> Column:

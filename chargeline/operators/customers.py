@@ -15,10 +15,11 @@ PROFILE_DIMENSIONS = ("rate_plan_id", "region", "student", "status", "subscripti
 
 def conform(customers: DataFrame) -> DataFrame:
     """Q05: column defaults of the customer table applied on load."""
-    return (customers
-            .withColumn("subscription_type", F.coalesce("subscription_type", F.lit("postpaid")))
-            .withColumn("status", F.coalesce("status", F.lit("active")))
-            .withColumn("student", F.coalesce("student", F.lit(False))))
+    return customers.withColumns({
+        "subscription_type": F.coalesce("subscription_type", F.lit("postpaid")),
+        "status": F.coalesce("status", F.lit("active")),
+        "student": F.coalesce("student", F.lit(False)),
+    })
 
 
 def eligible(customers: DataFrame) -> DataFrame:

@@ -114,8 +114,7 @@ def roaming_surcharge(cost: Column, rules: Rules) -> Column:
 def price(enriched: DataFrame, rules: Rules = DEFAULT_RULES) -> DataFrame:
     """R07-R13 as stage columns (base_cost, cost_time_of_day, cost_friday, cost)."""
     status = rating_status(rules)
-    df = enriched.withColumn("required_rate_plan_type", required_plan(rules)) \
-        .withColumn("rating_status", status)
+    df = enriched.withColumns({"required_rate_plan_type": required_plan(rules), "rating_status": status})
     df = df.withColumn("base_cost", base_cost(F.col("rating_status")))
     df = df.withColumn("cost_time_of_day", time_of_day(F.col("base_cost"), rules))
     df = df.withColumn("cost_friday", friday(F.col("cost_time_of_day"), rules))

@@ -37,15 +37,19 @@ def priced(spark: SparkSession, sf_dir: str, rules: Rules = DEFAULT_RULES,
 
 
 def rated(spark: SparkSession, sf_dir: str, rules: Rules = DEFAULT_RULES,
-          already_rated: DataFrame | None = None, source: str = "events") -> DataFrame:
-    return rating.rate(valid_usage(spark, sf_dir, rules, source), customers(spark, sf_dir),
-                       fixtures.rate_plans(spark), rules, already_rated)
+          already_rated: DataFrame | None = None, source: str = "events",
+          cust: DataFrame | None = None, plans: DataFrame | None = None) -> DataFrame:
+    cust = customers(spark, sf_dir) if cust is None else cust
+    plans = fixtures.rate_plans(spark) if plans is None else plans
+    return rating.rate(valid_usage(spark, sf_dir, rules, source), cust, plans, rules, already_rated)
 
 
 def breakdown(spark: SparkSession, sf_dir: str, rules: Rules = DEFAULT_RULES,
               rated_df: DataFrame | None = None, source: str = "events") -> DataFrame:
-    rated_df = rated(spark, sf_dir, rules, source=source) if rated_df is None else rated_df
-    return billing.breakdown(rated_df, customers(spark, sf_dir), fixtures.rate_plans(spark), rules)
+    cust, plans = customers(spark, sf_dir), fixtures.rate_plans(spark)
+    if rated_df is None:
+        rated_df = rated(spark, sf_dir, rules, source=source, cust=cust, plans=plans)
+    return billing.breakdown(rated_df, cust, plans, rules)
 
 
 def service_lines(spark: SparkSession, sf_dir: str, rules: Rules = DEFAULT_RULES) -> DataFrame:
