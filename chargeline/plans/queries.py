@@ -2,12 +2,24 @@
 
 from __future__ import annotations
 
+import datetime as _dt
 from collections.abc import Callable
+from dataclasses import replace as _replace
 
 from pyspark.sql import DataFrame, SparkSession
-
-from chargeline.operators import reports
-from chargeline.plans import flows
+from pyspark.sql import functions as F
+from pyspark.sql.types import DecimalType, LongType, StringType, StructField, StructType
+
+from chargeline.functions.columns import ts_literal
+from chargeline.operators import (billing, counters, customers as cust_ops, invoices as inv_ops,
+                                  mediation, quality, rating, reports)
+from chargeline.plans import flows, jobs
+from chargeline.rules import DEFAULT_RULES
+from chargeline.schemas import NORMALIZED, USAGE_RAW
+from chargeline.session import scratch_path
+from chargeline.sinks import writers
+from chargeline.sources import fixtures
+from chargeline.streaming import mediation_stream as ms
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -26,14 +38,6 @@ def report_revenue_by_region(spark, sf_dir):
 
 
 # ---------------------------------------------------------------- mediation
-from pyspark.sql import functions as F  # noqa: E402
-
-from chargeline.operators import billing, mediation, rating  # noqa: E402
-from chargeline.rules import DEFAULT_RULES  # noqa: E402
-from chargeline.sources import fixtures  # noqa: E402
-from chargeline.functions.columns import ts_literal  # noqa: E402
-import datetime as _dt  # noqa: E402
-from dataclasses import replace as _replace  # noqa: E402
 
 
 @query("mediate_json_parse")
@@ -180,7 +184,6 @@ def billing_invoices_late_run(spark, sf_dir):
 
 
 # ---------------------------------------------------------------- customers
-from chargeline.operators import counters, customers as cust_ops, invoices as inv_ops, quality  # noqa: E402
 
 INCUMBENT_BEFORE = _dt.date(2022, 1, 1)
 
@@ -336,10 +339,6 @@ def stage_counts(spark, sf_dir):
 
 
 # ---------------------------------------------------------------- streaming
-from chargeline.session import scratch_path  # noqa: E402
-from chargeline.sinks import writers  # noqa: E402
-from chargeline.streaming import mediation_stream as ms  # noqa: E402
-from chargeline.schemas import NORMALIZED  # noqa: E402
 
 
 def run_stream_mediation(spark, sf_dir):
@@ -381,10 +380,6 @@ def stream_normalized_store(spark, sf_dir):
 
 
 # ---------------------------------------------------------------- sinks
-from chargeline.plans import jobs  # noqa: E402
-from chargeline.schemas import USAGE_RAW  # noqa: E402
-from pyspark.sql.types import (DecimalType, LongType, StringType, StructField,  # noqa: E402
-                               StructType)
 
 REVENUE_REGION_CSV = StructType([
     StructField("region", StringType()), StructField("total_revenue", DecimalType(18, 2)),
