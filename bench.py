@@ -44,7 +44,7 @@ def main() -> None:
     from chargeline.plans.queries import REGISTRY
 
     spark = build_session(f"local[{cpus}]", max(cpus, 4) * 2, app_name="chargeline-bench",
-                          extra={"spark.driver.memory": "8g"})
+                          extra={"spark.driver.memory": "4g"})
     timings: dict[str, float] = {}
     for name in HEADLINE:
         if name not in REGISTRY:

@@ -84,3 +84,31 @@ def test_console_debug_query_runs_alongside(spark, capsys):
                                  dead_path=f"{base}/dead", console_trigger={"availableNow": True})
     ms.await_all(queries)
     assert [q.name for q in queries] == ["mediation_console", "mediation_valid", "mediation_dead"]
+
+
+def test_many_batch_stream_equals_batch_result(spark):
+    """One file per day, one file per micro-batch: with no row later than the
+    watermark, the streamed valid records equal the batch de-duplication."""
+    from pyspark.sql import functions as F
+
+    from conftest import SF_SMALL
+    from chargeline.operators import mediation
+    from chargeline.plans import flows
+    from chargeline.sources import fixtures
+
+    base = scratch_path(spark, "many-batch")
+    inbox = f"{base}/inbox"
+    raw = fixtures.raw_usage(spark, SF_SMALL)
+    days = [r.d for r in raw.select(F.substring("timestamp", 1, 10).alias("d")).distinct().orderBy("d").collect()]
+    for d in days:  # written one after another, so file times follow the days
+        mediation.to_messages(raw.filter(F.substring("timestamp", 1, 10) == d)).coalesce(1) \
+            .write.mode("append").text(inbox)
+    source = ms.usage_source(spark, "text", path=inbox, max_files_per_trigger=1)
+    queries = ms.start_mediation(source, checkpoint_root=f"{base}/ckpt", valid_path=f"{base}/valid",
+                                 dead_path=f"{base}/dead")
+    ms.await_all(queries)
+    assert len(queries[0].recentProgress) >= min(len(days), 10)
+    streamed = spark.read.schema(NORMALIZED).parquet(f"{base}/valid")
+    batch = mediation.dedupe_records(flows.valid_usage(spark, SF_SMALL))
+    assert sorted(map(tuple, streamed.collect())) == sorted(map(tuple, batch.collect()))
+    assert ms.late_rows(queries[0]) == 0
