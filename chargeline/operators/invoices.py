@@ -92,17 +92,17 @@ def breakdown_view(bd: DataFrame, rate_plans: DataFrame, rules: Rules = DEFAULT_
         *[F.round(F.col(c), s).alias(c) for c in BREAKDOWN_AMOUNTS])
 
 
-def documents(v: DataFrame, rules: Rules = DEFAULT_RULES) -> DataFrame:
+def documents(v: DataFrame, rules: Rules = DEFAULT_RULES, keep: tuple[str, ...] = ()) -> DataFrame:
     """One HTML document per invoice, built as a single string expression."""
-    return v.select("invoice_id", "msisdn", render(INVOICE_DOCUMENT, rules).alias("document"))
+    return v.select("invoice_id", "msisdn", render(INVOICE_DOCUMENT, rules).alias("document"), *keep)
 
 
-def outbox(v: DataFrame, rules: Rules = DEFAULT_RULES) -> DataFrame:
+def outbox(v: DataFrame, rules: Rules = DEFAULT_RULES, keep: tuple[str, ...] = ()) -> DataFrame:
     """Notification rows (subject, body) -- delivery is not part of Spark."""
     from chargeline.functions.template import INVOICE_MAIL_BODY
     subject = F.concat(F.lit(rules.mail_subject_prefix), date_text("invoice_date"))
     return v.select("invoice_id", "msisdn", subject.alias("subject"),
-                    render(INVOICE_MAIL_BODY, rules).alias("body"))
+                    render(INVOICE_MAIL_BODY, rules).alias("body"), *keep)
 
 
 __all__ = ["latest", "view", "breakdown_view", "documents", "outbox", "ts_literal"]

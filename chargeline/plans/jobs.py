@@ -126,6 +126,27 @@ def run_reports(spark: SparkSession, customers: DataFrame, rate_plans: DataFrame
     return written
 
 
+def run_documents(spark: SparkSession, customers: DataFrame, rate_plans: DataFrame,
+                  tables: TablePaths, rules: Rules = DEFAULT_RULES) -> dict:
+    """I01-I03 for the period's invoices: the printed view, one HTML document
+    and one notification row per invoice, written as tables partitioned by
+    billing period (documents are rows, produced in parallel)."""
+    from chargeline.operators import invoices as inv_ops
+
+    inv = spark.read.parquet(tables.invoices).filter(
+        F.col("billing_period") == F.lit(rules.period_start.date()))
+    view = writers.with_period_partition(
+        inv_ops.view(inv_ops.latest(inv.drop("billing_period")), customers, rate_plans, rules))
+    obs = Observation("documents")
+    docs = inv_ops.documents(view, rules, keep=("billing_period",))
+    docs = docs.observe(obs, F.count(F.lit(1)).alias("documents"))
+    outbox = inv_ops.outbox(view, rules, keep=("billing_period",))
+    with job_conf(spark):
+        writers.overwrite_partitions(docs, f"{tables.root}/invoice_documents", "billing_period")
+        writers.overwrite_partitions(outbox, f"{tables.root}/invoice_outbox", "billing_period")
+        return dict(obs.get)
+
+
 def run_period(spark: SparkSession, records: DataFrame, customers: DataFrame, rate_plans: DataFrame,
                tables: TablePaths, rules: Rules = DEFAULT_RULES, input_paths: list[str] | None = None) -> dict:
     """One billing cycle: rate new records, bill the period, write reports.
