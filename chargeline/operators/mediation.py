@@ -97,10 +97,13 @@ def dedupe_records(records: DataFrame) -> DataFrame:
     return dedupe(records, ["record_id"], ["timestamp"])
 
 
-def serialize(records: DataFrame) -> DataFrame:
-    """Records -> one JSON text column ``value``; NULL fields are omitted."""
-    return (records.withColumn("timestamp", F.col("timestamp").cast("string"))
-            .select(F.to_json(F.struct(*[F.col(c) for c in records.columns])).alias("value")))
+def serialize(records: DataFrame, key: str | None = None) -> DataFrame:
+    """Records -> one JSON text column ``value`` (NULL fields omitted), plus a
+    message ``key`` column when ``key`` names a column (e.g. record_id, so all
+    copies of a record go to the same topic partition)."""
+    value = F.to_json(F.struct(*[F.col(c) for c in records.columns])).alias("value")
+    out = records.withColumn("timestamp", F.col("timestamp").cast("string"))
+    return out.select(F.col(key).alias("key"), value) if key else out.select(value)
 
 
 def status_counts(mediated: DataFrame) -> DataFrame:

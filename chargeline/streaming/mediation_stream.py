@@ -65,7 +65,7 @@ def dead_letter_stream(messages: DataFrame, rules: Rules = DEFAULT_RULES) -> Dat
 def _sink(df: DataFrame, name: str, checkpoint: str, *, fmt: str, path: str | None,
           servers: str | None, topic: str | None, trigger: dict) -> StreamingQuery:
     if fmt == "kafka":
-        w = (mediation.serialize(df).writeStream.format("kafka")
+        w = (mediation.serialize(df, key="record_id").writeStream.format("kafka")
              .option("kafka.bootstrap.servers", servers).option("topic", topic))
     elif fmt == "console":
         w = df.writeStream.format("console").option("truncate", False)

@@ -112,3 +112,16 @@ def test_many_batch_stream_equals_batch_result(spark):
     batch = mediation.dedupe_records(flows.valid_usage(spark, SF_SMALL))
     assert sorted(map(tuple, streamed.collect())) == sorted(map(tuple, batch.collect()))
     assert ms.late_rows(queries[0]) == 0
+
+
+def test_serialize_round_trip_with_key(spark):
+    from conftest import SF_SMALL
+    from chargeline.operators import mediation
+    from chargeline.plans import flows
+
+    valid = mediation.dedupe_records(flows.valid_usage(spark, SF_SMALL))
+    msgs = mediation.serialize(valid, key="record_id")
+    assert msgs.columns == ["key", "value"]
+    back = mediation.parse_messages(msgs.select("value"))
+    assert back.count() == valid.count()
+    assert msgs.filter("key IS NULL").count() == 0
