@@ -89,7 +89,8 @@ RATE_PLAN_ROWS = [
 
 
 def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return read_table(spark, sf_dir, "customer").selectExpr(*CUSTOMER_EXPRS)
+    # a dimension: joined by broadcast or co-partitioned, never spread
+    return read_table(spark, sf_dir, "customer", spread_small=False).selectExpr(*CUSTOMER_EXPRS)
 
 
 def _sql_literal(v) -> str:
