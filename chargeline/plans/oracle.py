@@ -596,6 +596,7 @@ oracle("stream_mediation", "SELECT * FROM valid_unique")
 oracle("stream_dead_letters", "SELECT * FROM mediated WHERE status = 'error' "
        "UNION ALL SELECT * FROM mediated WHERE status = 'error'")
 oracle("stream_normalized_store", "SELECT * FROM valid_unique")
+oracle("stream_mediation_single_read", "SELECT * FROM valid_unique")
 ORACLE["report_csv_roundtrip"] = ORACLE["report_revenue_by_region"]
 oracle("usage_archive_roundtrip", "SELECT * FROM raw_usage")
 oracle("rating_job_rerun", f"SELECT {RATED_COLS} FROM rated")

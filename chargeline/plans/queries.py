@@ -379,6 +379,21 @@ def stream_normalized_store(spark, sf_dir):
     return spark.read.parquet(table).select(*NORMALIZED.fieldNames())
 
 
+@query("stream_mediation_single_read")
+def stream_mediation_single_read(spark, sf_dir):
+    """K01 single-read mode: one query, both outputs from foreachBatch, the
+    stream delivered twice with a restart; the store holds each record once."""
+    base = scratch_path(spark, "stream-single-read")
+    inbox = f"{base}/inbox"
+    messages = mediation.to_messages(fixtures.raw_usage(spark, sf_dir))
+    for delivery in range(2):
+        messages.write.mode("append").text(inbox)
+        ms.start_mediation_store(ms.usage_source(spark, "text", path=inbox),
+                                 normalized_path=f"{base}/normalized", dead_path=f"{base}/dead",
+                                 checkpoint=f"{base}/checkpoint").awaitTermination(600)
+    return spark.read.parquet(f"{base}/normalized").select(*NORMALIZED.fieldNames())
+
+
 # ---------------------------------------------------------------- sinks
 
 REVENUE_REGION_CSV = StructType([

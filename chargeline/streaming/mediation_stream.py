@@ -120,6 +120,42 @@ def start_normalized_store(spark: SparkSession, source_path: str, table_path: st
             .trigger(**(trigger or {"availableNow": True})).start())
 
 
+def mediate_and_store_batch(normalized_path: str, dead_path: str, rules: Rules = DEFAULT_RULES):
+    """``foreachBatch`` callback of the single-read mode: parse and validate the
+    micro-batch once, then
+
+    * dead letters -> overwrite of the partition ``batch_id`` (a replayed
+      batch rewrites its own partition: exactly once);
+    * valid records -> idempotent append keyed by record_id into the
+      normalised store, partitioned by month (duplicates within the batch and
+      against the store are dropped; only touched months are read).
+    """
+    def write(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        mediated = mediation.mediate(mediation.parse_messages(batch), rules).persist()
+        try:
+            dead = mediation.dead_letters(mediated).withColumn("batch_id", F.lit(batch_id))
+            writers.overwrite_partitions(dead, dead_path, "batch_id")
+            valid = mediation.valid_records(mediated).drop("status")
+            keyed = valid.withColumn("status", F.lit("valid")).withColumn("billing_month", month_start("timestamp"))
+            writers.idempotent_append(spark, keyed, normalized_path, "record_id", "billing_month")
+        finally:
+            mediated.unpersist()
+    return write
+
+
+def start_mediation_store(messages: DataFrame, *, normalized_path: str, dead_path: str, checkpoint: str,
+                          trigger: dict | None = None, rules: Rules = DEFAULT_RULES) -> StreamingQuery:
+    """Single-read mediation: one query reads the source once and writes both
+    outputs from ``foreachBatch``. De-duplication is against the stored table,
+    so no streaming state is kept and late records are never dropped. Within a
+    batch the survivor is the smallest copy (as in batch de-duplication);
+    across batches the first stored copy stays."""
+    return (messages.writeStream.foreachBatch(mediate_and_store_batch(normalized_path, dead_path, rules))
+            .queryName("mediation_store").option("checkpointLocation", checkpoint)
+            .trigger(**(trigger or {"availableNow": True})).start())
+
+
 def run_until_any_stops(spark: SparkSession) -> None:
     """Block until one of the session's streaming queries stops (or fails)."""
     spark.streams.awaitAnyTermination()

@@ -125,3 +125,24 @@ def test_serialize_round_trip_with_key(spark):
     back = mediation.parse_messages(msgs.select("value"))
     assert back.count() == valid.count()
     assert msgs.filter("key IS NULL").count() == 0
+
+
+def test_single_read_mode_stores_each_record_once(spark):
+    from conftest import SF_SMALL
+    from chargeline.operators import mediation
+    from chargeline.plans import flows
+    from chargeline.sources import fixtures
+
+    base = scratch_path(spark, "single-read")
+    inbox = f"{base}/inbox"
+    messages = mediation.to_messages(fixtures.raw_usage(spark, SF_SMALL))
+    for delivery in range(2):  # the whole stream delivered twice, with a restart between
+        messages.write.mode("append").text(inbox)
+        ms.start_mediation_store(ms.usage_source(spark, "text", path=inbox),
+                                 normalized_path=f"{base}/normalized", dead_path=f"{base}/dead",
+                                 checkpoint=f"{base}/ckpt").awaitTermination(300)
+    stored = spark.read.parquet(f"{base}/normalized").select(*NORMALIZED.fieldNames())
+    batch = mediation.dedupe_records(flows.valid_usage(spark, SF_SMALL))
+    assert sorted(map(tuple, stored.collect())) == sorted(map(tuple, batch.collect()))
+    dead = spark.read.parquet(f"{base}/dead")
+    assert dead.count() == 2 * mediation.dead_letters(flows.mediated(spark, SF_SMALL)).count()
