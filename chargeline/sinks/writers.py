@@ -59,9 +59,16 @@ def idempotent_append(spark: SparkSession, batch: DataFrame, path: str, key: str
     append_partitioned(fresh, path, partition_col)
 
 
-def write_report_csv(report: DataFrame, path: str) -> None:
-    """A report as one CSV file with header (reports are small)."""
-    report.coalesce(1).write.mode("overwrite").option("header", True).csv(path)
+def write_report_csv(report: DataFrame, path: str, single_file: bool = True) -> None:
+    """A report as CSV with header.
+
+    ``single_file`` is for bounded reports (aggregates, top-k): one task
+    writes one file. Listings that grow with the data keep their partitions:
+    a globally sorted listing is range-partitioned, so its part files are in
+    order and are written in parallel.
+    """
+    out = report.coalesce(1) if single_file else report
+    out.write.mode("overwrite").option("header", True).csv(path)
 
 
 def read_report_csv(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
