@@ -36,14 +36,21 @@ def read_table_or_none(spark: SparkSession, path: str, schema: StructType | None
     return reader.parquet(path)
 
 
+def _balanced(df: DataFrame, partition_col: str) -> DataFrame:
+    """Group rows by output partition without putting a whole partition (one
+    month can be terabytes) into one task: the rebalance hint lets AQE split
+    oversized groups to the advisory size and merge small ones, so each
+    output partition gets a few large files written by many tasks."""
+    return df.hint("rebalance", partition_col)
+
+
 def append_partitioned(df: DataFrame, path: str, partition_col: str) -> None:
-    (df.repartition(partition_col)
-       .write.mode("append").partitionBy(partition_col).parquet(path))
+    _balanced(df, partition_col).write.mode("append").partitionBy(partition_col).parquet(path)
 
 
 def overwrite_partitions(df: DataFrame, path: str, partition_col: str) -> None:
     """Replace only the partitions present in ``df``."""
-    (df.repartition(partition_col)
+    (_balanced(df, partition_col)
        .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
        .partitionBy(partition_col).parquet(path))
 

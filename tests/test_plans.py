@@ -112,3 +112,30 @@ def test_bucketed_customers_are_not_shuffled(spark):
                 spark.conf.unset(k)
             else:
                 spark.conf.set(k, v)
+
+
+def test_partitioned_writes_rebalance_instead_of_one_task_per_month(spark):
+    from chargeline.sinks import writers
+
+    from conftest import SF_MID
+
+    rated = REGISTRY["rated_records"](spark, SF_MID)
+    text = explain(writers._balanced(rated, "billing_month"))
+    assert "REBALANCE_PARTITIONS_BY_COL" in text
+    # all usage falls in one month; it must still be written by several tasks.
+    # (At test size AQE would first merge the upstream shuffle into one map
+    # task, and a split can only cut between map outputs.)
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "16KB")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        from chargeline.session import scratch_path
+        path = scratch_path(spark, "rebalanced")
+        writers.append_partitioned(rated, path, "billing_month")
+        import os
+        month_dir = [d for d in os.listdir(path) if d.startswith("billing_month=")]
+        assert len(month_dir) == 1
+        files = [f for f in os.listdir(os.path.join(path, month_dir[0])) if f.endswith(".parquet")]
+        assert len(files) > 1
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
