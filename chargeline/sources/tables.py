@@ -19,22 +19,26 @@ def table_path(sf_dir: str, name: str) -> str:
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str, spread_small: bool = True) -> DataFrame:
-    df = spark.read.parquet(table_path(sf_dir, name))
-    return spread(spark, df) if spread_small else df
+    path = table_path(sf_dir, name)
+    df = spark.read.parquet(path)
+    return spread(spark, df, path) if spread_small else df
 
 
-def spread(spark: SparkSession, df: DataFrame) -> DataFrame:
+def spread(spark: SparkSession, df: DataFrame, path: str) -> DataFrame:
     """Give a small, few-file input one task per core.
 
     A Parquet file with a single row group is read by a single task, so all
     per-row work above the scan would run on one core. Only inputs that are
-    both small and in fewer files than cores are redistributed; the decision
-    uses file metadata only (no job).
+    both small and in fewer files than cores are redistributed. The size comes
+    from one file-system summary of ``path``; files are listed only once the
+    input is known to be small (a large table never sends its file list to
+    the driver process). No job runs.
     """
     from chargeline.session import input_bytes
 
+    if input_bytes(spark, [path]) >= SMALL_INPUT_BYTES:
+        return df
     cores = spark.sparkContext.defaultParallelism
-    files = df.inputFiles()
-    if 0 < len(files) < cores and input_bytes(spark, files) < SMALL_INPUT_BYTES:
+    if 0 < len(df.inputFiles()) < cores:
         return df.repartition(cores)
     return df
