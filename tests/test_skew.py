@@ -57,3 +57,22 @@ def test_hot_subscriber(spark):
                 spark.conf.unset(k)
             else:
                 spark.conf.set(k, v)
+
+
+def test_hot_record_id_collapses_map_side(spark):
+    """One record id copied into a third of the input: the dedup aggregate
+    collapses the copies inside each map task, so the shuffle carries at most
+    one row per map task for it, and the survivor is the earliest copy."""
+    from chargeline.operators import mediation
+
+    valid = flows.valid_usage(spark, SF_MID)
+    hot = valid.withColumn(
+        "record_id", F.when(F.xxhash64("record_id") % 3 == 0, F.lit("r-hot")).otherwise(F.col("record_id")))
+    out = mediation.dedupe_records(hot)
+    rows = out.filter(F.col("record_id") == "r-hot").collect()
+    assert len(rows) == 1
+    earliest = hot.filter(F.col("record_id") == "r-hot").agg(F.min("timestamp")).first()[0]
+    assert rows[0].timestamp == earliest
+    text = final_plan(out)
+    assert "partial_min" in text
+    assert out.count() == valid.count() - hot.filter(F.col("record_id") == "r-hot").count() + 1
