@@ -23,6 +23,9 @@ from pyspark.sql import functions as F
 
 from chargeline.functions.columns import date_text, decimal_text, html_escape, title_case
 
+# FIXED VALUES: the section titles, row labels and units below are the printed
+# texts of the source system's invoice and notification (kept for parity);
+# the HTML around them is this package's own.
 INVOICE_DOCUMENT = [
     ("lit", "<!DOCTYPE html><html><head><meta charset=\"utf-8\"><title>Invoice "),
     ("text", "invoice_id"),

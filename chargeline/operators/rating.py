@@ -129,7 +129,7 @@ def rate(records: DataFrame, customers: DataFrame, rate_plans: DataFrame,
          input_unique: bool = False) -> DataFrame:
     """Valid normalised records -> rated records (one row per record_id).
 
-    The reference de-duplicates again after rating; the input is already unique
+    The source system de-duplicates again after rating; the input is already unique
     per record_id and the joins cannot multiply rows (unique dimension keys), so
     the second pass would be a no-op shuffle and is left out.
 
