@@ -292,7 +292,9 @@ def invoice_outbox(spark, sf_dir):
 def _quality_tables(spark, sf_dir):
     mediated = flows.mediated(spark, sf_dir)
     valid = mediation.dedupe_records(mediation.valid_records(mediated))
-    rated = rating.rate(valid, fixtures.customers(spark, sf_dir), fixtures.rate_plans(spark))
+    # already unique by record_id: rating reuses this de-duplication
+    rated = rating.rate(valid, fixtures.customers(spark, sf_dir), fixtures.rate_plans(spark),
+                        input_unique=True)
     invoices = flows.invoices(spark, sf_dir, DEFAULT_RULES, rated)
     return {"customers": fixtures.customers(spark, sf_dir), "normalized_records": valid,
             "rated_records": rated, "invoices": invoices}
