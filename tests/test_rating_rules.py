@@ -110,3 +110,17 @@ def test_unique_input_skips_dedup_with_same_result(spark):
     with contextlib.redirect_stdout(buf):
         b.explain()
     assert "SortAggregate" not in buf.getvalue()
+
+
+def test_insert_if_absent(spark):
+    from chargeline.operators.customers import insert_new
+
+    existing = customers(spark, [{"msisdn": "+212000000001"}])
+    incoming = customers(spark, [
+        {"msisdn": "+212000000001", "customer_name": "Already There"},
+        {"msisdn": "+212000000002", "customer_name": "B"},
+        {"msisdn": "+212000000002", "customer_name": "A"},   # duplicate inside the batch
+        {"msisdn": "+212000000003", "customer_name": "C"},
+    ])
+    rows = sorted((r.msisdn, r.customer_name) for r in insert_new(existing, incoming).collect())
+    assert rows == [("+212000000002", "A"), ("+212000000003", "C")]
