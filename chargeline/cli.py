@@ -67,7 +67,13 @@ def main(argv: list[str] | None = None) -> dict:
     s.add_argument("--topic")
     s.add_argument("--starting-offsets", default="latest")
     s.add_argument("--trigger", default="availableNow", help="'availableNow' or e.g. '10 seconds'")
-    cmd("store", customers=False).add_argument("--trigger", default="availableNow")
+    st = cmd("store", customers=False)
+    st.add_argument("--trigger", default="availableNow")
+    st.add_argument("--source", choices=["parquet", "kafka", "text"], default="parquet",
+                    help="parquet: the mediation file sink under --tables; kafka/text: serialised records")
+    st.add_argument("--path")
+    st.add_argument("--servers")
+    st.add_argument("--topic")
     r = cmd("rate")
     r.add_argument("--normalized", help="normalised records (default: the store under --tables)")
     r.add_argument("--period", help="billing month for the run time of records without a time")
@@ -98,8 +104,12 @@ def main(argv: list[str] | None = None) -> dict:
             ms.await_all(queries, timeout_s=None) if "availableNow" in trig else ms.run_until_any_stops(spark)
             out["late_rows"] = ms.late_rows(queries[0])
         else:
+            messages = None
+            if args.source != "parquet":
+                messages = ms.usage_source(spark, args.source, path=args.path, servers=args.servers,
+                                           topic=args.topic, starting_offsets="earliest")
             q = ms.start_normalized_store(spark, f"{tables.root}/mediated_valid", tables.normalized,
-                                          f"{tables.root}/_checkpoints/store", trig)
+                                          f"{tables.root}/_checkpoints/store", trig, messages=messages)
             q.awaitTermination()
         print(json.dumps(out))
         return out

@@ -9,6 +9,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from chargeline.operators.dedup import dedupe
 from chargeline.rules import DEFAULT_RULES, Rules
@@ -110,6 +111,16 @@ def status_counts(mediated: DataFrame) -> DataFrame:
     return mediated.groupBy("status").agg(F.count(F.lit(1)).alias("records"))
 
 
+def parse_normalized_messages(messages: DataFrame, value_col: str = "value",
+                              rules: Rules = DEFAULT_RULES) -> DataFrame:
+    """JSON text of normalised records (as written by ``serialize``) -> the
+    normalised layout; event time text is parsed as in mediation."""
+    wire = T.StructType([T.StructField(f.name, T.StringType() if f.name == "timestamp" else f.dataType)
+                         for f in NORMALIZED.fields])
+    parsed = messages.select(F.from_json(F.col(value_col).cast("string"), wire).alias("m")).select("m.*")
+    return parsed.withColumn("timestamp", parse_event_time(F.col("timestamp"), rules))
+
+
 def to_messages(raw: DataFrame) -> DataFrame:
     """Raw usage columns -> JSON text ``value`` (the wire form)."""
     return raw.select(F.to_json(F.struct(*[F.col(c) for c in raw.columns])).alias("value"))

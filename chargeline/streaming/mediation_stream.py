@@ -110,11 +110,17 @@ def store_batch(table_path: str):
     return write
 
 
-def start_normalized_store(spark: SparkSession, source_path: str, table_path: str,
-                           checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
-    """Consume normalised records (a file sink of ``start_mediation``) into the
-    ``normalized_records`` table, partitioned by month."""
-    stream = spark.readStream.schema(NORMALIZED).parquet(source_path)
+def start_normalized_store(spark: SparkSession, source_path: str | None, table_path: str,
+                           checkpoint: str, trigger: dict | None = None,
+                           messages: DataFrame | None = None) -> StreamingQuery:
+    """Consume normalised records into the ``normalized_records`` table,
+    partitioned by month: from the Parquet file sink of ``start_mediation``
+    (``source_path``), or from a message stream of serialised records
+    (``messages``, e.g. the valid topic read with ``startingOffsets=earliest``)."""
+    if messages is not None:
+        stream = mediation.parse_normalized_messages(messages)
+    else:
+        stream = spark.readStream.schema(NORMALIZED).parquet(source_path)
     return (stream.writeStream.foreachBatch(store_batch(table_path))
             .option("checkpointLocation", checkpoint)
             .trigger(**(trigger or {"availableNow": True})).start())

@@ -146,3 +146,18 @@ def test_single_read_mode_stores_each_record_once(spark):
     assert sorted(map(tuple, stored.collect())) == sorted(map(tuple, batch.collect()))
     dead = spark.read.parquet(f"{base}/dead")
     assert dead.count() == 2 * mediation.dead_letters(flows.mediated(spark, SF_SMALL)).count()
+
+
+def test_store_consumes_a_message_stream(spark):
+    from conftest import SF_SMALL
+    from chargeline.operators import mediation
+    from chargeline.plans import flows
+
+    base = scratch_path(spark, "store-messages")
+    valid = mediation.dedupe_records(flows.valid_usage(spark, SF_SMALL))
+    mediation.serialize(valid).write.text(f"{base}/topic")
+    source = ms.usage_source(spark, "text", path=f"{base}/topic")
+    ms.start_normalized_store(spark, None, f"{base}/table", f"{base}/ckpt",
+                              messages=source).awaitTermination(300)
+    stored = spark.read.parquet(f"{base}/table").select(*NORMALIZED.fieldNames())
+    assert sorted(map(tuple, stored.collect())) == sorted(map(tuple, valid.collect()))
