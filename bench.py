@@ -46,15 +46,20 @@ def main() -> None:
     spark = build_session(f"local[{cpus}]", max(cpus, 4) * 2, app_name="chargeline-bench",
                           extra={"spark.driver.memory": "4g"})
     timings: dict[str, float] = {}
+    errors: dict[str, str] = {}
     for name in HEADLINE:
         if name not in REGISTRY:
             continue
         samples = []
-        for i in range(runs + 1):
-            t0 = time.perf_counter()
-            REGISTRY[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
-            if i:
-                samples.append(time.perf_counter() - t0)
+        try:
+            for i in range(runs + 1):
+                t0 = time.perf_counter()
+                REGISTRY[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
+                if i:
+                    samples.append(time.perf_counter() - t0)
+        except Exception as e:  # noqa: BLE001 -- report, keep benchmarking the rest
+            errors[name] = str(e).splitlines()[0][:300]
+            continue
         timings[name] = round(statistics.median(samples), 3)
     events = spark.read.parquet(f"{sf_dir}/events.parquet").count()
     lines = spark.read.parquet(f"{sf_dir}/lineitem.parquet").count()
@@ -66,6 +71,7 @@ def main() -> None:
         "queries": timings,
         "sf": float(m.group(1)) if m else None,
         "cpus": cpus,
+        "errors": errors,
         "records_per_sec": {
             "rating_events": round(events / timings["rated_records"], 1) if "rated_records" in timings else None,
             "rating_orders": round(lines / timings["rated_records_orders"], 1)
