@@ -44,6 +44,8 @@ def _inputs(spark, args):
 
 
 def main(argv: list[str] | None = None) -> dict:
+    if argv is None:
+        argv = sys.argv[1:]
     p = argparse.ArgumentParser(prog="chargeline")
     sub = p.add_subparsers(dest="command", required=True)
 
