@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from chargeline.functions.columns import date_text, ts_literal
+from chargeline.functions.columns import date_text
 from chargeline.functions.template import INVOICE_DOCUMENT, render
 from chargeline.operators.dedup import dedupe
 from chargeline.operators.joins import broadcast_if_small
@@ -105,4 +105,4 @@ def outbox(v: DataFrame, rules: Rules = DEFAULT_RULES, keep: tuple[str, ...] = (
                     render(INVOICE_MAIL_BODY, rules).alias("body"), *keep)
 
 
-__all__ = ["latest", "view", "breakdown_view", "documents", "outbox", "ts_literal"]
+__all__ = ["latest", "view", "breakdown_view", "documents", "outbox"]

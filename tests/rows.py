@@ -5,7 +5,6 @@ from __future__ import annotations
 import datetime as dt
 
 from chargeline.schemas import CUSTOMERS, NORMALIZED
-from chargeline.sources.fixtures import rate_plans  # noqa: F401  (re-export)
 
 
 def records(spark, rows):

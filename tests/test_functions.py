@@ -4,7 +4,6 @@ from decimal import ROUND_HALF_UP, Decimal
 
 from hypothesis import given, settings
 from hypothesis import strategies as st
-from pyspark.sql import functions as F
 
 from chargeline.functions.columns import html_escape, money, number_text, title_case
 
