@@ -139,3 +139,38 @@ def test_partitioned_writes_rebalance_instead_of_one_task_per_month(spark):
     finally:
         spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+
+
+def test_store_to_invoices_shuffles_usage_once(spark):
+    """Rating the (unique) normalised store against bucketed customers and
+    billing the result: a single hash shuffle, usage by msisdn."""
+    import re
+
+    from chargeline.operators import billing, mediation, rating
+    from chargeline.plans import flows, jobs
+    from chargeline.session import scratch_path
+    from chargeline.sources.fixtures import rate_plans
+
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.shuffle.partitions": "8"}
+    old = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        cust = jobs.publish_customers(spark, flows.customers(spark, SF_SMALL), "customers_bucketed_once", 8,
+                                      scratch_path(spark, "customers-bucketed-once"))
+        store = scratch_path(spark, "store-once")
+        mediation.dedupe_records(flows.valid_usage(spark, SF_SMALL)).write.parquet(store)
+        rated = rating.rate(spark.read.parquet(store), cust, rate_plans(spark), input_unique=True)
+        invoices = billing.bill(rated, cust, rate_plans(spark))
+        shuffles = re.findall(r"Exchange hashpartitioning\((\w+)#", explain(invoices, "simple"))
+        assert shuffles == ["msisdn"], shuffles
+        assert invoices.count() > 0
+    finally:
+        spark.sql("DROP TABLE IF EXISTS customers_bucketed_once")
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
