@@ -2,7 +2,8 @@
 
     python -m chargeline stream-mediation --source text --path IN --tables ROOT
     python -m chargeline store --tables ROOT
-    python -m chargeline rate --tables ROOT --customers PATH [--normalized PATH]
+    python -m chargeline publish-customers --tables ROOT --customers PATH --table NAME --buckets N
+    python -m chargeline rate --tables ROOT --customers PATH|table:NAME [--normalized PATH]
     python -m chargeline bill --tables ROOT --customers PATH --period 2024-01
     python -m chargeline report --tables ROOT --customers PATH
     python -m chargeline documents --tables ROOT --customers PATH --period 2024-01
@@ -38,7 +39,10 @@ def _inputs(spark, args):
     from chargeline.operators.customers import conform
     from chargeline.sources.fixtures import rate_plans
 
-    customers = conform(spark.read.parquet(args.customers))
+    if args.customers.startswith("table:"):  # a catalog table, e.g. the bucketed one
+        customers = conform(spark.table(args.customers[len("table:"):]))
+    else:
+        customers = conform(spark.read.parquet(args.customers))
     plans = spark.read.parquet(args.rate_plans) if args.rate_plans else rate_plans(spark)
     return customers, plans
 
@@ -81,6 +85,10 @@ def main(argv: list[str] | None = None) -> dict:
     r.add_argument("--period", help="billing month for the run time of records without a time")
     r.add_argument("--as-of")
     cmd("bill", period=True)
+    pc = cmd("publish-customers")
+    pc.add_argument("--table", required=True)
+    pc.add_argument("--buckets", type=int, required=True)
+    pc.add_argument("--location", help="storage location of the table (default: warehouse)")
     cmd("report")
     cmd("documents", period=True)
     args = p.parse_args(argv)
@@ -122,6 +130,10 @@ def main(argv: list[str] | None = None) -> dict:
         records = spark.read.parquet(src)
         out.update(jobs.run_rating(spark, records, customers, plans, tables, rules,
                                    input_unique=args.normalized is None))
+    elif args.command == "publish-customers":
+        table = jobs.publish_customers(spark, customers, args.table, args.buckets,
+                                       args.location or f"{tables.root}/customers_bucketed")
+        out.update({"table": args.table, "buckets": args.buckets, "customers": table.count()})
     elif args.command == "bill":
         out.update(jobs.run_billing(spark, customers, plans, tables, rules))
     elif args.command == "report":

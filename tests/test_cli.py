@@ -33,6 +33,13 @@ def test_phases_end_to_end(spark, tmp_path):
     assert docs["documents"] == billed["invoices"]
     reports = cli.main(["report", "--tables", root, "--customers", customers])
     assert len(reports["reports"]) == 7
+    pub = cli.main(["publish-customers", "--tables", root, "--customers", customers,
+                    "--table", "cli_customers", "--buckets", "4"])
+    assert pub["customers"] == spark.read.parquet(customers).count()
+    again = cli.main(["bill", "--tables", root, "--customers", "table:cli_customers", "--period", "2024-01",
+                      "--as-of", "2024-01-31"])
+    assert again["invoices"] == billed["invoices"]
+    spark.sql("DROP TABLE IF EXISTS cli_customers")
     doc = spark.read.parquet(f"{root}/invoice_documents").first().document
     assert doc.startswith("<!DOCTYPE html>") and "TOTAL DUE" in doc
     json.dumps(billed, default=str)
