@@ -70,6 +70,20 @@ class Rules:
     # dimensions below this many rows are broadcast; larger ones shuffle
     broadcast_row_limit: int = 1_000_000
 
+    def __post_init__(self):
+        if self.period_end <= self.period_start:
+            raise ValueError(f"period_end {self.period_end} must be after period_start {self.period_start}")
+        rates = ("vat_rate", "seasonal_rate", "voice_discount_rate", "data_discount_rate",
+                 "spend_discount_rate", "student_discount_rate", "urban_discount_rate",
+                 "loyalty_rate_per_year", "loyalty_max_rate")
+        for name in rates:
+            if not 0.0 <= getattr(self, name) <= 1.0:
+                raise ValueError(f"{name} must be within [0, 1], got {getattr(self, name)}")
+        if not 1 <= self.seasonal_month <= 12:
+            raise ValueError(f"seasonal_month must be 1..12, got {self.seasonal_month}")
+        if self.broadcast_row_limit < 0 or self.report_row_limit < 0:
+            raise ValueError("row limits must not be negative")
+
     @property
     def voice_discount_factor(self) -> float:
         return 1.0 - self.voice_discount_rate

@@ -68,3 +68,17 @@ def test_progress_counter_sees_batches(spark):
     finally:
         spark.streams.removeListener(listener)
     assert listener.totals["mediation_valid"]["input_rows"] == 1
+
+
+def test_rules_reject_inconsistent_values():
+    import datetime as dt
+    from dataclasses import replace
+
+    import pytest
+
+    with pytest.raises(ValueError):
+        replace(DEFAULT_RULES, period_end=dt.datetime(2023, 12, 1))
+    with pytest.raises(ValueError):
+        replace(DEFAULT_RULES, vat_rate=20.0)
+    with pytest.raises(ValueError):
+        rules_from_config({"billing": {"seasonal_discounts": {"ramadan_month": 13}}})
