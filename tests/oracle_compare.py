@@ -30,15 +30,30 @@ def duckdb_for(sf_dir: str):
     return con
 
 
+def spark_type_name(dt) -> str:
+    from pyspark.sql import types as T
+    names = {T.StringType: "VARCHAR", T.LongType: "BIGINT", T.IntegerType: "INTEGER",
+             T.DoubleType: "DOUBLE", T.BooleanType: "BOOLEAN", T.DateType: "DATE",
+             T.TimestampNTZType: "TIMESTAMP"}
+    if isinstance(dt, T.DecimalType):
+        return f"DECIMAL({dt.precision},{dt.scale})"
+    return names.get(type(dt), dt.simpleString())
+
+
 def compare(sdf, con, sql) -> list[str]:
     srows = [tuple(r) for r in sdf.collect()]
     scols = sdf.columns
     res = con.execute(sql)
     ocols = [d[0] for d in res.description]
+    otypes = {d[0]: str(d[1]) for d in res.description}
     orows = res.fetchall()
     problems = []
     if sorted(scols) != sorted(ocols):
         return [f"columns spark={scols} oracle={ocols}"]
+    stypes = {f.name: spark_type_name(f.dataType) for f in sdf.schema.fields}
+    tdiff = [(c, stypes[c], otypes[c]) for c in scols if stypes[c] != otypes[c]]
+    if tdiff:
+        problems.append(f"types {tdiff}")
     if len(srows) != len(orows):
         problems.append(f"rows spark={len(srows)} oracle={len(orows)}")
     order = sorted(range(len(scols)), key=lambda i: scols[i])
