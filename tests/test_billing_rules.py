@@ -143,3 +143,24 @@ def test_period_is_half_open_unless_inclusive(spark):
     assert bill(spark, recs) == {}
     inclusive = replace(DEFAULT_RULES, inclusive_period_end=True)
     assert "+212000000001" in bill(spark, recs, rules=inclusive)
+
+
+def test_invoice_view_prints_fee_and_residual_vat_for_students(spark):
+    from chargeline.operators import invoices as inv_ops
+
+    cust_rows = [{"rate_plan_id": 1, "student": True}]
+    recs = [{"timestamp": WED, "duration_sec": 600.0}] * 3
+    cust = customers(spark, cust_rows)
+    rated = rating.rate(records(spark, recs), cust, rate_plans(spark))
+    bd = billing.breakdown(rated, cust, rate_plans(spark))
+    inv = billing.invoices(bd)
+    (v,) = inv_ops.view(inv, cust, rate_plans(spark)).collect()
+    (b,) = bd.collect()
+    assert b.regulatory_fee == 0.0                       # billed: waived for students
+    assert v.regulatory_fee == 1.5                       # printed: shown anyway
+    assert v.plan_name == "Standard Plan"
+    assert v.voice_free_minutes == 2 and v.voice_billable_minutes == v.voice_usage - 2
+    residual = v.total_cost - (v.subtotal + 1.5)
+    assert v.vat_amount == (residual if residual > 0 else 0.0)
+    (bv,) = inv_ops.breakdown_view(bd, rate_plans(spark)).collect()
+    assert bv.regulatory_fee == 0.0 and bv.plan_name == "Standard Plan"
