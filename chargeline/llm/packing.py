@@ -21,6 +21,8 @@ queue of its own; repeated rows are packed each; an empty table packs nothing.
 
 from __future__ import annotations
 
+import base64
+import re
 import zlib
 from bisect import bisect_right
 from dataclasses import dataclass
@@ -39,7 +41,6 @@ from chargeline.llm.frames import offsets, stored
 SEQUENCE_TOKENS = 1024
 WINDOW_SEQUENCES = 64
 END_ID = 0
-CACHE_ENTRIES = 300_000
 #: A mixture is a schedule over this many queues at most.
 MAX_SOURCES = 4096
 
@@ -50,57 +51,43 @@ PIECES = T.StructType([
     T.StructField("offset", T.LongType())])
 
 
+@dataclass(frozen=True)
+class Vocabulary:
+    """A tokenizer file; where the same byte-level vocabulary is given as ranks with its pattern, they do the bulk."""
+
+    path: str
+    ranks: str | None = None
+    pattern: str | None = None
+
+
 class Encoder:
-    """Ids of whole texts, from a bounded cache of the pieces between single spaces.
+    """Ids of whole texts as little-endian unsigned 32-bit numbers.
 
-    A byte-level BPE of this kind never joins a character before a space to the
-    space. So a text whose spaces and line breaks each stand between two other
-    characters is the concatenation of its pieces' ids; any other text is
-    encoded whole.
+    Both libraries give the same ids. The one for ranks is faster, but slow on
+    very long stretches without a break or of nothing but white space, so texts
+    with such a stretch go to the other.
     """
 
-    def __init__(self, path: str):
+    LONG_STRETCH = re.compile(r"\S{2048}|\s{2048}")
+
+    def __init__(self, vocabulary: Vocabulary):
         from tokenizers import Tokenizer
 
-        self.tokenizer = Tokenizer.from_file(path)
+        self.tokenizer = Tokenizer.from_file(vocabulary.path)
         self.tokenizer.encode_special_tokens = True
-        self.cache: dict[str, bytes] = {}
-        self.newline = self._encode(["\n"])[0]
-
-    def _encode(self, texts: list[str]) -> list[bytes]:
-        return [np.array(x.ids, "<u4").tobytes()
-                for x in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
-
-    @staticmethod
-    def splits(text: str) -> bool:
-        """True if every white-space character is a lone space or line break inside the text."""
-        bare = text.replace("\n", " ")
-        return (bool(text) and text[0] != " " and not bare.isspace() and "\0" not in text
-                and " ".join(bare.split()) == bare)
-
-    def encode(self, texts: list[str | None]) -> list[bytes]:
-        parts: list[list[str] | None] = []
-        missing: set[str] = set()
-        whole: list[str] = []
-        for t in texts:
-            if t and self.splits(t):
-                # the first piece has no space before it: it is marked like one after a line break
-                p = ("\1" + t.replace("\n", " \0")).split(" ")
-                missing.update(p)
-                parts.append(p)
-            else:
-                whole.append(t or "")
-                parts.append(None)
-        if len(self.cache) > CACHE_ENTRIES:
-            self.cache.clear()
-        missing = [p for p in missing if p not in self.cache]
-        plain = [p[1:] if p[:1] in ("\0", "\1") else " " + p for p in missing]
-        for i in range(0, len(missing), 20_000):
-            for p, ids in zip(missing[i:i + 20_000], self._encode(plain[i:i + 20_000])):
-                self.cache[p] = self.newline + ids if p[0] == "\0" else ids
-        alone = iter(self._encode(whole) if whole else ())
-        get = self.cache.__getitem__
-        return [next(alone) if p is None else b"".join(map(get, p)) for p in parts]
+        self.fast = None
+        if vocabulary.ranks:
+            import tiktoken
+
+            with open(vocabulary.ranks, "rb") as lines:
+                ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
+            self.fast = tiktoken.Encoding("ranks", pat_str=vocabulary.pattern, mergeable_ranks=ranks, special_tokens={})
+
+    def encode(self, text: str | None) -> np.ndarray:
+        text = text or ""
+        if self.fast is None or self.LONG_STRETCH.search(text):
+            return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4")
+        return self.fast.encode_to_numpy(text, disallowed_special=()).astype("<u4", copy=False)
 
 
 @dataclass(frozen=True)
@@ -181,7 +168,7 @@ class Planner:
             at = stop
 
 
-def tokenise(df: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text",
+def tokenise(df: DataFrame, vocabulary: Vocabulary, id_col: str = "doc_id", text_col: str = "text",
              source_col: str = "source") -> DataFrame:
     """One row per document: queue, block, its first token in the block's queue, and its ids."""
     rows = df.select(
@@ -190,41 +177,38 @@ def tokenise(df: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_co
         .alias("queue"))
 
     def run(batches):
-        encoder = Encoder(tokenizer_path)
-        end = np.array([END_ID], "<u4").tobytes()
+        encoder = Encoder(vocabulary)
+        end = np.array([END_ID], "<u4")
         block, seen = TaskContext.get().partitionId(), {}
         for batch in batches:
-            texts = batch.column(1)
             for i in range(0, batch.num_rows, 512):
-                ids = [x + end for x in encoder.encode(texts.slice(i, 512).to_pylist())]
+                texts = batch.column(1).slice(i, 512)
                 queues = batch.column(2).slice(i, 512).to_pylist()
+                ids = [np.concatenate([encoder.encode(t.as_py()), end]) for t in texts]
                 starts = []
                 for q, x in zip(queues, ids):
                     starts.append(seen.get(q, 0))
-                    seen[q] = starts[-1] + len(x) // 4
-                if all(np.frombuffer(x, "<u4").max() < 65536 for x in ids):
-                    wide = 2
-                    ids = [np.frombuffer(x, "<u4").astype("<u2").tobytes() for x in ids]
-                else:
-                    wide = 4
+                    seen[q] = starts[-1] + len(x)
+                wide = 2 if max(int(x.max()) for x in ids) < 65536 else 4
                 n = len(ids)
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(i, n), pa.array(queues, pa.string()), pa.array([block] * n, pa.int64()),
-                     pa.array(starts, pa.int64()), pa.array([len(x) // wide for x in ids], pa.int64()),
-                     pa.array([wide] * n, pa.int32()), pa.array(ids, pa.binary())],
+                     pa.array(starts, pa.int64()), pa.array([len(x) for x in ids], pa.int64()),
+                     pa.array([wide] * n, pa.int32()),
+                     pa.array([x.astype(f"<u{wide}").tobytes() for x in ids], pa.binary())],
                     names=["doc_id", "queue", "block", "first", "tokens", "wide", "ids"])
 
     return rows.mapInArrow(run, "doc_id long, queue string, block long, first long, tokens long, wide int, ids binary")
 
 
-def pack(df: DataFrame, tokenizer_path: str, targets: dict | None = None, id_col: str = "doc_id",
+def pack(df: DataFrame, vocabulary: Vocabulary, targets: dict | None = None, id_col: str = "doc_id",
          text_col: str = "text", source_col: str = "source", sequence_tokens: int = SEQUENCE_TOKENS,
          window_sequences: int = WINDOW_SEQUENCES) -> DataFrame:
     """The pieces of every document, with their sequence and offset; ``source`` and ``ids`` come along.
 
     ``targets`` maps a source to its weight; sources it leaves out are served last.
     """
-    docs = stored(tokenise(df, tokenizer_path, id_col, text_col, source_col), "tokens")
+    docs = stored(tokenise(df, vocabulary, id_col, text_col, source_col), "tokens")
     sums = docs.groupBy("queue", "block").agg(F.sum("tokens").alias("n"))
     totals = {r["queue"]: r["n"] for r in sums.groupBy("queue").agg(F.sum("n").alias("n"))
               .limit(MAX_SOURCES + 1).collect()}

@@ -11,10 +11,10 @@ from chargeline.llm.frames import documents
 SHARDS = 40
 
 
-def tokenizer_path() -> str:
-    import public_tokenizers
+def vocabulary() -> packing.Vocabulary:
+    import public_tokenizers as files
 
-    return public_tokenizers.path("byte_bpe_50k.json")
+    return packing.Vocabulary(files.path("byte_bpe_50k.json"), files.path("byte_bpe_50k.tiktoken"), files.PATTERN)
 
 
 def benchmark(spark, sf_dir):
@@ -47,7 +47,7 @@ def op6_ngram_join(spark, sf_dir):
 
 
 def op7_packing(spark, sf_dir):
-    return packing.pack(documents(spark, sf_dir), tokenizer_path()).drop("ids", "source")
+    return packing.pack(documents(spark, sf_dir), vocabulary()).drop("ids", "source")
 
 
 def op8_pii(spark, sf_dir):

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from chargeline.llm import decontaminate, ngram_join, packing, pii, quality
 from chargeline.llm.frames import documents
-from chargeline.llm.queries import benchmark, tokenizer_path
+from chargeline.llm.queries import benchmark, vocabulary
 from chargeline.session import scratch_path
 
 
@@ -33,7 +33,7 @@ def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of all documents in sequences of 1024 tokens."""
-    return packing.pack(docs, tokenizer_path()).drop("ids", "source")
+    return packing.pack(docs, vocabulary()).drop("ids", "source")
 
 
 STAGES = [("quality_rules", quality_rules), ("near_duplicates", near_duplicates),
