@@ -45,6 +45,8 @@ FREQUENT = 500_000
 FREQUENT_FROM = 8
 #: N-grams gathered by a task before it sends its blocks.
 GATHER = 3_000_000
+#: Bits of the bitmap of documents whose n-grams are wanted (4 MB).
+MARKS = 1 << 25
 #: Nodes tested together with one hub in one task.
 HUB_GROUP = 512
 
@@ -112,52 +114,64 @@ def _frag_of(h: np.ndarray, fragments: int) -> np.ndarray:
     return ((h >> np.uint64(32)) * np.uint64(fragments)) >> np.uint64(32)
 
 
-def _profile(docs: DataFrame, fragments: int, k: int) -> DataFrame:
-    """Rows (doc_id, text_key, sig, n) of every document, and blocks (frag, block) of the upper 32 bits of all its n-grams."""
+def _nodes(docs: DataFrame, k: int) -> DataFrame:
+    """doc_id, text_key, sig and n (set size) of every document."""
+    def run(batches):
+        for batch in batches:
+            for a, b, data, off in tx.slices(batch.column(2)):
+                h, at = sets_of(data, off, k)
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0).slice(a, b - a), batch.column(1).slice(a, b - a), pa.array(signatures(h, at)),
+                     pa.array(np.diff(at).astype(np.int64))], names=["doc_id", "text_key", "sig", "n"])
+
+    return docs.select("doc_id", "text_key", "text").mapInArrow(run, "doc_id long, text_key long, sig long, n long")
+
+
+class _Fresh:
+    """Marks the sets that a task has not met before, so copies within it count once."""
+
+    def __init__(self):
+        self.done: set[tuple[int, int]] = set()
+
+    def __call__(self, sig: np.ndarray, n: np.ndarray) -> np.ndarray:
+        if len(self.done) > 500_000:
+            self.done.clear()
+        fresh = np.zeros(len(n), bool)
+        for i, key in enumerate(zip(sig.tolist(), n.tolist())):
+            if key[1] and key not in self.done:
+                self.done.add(key)
+                fresh[i] = True
+        return fresh
+
+
+def _all_grams(docs: DataFrame, fragments: int, k: int) -> DataFrame:
+    """Blocks (frag, block) of the upper 32 bits of all n-grams."""
+    bounds = np.array([-(-f * (1 << 32) // fragments) for f in range(fragments + 1)], np.uint64)
+
     def run(batches):
-        names = ["doc_id", "text_key", "sig", "n", "frag", "block"]
         held: list[np.ndarray] = []
-        done: set[tuple[int, int]] = set()
+        fresh = _Fresh()
 
         def blocks():
             top = np.sort(np.concatenate(held))
             held.clear()
-            cut = np.searchsorted(top, np.array([-(-f * (1 << 32) // fragments) for f in range(fragments + 1)],
-                                                np.uint64))
-            return [(f, zlib.compress(np.diff(top[cut[f]:cut[f + 1]], prepend=np.uint32(0)).tobytes(), 1))
+            cut = np.searchsorted(top, bounds)
+            rows = [(f, zlib.compress(np.diff(top[cut[f]:cut[f + 1]], prepend=np.uint32(0)).tobytes(), 1))
                     for f in range(fragments) if cut[f] < cut[f + 1]]
-
-        def batch_of(ids, keys, sig, n, found):
-            m = len(found)
-            return pa.RecordBatch.from_arrays(
-                [pa.concat_arrays([ids, pa.nulls(m, ids.type)]),
-                 pa.concat_arrays([keys, pa.nulls(m, pa.int64())]),
-                 pa.concat_arrays([pa.array(sig), pa.nulls(m, pa.int64())]),
-                 pa.concat_arrays([pa.array(n), pa.nulls(m, pa.int64())]),
-                 pa.concat_arrays([pa.nulls(len(ids), pa.int32()), pa.array([f for f, _ in found], pa.int32())]),
-                 pa.concat_arrays([pa.nulls(len(ids), pa.binary()), pa.array([b for _, b in found], pa.binary())])],
-                names=names)
+            return pa.RecordBatch.from_arrays([pa.array([f for f, _ in rows], pa.int32()),
+                                               pa.array([b for _, b in rows], pa.binary())], names=["frag", "block"])
 
         for batch in batches:
-            for a, b, data, off in tx.slices(batch.column(1)):
+            for _, _, data, off in tx.slices(batch.column(0)):
                 h, at = sets_of(data, off, k)
-                sig, n = signatures(h, at), np.diff(at).astype(np.int64)
-                fresh = np.zeros(b - a, bool)
-                for i, key in enumerate(zip(sig.tolist(), n.tolist())):
-                    if key not in done:  # copies within the task count once
-                        done.add(key)
-                        fresh[i] = True
-                held.append((h[np.repeat(fresh, n)] >> np.uint64(32)).astype(np.uint32))
-                full = sum(map(len, held)) >= GATHER
-                yield batch_of(batch.column(0).slice(a, b - a), batch.column(2).slice(a, b - a), sig, n,
-                               blocks() if full else [])
-            if len(done) > 500_000:
-                done.clear()
+                n = np.diff(at).astype(np.int64)
+                held.append((h[np.repeat(fresh(signatures(h, at), n), n)] >> np.uint64(32)).astype(np.uint32))
+                if sum(map(len, held)) >= GATHER:
+                    yield blocks()
         if held:
-            none = np.zeros(0, np.int64)
-            yield batch_of(pa.array(none), pa.array(none), none, none, blocks())
+            yield blocks()
 
-    return docs.mapInArrow(run, "doc_id long, text_key long, sig long, n long, frag int, block binary")
+    return docs.select("text").mapInArrow(run, "frag int, block binary")
 
 
 def _frequent(blocks: DataFrame, least: int) -> DataFrame:
@@ -198,7 +212,7 @@ def _prefixes(docs: DataFrame, order, fragments: int, k: int, limit: Threshold)
     def run(batches):
         held: list[tuple[np.ndarray, ...]] = []
         size = nodes = 0
-        done: set[tuple[int, int]] = set()
+        new = _Fresh()
 
         def blocks():
             h, which, place = (np.concatenate([x[c] for x in held]) for c in range(3))
@@ -226,11 +240,7 @@ def _prefixes(docs: DataFrame, order, fragments: int, k: int, limit: Threshold)
             for _, _, data, off in tx.slices(batch.column(0)):
                 h, at = sets_of(data, off, k)
                 sig, n = signatures(h, at), np.diff(at).astype(np.int64)
-                fresh = np.zeros(len(n), bool)
-                for i, key in enumerate(zip(sig.tolist(), n.tolist())):
-                    if key not in done:
-                        done.add(key)
-                        fresh[i] = n[i] > 0
+                fresh = new(sig, n)
                 doc = np.repeat(np.arange(len(n)), n)
                 ok = fresh[doc]
                 h, doc = h[ok], doc[ok]
@@ -245,8 +255,6 @@ def _prefixes(docs: DataFrame, order, fragments: int, k: int, limit: Threshold)
                 if size >= GATHER // 3:
                     yield batch_of()
                     size = nodes = 0
-            if len(done) > 500_000:
-                done.clear()
         if held:
             yield batch_of()
 
@@ -294,24 +302,36 @@ def _shared_grams(prefixes: DataFrame) -> DataFrame:
 # ------------------------------------------------------------------ testing pairs
 
 
-_NODE_SET = "sig long, n long, grams binary"
+def _sets(docs: DataFrame, nodes: DataFrame, rows: DataFrame, k: int) -> DataFrame:
+    """The n-grams, packed, of the named nodes (and of a few more).
 
+    One document of each node is marked in a bitmap of ``MARKS`` bits, which is
+    all that is broadcast; documents that are not marked are passed over.
+    """
+    reps = (rows.groupBy("sig", "n").agg(F.min("doc_id").alias("rep")).join(nodes, ["sig", "n"])
+            .select(F.pmod(F.xxhash64("rep"), F.lit(MARKS)).alias("bit")))
+    words = (reps.groupBy((F.col("bit") / 64).cast("int").alias("at"))
+             .agg(F.bit_or(F.expr("shiftleft(1L, cast(bit % 64 as int))")).alias("bits")).toArrow())
+    marks = np.zeros(MARKS // 64, np.uint64)
+    marks[words["at"].to_numpy()] = words["bits"].to_numpy().view(np.uint64)
+    shared = docs.sparkSession.sparkContext.broadcast(marks)
 
-def _sets(docs: DataFrame, nodes: DataFrame, k: int) -> DataFrame:
-    """The n-grams of the named nodes, packed; ``nodes`` has sig, n and the id of one document of each."""
     def run(batches):
+        fresh = _Fresh()
         for batch in batches:
-            want = batch.column(1).to_numpy(zero_copy_only=False)
-            for a, b, data, off in tx.slices(batch.column(0)):
+            bit = batch.column(0).to_numpy().astype(np.uint64)
+            marked = (shared.value[bit >> np.uint64(6)] >> (bit & np.uint64(63))) & np.uint64(1)
+            texts = batch.column(1).filter(pa.array(marked.astype(bool)))
+            for _, _, data, off in tx.slices(texts):
                 h, at = sets_of(data, off, k)
                 sig, n = signatures(h, at), np.diff(at).astype(np.int64)
-                mine = np.flatnonzero(sig == want[a:b])  # rows that share an id may hold another text
+                own = np.flatnonzero(fresh(sig, n))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(sig[mine]), pa.array(n[mine]),
-                     pa.array([_pack(h[at[i]:at[i + 1]]) for i in mine], pa.binary())], names=["sig", "n", "grams"])
+                    [pa.array(sig[own]), pa.array(n[own]),
+                     pa.array([_pack(h[at[i]:at[i + 1]]) for i in own], pa.binary())], names=["sig", "n", "grams"])
 
-    rows = docs.join(nodes.select(F.col("rep").alias("_rep"), "sig"), F.col("doc_id").eqNullSafe(F.col("_rep")))
-    return rows.select("text", "sig").mapInArrow(run, _NODE_SET).dropDuplicates(["sig", "n"])
+    return (docs.select(F.pmod(F.xxhash64("doc_id"), F.lit(MARKS)).alias("bit"), "text")
+            .mapInArrow(run, "sig long, n long, grams binary"))
 
 
 def _unpack(b: bytes) -> np.ndarray:
@@ -443,48 +463,57 @@ _PAIR = "a_sig long, a_n long, b_sig long, b_n long, shared int, a_place int, b_
 
 def _cross_pairs(members: DataFrame, limit: Threshold) -> DataFrame:
     """Pairs of nodes of different groups that share a prefix n-gram, with partial counts and last places."""
-    def solve(sig, n, place, group, out):
-        by = np.lexsort((sig, n))
-        sig, n, place, group = sig[by], n[by], place[by], group[by]
-        end = np.searchsorted(n, n * limit.den // limit.num, "right")  # sizes too far apart cannot link
-        for i in range(len(sig)):
-            j = np.arange(i + 1, end[i])
-            j = j[group[j] != group[i]]
-            if len(j):
-                one = np.full(len(j), 1, np.int32)
-                out.append((one.astype(np.int64) * sig[i], one.astype(np.int64) * n[i], sig[j], n[j], one,
-                            one * place[i], place[j].astype(np.int32)))
+    names = ["a_sig", "a_n", "b_sig", "b_n", "shared", "a_place", "b_place"]
+
+    def pairs(gram, sig, n, place, group):
+        """Pairs of whole n-grams: each row with the one d places on, for d = 1, 2, ... while any are of one n-gram."""
+        by = np.lexsort((sig, n, gram))
+        gram, sig, n, place, group = gram[by], sig[by], n[by], place[by], group[by]
+        live, d, got, size = np.arange(len(gram)), 0, [], 0
+        while True:
+            d += 1
+            live = live[live + d < len(gram)]
+            # sizes ascend, so a row that is too far from one is too far from all after it
+            live = live[(gram[live] == gram[live + d]) & (n[live + d] * limit.num <= n[live] * limit.den)]
+            if not len(live):
+                break
+            apart = live[group[live] != group[live + d]]
+            if len(apart):
+                got.append(np.stack([apart, apart + d]))
+                size += len(apart)
+                if size > 1_000_000:
+                    yield summed(np.concatenate(got, 1), sig, n, place)
+                    got, size = [], 0
+        if got:
+            yield summed(np.concatenate(got, 1), sig, n, place)
+
+    def summed(at, sig, n, place):
+        """One row per pair of nodes."""
+        a, b = at
+        by = np.lexsort((n[b], sig[b], n[a], sig[a]))
+        a, b = a[by], b[by]
+        new = np.r_[True, (sig[a[1:]] != sig[a[:-1]]) | (n[a[1:]] != n[a[:-1]]) | (sig[b[1:]] != sig[b[:-1]])
+                    | (n[b[1:]] != n[b[:-1]])]
+        first = np.flatnonzero(new)
+        count = np.diff(np.r_[first, len(a)])
+        cols = (sig[a[first]], n[a[first]], sig[b[first]], n[b[first]], count.astype(np.int32),
+                np.maximum.reduceat(place[a], first), np.maximum.reduceat(place[b], first))
+        return pa.RecordBatch.from_arrays([pa.array(c) for c in cols], names=names)
 
     def run(batches):
-        names = ["a_sig", "a_n", "b_sig", "b_n", "shared", "a_place", "b_place"]
-        tail, out = None, []
-
-        def rows():
-            got = pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*out)], names=names)
-            out.clear()
-            return got
-
-        def groups(gram, *columns):
-            edge = np.flatnonzero(np.r_[True, gram[1:] != gram[:-1], True])
-            for a, b in zip(edge[:-1], edge[1:]):
-                solve(*(c[a:b] for c in columns), out)
-                if sum(len(x[0]) for x in out) > 200_000:
-                    yield rows()
-
+        tail = None
         for batch in batches:
             cols = [c.to_numpy(zero_copy_only=False) for c in batch.columns]
             if tail is not None:
                 cols = [np.concatenate([t, c]) for t, c in zip(tail, cols)]
             if not len(cols[0]):
                 continue
-            cut = int(np.flatnonzero(cols[0] != cols[0][-1])[-1]) + 1 if (cols[0] != cols[0][-1]).any() else 0
+            cut = int(np.searchsorted(cols[0], cols[0][-1]))  # the last n-gram may go on in the next batch
             tail = [c[cut:] for c in cols]
             if cut:
-                yield from groups(*[c[:cut] for c in cols])
+                yield from pairs(*[c[:cut] for c in cols])
         if tail is not None and len(tail[0]):
-            yield from groups(*tail)
-        if out:
-            yield rows()
+            yield from pairs(*tail)
 
     return (members.select("gram", "sig", "n", "place", "group").repartition("gram").sortWithinPartitions("gram")
             .mapInArrow(run, _PAIR)
@@ -507,38 +536,46 @@ def groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int
     fragments = _fragments(spark)
     docs = df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"),
                      F.xxhash64(text_col).alias("text_key"))
-    profile = stored(_profile(docs, fragments, k), "profile")
-    rows = profile.where("frag is null").select("doc_id", "text_key", "sig", "n")
-    top = (_frequent(profile.where("frag is not null").select("frag", "block"), FREQUENT_FROM)
+    rows = stored(_nodes(docs, k), "nodes")
+    top = (_frequent(_all_grams(docs, fragments, k), FREQUENT_FROM)
            .orderBy(F.desc("df"), "top").limit(FREQUENT).toArrow())
     order = spark.sparkContext.broadcast(Order(top["top"].to_numpy(), top["df"].to_numpy()))
     members = stored(_shared_grams(_prefixes(docs, order, fragments, k, limit)), "members")
 
+    def may_link(pairs: DataFrame) -> DataFrame:
+        """Those whose shared prefix n-grams and the n-grams after the last of them could suffice."""
+        rest = F.least(F.col("a_n") - F.col("a_place") - 1, F.col("b_n") - F.col("b_place") - 1)
+        return pairs.where((F.col("shared") + rest) * (limit.num + limit.den)
+                           >= (F.col("a_n") + F.col("b_n")) * limit.num)
+
+    def tested(pairs: DataFrame, within: bool) -> DataFrame:
+        """Links among pairs (hub_sig, hub_n, sig, n)."""
+        pairs = settle(pairs)
+        nodes = pairs.select("sig", "n").union(pairs.select("hub_sig", "hub_n")).distinct()
+        sets = stored(_sets(docs, nodes, rows, k), "sets")
+        return settle(_test_groups(_hub_rows(pairs, sets), limit, within))
+
     # each node and the hub it shares most prefix n-grams with
-    hubs = members.groupBy("gram").agg(F.min(F.struct(_node("sig", "n").alias("h"), "sig", "n")).alias("hub"))
-    pairs = (members.join(hubs, "gram")
-             .select("sig", "n", F.col("hub.sig").alias("hub_sig"), F.col("hub.n").alias("hub_n"))
-             .where("(sig <> hub_sig or n <> hub_n) and least(n, hub_n) * "
-                    f"{limit.den} >= greatest(n, hub_n) * {limit.num}")
-             .groupBy("sig", "n", "hub_sig", "hub_n").agg(F.count(F.lit(1)).alias("c"))
-             .groupBy("sig", "n").agg(F.max(F.struct("c", "hub_sig", "hub_n")).alias("best"))
-             .select("sig", "n", "best.hub_sig", "best.hub_n"))
-    nodes = members.select("sig", "n").distinct()
-    reps = rows.groupBy("sig", "n").agg(F.min("doc_id").alias("rep"))
-    sets = stored(_sets(docs, nodes.join(reps, ["sig", "n"]), k), "sets")
-    links = settle(_test_groups(_hub_rows(pairs, sets), limit, within=True))
+    hubs = members.groupBy("gram").agg(F.min(F.struct(_node("sig", "n").alias("h"), "sig", "n", "place")).alias("hub"))
+    stars = (members.join(hubs, "gram").where("sig <> hub.sig or n <> hub.n")
+             .select(F.col("hub.sig").alias("a_sig"), F.col("hub.n").alias("a_n"), F.col("hub.place").alias("a_place"),
+                     F.col("sig").alias("b_sig"), F.col("n").alias("b_n"), F.col("place").alias("b_place"))
+             .groupBy("a_sig", "a_n", "b_sig", "b_n")
+             .agg(F.count(F.lit(1)).alias("shared"), F.max("a_place").alias("a_place"), F.max("b_place").alias("b_place"))
+             .where(f"least(a_n, b_n) * {limit.den} >= greatest(a_n, b_n) * {limit.num}"))
+    best = (may_link(stars).groupBy(F.col("b_sig").alias("sig"), F.col("b_n").alias("n"))
+            .agg(F.max(F.struct("shared", "a_sig", "a_n")).alias("best"))
+            .select("sig", "n", F.col("best.a_sig").alias("hub_sig"), F.col("best.a_n").alias("hub_n")))
+    links = tested(best, within=True)
     near = settle(_components(_edges(links)))
 
     # what shares a prefix n-gram and is still apart
     labelled = (members.withColumn("node", _node("sig", "n")).join(near, "node", "left")
                 .withColumn("group", F.coalesce("group", "node")))
     mixed = labelled.groupBy("gram").agg(F.min("group").alias("lo"), F.max("group").alias("hi")).where("lo <> hi")
-    cross = _cross_pairs(labelled.join(mixed.select("gram"), "gram"), limit)
-    rest = F.least(F.col("a_n") - F.col("a_place") - 1, F.col("b_n") - F.col("b_place") - 1)
-    cross = cross.where((F.col("shared") + rest) * (limit.num + limit.den) >= (F.col("a_n") + F.col("b_n")) * limit.num)
-    late = _test_groups(_hub_rows(cross.select(F.col("a_sig").alias("hub_sig"), F.col("a_n").alias("hub_n"),
-                                               F.col("b_sig").alias("sig"), F.col("b_n").alias("n")), sets),
-                        limit, within=False)
+    cross = may_link(_cross_pairs(labelled.join(mixed.select("gram"), "gram"), limit))
+    late = tested(cross.select(F.col("a_sig").alias("hub_sig"), F.col("a_n").alias("hub_n"),
+                               F.col("b_sig").alias("sig"), F.col("b_n").alias("n")), within=False)
     joined = settle(_components(_edges(links).unionByName(_edges(late))))
 
     tagged = rows.withColumn("node", _node("sig", "n")).join(joined, "node", "left").withColumn(
