@@ -12,12 +12,14 @@ of 0.8 or more; a group is a connected component of links. The result is exact.
   that many documents share out of the prefixes.
 * Linked sets share an n-gram of their prefixes (the first n - ceil(0.8 n) + 1
   in the order). Prefixes meet by fragment; those found twice name candidates.
-* Each node is first tested against the one node it shares most prefix n-grams
-  with among the fragment's hubs, together with the others of that hub. What
-  is then still in different groups and shares a prefix n-gram is tested
-  pairwise, after size and position filters on the summed partial counts. So
-  a group of m near copies costs about m tests, not m * m.
-* Overlaps are counted per fragment and the partial counts summed per pair.
+* In a few rounds each node is tested against the one node of another group it
+  shares most prefix n-grams with among the n-grams' hubs, together with the
+  other nodes of that hub. This joins most near copies to their group at about
+  one test each; it decides nothing else.
+* What is then still in different groups, shares a prefix n-gram and passes
+  filters on sizes and places is a pair to count: both sets are cut into
+  fragments, overlaps are counted per fragment in separate tasks, and the
+  partial counts are summed per pair.
 
 Texts with fewer than 5 words have their whole sequence as one shingle; texts
 without words (or null) are empty and linked with nothing. Repeated rows are
@@ -47,6 +49,10 @@ FREQUENT_FROM = 8
 GATHER = 3_000_000
 #: Bits of the bitmap of documents whose n-grams are wanted (4 MB).
 MARKS = 1 << 25
+#: Rounds of tests against hubs before all pairs that are still apart are listed.
+STAR_ROUNDS = 2
+#: Fragments in which the overlaps of those pairs are counted.
+FRAGMENTS = 2
 #: Nodes tested together with one hub in one task.
 HUB_GROUP = 512
 
@@ -302,8 +308,8 @@ def _shared_grams(prefixes: DataFrame) -> DataFrame:
 # ------------------------------------------------------------------ testing pairs
 
 
-def _sets(docs: DataFrame, nodes: DataFrame, rows: DataFrame, k: int) -> DataFrame:
-    """The n-grams, packed, of the named nodes (and of a few more).
+def _sets(docs: DataFrame, nodes: DataFrame, rows: DataFrame, k: int, parts: int) -> DataFrame:
+    """The n-grams, packed and cut into so many fragments, of the named nodes (and of a few more).
 
     One document of each node is marked in a bitmap of ``MARKS`` bits, which is
     all that is broadcast; documents that are not marked are passed over.
@@ -326,12 +332,18 @@ def _sets(docs: DataFrame, nodes: DataFrame, rows: DataFrame, k: int) -> DataFra
                 h, at = sets_of(data, off, k)
                 sig, n = signatures(h, at), np.diff(at).astype(np.int64)
                 own = np.flatnonzero(fresh(sig, n))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(sig[own]), pa.array(n[own]),
-                     pa.array([_pack(h[at[i]:at[i + 1]]) for i in own], pa.binary())], names=["sig", "n", "grams"])
+                for f in range(parts):
+                    packed = []
+                    for i in own:
+                        one = h[at[i]:at[i + 1]]
+                        a, b = np.searchsorted(_frag_of(one, parts), np.array([f, f + 1], np.uint64))
+                        packed.append(_pack(one[a:b]))
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(sig[own]), pa.array(n[own]), pa.array([f] * len(own), pa.int32()),
+                         pa.array(packed, pa.binary())], names=["sig", "n", "frag", "grams"])
 
     return (docs.select(F.pmod(F.xxhash64("doc_id"), F.lit(MARKS)).alias("bit"), "text")
-            .mapInArrow(run, "sig long, n long, grams binary"))
+            .mapInArrow(run, "sig long, n long, frag int, grams binary"))
 
 
 def _unpack(b: bytes) -> np.ndarray:
@@ -340,6 +352,8 @@ def _unpack(b: bytes) -> np.ndarray:
 
 def _overlaps(one: np.ndarray, others: np.ndarray, owner: np.ndarray, n_others: int) -> np.ndarray:
     """Shared n-grams of a set with each of several, whose n-grams lie one after the other."""
+    if not len(one):
+        return np.zeros(n_others, np.int64)
     at = np.searchsorted(one, others)
     at[at == len(one)] = 0
     return np.bincount(owner[one[at] == others], minlength=n_others)
@@ -348,88 +362,99 @@ def _overlaps(one: np.ndarray, others: np.ndarray, owner: np.ndarray, n_others:
 _EDGE = "a_sig long, a_n long, b_sig long, b_n long"
 
 
-def _test_groups(rows: DataFrame, limit: Threshold, within: bool) -> DataFrame:
-    """Links among nodes that came to one hub.
+def _by_hub(rows: DataFrame, solve, schema: str) -> DataFrame:
+    """Calls solve(lead, members, out) for the members (sig, n, grams) of each (hub, salt, frag), ``HUB_GROUP`` at a time.
 
-    ``rows`` has hub, salt, lead (true for the hub itself), sig, n and grams, and
-    is grouped by (hub, salt). With ``within`` the members are also tested
-    against each other as long as they lie in different groups.
+    ``rows`` has hub, salt, frag, lead (true for the hub itself), sig, n and grams.
     """
-    def solve(lead, members, out):
-        sets = [_unpack(m[2]) for m in members]
-        others = np.concatenate(sets)
-        owner = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
-        n = np.array([m[1] for m in members])
-
-        def links(sig, size, grams):
-            return np.flatnonzero(limit.links(_overlaps(grams, others, owner, len(sets)), n, size))
-
-        group = np.arange(len(members))
-        got = links(lead[0], lead[1], _unpack(lead[2]))
-        out += [(lead[0], lead[1], members[i][0], members[i][1]) for i in got]
-        if not within:
-            return
-        group[got] = len(members)
-        tested = 0
-        while tested < len(members):
-            # the first of the smallest group that was not tested yet
-            names, size = np.unique(group, return_counts=True)
-            if len(names) == 1:
-                break
-            i = tested
-            tested += 1
-            if size[np.searchsorted(names, group[i])] * 2 > len(members):
-                continue
-            for j in links(members[i][0], members[i][1], sets[i]):
-                if group[i] != group[j]:
-                    out.append((members[i][0], members[i][1], members[j][0], members[j][1]))
-                    group[group == group[j]] = group[i]
+    names = [c.split()[0] for c in schema.split(", ")]
 
     def run(batches):
         lead, members, current, out = None, [], None, []
 
-        def edges():
-            cols = list(zip(*out)) if out else [()] * 4
-            got = pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols],
-                                             names=["a_sig", "a_n", "b_sig", "b_n"])
+        def found():
+            got = pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out)], names=names)
             out.clear()
             return got
 
         for batch in batches:
-            for hub, salt, first, sig, n, grams in zip(*(batch.column(i).to_pylist() for i in range(6))):
-                if (hub, salt) != current:
+            for hub, salt, frag, first, sig, n, grams in zip(*(c.to_pylist() for c in batch.columns)):
+                if (hub, salt, frag) != current:
                     if members:
                         solve(lead, members, out)
-                    current, lead, members = (hub, salt), None, []
+                    current, lead, members = (hub, salt, frag), None, []
                 if first:
-                    lead = (sig, n, grams)
+                    lead = (sig, n, grams, frag)
                 else:
                     members.append((sig, n, grams))
                 if len(members) >= HUB_GROUP:
                     solve(lead, members, out)
                     members = []
             if out:
-                yield edges()
+                yield found()
         if members:
             solve(lead, members, out)
         if out:
-            yield edges()
+            yield found()
+
+    return (rows.select("hub", "salt", "frag", "lead", "sig", "n", "grams").repartition("hub", "salt", "frag")
+            .sortWithinPartitions("hub", "salt", "frag", F.desc("lead"), "sig").mapInArrow(run, schema))
+
+
+def _lined_up(members) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
+    """The sets of the members, all their n-grams one after the other, and the member of each."""
+    sets = [_unpack(m[2]) for m in members]
+    return sets, np.concatenate(sets), np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+
+
+def _test_groups(rows: DataFrame, limit: Threshold) -> DataFrame:
+    """Links between a hub and its members, and among members that are not yet in one group."""
+    def solve(lead, members, out):
+        sets, others, owner = _lined_up(members)
+        n = np.array([m[1] for m in members])
+
+        def links(size, grams):
+            return np.flatnonzero(limit.links(_overlaps(grams, others, owner, len(sets)), n, size))
+
+        group = np.arange(len(members))
+        got = links(lead[1], _unpack(lead[2]))
+        out += [(lead[0], lead[1], members[i][0], members[i][1]) for i in got]
+        group[got] = len(members)
+        for i in range(len(members)):
+            names, size = np.unique(group, return_counts=True)
+            if len(names) == 1:
+                break
+            if size[np.searchsorted(names, group[i])] * 2 > len(members):
+                continue  # those outside the largest group look for it
+            for j in links(members[i][1], sets[i]):
+                if group[i] != group[j]:
+                    out.append((members[i][0], members[i][1], members[j][0], members[j][1]))
+                    group[group == group[j]] = group[i]
+
+    return _by_hub(rows, solve, _EDGE)
 
-    return (rows.select("hub", "salt", "lead", "sig", "n", "grams").repartition("hub", "salt")
-            .sortWithinPartitions("hub", "salt", F.desc("lead"), "sig").mapInArrow(run, _EDGE))
+
+def _partial_overlaps(rows: DataFrame) -> DataFrame:
+    """Shared n-grams of a hub with each member, counted within a fragment."""
+    def solve(lead, members, out):
+        sets, others, owner = _lined_up(members)
+        shared = _overlaps(_unpack(lead[2]), others, owner, len(sets))
+        out += [(lead[0], lead[1], members[i][0], members[i][1], lead[3], int(shared[i])) for i in np.flatnonzero(shared)]
+
+    return _by_hub(rows, solve, _EDGE + ", frag long, shared long")
 
 
 def _hub_rows(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """Rows for ``_test_groups`` from pairs (hub_sig, hub_n, sig, n); large hubs are dealt over several tasks."""
+    """Rows for ``_by_hub`` from pairs (hub_sig, hub_n, sig, n); large hubs are dealt over several tasks."""
     hub = F.xxhash64("hub_sig", "hub_n")
     size = pairs.groupBy("hub_sig", "hub_n").agg(F.count(F.lit(1)).alias("m")).withColumn(
         "salts", (F.floor(F.col("m") / HUB_GROUP) + 1).cast("int"))
     members = (pairs.join(size, ["hub_sig", "hub_n"]).join(sets, ["sig", "n"])
                .select(hub.alias("hub"), F.pmod(F.xxhash64("sig", "n"), F.col("salts")).cast("int").alias("salt"),
-                       F.lit(False).alias("lead"), "sig", "n", "grams"))
+                       F.lit(False).alias("lead"), "sig", "n", "frag", "grams"))
     leads = (size.withColumnsRenamed({"hub_sig": "sig", "hub_n": "n"}).join(sets, ["sig", "n"])
              .select(F.xxhash64("sig", "n").alias("hub"), F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"),
-                     F.lit(True).alias("lead"), "sig", "n", "grams"))
+                     F.lit(True).alias("lead"), "sig", "n", "frag", "grams"))
     return members.unionByName(leads)
 
 
@@ -458,12 +483,12 @@ def _components(edges: DataFrame) -> DataFrame:
         e.select(F.col("v").alias("node"), F.col("v").alias("group")).distinct())
 
 
-_PAIR = "a_sig long, a_n long, b_sig long, b_n long, shared int, a_place int, b_place int"
+_PAIR = "a_sig long, a_n long, b_sig long, b_n long"
 
 
 def _cross_pairs(members: DataFrame, limit: Threshold) -> DataFrame:
-    """Pairs of nodes of different groups that share a prefix n-gram, with partial counts and last places."""
-    names = ["a_sig", "a_n", "b_sig", "b_n", "shared", "a_place", "b_place"]
+    """Pairs of nodes of different groups that share a prefix n-gram and could link from there on."""
+    names = ["a_sig", "a_n", "b_sig", "b_n"]
 
     def pairs(gram, sig, n, place, group):
         """Pairs of whole n-grams: each row with the one d places on, for d = 1, 2, ... while any are of one n-gram."""
@@ -478,27 +503,27 @@ def _cross_pairs(members: DataFrame, limit: Threshold) -> DataFrame:
             if not len(live):
                 break
             apart = live[group[live] != group[live + d]]
+            # as the first n-gram that a pair shares: could what comes after it suffice in both sets?
+            rest = np.minimum(n[apart] - place[apart], n[apart + d] - place[apart + d])
+            apart = apart[limit.links(rest, n[apart], n[apart + d])]
             if len(apart):
                 got.append(np.stack([apart, apart + d]))
                 size += len(apart)
                 if size > 1_000_000:
-                    yield summed(np.concatenate(got, 1), sig, n, place)
+                    yield distinct(np.concatenate(got, 1), sig, n)
                     got, size = [], 0
         if got:
-            yield summed(np.concatenate(got, 1), sig, n, place)
+            yield distinct(np.concatenate(got, 1), sig, n)
 
-    def summed(at, sig, n, place):
+    def distinct(at, sig, n):
         """One row per pair of nodes."""
         a, b = at
         by = np.lexsort((n[b], sig[b], n[a], sig[a]))
         a, b = a[by], b[by]
         new = np.r_[True, (sig[a[1:]] != sig[a[:-1]]) | (n[a[1:]] != n[a[:-1]]) | (sig[b[1:]] != sig[b[:-1]])
                     | (n[b[1:]] != n[b[:-1]])]
-        first = np.flatnonzero(new)
-        count = np.diff(np.r_[first, len(a)])
-        cols = (sig[a[first]], n[a[first]], sig[b[first]], n[b[first]], count.astype(np.int32),
-                np.maximum.reduceat(place[a], first), np.maximum.reduceat(place[b], first))
-        return pa.RecordBatch.from_arrays([pa.array(c) for c in cols], names=names)
+        a, b = a[new], b[new]
+        return pa.RecordBatch.from_arrays([pa.array(c) for c in (sig[a], n[a], sig[b], n[b])], names=names)
 
     def run(batches):
         tail = None
@@ -516,9 +541,7 @@ def _cross_pairs(members: DataFrame, limit: Threshold) -> DataFrame:
             yield from pairs(*tail)
 
     return (members.select("gram", "sig", "n", "place", "group").repartition("gram").sortWithinPartitions("gram")
-            .mapInArrow(run, _PAIR)
-            .groupBy("a_sig", "a_n", "b_sig", "b_n")
-            .agg(F.sum("shared").alias("shared"), F.max("a_place").alias("a_place"), F.max("b_place").alias("b_place")))
+            .mapInArrow(run, _PAIR).distinct())
 
 
 def _node(sig: str, n: str):
@@ -529,6 +552,16 @@ def _edges(links: DataFrame) -> DataFrame:
     return links.select(_node("a_sig", "a_n").alias("u"), _node("b_sig", "b_n").alias("v"))
 
 
+def _labelled(members: DataFrame, near: DataFrame | None) -> DataFrame:
+    """Members with their group so far (a node alone is its own) and the group's size."""
+    out = members.withColumn("node", _node("sig", "n"))
+    if near is None:
+        return out.withColumn("group", F.col("node")).withColumn("weight", F.lit(1).cast("long"))
+    sized = near.join(near.groupBy("group").agg(F.count(F.lit(1)).alias("weight")), "group")
+    return (out.join(sized, "node", "left").withColumn("group", F.coalesce("group", "node"))
+            .withColumn("weight", F.coalesce("weight", F.lit(1).cast("long"))))
+
+
 def groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = SHINGLE,
            limit: Threshold = DEFAULT_THRESHOLD) -> DataFrame:
     """doc_id, text_key, n_shingles and component_id (the group's smallest doc_id) of every row."""
@@ -542,40 +575,43 @@ def groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int
     order = spark.sparkContext.broadcast(Order(top["top"].to_numpy(), top["df"].to_numpy()))
     members = stored(_shared_grams(_prefixes(docs, order, fragments, k, limit)), "members")
 
-    def may_link(pairs: DataFrame) -> DataFrame:
-        """Those whose shared prefix n-grams and the n-grams after the last of them could suffice."""
-        rest = F.least(F.col("a_n") - F.col("a_place") - 1, F.col("b_n") - F.col("b_place") - 1)
-        return pairs.where((F.col("shared") + rest) * (limit.num + limit.den)
-                           >= (F.col("a_n") + F.col("b_n")) * limit.num)
-
-    def tested(pairs: DataFrame, within: bool) -> DataFrame:
-        """Links among pairs (hub_sig, hub_n, sig, n)."""
+    def rows_of(pairs: DataFrame, parts: int) -> DataFrame:
         pairs = settle(pairs)
         nodes = pairs.select("sig", "n").union(pairs.select("hub_sig", "hub_n")).distinct()
-        sets = stored(_sets(docs, nodes, rows, k), "sets")
-        return settle(_test_groups(_hub_rows(pairs, sets), limit, within))
-
-    # each node and the hub it shares most prefix n-grams with
-    hubs = members.groupBy("gram").agg(F.min(F.struct(_node("sig", "n").alias("h"), "sig", "n", "place")).alias("hub"))
-    stars = (members.join(hubs, "gram").where("sig <> hub.sig or n <> hub.n")
-             .select(F.col("hub.sig").alias("a_sig"), F.col("hub.n").alias("a_n"), F.col("hub.place").alias("a_place"),
-                     F.col("sig").alias("b_sig"), F.col("n").alias("b_n"), F.col("place").alias("b_place"))
-             .groupBy("a_sig", "a_n", "b_sig", "b_n")
-             .agg(F.count(F.lit(1)).alias("shared"), F.max("a_place").alias("a_place"), F.max("b_place").alias("b_place"))
-             .where(f"least(a_n, b_n) * {limit.den} >= greatest(a_n, b_n) * {limit.num}"))
-    best = (may_link(stars).groupBy(F.col("b_sig").alias("sig"), F.col("b_n").alias("n"))
-            .agg(F.max(F.struct("shared", "a_sig", "a_n")).alias("best"))
-            .select("sig", "n", F.col("best.a_sig").alias("hub_sig"), F.col("best.a_n").alias("hub_n")))
-    links = tested(best, within=True)
-    near = settle(_components(_edges(links)))
+        return _hub_rows(pairs, stored(_sets(docs, nodes, rows, k, parts), "sets"))
+
+    # each node and the hub it shares most prefix n-grams with; a hub lies in the n-gram's largest group, and each
+    # round picks others, so few near copies stay apart from their group
+    links, near = None, None
+    for turn in range(STAR_ROUNDS):
+        here = _labelled(members, near).withColumn("h", F.xxhash64(F.lit(turn), "sig", "n"))
+        hubs = here.groupBy("gram").agg(
+            F.min(F.struct(-F.col("weight"), "h", "sig", "n", "place", "group")).alias("hub"))
+        stars = (here.join(hubs, "gram").where("`group` <> hub.`group`")
+                 .select(F.col("hub.sig").alias("a_sig"), F.col("hub.n").alias("a_n"),
+                         F.col("hub.place").alias("a_place"), F.col("sig").alias("b_sig"), F.col("n").alias("b_n"),
+                         F.col("place").alias("b_place"))
+                 .where(f"least(a_n, b_n) * {limit.den} >= greatest(a_n, b_n) * {limit.num} and least(a_n - a_place, "
+                        f"b_n - b_place) * {limit.num + limit.den} >= (a_n + b_n) * {limit.num}")
+                 .groupBy("a_sig", "a_n", "b_sig", "b_n").agg(F.count(F.lit(1)).alias("shared")))
+        best = (stars.groupBy(F.col("b_sig").alias("sig"), F.col("b_n").alias("n"))
+                .agg(F.max(F.struct("shared", "a_sig", "a_n")).alias("best"))
+                .select("sig", "n", F.col("best.a_sig").alias("hub_sig"), F.col("best.a_n").alias("hub_n")))
+        more = settle(_test_groups(rows_of(best, 1), limit))
+        links = more if links is None else settle(links.unionByName(more))
+        near = settle(_components(_edges(links)))
 
     # what shares a prefix n-gram and is still apart
-    labelled = (members.withColumn("node", _node("sig", "n")).join(near, "node", "left")
-                .withColumn("group", F.coalesce("group", "node")))
+    labelled = _labelled(members, near)
     mixed = labelled.groupBy("gram").agg(F.min("group").alias("lo"), F.max("group").alias("hi")).where("lo <> hi")
-    cross = may_link(_cross_pairs(labelled.join(mixed.select("gram"), "gram"), limit))
-    late = tested(cross.select(F.col("a_sig").alias("hub_sig"), F.col("a_n").alias("hub_n"),
-                               F.col("b_sig").alias("sig"), F.col("b_n").alias("n")), within=False)
+    cross = _cross_pairs(labelled.join(mixed.select("gram"), "gram"), limit)
+    partial = _partial_overlaps(rows_of(cross.select(
+        F.col("a_sig").alias("hub_sig"), F.col("a_n").alias("hub_n"), F.col("b_sig").alias("sig"),
+        F.col("b_n").alias("n")), FRAGMENTS))
+    # two tasks may have packed the same set, so a fragment's count can come twice
+    late = (partial.groupBy("a_sig", "a_n", "b_sig", "b_n", "frag").agg(F.max("shared").alias("shared"))
+            .groupBy("a_sig", "a_n", "b_sig", "b_n").agg(F.sum("shared").alias("shared"))
+            .where(limit.links(F.col("shared"), F.col("a_n"), F.col("b_n"))))
     joined = settle(_components(_edges(links).unionByName(_edges(late))))
 
     tagged = rows.withColumn("node", _node("sig", "n")).join(joined, "node", "left").withColumn(
