@@ -38,7 +38,7 @@ def number_text(col: Column | str) -> Column:
 
 def title_case(col: Column | str) -> Column:
     c = F.col(col) if isinstance(col, str) else col
-    return F.concat(F.upper(F.substring(c, 1, 1)), F.lower(F.substring(c, 2, 1 << 20)))
+    return F.concat(F.upper(F.substring(c, 1, 1)), F.lower(F.substr(c, F.lit(2))))
 
 
 def html_escape(col: Column | str) -> Column:

@@ -60,7 +60,7 @@ def attach_plans(totals: DataFrame, customers: DataFrame, rate_plans: DataFrame,
     """B07/B08 + the plan facts of B09-B11 (one plan row per id, so one join)."""
     cust = customers.select("msisdn", "customer_name", "rate_plan_id", "student", "region",
                             "activation_date")
-    plans = broadcast_if_small(rate_plans, rules.broadcast_row_limit)
+    plans = broadcast_if_small(rate_plans)
     svc = F.col("service_type")
     joined = totals.join(cust, "msisdn", "inner").join(plans, "rate_plan_id", "left")
     return joined.select(
@@ -78,12 +78,12 @@ def attach_plans(totals: DataFrame, customers: DataFrame, rate_plans: DataFrame,
 
 def service_costs(df: DataFrame) -> DataFrame:
     """Free allowances and tiers -> voice/sms/data cost (NULL -> 0)."""
-    minutes, free = F.col("voice_usage_minutes"), F.col("voice_free_minutes")
+    minutes, free = F.col("voice_usage_minutes"), F.coalesce("voice_free_minutes", F.lit(0))
     billable = F.when(minutes > free, minutes - free).otherwise(0.0)
     df = df.withColumn("voice_billable_minutes", billable)
     b = F.col("voice_billable_minutes")
     voice = F.when((b > 0) & (minutes > 0), F.col("voice_cost_rated") * (b / minutes)).otherwise(0.0)
-    count, sfree = F.col("sms_usage_count"), F.col("sms_free_units")
+    count, sfree = F.col("sms_usage_count"), F.coalesce("sms_free_units", F.lit(0))
     sms = F.when(count > sfree, (count - sfree) * F.col("sms_unit_price")).otherwise(0.0)
     mb, thr = F.col("data_usage_mb"), F.col("data_threshold_mb")
     data = F.when(mb <= thr, F.col("data_cost_rated")).otherwise(

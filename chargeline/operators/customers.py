@@ -30,8 +30,7 @@ def eligible(customers: DataFrame) -> DataFrame:
 def by_service(customers: DataFrame, rate_plans: DataFrame,
                rules: Rules = DEFAULT_RULES) -> DataFrame:
     """Active subscribers per service of their plan."""
-    plans = broadcast_if_small(rate_plans.select("rate_plan_id", "service_type"),
-                               rules.broadcast_row_limit)
+    plans = broadcast_if_small(rate_plans.select("rate_plan_id", "service_type"))
     return (eligible(customers).join(plans, "rate_plan_id", "inner")
             .groupBy("service_type").agg(F.count(F.lit(1)).alias("customer_count")))
 

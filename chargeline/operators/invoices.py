@@ -24,7 +24,7 @@ def view(invoices: DataFrame, customers: DataFrame, rate_plans: DataFrame,
     subscriber's plan (0 / 'Unknown Plan' when the plan is not of that service);
     the VAT line is the residual of the total over subtotal + fee, and only the
     seasonal discount is shown (as printed by the source system)."""
-    plans = broadcast_if_small(rate_plans, rules.broadcast_row_limit)
+    plans = broadcast_if_small(rate_plans)
     joined = (invoices.join(customers.select("msisdn", "rate_plan_id"), "msisdn", "left")
               .join(plans, "rate_plan_id", "left"))
     svc = F.col("service_type")
@@ -78,7 +78,7 @@ def breakdown_view(bd: DataFrame, rate_plans: DataFrame, rules: Rules = DEFAULT_
     the discounted total, every discount line), rounded like the invoice."""
     from chargeline.operators.billing import invoice_identity
 
-    plans = broadcast_if_small(rate_plans.select("rate_plan_id", "plan_name"), rules.broadcast_row_limit)
+    plans = broadcast_if_small(rate_plans.select("rate_plan_id", "plan_name"))
     usage_disc = F.col("subtotal_before_discounts") - F.col("net_after_usage_discounts")
     total_disc = (usage_disc + F.col("total_spending_discount") + F.col("student_discount")
                   + F.col("urban_discount") + F.col("loyalty_discount") + F.col("seasonal_discount"))

@@ -2,50 +2,28 @@
 
 from __future__ import annotations
 
-import time
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# (plan hash, limit) -> (checked at, is small). A proven bound is reused for a
-# few minutes so that building many queries over the same dimension does not
-# re-run the check; after that it is proven again (the table may have grown).
-_SIZE_PROOFS: dict[tuple[int, int], tuple[float, bool]] = {}
-_PROOF_TTL_S = 300.0
+BROADCAST_BYTES = 8 << 20
 
 
-def broadcast_if_small(dim: DataFrame, max_rows: int) -> DataFrame:
-    """Broadcast ``dim`` only after proving it has at most ``max_rows`` rows.
+def broadcast_if_small(dim: DataFrame, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """Broadcast a dimension whose planned size is at most ``max_bytes``.
 
-    The proof is a bounded count (``limit(max_rows + 1)``), so it never reads
-    more than ``max_rows + 1`` rows. A larger dimension is left to the planner
-    (sort-merge join, or AQE's own size-checked broadcast at run time).
+    The size is the optimised plan's own statistic, so no job runs. A larger
+    dimension is left to the planner (and to AQE's byte threshold at run time).
     """
-    key = (dim.semanticHash(), max_rows)
-    now = time.monotonic()
-    hit = _SIZE_PROOFS.get(key)
-    if hit is None or now - hit[0] > _PROOF_TTL_S:
-        hit = (now, dim.limit(max_rows + 1).count() <= max_rows)
-        _SIZE_PROOFS[key] = hit
-    return F.broadcast(dim) if hit[1] else dim
+    size = int(str(dim._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return F.broadcast(dim) if size <= max_bytes else dim
 
 
-def new_keys_only(batch: DataFrame, existing: DataFrame | None, key: str,
-                  partition_col: str | None = None, touched: DataFrame | None = None) -> DataFrame:
+def new_keys_only(batch: DataFrame, existing: DataFrame | None, key: str) -> DataFrame:
     """Rows of ``batch`` whose ``key`` is not in ``existing`` (left anti join).
 
-    When ``existing`` is partitioned by ``partition_col``, it is first
-    semi-joined with the partition values the batch touches, which lets Spark
-    prune every other partition (dynamic partition pruning): an incremental
-    run reads the months it writes, not the whole history. ``touched`` may
-    supply those partition values (any superset is correct) from a cheaper
-    lineage than ``batch``.
+    The key alone decides: a record that comes again with another event time,
+    or with none, is still the same record. Only the key column is read.
     """
     if existing is None:
         return batch
-    stored = existing
-    if partition_col and partition_col in existing.columns and partition_col in batch.columns:
-        if touched is None:
-            touched = batch.select(partition_col)
-        stored = existing.join(touched.distinct(), partition_col, "left_semi")
-    return batch.join(stored.select(key), key, "left_anti")
+    return batch.join(existing.select(key), key, "left_anti")

@@ -40,7 +40,7 @@ def key_violations(tables: Mapping[str, tuple[DataFrame, str]]) -> DataFrame:
 def foreign_key_violations(rated: DataFrame, rate_plans: DataFrame,
                            rules: Rules = DEFAULT_RULES) -> DataFrame:
     """Q02: rated records whose plan id is not in the plan catalogue."""
-    plans = broadcast_if_small(rate_plans.select("rate_plan_id"), rules.broadcast_row_limit)
+    plans = broadcast_if_small(rate_plans.select("rate_plan_id"))
     return (rated.filter(F.col("rate_plan_id").isNotNull())
             .join(plans, "rate_plan_id", "left_anti")
             .select("record_id", "rate_plan_id", "rating_status"))

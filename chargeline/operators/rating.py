@@ -22,15 +22,14 @@ def dedupe_input(records: DataFrame) -> DataFrame:
     """One row per record_id, deterministic survivor."""
     return dedupe(records.select(*_INPUT_COLUMNS), ["record_id"], ["timestamp"])
 
-def not_yet_rated(records: DataFrame, rated: DataFrame | None,
-                  months: DataFrame | None = None) -> DataFrame:
+def not_yet_rated(records: DataFrame, rated: DataFrame | None) -> DataFrame:
     """Drop records whose id is already in the rated table.
 
     An absent table is an explicit ``None`` (first run), not a swallowed error.
-    Expects ``billing_month`` on ``records`` (``with_event_time``); only the
-    rated partitions of the months this batch touches are read.
+    The record id alone decides, so a record without an event time, rated under
+    an earlier ``as_of``, is not rated again in another month.
     """
-    return new_keys_only(records, rated, "record_id", "billing_month", months)
+    return new_keys_only(records, rated, "record_id")
 
 
 def with_event_time(records: DataFrame, rules: Rules = DEFAULT_RULES) -> DataFrame:
@@ -48,10 +47,8 @@ def enrich(records: DataFrame, customers: DataFrame, rate_plans: DataFrame,
         F.col("rate_plan_id").alias("customer_rate_plan_id"),
         F.col("status").alias("customer_status"),
         "region", "student", "activation_date")
-    plans = broadcast_if_small(
-        rate_plans.select(F.col("rate_plan_id").alias("plan_id"), "plan_name", "service_type",
-                          "unit_price"),
-        rules.broadcast_row_limit)
+    plans = broadcast_if_small(rate_plans.select(F.col("rate_plan_id").alias("plan_id"), "plan_name",
+                                                 "service_type", "unit_price"))
     with_customer = records.join(cust, "msisdn", "left")
     return (with_customer
             .join(plans, (F.col("customer_rate_plan_id") == F.col("plan_id"))
@@ -138,10 +135,7 @@ def rate(records: DataFrame, customers: DataFrame, rate_plans: DataFrame,
     """
     unique = records.select(*_INPUT_COLUMNS) if input_unique else dedupe_input(records)
     timed = with_event_time(unique, rules)
-    # months of the raw input (a superset of the survivors' months): a narrow
-    # scan, so the history check does not recompute the de-duplication
-    months = with_event_time(records.select("timestamp"), rules).select("billing_month")
-    fresh = not_yet_rated(timed, already_rated, months)
+    fresh = not_yet_rated(timed, already_rated)
     enriched = enrich(fresh, customers, rate_plans, rules)
     return project_rated(price(enriched, rules))
 

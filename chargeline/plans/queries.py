@@ -377,7 +377,7 @@ def stream_normalized_store(spark, sf_dir):
     table = f"{base}/normalized_records"
     for replay in range(2):
         ms.start_normalized_store(spark, f"{base}/valid", table,
-                                  f"{base}/store-checkpoint-{replay}").awaitTermination(600)
+                                  f"{base}/store-checkpoint-{replay}").awaitTermination()
     return spark.read.parquet(table).select(*NORMALIZED.fieldNames())
 
 
@@ -392,7 +392,7 @@ def stream_mediation_single_read(spark, sf_dir):
         messages.write.mode("append").text(inbox)
         ms.start_mediation_store(ms.usage_source(spark, "text", path=inbox),
                                  normalized_path=f"{base}/normalized", dead_path=f"{base}/dead",
-                                 checkpoint=f"{base}/checkpoint").awaitTermination(600)
+                                 checkpoint=f"{base}/checkpoint").awaitTermination()
     return spark.read.parquet(f"{base}/normalized").select(*NORMALIZED.fieldNames())
 
 

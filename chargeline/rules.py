@@ -66,9 +66,9 @@ class Rules:
     # half-open [start, end) by default; True reproduces an inclusive end bound
     inclusive_period_end: bool = False
     # streaming de-duplication horizon on event time
-    dedup_watermark: str = "1 hour"
+    # None: exact streaming de-duplication; a duration bounds its state and drops later rows
+    dedup_watermark: str | None = None
     # dimensions below this many rows are broadcast; larger ones shuffle
-    broadcast_row_limit: int = 1_000_000
 
     def __post_init__(self):
         if self.period_end <= self.period_start:
@@ -81,7 +81,7 @@ class Rules:
                 raise ValueError(f"{name} must be within [0, 1], got {getattr(self, name)}")
         if not 1 <= self.seasonal_month <= 12:
             raise ValueError(f"seasonal_month must be 1..12, got {self.seasonal_month}")
-        if self.broadcast_row_limit < 0 or self.report_row_limit < 0:
+        if self.report_row_limit < 0:
             raise ValueError("row limits must not be negative")
 
     @property

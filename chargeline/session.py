@@ -57,6 +57,8 @@ def checkpoint_root(spark: SparkSession) -> str:
     sc = spark.sparkContext
     root = sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not root:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         root = tempfile.mkdtemp(prefix="chargeline-ckpt-")
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(root)
@@ -93,7 +95,7 @@ def input_bytes(spark: SparkSession, paths: list[str]) -> int:
 
 def size_shuffle_partitions(spark: SparkSession, paths: list[str],
                             target_bytes: int = 128 << 20, expansion: float = 3.0,
-                            minimum: int = 8, maximum: int = 200_000) -> int:
+                            minimum: int = 8) -> int:
     """Set the initial shuffle partition count from the input size.
 
     AQE only merges small shuffle partitions (and splits skewed join
@@ -103,7 +105,7 @@ def size_shuffle_partitions(spark: SparkSession, paths: list[str],
     should hold about ``target_bytes``. AQE then coalesces the excess.
     """
     n = int(input_bytes(spark, paths) * expansion / target_bytes) + 1
-    n = max(minimum, min(maximum, n))
+    n = max(minimum, n)
     spark.conf.set("spark.sql.shuffle.partitions", str(n))
     spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(n))
     return n

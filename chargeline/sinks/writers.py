@@ -62,7 +62,7 @@ def idempotent_append(spark: SparkSession, batch: DataFrame, path: str, key: str
     from chargeline.operators.dedup import dedupe
 
     existing = read_table_or_none(spark, path)
-    fresh = new_keys_only(dedupe(batch, [key]), existing, key, partition_col)
+    fresh = new_keys_only(dedupe(batch, [key]), existing, key)
     append_partitioned(fresh, path, partition_col)
 
 

@@ -5,9 +5,10 @@ Sources give one interface, a streaming DataFrame with a text column
 tests and backfills. The same batch transforms (parse, normalise, validate)
 run inside the streaming plan.
 
-* valid records are de-duplicated by record_id within an event-time
-  watermark, so the state is bounded (rows later than the watermark are
-  dropped and counted in the query progress);
+* valid records are de-duplicated by record_id. By default this is exact and
+  loses nothing; its state (record ids, on local disk) grows with the stream.
+  ``rules.dedup_watermark`` bounds the state and then drops rows later than
+  it. ``start_mediation_store`` keeps no state and loses nothing;
 * dead letters pass through unchanged (no state);
 * the normalised store is a ``foreachBatch`` idempotent append keyed by
   record_id: a replayed micro-batch writes nothing twice, and errors fail the
@@ -50,6 +51,8 @@ def mediated_stream(messages: DataFrame, rules: Rules = DEFAULT_RULES) -> DataFr
 
 def valid_stream(messages: DataFrame, rules: Rules = DEFAULT_RULES) -> DataFrame:
     valid = mediation.valid_records(mediated_stream(messages, rules))
+    if rules.dedup_watermark is None:
+        return valid.dropDuplicates(["record_id"])
     # watermarks need an instant-typed column; the wall-clock NTZ time is
     # read in the session zone (pinned to UTC) and dropped afterwards
     return (valid.withColumn("_event_time", F.col("timestamp").cast("timestamp"))
@@ -134,7 +137,7 @@ def mediate_and_store_batch(normalized_path: str, dead_path: str, rules: Rules =
       batch rewrites its own partition: exactly once);
     * valid records -> idempotent append keyed by record_id into the
       normalised store, partitioned by month (duplicates within the batch and
-      against the store are dropped; only touched months are read).
+      against the store are dropped, whatever their event times).
     """
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
@@ -167,9 +170,13 @@ def run_until_any_stops(spark: SparkSession) -> None:
     spark.streams.awaitAnyTermination()
 
 
-def await_all(queries: list[StreamingQuery], timeout_s: int = 600) -> None:
+def await_all(queries: list[StreamingQuery], timeout_s: int | None = None) -> None:
+    """Wait for all queries; with a timeout, a query still running by then is an error."""
     for q in queries:
-        q.awaitTermination(timeout_s)
+        if timeout_s is None:
+            q.awaitTermination()
+        elif not q.awaitTermination(timeout_s):
+            raise TimeoutError(f"streaming query {q.name or q.id} did not end within {timeout_s} s")
         if q.exception() is not None:
             raise q.exception()
 
