@@ -8,8 +8,11 @@ start from identical rows); every rule is re-stated here in SQL.
 
 from __future__ import annotations
 
+import datetime as dt
+from dataclasses import replace
+
 from chargeline.rules import DEFAULT_RULES, Rules
-from chargeline.sources.fixtures import (CUSTOMER_EXPRS, ORDERS_USAGE_EXPRS, RATE_PLAN_ROWS,
+from chargeline.sources.fixtures import (CUSTOMER_EXPRS, NO_TIME_USAGE_EXPRS, ORDERS_USAGE_EXPRS, RATE_PLAN_ROWS,
                                         USAGE_EXPRS)
 
 
@@ -53,7 +56,8 @@ def usage_sql(source: str) -> str:
     if source == "orders":
         exprs = [ORDERS_TS_DUCKDB if e is None else e for e in ORDERS_USAGE_EXPRS]
         return (f"SELECT {', '.join(exprs)} FROM lineitem JOIN orders ON l_orderkey = o_orderkey")
-    return f"SELECT {', '.join(USAGE_EXPRS)} FROM events"
+    exprs = NO_TIME_USAGE_EXPRS if source == "events_no_time" else USAGE_EXPRS
+    return f"SELECT {', '.join(exprs)} FROM events"
 
 
 def base_ctes(r: Rules = DEFAULT_RULES, source: str = "events") -> str:
@@ -534,6 +538,7 @@ def _key_sql(table: str, source: str, key: str) -> str:
 
 oracle("quality_keys", " UNION ALL ".join([
     _key_sql("customers", "customers", "msisdn"),
+    _key_sql("rate_plans", "rate_plans", "rate_plan_id"),
     _key_sql("normalized_records", "valid_unique", "record_id"),
     _key_sql("rated_records", "rated", "record_id"),
     _key_sql("invoices", "invoices", "invoice_id"),
@@ -597,9 +602,14 @@ oracle("stream_dead_letters", "SELECT * FROM mediated WHERE status = 'error' "
        "UNION ALL SELECT * FROM mediated WHERE status = 'error'")
 oracle("stream_normalized_store", "SELECT * FROM valid_unique")
 oracle("stream_mediation_single_read", "SELECT * FROM valid_unique")
+oracle("stream_late_records", "SELECT * FROM valid_unique")
+oracle("stream_store_null_time", "SELECT * FROM valid_unique", source="events_no_time")
+oracle("stream_store_cross_month", "SELECT * FROM valid_unique")
 ORACLE["report_csv_roundtrip"] = ORACLE["report_revenue_by_region"]
 oracle("usage_archive_roundtrip", "SELECT * FROM raw_usage")
 oracle("rating_job_rerun", f"SELECT {RATED_COLS} FROM rated")
+oracle("rating_rerun_null_time", f"SELECT {RATED_COLS} FROM rated",
+       replace(DEFAULT_RULES, as_of=dt.datetime(2024, 1, 31)), source="events_no_time")
 oracle("billing_job_rerun", "SELECT * FROM invoices")
 
 

@@ -305,6 +305,7 @@ def quality_keys(spark, sf_dir):
     t = _quality_tables(spark, sf_dir)
     return quality.key_violations({
         "customers": (t["customers"], "msisdn"),
+        "rate_plans": (fixtures.rate_plans(spark), "rate_plan_id"),
         "normalized_records": (t["normalized_records"], "record_id"),
         "rated_records": (t["rated_records"], "record_id"),
         "invoices": (t["invoices"], "invoice_id"),
@@ -396,6 +397,47 @@ def stream_mediation_single_read(spark, sf_dir):
     return spark.read.parquet(f"{base}/normalized").select(*NORMALIZED.fieldNames())
 
 
+@query("stream_late_records")
+def stream_late_records(spark, sf_dir):
+    """The newer half of the month is delivered first, the older half after a
+    restart; every valid record comes out, however late."""
+    base = scratch_path(spark, "stream-late")
+    inbox = f"{base}/inbox"
+    raw = fixtures.raw_usage(spark, sf_dir)
+    late = F.coalesce(F.col("timestamp") < F.lit("2024-01-16 00:00:00"), F.lit(True))
+    for delivery in (raw.where(~late), raw.where(late)):
+        mediation.to_messages(delivery).write.mode("append").text(inbox)
+        ms.await_all(ms.start_mediation(ms.usage_source(spark, "text", path=inbox),
+                                        checkpoint_root=f"{base}/checkpoints",
+                                        valid_path=f"{base}/valid", dead_path=f"{base}/dead"))
+    return spark.read.schema(NORMALIZED).parquet(f"{base}/valid")
+
+
+def _store_deliveries(spark, name, deliveries):
+    """The normalised store after each delivery was appended to its source and consumed."""
+    base = scratch_path(spark, name)
+    for delivery in deliveries:
+        delivery.select(*NORMALIZED.fieldNames()).write.mode("append").parquet(f"{base}/valid")
+        ms.start_normalized_store(spark, f"{base}/valid", f"{base}/normalized_records",
+                                  f"{base}/checkpoint").awaitTermination()
+    return spark.read.parquet(f"{base}/normalized_records").select(*NORMALIZED.fieldNames())
+
+
+@query("stream_store_null_time")
+def stream_store_null_time(spark, sf_dir):
+    """Records without an event time, delivered twice, are stored once."""
+    valid = flows.valid_usage(spark, sf_dir, source="events_no_time")
+    return _store_deliveries(spark, "store-null-time", [valid, valid])
+
+
+@query("stream_store_cross_month")
+def stream_store_cross_month(spark, sf_dir):
+    """Records that come again with a time in the next month are stored once, as first delivered."""
+    valid = flows.valid_usage(spark, sf_dir)
+    moved = valid.withColumn("timestamp", F.col("timestamp") + F.expr("INTERVAL 1 MONTH"))
+    return _store_deliveries(spark, "store-cross-month", [valid, moved])
+
+
 # ---------------------------------------------------------------- sinks
 
 REVENUE_REGION_CSV = StructType([
@@ -433,6 +475,18 @@ def rating_job_rerun(spark, sf_dir):
     return spark.read.parquet(tables.rated).select(*rating.RATED_COLUMNS)
 
 
+@query("rating_rerun_null_time")
+def rating_rerun_null_time(spark, sf_dir):
+    """R02 + R03: records without an event time are rated once, under the run
+    time of the first run; a run in another month writes none of them again."""
+    tables = jobs.TablePaths(scratch_path(spark, "tables-null-time"))
+    valid = flows.valid_usage(spark, sf_dir, source="events_no_time")
+    cust, plans = fixtures.customers(spark, sf_dir), fixtures.rate_plans(spark)
+    for as_of in (_dt.datetime(2024, 1, 31), _dt.datetime(2024, 2, 28)):
+        jobs.run_rating(spark, valid, cust, plans, tables, _replace(DEFAULT_RULES, as_of=as_of))
+    return spark.read.parquet(tables.rated).select(*rating.RATED_COLUMNS)
+
+
 @query("billing_job_rerun")
 def billing_job_rerun(spark, sf_dir):
     """Billing the same period twice replaces its invoices (same ids)."""

@@ -76,6 +76,10 @@ ORDERS_USAGE_EXPRS = [
 ORDERS_TS_SPARK = ("l_shipdate + make_dt_interval(0, cast((l_partkey * 7 + l_linenumber * 5) % 24 as int), "
                    "cast((l_suppkey * 13) % 60 as int), 0) AS ts")
 
+# Every fifth record of the billing fixture comes without an event time.
+NO_TIME_TS = "CASE WHEN event_id % 5 = 0 THEN NULL ELSE ts END AS ts"
+NO_TIME_USAGE_EXPRS = [NO_TIME_TS if e == "ts" else e for e in USAGE_EXPRS]
+
 # FIXED VALUES: the rate-plan catalogue (id, plan, service, unit price,
 # free units, tier threshold MB, tier price per MB).
 RATE_PLAN_ROWS = [
@@ -113,8 +117,9 @@ def rate_plans(spark: SparkSession) -> DataFrame:
 def usage(spark: SparkSession, sf_dir: str, source: str = "events") -> DataFrame:
     """Typed usage: record_id, ts, record_type, party, counterpart, secs, mb, cell_id, technology.
 
-    ``source="events"`` is the billing fixture; ``source="orders"`` the volume
-    fixture (line items joined with their orders on the order key).
+    ``source="events"`` is the billing fixture, ``"events_no_time"`` the same with
+    event times missing; ``source="orders"`` the volume fixture (line items
+    joined with their orders on the order key).
     """
     if source == "orders":
         lines = read_table(spark, sf_dir, "lineitem")
@@ -122,7 +127,8 @@ def usage(spark: SparkSession, sf_dir: str, source: str = "events") -> DataFrame
         joined = lines.join(orders, lines.l_orderkey == orders.o_orderkey, "inner")
         exprs = [ORDERS_TS_SPARK if e is None else e for e in ORDERS_USAGE_EXPRS]
         return joined.selectExpr(*exprs)
-    return read_table(spark, sf_dir, "events").selectExpr(*USAGE_EXPRS)
+    exprs = NO_TIME_USAGE_EXPRS if source == "events_no_time" else USAGE_EXPRS
+    return read_table(spark, sf_dir, "events").selectExpr(*exprs)
 
 
 def usage_raw(typed: DataFrame, timestamp_format: str = "yyyy-MM-dd HH:mm:ss") -> DataFrame:

@@ -9,7 +9,7 @@ import pytest
 from conftest import SF_SMALL
 from chargeline.plans.queries import REGISTRY
 
-SIDE_EFFECTING = ("stream_", "report_csv", "usage_archive", "rating_job", "billing_job")
+SIDE_EFFECTING = ("stream_", "report_csv", "usage_archive", "rating_job", "rating_rerun", "billing_job")
 
 
 def explain(df, mode="extended") -> str:
