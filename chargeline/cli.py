@@ -1,6 +1,6 @@
 """Command line: one command per pipeline phase.
 
-    python -m chargeline stream-mediation --source text --path IN --tables ROOT
+    python -m chargeline stream-mediation --source text --path IN --tables ROOT [--sink kafka|store]
     python -m chargeline store --tables ROOT
     python -m chargeline publish-customers --tables ROOT --customers PATH --table NAME --buckets N
     python -m chargeline rate --tables ROOT --customers PATH|table:NAME [--normalized PATH]
@@ -9,9 +9,10 @@
     python -m chargeline documents --tables ROOT --customers PATH --period 2024-01
 
 Tables live under ``--tables`` (any Hadoop URI). Customers and rate plans are
-Parquet tables in the documented layouts (``schemas.CUSTOMERS`` /
-``schemas.RATE_PLANS``); without ``--rate-plans`` the built-in catalogue is
-used. ``--rules`` loads rule values from a YAML file of the billing config
+Parquet folders, catalog tables (``table:NAME``) or database tables
+(``jdbc:...#table``, see ``sources/jdbc.py``) in the documented layouts
+(``schemas.CUSTOMERS`` / ``schemas.RATE_PLANS``); without ``--rate-plans`` the
+built-in catalogue is used. ``--rules`` loads rule values from a YAML file of the billing config
 layout. Each command prints one JSON line with its counters.
 """
 
@@ -35,16 +36,53 @@ def _period_rules(args, base: Rules) -> Rules:
     return replace(base, period_start=start, period_end=end, as_of=as_of)
 
 
+def _read(spark, location: str):
+    if location.startswith("table:"):  # a catalog table, e.g. the bucketed one
+        return spark.table(location[len("table:"):])
+    if location.startswith("jdbc:"):
+        from chargeline.sources.jdbc import table_from_url
+        return table_from_url(spark, location)
+    return spark.read.parquet(location)
+
+
 def _inputs(spark, args):
-    from chargeline.operators.customers import conform
+    from chargeline.operators.customers import load, load_plans
     from chargeline.sources.fixtures import rate_plans
 
-    if args.customers.startswith("table:"):  # a catalog table, e.g. the bucketed one
-        customers = conform(spark.table(args.customers[len("table:"):]))
-    else:
-        customers = conform(spark.read.parquet(args.customers))
-    plans = spark.read.parquet(args.rate_plans) if args.rate_plans else rate_plans(spark)
-    return customers, plans
+    plans = load_plans(_read(spark, args.rate_plans)) if args.rate_plans else rate_plans(spark)
+    return load(_read(spark, args.customers)), plans
+
+
+def _messages(spark, args, starting_offsets):
+    from chargeline.streaming.mediation_stream import usage_source
+
+    return usage_source(spark, args.source, path=args.path, servers=args.servers, topic=args.topic,
+                        starting_offsets=starting_offsets, max_per_trigger=args.max_per_trigger)
+
+
+def _stream(spark, args, tables, rules) -> dict:
+    from chargeline.streaming import mediation_stream as ms
+
+    trig = {"availableNow": True} if args.trigger == "availableNow" else {"processingTime": args.trigger}
+    if args.command == "store":
+        messages = None if args.source == "parquet" else _messages(spark, args, "earliest")
+        ms.start_normalized_store(spark, f"{tables.root}/mediated_valid", tables.normalized,
+                                  f"{tables.root}/_checkpoints/store", trig, messages=messages).awaitTermination()
+        return {}
+    source = _messages(spark, args, args.starting_offsets)
+    if args.sink == "store":
+        ms.start_mediation_store(source, normalized_path=tables.normalized,
+                                 dead_path=f"{tables.root}/dead_letters",
+                                 checkpoint=f"{tables.root}/_checkpoints/mediation_store",
+                                 trigger=trig, rules=rules).awaitTermination()
+        return {}
+    queries = ms.start_mediation(source, checkpoint_root=f"{tables.root}/_checkpoints/mediation", fmt=args.sink,
+                                 valid_path=f"{tables.root}/mediated_valid",
+                                 dead_path=f"{tables.root}/dead_letters", servers=args.sink_servers or args.servers,
+                                 valid_topic=args.valid_topic, dead_topic=args.dead_topic,
+                                 trigger=trig, rules=rules)
+    ms.await_all(queries, timeout_s=None) if "availableNow" in trig else ms.run_until_any_stops(spark)
+    return {"late_rows": ms.late_rows(queries[0])}
 
 
 def main(argv: list[str] | None = None) -> dict:
@@ -73,6 +111,12 @@ def main(argv: list[str] | None = None) -> dict:
     s.add_argument("--topic")
     s.add_argument("--starting-offsets", default="latest")
     s.add_argument("--trigger", default="availableNow", help="'availableNow' or e.g. '10 seconds'")
+    s.add_argument("--sink", choices=["parquet", "kafka", "store"], default="parquet",
+                   help="parquet: files under --tables; kafka: two topics; store: read once, straight into the "
+                        "normalised store and the dead-letter table, no streaming state")
+    s.add_argument("--sink-servers", help="brokers of the sink topics (default: --servers)")
+    s.add_argument("--valid-topic")
+    s.add_argument("--dead-topic")
     st = cmd("store", customers=False)
     st.add_argument("--trigger", default="availableNow")
     st.add_argument("--source", choices=["parquet", "kafka", "text"], default="parquet",
@@ -80,6 +124,8 @@ def main(argv: list[str] | None = None) -> dict:
     st.add_argument("--path")
     st.add_argument("--servers")
     st.add_argument("--topic")
+    for c in (s, st):
+        c.add_argument("--max-per-trigger", type=int, help="messages (kafka) or files (text) per micro-batch")
     r = cmd("rate")
     r.add_argument("--normalized", help="normalised records (default: the store under --tables)")
     r.add_argument("--period", help="billing month for the run time of records without a time")
@@ -92,9 +138,12 @@ def main(argv: list[str] | None = None) -> dict:
     cmd("report")
     cmd("documents", period=True)
     args = p.parse_args(argv)
+    if getattr(args, "sink", None) == "kafka" and not (args.valid_topic and args.dead_topic
+                                                       and (args.sink_servers or args.servers)):
+        p.error("--sink kafka needs --valid-topic, --dead-topic and --sink-servers or --servers")
 
     from chargeline.plans import jobs
-    from chargeline.session import build_session
+    from chargeline.session import build_session, sized_shuffles
 
     spark = build_session(args.master, app_name=f"chargeline-{args.command}")
     rules = rules_from_yaml(args.rules) if args.rules else DEFAULT_RULES
@@ -103,43 +152,29 @@ def main(argv: list[str] | None = None) -> dict:
     out: dict = {"command": args.command}
 
     if args.command in ("stream-mediation", "store"):
-        from chargeline.streaming import mediation_stream as ms
-        trig = {"availableNow": True} if args.trigger == "availableNow" else {"processingTime": args.trigger}
-        if args.command == "stream-mediation":
-            source = ms.usage_source(spark, args.source, path=args.path, servers=args.servers,
-                                     topic=args.topic, starting_offsets=args.starting_offsets)
-            queries = ms.start_mediation(source, checkpoint_root=f"{tables.root}/_checkpoints/mediation",
-                                         valid_path=f"{tables.root}/mediated_valid",
-                                         dead_path=f"{tables.root}/dead_letters", trigger=trig, rules=rules)
-            ms.await_all(queries, timeout_s=None) if "availableNow" in trig else ms.run_until_any_stops(spark)
-            out["late_rows"] = ms.late_rows(queries[0])
-        else:
-            messages = None
-            if args.source != "parquet":
-                messages = ms.usage_source(spark, args.source, path=args.path, servers=args.servers,
-                                           topic=args.topic, starting_offsets="earliest")
-            q = ms.start_normalized_store(spark, f"{tables.root}/mediated_valid", tables.normalized,
-                                          f"{tables.root}/_checkpoints/store", trig, messages=messages)
-            q.awaitTermination()
+        out.update(_stream(spark, args, tables, rules))
         print(json.dumps(out))
         return out
 
-    customers, plans = _inputs(spark, args)
-    if args.command == "rate":
-        src = args.normalized or tables.normalized
-        records = spark.read.parquet(src)
-        out.update(jobs.run_rating(spark, records, customers, plans, tables, rules,
-                                   input_unique=args.normalized is None))
-    elif args.command == "publish-customers":
-        table = jobs.publish_customers(spark, customers, args.table, args.buckets,
-                                       args.location or f"{tables.root}/customers_bucketed")
-        out.update({"table": args.table, "buckets": args.buckets, "customers": table.count()})
-    elif args.command == "bill":
-        out.update(jobs.run_billing(spark, customers, plans, tables, rules))
-    elif args.command == "report":
-        out["reports"] = jobs.run_reports(spark, customers, plans, tables, rules)
-    elif args.command == "documents":
-        out.update(jobs.run_documents(spark, customers, plans, tables, rules))
+    # the largest input of the command sizes its shuffles; buckets fix their own number
+    largest = {"rate": getattr(args, "normalized", None) or tables.normalized, "bill": tables.rated,
+               "report": tables.rated, "documents": tables.invoices}
+    with sized_shuffles(spark, [largest[args.command]] if args.command in largest else []):
+        customers, plans = _inputs(spark, args)
+        if args.command == "rate":
+            records = spark.read.parquet(args.normalized or tables.normalized)
+            out.update(jobs.run_rating(spark, records, customers, plans, tables, rules,
+                                       input_unique=args.normalized is None))
+        elif args.command == "publish-customers":
+            table = jobs.publish_customers(spark, customers, args.table, args.buckets,
+                                           args.location or f"{tables.root}/customers_bucketed")
+            out.update({"table": args.table, "buckets": args.buckets, "customers": table.count()})
+        elif args.command == "bill":
+            out.update(jobs.run_billing(spark, customers, plans, tables, rules))
+        elif args.command == "report":
+            out["reports"] = jobs.run_reports(spark, customers, plans, tables, rules)
+        elif args.command == "documents":
+            out.update(jobs.run_documents(spark, customers, plans, tables, rules))
     print(json.dumps(out, default=str))
     return out
 

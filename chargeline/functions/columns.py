@@ -20,9 +20,9 @@ def money(col: Column | str, scale: int = 2, precision: int = 18) -> Column:
 
 
 def exact_sum(col: Column | str) -> Column:
-    """Order-independent sum of per-record double amounts (6 decimals), as double."""
+    """Order-independent sum of per-record double amounts (12 decimals), as double."""
     c = F.col(col) if isinstance(col, str) else col
-    return F.sum(c.cast("decimal(18,6)")).cast("double")
+    return F.sum(c.cast("decimal(28,12)")).cast("double")
 
 
 def decimal_text(col: Column | str, scale: int = 2) -> Column:
@@ -61,11 +61,6 @@ def isin(col: Column, values: Iterable) -> Column:
     return col.isin(list(values))
 
 
-def msisdn_of(key: Column, country_code: str = "+212", width: int = 9) -> Column:
-    """Subscriber number from an integer key: country code + zero-padded digits."""
-    return F.concat(F.lit(country_code), F.lpad(key.cast("string"), width, "0"))
-
-
 # Zone-free handling of TIMESTAMP_NTZ values. ``date_format`` and ``date_trunc``
 # route an NTZ value through the session time zone, which moves wall-clock
 # times inside a daylight-saving gap; casts to string and date do not.

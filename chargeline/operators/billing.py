@@ -36,7 +36,7 @@ def month_bounds(rules: Rules) -> Column:
 def usage_totals(rated: DataFrame, rules: Rules = DEFAULT_RULES) -> DataFrame:
     """Per-subscriber cost and usage totals of rated records in the period.
 
-    Costs are summed as DECIMAL(18,6) so the total does not depend on the order
+    Costs are summed as DECIMAL(28,12) so the total does not depend on the order
     in which partitions are combined. Minutes and MB are rounded up per record.
     """
     rt = F.col("record_type")

@@ -22,6 +22,18 @@ def conform(customers: DataFrame) -> DataFrame:
     })
 
 
+def load(customers: DataFrame) -> DataFrame:
+    """Q01/Q05 on load: defaults, then one row per msisdn (the smallest copy),
+    so a repeated subscriber row cannot multiply rated records or invoices. On
+    a table bucketed by msisdn this adds no shuffle."""
+    return dedupe(conform(customers), ["msisdn"])
+
+
+def load_plans(rate_plans: DataFrame) -> DataFrame:
+    """Q01/Q05 on load: no free units unless given, one row per plan id."""
+    return dedupe(rate_plans.withColumn("free_units", F.coalesce("free_units", F.lit(0))), ["rate_plan_id"])
+
+
 def eligible(customers: DataFrame) -> DataFrame:
     """Active subscribers and their plan."""
     return customers.filter(F.col("status") == "active").select("msisdn", "rate_plan_id")

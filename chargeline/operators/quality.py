@@ -71,18 +71,38 @@ def domain_checks(rules: Rules = DEFAULT_RULES) -> dict[str, dict[str, Column]]:
             "secondary_msisdn:width": too_long("secondary_msisdn", 15),
             "cell_id:width": too_long("cell_id", 50),
             "technology:width": too_long("technology", 10),
+            "status:width": too_long("status", 20),
         },
         "customers": {
             "region:domain": not_in("region", ("rural", "urban")),
             "msisdn:width": too_long("msisdn", 15),
             "customer_name:width": too_long("customer_name", 100),
+            "subscription_type:width": too_long("subscription_type", 20),
+            "status:width": too_long("status", 20),
+            "region:width": too_long("region", 50),
+        },
+        "rate_plans": {
+            "plan_name:width": too_long("plan_name", 100),
+            "service_type:width": too_long("service_type", 20),
         },
         "rated_records": {
             "rating_status:domain": not_in("rating_status", ("rated", "unmatched", "rejected", "error")),
+            "record_id:width": too_long("record_id", 50),
+            "record_type:width": too_long("record_type", 20),
+            "msisdn:width": too_long("msisdn", 15),
+            "secondary_msisdn:width": too_long("secondary_msisdn", 15),
+            "cell_id:width": too_long("cell_id", 50),
+            "technology:width": too_long("technology", 10),
+            "rating_status:width": too_long("rating_status", 20),
         },
         "invoices": {
             "status:domain": not_in("status", ("pending", "paid", "failed")),
             "region:domain": not_in("region", ("rural", "urban")),
+            "invoice_id:width": too_long("invoice_id", 50),
+            "msisdn:width": too_long("msisdn", 15),
+            "customer_name:width": too_long("customer_name", 100),
+            "status:width": too_long("status", 20),
+            "region:width": too_long("region", 50),
         },
     }
 

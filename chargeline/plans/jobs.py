@@ -155,11 +155,10 @@ def run_period(spark: SparkSession, records: DataFrame, customers: DataFrame, ra
     Each stage hands over through a written table (which also cuts the
     lineage), so a lost executor only recomputes inside the current stage.
     """
-    from chargeline.session import size_shuffle_partitions
+    from chargeline.session import sized_shuffles
 
-    if input_paths:
-        size_shuffle_partitions(spark, input_paths)
-    counts = {"rating": run_rating(spark, records, customers, rate_plans, tables, rules)}
-    counts["billing"] = run_billing(spark, customers, rate_plans, tables, rules)
-    counts["reports"] = run_reports(spark, customers, rate_plans, tables, rules)
+    with sized_shuffles(spark, input_paths or []):
+        counts = {"rating": run_rating(spark, records, customers, rate_plans, tables, rules)}
+        counts["billing"] = run_billing(spark, customers, rate_plans, tables, rules)
+        counts["reports"] = run_reports(spark, customers, rate_plans, tables, rules)
     return counts

@@ -177,9 +177,9 @@ def billing_ctes(r: Rules = DEFAULT_RULES, p: str = "") -> str:
     return f"""
 {p}totals AS (
   SELECT msisdn,
-         CAST(sum(CAST(CASE WHEN record_type = 'voice' THEN cost ELSE {zero} END AS DECIMAL(18,6))) AS DOUBLE) AS voice_cost_rated,
-         CAST(sum(CAST(CASE WHEN record_type = 'sms' THEN cost ELSE {zero} END AS DECIMAL(18,6))) AS DOUBLE) AS sms_cost_rated,
-         CAST(sum(CAST(CASE WHEN record_type = 'data' THEN cost ELSE {zero} END AS DECIMAL(18,6))) AS DOUBLE) AS data_cost_rated,
+         CAST(sum(CAST(CASE WHEN record_type = 'voice' THEN cost ELSE {zero} END AS DECIMAL(28,12))) AS DOUBLE) AS voice_cost_rated,
+         CAST(sum(CAST(CASE WHEN record_type = 'sms' THEN cost ELSE {zero} END AS DECIMAL(28,12))) AS DOUBLE) AS sms_cost_rated,
+         CAST(sum(CAST(CASE WHEN record_type = 'data' THEN cost ELSE {zero} END AS DECIMAL(28,12))) AS DOUBLE) AS data_cost_rated,
          sum(CASE WHEN record_type = 'voice' THEN CAST(ceil(duration_sec / CAST(60 AS DOUBLE)) AS DOUBLE) ELSE {zero} END) AS voice_usage_minutes,
          count(CASE WHEN record_type = 'sms' THEN 1 END) AS sms_usage_count,
          sum(CASE WHEN record_type = 'data' THEN CAST(ceil(data_volume_mb) AS DOUBLE) ELSE {zero} END) AS data_usage_mb
@@ -567,16 +567,35 @@ oracle("quality_domains", " UNION ALL ".join([
         "msisdn:width": "length(msisdn) > 15",
         "secondary_msisdn:width": "length(secondary_msisdn) > 15",
         "cell_id:width": "length(cell_id) > 50",
-        "technology:width": "length(technology) > 10"}),
+        "technology:width": "length(technology) > 10",
+        "status:width": "length(status) > 20"}),
     _count_sql("customers", "customers", {
         "region:domain": _not_in("region", ("rural", "urban")),
         "msisdn:width": "length(msisdn) > 15",
-        "customer_name:width": "length(customer_name) > 100"}),
+        "customer_name:width": "length(customer_name) > 100",
+        "subscription_type:width": "length(subscription_type) > 20",
+        "status:width": "length(status) > 20",
+        "region:width": "length(region) > 50"}),
+    _count_sql("rate_plans", "rate_plans", {
+        "plan_name:width": "length(plan_name) > 100",
+        "service_type:width": "length(service_type) > 20"}),
     _count_sql("rated_records", "rated", {
-        "rating_status:domain": _not_in("rating_status", ("rated", "unmatched", "rejected", "error"))}),
+        "rating_status:domain": _not_in("rating_status", ("rated", "unmatched", "rejected", "error")),
+        "record_id:width": "length(record_id) > 50",
+        "record_type:width": "length(record_type) > 20",
+        "msisdn:width": "length(msisdn) > 15",
+        "secondary_msisdn:width": "length(secondary_msisdn) > 15",
+        "cell_id:width": "length(cell_id) > 50",
+        "technology:width": "length(technology) > 10",
+        "rating_status:width": "length(rating_status) > 20"}),
     _count_sql("invoices", "invoices", {
         "status:domain": _not_in("status", ("pending", "paid", "failed")),
-        "region:domain": _not_in("region", ("rural", "urban"))}),
+        "region:domain": _not_in("region", ("rural", "urban")),
+        "invoice_id:width": "length(invoice_id) > 50",
+        "msisdn:width": "length(msisdn) > 15",
+        "customer_name:width": "length(customer_name) > 100",
+        "status:width": "length(status) > 20",
+        "region:width": "length(region) > 50"}),
 ]))
 oracle("quality_not_null", _count_sql("invoices", "invoices", {
     f"{c}:not_null": f"{c} IS NULL"

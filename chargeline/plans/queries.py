@@ -297,7 +297,7 @@ def _quality_tables(spark, sf_dir):
                         input_unique=True)
     invoices = flows.invoices(spark, sf_dir, DEFAULT_RULES, rated)
     return {"customers": fixtures.customers(spark, sf_dir), "normalized_records": valid,
-            "rated_records": rated, "invoices": invoices}
+            "rate_plans": fixtures.rate_plans(spark), "rated_records": rated, "invoices": invoices}
 
 
 @query("quality_keys")
@@ -305,7 +305,7 @@ def quality_keys(spark, sf_dir):
     t = _quality_tables(spark, sf_dir)
     return quality.key_violations({
         "customers": (t["customers"], "msisdn"),
-        "rate_plans": (fixtures.rate_plans(spark), "rate_plan_id"),
+        "rate_plans": (t["rate_plans"], "rate_plan_id"),
         "normalized_records": (t["normalized_records"], "record_id"),
         "rated_records": (t["rated_records"], "record_id"),
         "invoices": (t["invoices"], "invoice_id"),

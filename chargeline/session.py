@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -16,6 +16,9 @@ JOB_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # split a hot subscriber also where an aggregate on msisdn follows the join;
+    # the extra shuffle carries partial aggregates only
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "3",
     "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64MB",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128MB",
@@ -71,15 +74,6 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{root}/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def is_local_path(path: str) -> bool:
-    return "://" not in path or path.startswith("file:")
-
-
-def ensure_dir(path: str) -> None:
-    if is_local_path(path):
-        os.makedirs(path.replace("file://", ""), exist_ok=True)
-
-
 def input_bytes(spark: SparkSession, paths: list[str]) -> int:
     """Total size of the files under ``paths`` (file-system metadata only)."""
     jvm = spark.sparkContext._jvm
@@ -109,3 +103,24 @@ def size_shuffle_partitions(spark: SparkSession, paths: list[str],
     spark.conf.set("spark.sql.shuffle.partitions", str(n))
     spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(n))
     return n
+
+
+@contextmanager
+def sized_shuffles(spark: SparkSession, paths: list[str]):
+    """``size_shuffle_partitions`` for the work inside, the session's settings
+    restored afterwards. Without paths, or where ``spark.sql.shuffle.partitions``
+    was set for the application (e.g. to a bucket count), nothing is changed."""
+    if not paths or spark.sparkContext.getConf().contains("spark.sql.shuffle.partitions"):
+        yield
+        return
+    keys = ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.initialPartitionNum")
+    old = {k: spark.conf.get(k, None) for k in keys}
+    size_shuffle_partitions(spark, paths)
+    try:
+        yield
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)

@@ -11,6 +11,23 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 
+def table_from_url(spark: SparkSession, location: str) -> DataFrame:
+    """A whole table named as ``jdbc:...#table`` or, split into range queries,
+    ``jdbc:...#table?column,lower,upper,partitions``. User, password and driver
+    come from ``spark.chargeline.jdbc.*``, so that no secret is on a command line."""
+    url, _, rest = location.partition("#")
+    table, _, split = rest.partition("?")
+    if not table:
+        raise ValueError(f"no table in {location!r}: expected jdbc:...#table")
+    conf = spark.sparkContext.getConf()
+    args = {k: conf.get(f"spark.chargeline.jdbc.{k}", None) for k in ("user", "password", "driver")}
+    if split:
+        column, lower, upper, partitions = split.split(",")
+        args.update(partition_column=column, lower_bound=int(lower), upper_bound=int(upper),
+                    num_partitions=int(partitions))
+    return read_jdbc(spark, url, table, **args)
+
+
 def read_jdbc(spark: SparkSession, url: str, table: str | None = None, *, query: str | None = None,
               user: str | None = None, password: str | None = None, driver: str | None = None,
               partition_column: str | None = None, lower_bound: int | None = None,

@@ -30,18 +30,21 @@ from chargeline.sinks import writers
 
 def usage_source(spark: SparkSession, kind: str = "kafka", *, path: str | None = None,
                  servers: str | None = None, topic: str | None = None,
-                 starting_offsets: str = "latest", max_files_per_trigger: int | None = None) -> DataFrame:
+                 starting_offsets: str = "latest", max_per_trigger: int | None = None) -> DataFrame:
+    """``max_per_trigger`` bounds a micro-batch (messages, or files of a text
+    source); a backlog is then worked off in several batches, none left out."""
     if kind == "kafka":
-        return (spark.readStream.format("kafka")
-                .option("kafka.bootstrap.servers", servers)
-                .option("subscribe", topic)
-                .option("startingOffsets", starting_offsets)
-                .option("failOnDataLoss", "false")
-                .load()
-                .selectExpr("CAST(value AS STRING) AS value"))
+        reader = (spark.readStream.format("kafka")
+                  .option("kafka.bootstrap.servers", servers)
+                  .option("subscribe", topic)
+                  .option("startingOffsets", starting_offsets)
+                  .option("failOnDataLoss", "false"))
+        if max_per_trigger:
+            reader = reader.option("maxOffsetsPerTrigger", str(max_per_trigger))
+        return reader.load().selectExpr("CAST(value AS STRING) AS value")
     reader = spark.readStream.format("text")
-    if max_files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
+    if max_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", str(max_per_trigger))
     return reader.load(path)
 
 

@@ -6,9 +6,8 @@ from conftest import SF_SMALL
 from oracle_compare import compare, duckdb_for
 
 import __spark_entry__ as entry_point
-
-QUERIES = entry_point.queries()
-ORACLE = entry_point.oracle_sql()
+from chargeline.plans.oracle import ORACLE
+from chargeline.plans.queries import REGISTRY as QUERIES
 
 
 @pytest.fixture(scope="module")
@@ -18,6 +17,8 @@ def con():
 
 def test_every_query_has_an_oracle():
     assert set(QUERIES) == set(ORACLE)
+    assert set(QUERIES) <= set(entry_point.queries())
+    assert set(ORACLE) <= set(entry_point.oracle_sql()) <= set(entry_point.queries())
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))

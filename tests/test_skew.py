@@ -50,6 +50,10 @@ def test_hot_subscriber(spark):
         totals = billing.usage_totals(rated)
         totals.collect()
         assert "partial_sum" in final_plan(totals)
+        assert "skew=true" in final_plan(totals)
+        bills = billing.bill(rated, cust, rate_plans(spark))
+        bills.collect()
+        assert "skew=true" in final_plan(bills)
         assert totals.filter(F.col("msisdn") == HOT).count() == 1
     finally:
         for k, v in old.items():

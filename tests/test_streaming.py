@@ -103,7 +103,7 @@ def test_many_batch_stream_equals_batch_result(spark):
     for d in days:  # written one after another, so file times follow the days
         mediation.to_messages(raw.filter(F.substring("timestamp", 1, 10) == d)).coalesce(1) \
             .write.mode("append").text(inbox)
-    source = ms.usage_source(spark, "text", path=inbox, max_files_per_trigger=1)
+    source = ms.usage_source(spark, "text", path=inbox, max_per_trigger=1)
     queries = ms.start_mediation(source, checkpoint_root=f"{base}/ckpt", valid_path=f"{base}/valid",
                                  dead_path=f"{base}/dead")
     ms.await_all(queries)
