@@ -11,20 +11,24 @@ trigrams and of the answer's words must occur in the passage.
 Postings lie in blocks of ``BLOCK_ITEMS`` items with the block's largest impact.
 A vectorised pass adds block maxima over each window, with the most frequent
 terms replaced by what they can add at most; blocks that stay below the
-threshold are skipped. What is left is searched by WAND within its block: terms
+threshold are skipped. An item's frequent terms are replaced only up to half the
+threshold, the others keep their postings, so every item that reaches the
+threshold has a posting hit. What is left is searched by WAND within its block: terms
 ordered by their next item, a pivot where their upper bounds reach the
 threshold, and full scoring only at pivots.
 
 The index is sharded by item: a shard holds at most ``SHARD_ITEMS`` items and is
 broadcast, and the documents are read once per shard. Document frequencies and
 lengths are of the whole benchmark, so the result does not depend on the
-number of shards. Null and empty items match nothing; null and empty texts
-hold nothing; a repeated item or document gives a row each.
+number of shards. Items of equal words are indexed once a shard. Null and empty
+items match nothing; null and empty texts hold nothing; a repeated item or
+document gives a row each.
 """
 
 from __future__ import annotations
 
 import math
+from bisect import bisect_left
 from collections import defaultdict
 from dataclasses import dataclass
 
@@ -41,6 +45,8 @@ K1, B = 1.2, 0.75
 BLOCK_ITEMS = 8
 SHARD_ITEMS = 10_000
 COMMON_SHARE = 0.05
+#: Postings expanded at a time.
+EXPANDED = 4_000_000
 
 
 @dataclass(frozen=True)
@@ -72,46 +78,49 @@ def hash_words(words: list[bytes]) -> np.ndarray:
 
 @dataclass
 class Item:
-    number: int
+    numbers: tuple[int, ...]
     question: list[int]
     answer: list[int]
     size: int
 
 
 class Index:
-    """One shard: ``items`` are (number, question words, answer words), ``df`` the corpus frequency of a term hash."""
+    """One shard: ``items`` are (numbers, question words, answer words), ``df`` the corpus frequency of a term hash.
 
-    def __init__(self, items: list[tuple[int, np.ndarray, np.ndarray]], df: dict[int, int], n_items: int,
-                 mean_size: float, span: int):
+    Searches are for scores of ``least`` or more.
+    """
+
+    def __init__(self, items: list[tuple[tuple[int, ...], np.ndarray, np.ndarray]], df: dict[int, int], n_items: int,
+                 mean_size: float, span: int, least: float = 0.5):
         self.span = span
+        self.most_slack = least / 2
         terms = np.unique(np.concatenate([np.concatenate([q, a]) for _, q, a in items]))
         self.terms = terms
         self.items: list[Item] = []
         postings: dict[int, list[tuple[int, float]]] = defaultdict(list)
         idf = np.array([math.log(1 + (n_items - df[int(t)] + 0.5) / (df[int(t)] + 0.5)) for t in terms])
-        for i, (number, q, a) in enumerate(items):
+        for i, (numbers, q, a) in enumerate(items):
             q, a = np.searchsorted(terms, q), np.searchsorted(terms, a)
             both = np.concatenate([q, a])
             ids, tf = np.unique(both, return_counts=True)
             w = idf[ids] * tf * (K1 + 1) / (tf + K1 * (1 - B + B * len(both) / mean_size))
             for t, x in zip(ids.tolist(), w / w.sum()):
                 postings[t].append((i, float(x)))
-            self.items.append(Item(number, q.tolist(), a.tolist(), len(both)))
+            self.items.append(Item(numbers, q.tolist(), a.tolist(), len(both)))
         n_terms = len(terms)
         self.n_blocks = -(-len(items) // BLOCK_ITEMS)
         self.postings = [postings[t] for t in range(n_terms)]
         common = np.array([len(p) > max(BLOCK_ITEMS, COMMON_SHARE * len(items)) for p in self.postings])
-        # what an item's frequent terms can add at most, the largest per block
+        # what an item's frequent terms can add at most, the largest per block: the most frequent terms first
         slack = np.zeros(len(items))
         block_of, best = [[] for _ in range(n_terms)], [[] for _ in range(n_terms)]
-        for t, p in enumerate(self.postings):
-            if common[t]:
-                for i, x in p:
-                    slack[i] += x
-                continue
+        for t in sorted(range(n_terms), key=lambda t: -len(self.postings[t])):
             top: dict[int, float] = {}
-            for i, x in p:
-                top[i // BLOCK_ITEMS] = max(top.get(i // BLOCK_ITEMS, 0.0), x)
+            for i, x in self.postings[t]:
+                if common[t] and slack[i] + x < self.most_slack:
+                    slack[i] += x
+                else:
+                    top[i // BLOCK_ITEMS] = max(top.get(i // BLOCK_ITEMS, 0.0), x)
             block_of[t], best[t] = list(top), list(top.values())
         pad = np.zeros(self.n_blocks * BLOCK_ITEMS)
         pad[:len(items)] = slack
@@ -128,8 +137,27 @@ class Index:
 
     def survivors(self, ids: np.ndarray, chunk: np.ndarray, new_doc: np.ndarray, least: float):
         """(window, block) pairs whose bound reaches the threshold; window c is chunks c and c + 1."""
+        if least - 1e-9 < self.most_slack:
+            raise ValueError("the index is built for higher scores")
+        n_terms = len(self.terms)
         known = np.flatnonzero(ids >= 0)
-        t, c = ids[known], chunk[known]
+        pairs = np.unique(chunk[known] * n_terms + ids[known])
+        t, c = pairs % n_terms, pairs // n_terms
+        total = np.r_[0, np.cumsum(self.count[t])]
+        found = []
+        low = 0
+        while low < len(new_doc):
+            # windows from low up to high, with the chunk after them
+            a = int(np.searchsorted(c, low))
+            b = int(np.searchsorted(total, total[a] + EXPANDED, "right")) - 1
+            high = len(new_doc) if b >= len(c) else max(low + 1, int(c[b]) - 1)
+            b = int(np.searchsorted(c, high, "right"))
+            found.append(self._survivors(t[a:b], c[a:b], new_doc, least, low, high))
+            low = high
+        window, block = zip(*found) if found else ((np.zeros(0, np.int64),), (np.zeros(0, np.int64),))
+        return np.concatenate(window), np.concatenate(block)
+
+    def _survivors(self, t, c, new_doc, least, low, high):
         n = self.count[t]
         reps = np.repeat(np.arange(len(t)), n)
         within = np.arange(len(reps)) - np.repeat(np.cumsum(n) - n, n)
@@ -139,6 +167,7 @@ class Index:
         total = np.bincount(inverse, self.best[at], minlength=len(keys))
         # a window starts at any chunk that has a sum, or whose next chunk of the same document has one
         starts = np.union1d(keys, keys[~new_doc[keys // self.n_blocks]] - self.n_blocks)
+        starts = starts[(starts >= low * self.n_blocks) & (starts < high * self.n_blocks)]
         window, block = starts // self.n_blocks, starts % self.n_blocks
 
         def sums(k):
@@ -157,7 +186,8 @@ class Index:
         low, high = block * BLOCK_ITEMS, (block + 1) * BLOCK_ITEMS
         lists = []
         for t in terms:
-            p = [x for x in self.postings[t] if low <= x[0] < high]
+            p = self.postings[t]
+            p = p[bisect_left(p, (low,)):bisect_left(p, (high,))]
             if p:
                 lists.append([0, max(w for _, w in p), p])
         out = []
@@ -271,11 +301,12 @@ def search(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col:
             for batch in batches:
                 for a, b, data, off in tx.slices(batch.column(1)):
                     index, rows = search(data, off)
+                    rows = [(d, k, *more) for d, i, *more in rows for k in index.items[i].numbers]
                     if rows:
-                        d, i, score, q, ans, at = zip(*rows)
+                        d, number, score, q, ans, at = zip(*rows)
                         yield pa.RecordBatch.from_arrays(
                             [batch.column(0).slice(a, b - a).take(pa.array(d)),
-                             pa.array([index.items[k].number for k in i], pa.int64()), pa.array(score, pa.float64()),
+                             pa.array(number, pa.int64()), pa.array(score, pa.float64()),
                              pa.array(q, pa.float64()), pa.array(ans, pa.float64()), pa.array(at, pa.int64())],
                             names=schema.names)
 
@@ -320,10 +351,13 @@ def _passes(spark, items: DataFrame, item_id_col, question_col, answer_col, limi
         own = mine.select(F.explode(F.array_distinct(F.concat("question", "answer"))).alias("term")).distinct()
         freq = df.join(own, "term").toArrow()
         freq = dict(zip(np.array(freq["term"].to_numpy()).view(np.uint64).tolist(), freq["df"].to_pylist()))
-        parsed = [(r["item_id"], np.array(r["question"], np.int64).view(np.uint64),
-                   np.array(r["answer"], np.int64).view(np.uint64)) for r in
-                  sorted(rows, key=lambda r: (r["item_id"] is None, r["item_id"] or 0, r["question"], r["answer"]))]
-        shared = spark.sparkContext.broadcast(Index(parsed, freq, stat["n"], stat["mean"], max(32, stat["longest"])))
+        equal: dict[tuple, list] = defaultdict(list)
+        for r in sorted(rows, key=lambda r: (r["item_id"] is None, r["item_id"] or 0, r["question"], r["answer"])):
+            equal[tuple(r["question"]), tuple(r["answer"])].append(r["item_id"])
+        parsed = [(tuple(numbers), np.array(q, np.int64).view(np.uint64), np.array(a, np.int64).view(np.uint64))
+                  for (q, a), numbers in equal.items()]
+        shared = spark.sparkContext.broadcast(Index(parsed, freq, stat["n"], stat["mean"], max(32, stat["longest"]),
+                                                    limits.min_score))
 
         def run(data, off, shared=shared):
             index = shared.value

@@ -104,3 +104,49 @@ def test_empty_tables(spark, small_docs):
     assert dc.search(docs, none).collect() == [] and dc.clean(docs, none).count() == 5
     bench = spark.createDataFrame([(1, "some words to find")], "item_id long, text string")
     assert dc.search(frame(spark, []), bench).collect() == []
+
+
+def hits(spark, docs, items):
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    return {(r.doc_id, r.item_id) for r in dc.search(frame(spark, docs), bench).collect()}
+
+
+def test_items_of_common_words_alone_are_found(spark, small_docs):
+    items = [(i, f"what is {i // 10 % 10} plus {i % 10}") for i in range(400)] + [(400, "what is plus"), (401, "is")]
+    rnd = random.Random(5)
+    docs = [(i, t) for i, (_, t, *_) in enumerate(small_docs[:20])]
+    docs += [(100 + k, f"{small_docs[k][1]} {items[rnd.randrange(400)][1]} then {rnd.randrange(10)}") for k in range(30)]
+    docs += [(200, items[34][1]), (201, "what plus is"), (202, "plus 3 what is 4")]
+    want = {(docs[r][0], n) for r, n in brute(docs, items)}
+    assert {d for d, _ in want} >= {*range(100, 130), 200} and (200, 134) in want
+    assert hits(spark, docs, items) == want
+
+
+def test_a_benchmark_with_a_third_of_its_rows_equal(spark, small_docs):
+    rnd = random.Random(6)
+    word = lambda: "w%d" % rnd.randrange(900)
+    items = [(i, " ".join(word() for _ in range(12))) for i in range(200)]
+    items += [(1000 + i, "the very same question stands here over and over again") for i in range(100)]
+    docs = [(i, f"{small_docs[i][1]} {items[i][1]} end") for i in range(20)]
+    docs += [(50, "before it the very same question stands here over and over again after it"), (51, "the very same")]
+    want = {(docs[r][0], n) for r, n in brute(docs, items)}
+    assert {(50, 1000 + i) for i in range(100)} <= want and {(i, i) for i in range(20)} <= want
+    assert hits(spark, docs, items) == want
+
+
+def test_survivors_in_small_steps_are_the_same(monkeypatch):
+    rnd = random.Random(8)
+    items = [((i,), [b"w%d" % rnd.randrange(30) for _ in range(8)]) for i in range(90)]
+    hashed = [(i, dc.hash_words(w[:-1]), dc.hash_words(w[-1:])) for i, w in items]
+    df = {}
+    for _, q, a in hashed:
+        for t in set(q.tolist()) | set(a.tolist()):
+            df[t] = df.get(t, 0) + 1
+    index = dc.Index(hashed, df, 90, 8.0, 32)
+    chunk = np.repeat(np.arange(40), 15)
+    ids = np.array([rnd.randrange(-3, len(index.terms)) for _ in chunk])
+    new_doc = np.array([k % 7 == 0 for k in range(41)])
+    whole = index.survivors(ids, chunk, new_doc, 0.5)
+    for step in (1, 40, 300):
+        monkeypatch.setattr(dc, "EXPANDED", step)
+        assert all((x == y).all() for x, y in zip(whole, index.survivors(ids, chunk, new_doc, 0.5)))
