@@ -8,7 +8,8 @@ octet range, digit count) and scored from words near by.
 
 Base kinds (email, ip, card, phone) are kept whenever they are valid; their
 score only informs. The method's own kinds (iban, national_id) are kept where
-the score reaches ``MIN_SCORE``. Null and empty texts give no spans.
+the score reaches ``MIN_SCORE``; an account number of its country's length and
+with right check digits never scores less. Null and empty texts give no spans.
 """
 
 from __future__ import annotations
@@ -19,6 +20,26 @@ from pyspark.sql import functions as F
 BASE_KINDS = ("email", "ip", "card", "phone")
 KINDS = (*BASE_KINDS, "iban", "national_id")
 
+#: Length of an account number by country, without spaces; a run of another country may have any length.
+IBAN_LENGTHS = {
+    15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV",
+    22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG",
+    25: "LY PT ST", 26: "IS TR", 27: "BI DJ FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HN HU LB NI PL SV",
+    29: "BR EG PS QA UA", 30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU"}
+
+
+def _iban_pattern() -> str:
+    """Four characters, the whole number looked ahead as group 1, so one inside a wrong one is tried too."""
+    def body(n: int) -> str:
+        q, r = divmod(n - 4, 4)
+        return rf"[0-9]{{2}}(?:\x20?[A-Z0-9]{{4}}){{{q}}}" + (rf"\x20?[A-Z0-9]{{{r}}}" if r else "")
+
+    known = "|".join(codes.replace(" ", "|") for codes in IBAN_LENGTHS.values())
+    each = "|".join(f"(?:{codes.replace(' ', '|')}){body(n)}" for n, codes in IBAN_LENGTHS.items())
+    other = rf"(?!{known})[A-Z]{{2}}[0-9]{{2}}(?:\x20?[A-Z0-9]{{4}}){{2,7}}(?:\x20?[A-Z0-9]{{1,3}})?"
+    return rf"(?<![A-Za-z0-9])(?=((?:{each}|{other})(?![A-Za-z0-9])))[A-Z]{{2}}[0-9]{{2}}"
+
+
 # The look-behind keeps a long word from being tried at each of its letters;
 # \G lets a match begin right after the one before.
 PATTERNS = {
@@ -27,11 +48,13 @@ PATTERNS = {
     # 14 digits at least: shorter runs match the base pattern but fail its count
     "card": r"[0-9](?:[\x20-]?[0-9]){13,}+",
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
-    "iban": r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){2,7}(?:\x20?[A-Z0-9]{1,3})?(?![A-Za-z0-9])",
+    "iban": _iban_pattern(),
     "national_id": r"(?<![0-9A-Za-z-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9A-Za-z-])",
 }
 #: A text without this cannot hold the kind, so its pattern is not tried.
 NEEDS = {"email": "@", "ip": ".", "phone": "+", "national_id": "-"}
+#: Group and length of what a match takes up, where the candidate is a group looked ahead.
+AHEAD = {"iban": (1, 4)}
 #: Score of a validated candidate before context.
 PRIOR = {"email": 0.8, "ip": 0.6, "card": 0.7, "phone": 0.5, "iban": 0.7, "national_id": 0.3}
 CONTEXT = {
@@ -58,13 +81,14 @@ def _quoted(text: str) -> str:
 def candidates(text: Column, kind: str) -> Column:
     """Matches of a kind's pattern with their positions, before validation."""
     p = F.lit(PATTERNS[kind])
-    hits, gaps = F.regexp_extract_all(text, p, F.lit(0)), F.split(text, p, -1)
+    group, taken = AHEAD.get(kind, (0, None))
+    hits, gaps = F.regexp_extract_all(text, p, F.lit(group)), F.split(text, p, -1)
     sized = F.transform(hits, lambda h, i: F.struct(F.length(F.get(gaps, i)).alias("gap"), h.alias("hit")))
 
     def add(acc: Column, x: Column) -> Column:
         s = acc["pos"] + x["gap"]
         e = s + F.length(x["hit"])
-        return F.struct(e.alias("pos"), F.concat(
+        return F.struct((e if taken is None else s + taken).alias("pos"), F.concat(
             acc["out"], F.array(F.struct(s.alias("s"), e.alias("e"), x["hit"].alias("hit")))).alias("out"))
 
     zero = F.struct(F.lit(0).alias("pos"), F.expr(f"CAST(array() AS {_HIT})").alias("out"))
@@ -114,6 +138,12 @@ def valid(kind: str, hit: Column) -> Column:
     return F.lit(True)
 
 
+def confirmed(account: Column) -> Column:
+    """True if an account number (checked, without spaces) has its country's length."""
+    of = F.create_map(*[F.lit(x) for n, codes in IBAN_LENGTHS.items() for c in codes.split() for x in (c, n)])
+    return F.coalesce(F.length(account) == F.try_element_at(of, F.substr(account, F.lit(1), F.lit(2))), F.lit(False))
+
+
 def score(kind: str, text: Column, s: Column, e: Column) -> Column:
     """Prior, plus or minus what the words within ``CONTEXT_CHARS`` say."""
     start = F.greatest(s - CONTEXT_CHARS, F.lit(0))
@@ -121,7 +151,11 @@ def score(kind: str, text: Column, s: Column, e: Column) -> Column:
                                F.substr(text, e + 1, F.lit(CONTEXT_CHARS))))
     gain = F.when(near.rlike(CONTEXT[kind]), CONTEXT_GAIN).otherwise(0.0)
     loss = F.when(near.rlike(AGAINST), CONTEXT_GAIN).otherwise(0.0)
-    return F.round(F.least(F.lit(1.0), F.greatest(F.lit(0.0), F.lit(PRIOR[kind]) + gain - loss)), 2)
+    least = F.lit(0.0)
+    if kind == "iban":
+        account = F.regexp_replace(F.substr(text, s + 1, e - s), " ", "")
+        least = F.when(confirmed(account), MIN_SCORE).otherwise(0.0)
+    return F.round(F.least(F.lit(1.0), F.greatest(least, F.lit(PRIOR[kind]) + gain - loss)), 2)
 
 
 def spans(text: Column) -> Column:

@@ -71,3 +71,24 @@ def test_redaction(spark):
 def test_no_python_in_the_plan(spark, small_docs):
     plan = pii.redact(frame(spark, small_docs))._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan.replace("ArrowEval", "")
+
+
+def test_ibans_before_other_tokens_and_near_invoices(spark):
+    good = ["AT611904300234573201", "AT61 1904 3002 3457 3201", "BE68 5390 0754 7034", "ES9121000418450200051332",
+            "DE89 3704 0044 0532 0130 00", "NO93 8601 1117 947", "FR14 2004 1010 0505 0001 3M02 606",
+            "MT84 MALT 0110 0001 2345 MTLC AST0 01S", "PL61 1090 1014 0000 0712 1981 2874"]
+    texts = [f"{a}{x}{b}" for a in ("", "pay the invoice to ", "BE68 5390 0754 ", "XX00 1234 5678 ")
+             for x in good for b in (" BIC BKAUATWW", " EUR 100", " BIC", " 1234 5678", ".", "")]
+    want = [f"iban:{t.index(x)}:{t.index(x) + len(x)}" for t in texts for x in good if x in t]
+    texts = [t for t in texts for x in good if x in t]
+    rows = {r.doc_id: r for r in found(spark, [*enumerate(texts), (9000, "AT61 1904 3002 3457 3202 BIC"), (9001, "BE68 5390 0754 7034 X1"),
+                                               (9002, "a DE89 3704 0044 0532 0130 00 b GB82WEST12345698765432 c")])}
+    assert [w for i, w in enumerate(want) if w not in rows[i].spans.split(",")] == []
+    assert "iban" not in rows[9000].spans and rows[9001].spans == "iban:0:19"
+    assert rows[9002].spans == "iban:2:29,iban:32:54"
+    assert {float(x) for r in rows.values() for k, x in zip(r.spans.split(","), r.scores.split(",")) if "iban" in k} <= {.5, .7, .95}
+
+
+def test_redaction_of_an_iban_before_its_bic(spark):
+    docs = [(1, "invoice AT61 1904 3002 3457 3201 BIC BKAUATWW")]
+    assert [r.text for r in pii.redact(frame(spark, docs)).collect()] == ["invoice [IBAN] BIC BKAUATWW"]
