@@ -4,9 +4,10 @@ A chunk ends where the gear hash of the last 16 bytes falls below a limit, so
 cut points depend on the bytes around them alone and an insertion moves none
 but its own. Chunks are deduplicated by a 128-bit digest and length. The
 document with the smallest id keeps a chunk (its first place there); every
-other place is a duplicate. Adjoining duplicates form a run, and runs of at
-least ``min_run_bytes`` are reported: shorter ones are lines and phrases that
-ordinary texts share.
+other place is a duplicate. Adjoining duplicates form a run. ``EVERY_RUN``
+reports all of them, whole texts of a few bytes included, for the caller to
+filter by length (``end_byte - first_byte``); ``DEFAULT_CHUNKING`` leaves out runs
+under ``min_run_bytes``, mostly lines and phrases that ordinary texts share.
 
 Counting goes through map-side aggregates per digest, so a chunk held by a
 third of all documents is no large group; marking joins the digests found in
@@ -44,6 +45,7 @@ class Chunking:
 
 
 DEFAULT_CHUNKING = Chunking()
+EVERY_RUN = Chunking(min_run_bytes=1)
 WINDOW = 16
 #: Bytes inside a character: no chunk begins with one.
 _CONTINUES = np.zeros(256, bool)

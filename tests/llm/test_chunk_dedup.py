@@ -93,3 +93,14 @@ def test_repeated_rows_remove_and_empty_table(spark):
     for r in cd.remove(frame(spark, docs)).collect():
         out[r.doc_id].append(r.text)
     assert out[1] == [a] and out[2] == [""] and out[4] == [None] and b[:800] in out[3][0] and len(out[3][0]) < 1000
+
+
+def test_the_query_reports_short_texts_and_every_run(spark, edge_docs, tmp_path):
+    from chargeline.llm.queries import op10_chunk_dedup
+
+    docs = [d for d in {d[0]: d for d in edge_docs}.values() if d[0] != 1003]
+    docs += [(2000, "Thank you."), (2001, "Thank you."), (2002, "é"), (2003, "é")]
+    frame(spark, docs).write.parquet(str(tmp_path / "documents.parquet"))
+    got = collections.Counter(tuple(r) for r in op10_chunk_dedup(spark, str(tmp_path)).collect())
+    assert got[2001, 0, 10, 1, 2000] == got[2003, 0, 2, 1, 2002] == got[1005, 0, 7, 1, 1004] == 1
+    assert got == brute(docs, cd.EVERY_RUN)
