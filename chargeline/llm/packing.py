@@ -53,19 +53,24 @@ PIECES = T.StructType([
 
 @dataclass(frozen=True)
 class Vocabulary:
-    """A tokenizer file; where the same byte-level vocabulary is given as ranks with its pattern, they do the bulk."""
+    """A tokenizer file; where the same byte-level vocabulary is given as ranks with its pattern, they do the bulk.
+
+    With ``added`` the content of an added token in a text is that token, as the
+    tokenizer file has it; without, it is text like any other.
+    """
 
     path: str
     ranks: str | None = None
     pattern: str | None = None
+    added: bool = False
 
 
 class Encoder:
     """Ids of whole texts as little-endian unsigned 32-bit numbers.
 
     Both libraries give the same ids. The one for ranks is faster, but slow on
-    very long stretches without a break or of nothing but white space, so texts
-    with such a stretch go to the other.
+    very long stretches without a break or of nothing but white space, and has no
+    added tokens, so texts with such a stretch or token go to the other.
     """
 
     LONG_STRETCH = re.compile(r"\S{2048}|\s{2048}")
@@ -74,7 +79,9 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(vocabulary.path)
-        self.tokenizer.encode_special_tokens = True
+        self.tokenizer.encode_special_tokens = not vocabulary.added
+        contents = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()] if vocabulary.added else []
+        self.slow = re.compile("|".join([self.LONG_STRETCH.pattern, *map(re.escape, contents)]))
         self.fast = None
         if vocabulary.ranks:
             import tiktoken
@@ -85,7 +92,7 @@ class Encoder:
 
     def encode(self, text: str | None) -> np.ndarray:
         text = text or ""
-        if self.fast is None or self.LONG_STRETCH.search(text):
+        if self.fast is None or self.slow.search(text):
             return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4")
         return self.fast.encode_to_numpy(text, disallowed_special=()).astype("<u4", copy=False)
 

@@ -11,10 +11,11 @@ from chargeline.llm.frames import documents
 SHARDS = 40
 
 
-def vocabulary() -> packing.Vocabulary:
+def vocabulary(added: bool = False) -> packing.Vocabulary:
     import public_tokenizers as files
 
-    return packing.Vocabulary(files.path("byte_bpe_50k.json"), files.path("byte_bpe_50k.tiktoken"), files.PATTERN)
+    return packing.Vocabulary(files.path("byte_bpe_50k.json"), files.path("byte_bpe_50k.tiktoken"), files.PATTERN,
+                              added)
 
 
 def benchmark(spark, sf_dir):
@@ -47,7 +48,7 @@ def op6_ngram_join(spark, sf_dir):
 
 
 def op7_packing(spark, sf_dir):
-    return packing.pack(documents(spark, sf_dir), vocabulary()).drop("ids", "source")
+    return packing.pack(documents(spark, sf_dir), vocabulary(added=True)).drop("ids", "source")
 
 
 def op8_pii(spark, sf_dir):

@@ -33,7 +33,7 @@ def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of all documents in sequences of 1024 tokens."""
-    return packing.pack(docs, vocabulary()).drop("ids", "source")
+    return packing.pack(docs, vocabulary(added=True)).drop("ids", "source")
 
 
 STAGES = [("quality_rules", quality_rules), ("near_duplicates", near_duplicates),

@@ -109,3 +109,18 @@ def test_targets_hold_until_a_source_is_empty():
 
 def test_empty_table(spark):
     assert packing.pack(frame(spark, []), VOCABULARY).collect() == []
+
+
+def test_the_query_and_the_pipeline_encode_added_tokens_as_the_tokenizer_file(spark, tmp_path):
+    import corpus_pipeline
+    from chargeline.llm.queries import op7_packing
+
+    texts = ["hello <|endoftext|> world", "<|endoftext|>", "a<|endoftext|><|endoftext|>b", "<|endoftext|", "plain", None]
+    plain = Tokenizer.from_file(PATH)
+    want = {i: [*plain.encode(t or "", add_special_tokens=False).ids, 0] for i, t in enumerate(texts)}
+    assert want[0] == [31373, 220, 50256, 995, 0]
+    docs = frame(spark, [(i, t, "en", "s") for i, t in enumerate(texts)])
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    for rows in (op7_packing(spark, str(tmp_path)), corpus_pipeline.packed(spark, docs, "")):
+        got = {r.doc_id: (r.doc_tokens, r.ids_crc32) for r in rows.collect()}
+        assert got == {i: (len(x), zlib.crc32(np.array(x, "<u4").tobytes())) for i, x in want.items()}
