@@ -52,7 +52,7 @@ def test_every_operator_is_registered(spark):
     import __spark_entry__
 
     names = __spark_entry__.queries()
-    assert {f"op{n}" for n in range(1, 11)} == {k.split("_")[0] for k in QUERIES} and "pipeline" in names
+    assert {f"op{n}" for n in range(1, 14)} == {k.split("_")[0] for k in QUERIES} and "pipeline" in names
     assert set(QUERIES) <= set(names)
 
 
