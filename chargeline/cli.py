@@ -7,6 +7,8 @@
     python -m chargeline bill --tables ROOT --customers PATH --period 2024-01
     python -m chargeline report --tables ROOT --customers PATH
     python -m chargeline documents --tables ROOT --customers PATH --period 2024-01
+    python -m chargeline reconcile --tables ROOT
+    python -m chargeline compact --tables ROOT
 
 Tables live under ``--tables`` (any Hadoop URI). Customers and rate plans are
 Parquet folders, catalog tables (``table:NAME``) or database tables
@@ -61,28 +63,52 @@ def _messages(spark, args, starting_offsets):
 
 
 def _stream(spark, args, tables, rules) -> dict:
-    from chargeline.streaming import mediation_stream as ms
+    """Runs the command's streams; their progress is kept under the tables, over all runs."""
+    from chargeline.streaming import monitor
+
+    log = f"{tables.root}/_progress"
+    listener = monitor.ProgressLog(spark, log)
+    spark.streams.addListener(listener)
+    try:
+        _run_streams(spark, args, tables, rules)
+        monitor.drain(spark)
+    finally:
+        spark.streams.removeListener(listener)
+    if args.command == "store" or args.sink == "store":
+        return {}
+    return {"late_rows": sum(r.late_rows for r in monitor.progress_totals(spark, log).collect())}
+
+
+def _run_streams(spark, args, tables, rules) -> None:
+    from chargeline.streaming import bounded_dedup, mediation_stream as ms
 
     trig = {"availableNow": True} if args.trigger == "availableNow" else {"processingTime": args.trigger}
     if args.command == "store":
         messages = None if args.source == "parquet" else _messages(spark, args, "earliest")
         ms.start_normalized_store(spark, f"{tables.root}/mediated_valid", tables.normalized,
                                   f"{tables.root}/_checkpoints/store", trig, messages=messages).awaitTermination()
-        return {}
+        return
     source = _messages(spark, args, args.starting_offsets)
     if args.sink == "store":
         ms.start_mediation_store(source, normalized_path=tables.normalized,
                                  dead_path=f"{tables.root}/dead_letters",
                                  checkpoint=f"{tables.root}/_checkpoints/mediation_store",
                                  trigger=trig, rules=rules).awaitTermination()
-        return {}
+        return
+    if args.sink == "bounded":
+        root = f"{tables.root}/bounded"
+        queries = [bounded_dedup.start_split(source, root, args.delay, trig, rules)]
+        if "availableNow" in trig:
+            ms.await_all(queries)
+        queries.append(bounded_dedup.start_dedup(spark, root, args.delay, trig))
+        ms.await_all(queries) if "availableNow" in trig else ms.run_until_any_stops(spark)
+        return
     queries = ms.start_mediation(source, checkpoint_root=f"{tables.root}/_checkpoints/mediation", fmt=args.sink,
                                  valid_path=f"{tables.root}/mediated_valid",
                                  dead_path=f"{tables.root}/dead_letters", servers=args.sink_servers or args.servers,
                                  valid_topic=args.valid_topic, dead_topic=args.dead_topic,
                                  trigger=trig, rules=rules)
     ms.await_all(queries, timeout_s=None) if "availableNow" in trig else ms.run_until_any_stops(spark)
-    return {"late_rows": ms.late_rows(queries[0])}
 
 
 def main(argv: list[str] | None = None) -> dict:
@@ -111,9 +137,11 @@ def main(argv: list[str] | None = None) -> dict:
     s.add_argument("--topic")
     s.add_argument("--starting-offsets", default="latest")
     s.add_argument("--trigger", default="availableNow", help="'availableNow' or e.g. '10 seconds'")
-    s.add_argument("--sink", choices=["parquet", "kafka", "store"], default="parquet",
+    s.add_argument("--sink", choices=["parquet", "kafka", "store", "bounded"], default="parquet",
                    help="parquet: files under --tables; kafka: two topics; store: read once, straight into the "
-                        "normalised store and the dead-letter table, no streaming state")
+                        "normalised store and the dead-letter table, no streaming state; bounded: state bounded by "
+                        "--delay, late records set aside for 'reconcile'")
+    s.add_argument("--delay", default="2 days", help="how late a record may be before it is set aside (--sink bounded)")
     s.add_argument("--sink-servers", help="brokers of the sink topics (default: --servers)")
     s.add_argument("--valid-topic")
     s.add_argument("--dead-topic")
@@ -136,6 +164,10 @@ def main(argv: list[str] | None = None) -> dict:
     pc.add_argument("--buckets", type=int, required=True)
     pc.add_argument("--location", help="storage location of the table (default: warehouse)")
     cmd("report")
+    cmd("reconcile", customers=False)
+    k = cmd("compact", customers=False)
+    k.add_argument("--target-mb", type=int, default=512)
+    k.add_argument("--keep-versions", type=int, default=2, help="older versions are deleted")
     cmd("documents", period=True)
     args = p.parse_args(argv)
     if getattr(args, "sink", None) == "kafka" and not (args.valid_topic and args.dead_topic
@@ -144,6 +176,7 @@ def main(argv: list[str] | None = None) -> dict:
 
     from chargeline.plans import jobs
     from chargeline.session import build_session, sized_shuffles
+    from chargeline.sinks.snapshots import SnapshotTable
 
     spark = build_session(args.master, app_name=f"chargeline-{args.command}")
     rules = rules_from_yaml(args.rules) if args.rules else DEFAULT_RULES
@@ -156,15 +189,30 @@ def main(argv: list[str] | None = None) -> dict:
         print(json.dumps(out))
         return out
 
+    if args.command == "reconcile":
+        from chargeline.streaming import bounded_dedup
+
+        out["batches"] = bounded_dedup.reconcile_late(spark, f"{tables.root}/bounded")
+        print(json.dumps(out))
+        return out
+    if args.command == "compact":
+        out.update(jobs.run_compaction(spark, tables, args.target_mb << 20, args.keep_versions))
+        print(json.dumps(out))
+        return out
+
     # the largest input of the command sizes its shuffles; buckets fix their own number
-    largest = {"rate": getattr(args, "normalized", None) or tables.normalized, "bill": tables.rated,
-               "report": tables.rated, "documents": tables.invoices}
-    with sized_shuffles(spark, [largest[args.command]] if args.command in largest else []):
+    incremental = args.command == "rate" and not args.normalized and SnapshotTable(spark, tables.normalized).exists()
+    largest = {"rate": jobs.unrated_paths(spark, tables) if incremental else [getattr(args, "normalized", None) or tables.normalized],
+               "bill": [tables.rated], "report": [tables.rated], "documents": [tables.invoices]}
+    with sized_shuffles(spark, largest.get(args.command, [])):
         customers, plans = _inputs(spark, args)
-        if args.command == "rate":
+        split_hot = args.command == "rate" and args.customers.startswith("table:")  # may be bucketed
+        if incremental:
+            out.update(jobs.run_rating_incremental(spark, customers, plans, tables, rules, split_hot))
+        elif args.command == "rate":
             records = spark.read.parquet(args.normalized or tables.normalized)
             out.update(jobs.run_rating(spark, records, customers, plans, tables, rules,
-                                       input_unique=args.normalized is None))
+                                       input_unique=args.normalized is None, split_hot=split_hot))
         elif args.command == "publish-customers":
             table = jobs.publish_customers(spark, customers, args.table, args.buckets,
                                            args.location or f"{tables.root}/customers_bucketed")

@@ -7,12 +7,14 @@ hot subscriber's partition), one broadcast join with the rate-plan dimension
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from chargeline.functions.columns import in_range, month_start, ts_literal
 from chargeline.operators.dedup import dedupe
-from chargeline.operators.joins import broadcast_if_small, new_keys_only
+from chargeline.operators.joins import broadcast_if_small, heavy_keys, left_join_split, new_keys_only
 from chargeline.rules import DEFAULT_RULES, Rules
 from chargeline.schemas import NORMALIZED, RATED_COLUMNS
 
@@ -38,8 +40,13 @@ def with_event_time(records: DataFrame, rules: Rules = DEFAULT_RULES) -> DataFra
     return (records.withColumn("timestamp", ts)
             .withColumn("billing_month", month_start("timestamp")))
 
+def hot_subscribers(records: DataFrame, share: float = 0.01) -> list[str]:
+    """Subscribers with at least ``share`` of the records, for ``rate``."""
+    return heavy_keys(records, "msisdn", share)
+
+
 def enrich(records: DataFrame, customers: DataFrame, rate_plans: DataFrame,
-           rules: Rules = DEFAULT_RULES) -> DataFrame:
+           rules: Rules = DEFAULT_RULES, hot: Sequence[str] = ()) -> DataFrame:
     """Attach the subscriber's plan and status, then the price of the
     plan for this record's service (left joins: nothing is dropped)."""
     cust = customers.select(
@@ -49,7 +56,7 @@ def enrich(records: DataFrame, customers: DataFrame, rate_plans: DataFrame,
         "region", "student", "activation_date")
     plans = broadcast_if_small(rate_plans.select(F.col("rate_plan_id").alias("plan_id"), "plan_name",
                                                  "service_type", "unit_price"))
-    with_customer = records.join(cust, "msisdn", "left")
+    with_customer = left_join_split(records, cust, "msisdn", hot)
     return (with_customer
             .join(plans, (F.col("customer_rate_plan_id") == F.col("plan_id"))
                   & (F.col("record_type") == F.col("service_type")), "left")
@@ -123,7 +130,7 @@ def project_rated(priced: DataFrame) -> DataFrame:
 
 def rate(records: DataFrame, customers: DataFrame, rate_plans: DataFrame,
          rules: Rules = DEFAULT_RULES, already_rated: DataFrame | None = None,
-         input_unique: bool = False) -> DataFrame:
+         input_unique: bool = False, hot_subscribers: Sequence[str] = ()) -> DataFrame:
     """Valid normalised records -> rated records (one row per record_id).
 
     The source system de-duplicates again after rating; the input is already unique
@@ -132,11 +139,15 @@ def rate(records: DataFrame, customers: DataFrame, rate_plans: DataFrame,
 
     ``input_unique=True`` declares the input unique per record_id (e.g. the
     idempotent normalised store) and skips the de-duplication shuffle.
+
+    ``hot_subscribers`` are joined apart (``joins.left_join_split``). Against
+    bucketed customers nothing else splits a hot subscriber; against a shuffled
+    table AQE does.
     """
     unique = records.select(*_INPUT_COLUMNS) if input_unique else dedupe_input(records)
     timed = with_event_time(unique, rules)
     fresh = not_yet_rated(timed, already_rated)
-    enriched = enrich(fresh, customers, rate_plans, rules)
+    enriched = enrich(fresh, customers, rate_plans, rules, hot_subscribers)
     return project_rated(price(enriched, rules))
 
 def status_breakdown(rated: DataFrame) -> DataFrame:

@@ -14,7 +14,8 @@ from pyspark.sql import functions as F
 
 from chargeline.operators import billing, rating
 from chargeline.rules import DEFAULT_RULES, Rules
-from chargeline.sinks import writers
+from chargeline.sinks import ledger, writers
+from chargeline.sinks.snapshots import SnapshotTable, read_table
 
 
 # AQE may replace a plan that turns out empty at run time by an empty relation,
@@ -38,6 +39,10 @@ def job_conf(spark: SparkSession, conf: dict = _KEEP_OBSERVE):
                 spark.conf.set(k, v)
 
 
+#: The name under which the rated table keeps its position in the normalised store.
+STORE = "normalized_records"
+
+
 @dataclass
 class TablePaths:
     root: str
@@ -59,29 +64,82 @@ class TablePaths:
         return f"{self.root}/reports"
 
 
+def _counted(rated: DataFrame, obs: Observation) -> DataFrame:
+    s = F.col("rating_status")
+    return rated.observe(obs, F.count(F.lit(1)).alias("written"),
+                         F.count_if(s == "rated").alias("rated"),
+                         F.count_if(s == "rejected").alias("rejected"),
+                         F.count_if(s == "unmatched").alias("unmatched"))
+
+
 def run_rating(spark: SparkSession, records: DataFrame, customers: DataFrame,
                rate_plans: DataFrame, tables: TablePaths,
-               rules: Rules = DEFAULT_RULES, input_unique: bool = False) -> dict:
-    """Rate the records not rated yet and append them to the rated table.
-    ``input_unique`` when reading the normalised store (unique by record_id)."""
-    existing = writers.read_table_or_none(spark, tables.rated)
-    out = rating.rate(records, customers, rate_plans, rules, already_rated=existing,
-                      input_unique=input_unique)
+               rules: Rules = DEFAULT_RULES, input_unique: bool = False, split_hot: bool = False) -> dict:
+    """Rate the records not rated yet and commit them to the rated table.
+    ``input_unique`` when reading the normalised store (unique by record_id);
+    ``split_hot`` looks for hot subscribers first (for bucketed customers)."""
+    out = rating.rate(records, customers, rate_plans, rules, already_rated=read_table(spark, tables.rated),
+                      input_unique=input_unique,
+                      hot_subscribers=rating.hot_subscribers(records) if split_hot else ())
     obs = Observation("rating")
-    s = F.col("rating_status")
-    out = out.observe(obs, F.count(F.lit(1)).alias("written"),
-                      F.count_if(s == "rated").alias("rated"),
-                      F.count_if(s == "rejected").alias("rejected"),
-                      F.count_if(s == "unmatched").alias("unmatched"))
     with job_conf(spark):
-        writers.append_partitioned(out, tables.rated, "billing_month")
+        SnapshotTable(spark, tables.rated).append(_counted(out, obs), "billing_month")
         return dict(obs.get)
 
 
+def unrated_paths(spark: SparkSession, tables: TablePaths) -> list[str]:
+    """Folders of the batches that ``run_rating_incremental`` would read."""
+    position = SnapshotTable(spark, tables.rated).snapshot().consumed.get(STORE, -1)
+    parts = SnapshotTable(spark, tables.normalized).snapshot().after(position)
+    return [f"{tables.normalized}/{p.name}" for p in parts]
+
+
+def run_rating_incremental(spark: SparkSession, customers: DataFrame, rate_plans: DataFrame, tables: TablePaths,
+                           rules: Rules = DEFAULT_RULES, split_hot: bool = False) -> dict:
+    """Rate the batches of the normalised store that the rated table has not consumed.
+
+    The store holds each record once, over all its batches, and the commit of the
+    rated records moves the position: no history is read, neither of the store
+    nor of the rated table. Only where the rated table was filled by
+    ``run_rating`` before is its id column compared, once.
+    """
+    store, rated = SnapshotTable(spark, tables.normalized), SnapshotTable(spark, tables.rated)
+    now, done = store.snapshot(), rated.snapshot()
+    position = done.consumed.get(STORE, -1)
+    fresh = store.read(now, after=position)
+    none = {"written": 0, "rated": 0, "rejected": 0, "unmatched": 0, "batches": 0}
+    if fresh is None:
+        return none
+    earlier = None if STORE in done.consumed else read_table(spark, tables.rated)
+    out = rating.rate(fresh.drop("batch"), customers, rate_plans, rules, already_rated=earlier, input_unique=True,
+                      hot_subscribers=rating.hot_subscribers(fresh) if split_hot else ())
+    obs = Observation("rating")
+    with job_conf(spark):
+        rated.append(_counted(out, obs), "billing_month", consumed={STORE: now.last})
+        return dict(obs.get) | {"batches": len(now.after(position))}
+
+
+def run_compaction(spark: SparkSession, tables: TablePaths, target_bytes: int = 512 << 20, keep_versions: int = 2) -> dict:
+    """Rewrite the small batches of the normalised store and the rated table; readers keep the version they read.
+
+    What the rated table has not consumed yet is never merged with what it has."""
+    out = {}
+    rated = SnapshotTable(spark, tables.rated)
+    position = rated.snapshot().consumed.get(STORE, -1)
+    store = SnapshotTable(spark, tables.normalized)
+    for name, table, sides, cuts in (("normalized_records", store, ledger.SIDES, (position,)), ("rated_records", rated, (), ())):
+        if table.exists():
+            before = len(table.snapshot().parts)
+            after = table.compact("billing_month", target_bytes, cuts, sides)
+            removed = table.vacuum(keep_versions, [s for s, _ in sides])
+            out[name] = {"parts_before": before, "parts": len(after.parts), "removed": len(removed)}
+    return out
+
+
 def run_billing(spark: SparkSession, customers: DataFrame, rate_plans: DataFrame,
                 tables: TablePaths, rules: Rules = DEFAULT_RULES) -> dict:
     """Bill the period from the rated table; replace that period's invoices."""
-    rated = spark.read.parquet(tables.rated)
+    rated = read_table(spark, tables.rated)
     inv = writers.with_period_partition(billing.bill(rated, customers, rate_plans, rules))
     obs = Observation("billing")
     inv = inv.observe(obs, F.count(F.lit(1)).alias("invoices"),
@@ -107,7 +165,7 @@ def run_reports(spark: SparkSession, customers: DataFrame, rate_plans: DataFrame
     (any Hadoop URI, e.g. an object store bucket)."""
     from chargeline.operators import reports
 
-    rated = spark.read.parquet(tables.rated)
+    rated = read_table(spark, tables.rated)
     invoices = spark.read.parquet(tables.invoices)
     # (report, bounded?) -- listings grow with the data and are written in parallel
     out = {

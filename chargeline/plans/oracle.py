@@ -622,6 +622,9 @@ oracle("stream_dead_letters", "SELECT * FROM mediated WHERE status = 'error' "
 oracle("stream_normalized_store", "SELECT * FROM valid_unique")
 oracle("stream_mediation_single_read", "SELECT * FROM valid_unique")
 oracle("stream_late_records", "SELECT * FROM valid_unique")
+oracle("stream_bounded_dedup", "SELECT * FROM valid_unique")
+oracle("store_compacted", "SELECT * FROM valid_unique")
+oracle("rating_incremental_batches", f"SELECT {RATED_COLS} FROM rated")
 oracle("stream_store_null_time", "SELECT * FROM valid_unique", source="events_no_time")
 oracle("stream_store_cross_month", "SELECT * FROM valid_unique")
 ORACLE["report_csv_roundtrip"] = ORACLE["report_revenue_by_region"]

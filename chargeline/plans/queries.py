@@ -18,8 +18,9 @@ from chargeline.rules import DEFAULT_RULES
 from chargeline.schemas import NORMALIZED, USAGE_RAW
 from chargeline.session import scratch_path
 from chargeline.sinks import writers
+from chargeline.sinks.snapshots import read_table
 from chargeline.sources import fixtures
-from chargeline.streaming import mediation_stream as ms
+from chargeline.streaming import bounded_dedup, mediation_stream as ms
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -379,7 +380,7 @@ def stream_normalized_store(spark, sf_dir):
     for replay in range(2):
         ms.start_normalized_store(spark, f"{base}/valid", table,
                                   f"{base}/store-checkpoint-{replay}").awaitTermination()
-    return spark.read.parquet(table).select(*NORMALIZED.fieldNames())
+    return read_table(spark, table).select(*NORMALIZED.fieldNames())
 
 
 @query("stream_mediation_single_read")
@@ -394,7 +395,7 @@ def stream_mediation_single_read(spark, sf_dir):
         ms.start_mediation_store(ms.usage_source(spark, "text", path=inbox),
                                  normalized_path=f"{base}/normalized", dead_path=f"{base}/dead",
                                  checkpoint=f"{base}/checkpoint").awaitTermination()
-    return spark.read.parquet(f"{base}/normalized").select(*NORMALIZED.fieldNames())
+    return read_table(spark, f"{base}/normalized").select(*NORMALIZED.fieldNames())
 
 
 @query("stream_late_records")
@@ -413,6 +414,22 @@ def stream_late_records(spark, sf_dir):
     return spark.read.schema(NORMALIZED).parquet(f"{base}/valid")
 
 
+@query("stream_bounded_dedup")
+def stream_bounded_dedup(spark, sf_dir):
+    """Every message delivered twice, the older half of the month after the
+    newer half; state bounded by a two-day watermark, late records reconciled."""
+    base = scratch_path(spark, "stream-bounded")
+    inbox = f"{base}/inbox"
+    raw = fixtures.raw_usage(spark, sf_dir)
+    late = F.coalesce(F.col("timestamp") < F.lit("2024-01-16 00:00:00"), F.lit(True))
+    for delivery in (raw.where(~late), raw.where(late), raw):
+        mediation.to_messages(delivery).write.mode("append").text(inbox)
+        ms.await_all([bounded_dedup.start_split(ms.usage_source(spark, "text", path=inbox), f"{base}/out", "2 days")])
+        ms.await_all([bounded_dedup.start_dedup(spark, f"{base}/out", "2 days")])
+        bounded_dedup.reconcile_late(spark, f"{base}/out")
+    return bounded_dedup.unique_records(spark, f"{base}/out")
+
+
 def _store_deliveries(spark, name, deliveries):
     """The normalised store after each delivery was appended to its source and consumed."""
     base = scratch_path(spark, name)
@@ -420,7 +437,7 @@ def _store_deliveries(spark, name, deliveries):
         delivery.select(*NORMALIZED.fieldNames()).write.mode("append").parquet(f"{base}/valid")
         ms.start_normalized_store(spark, f"{base}/valid", f"{base}/normalized_records",
                                   f"{base}/checkpoint").awaitTermination()
-    return spark.read.parquet(f"{base}/normalized_records").select(*NORMALIZED.fieldNames())
+    return read_table(spark, f"{base}/normalized_records").select(*NORMALIZED.fieldNames())
 
 
 @query("stream_store_null_time")
@@ -438,6 +455,33 @@ def stream_store_cross_month(spark, sf_dir):
     return _store_deliveries(spark, "store-cross-month", [valid, moved])
 
 
+def _store_in_parts(spark, sf_dir, name, parts):
+    """The normalised store after the month came in so many deliveries, each with one of the others again."""
+    tables = jobs.TablePaths(scratch_path(spark, name))
+    valid = flows.valid_usage(spark, sf_dir).withColumn("_part", F.pmod(F.xxhash64("record_id"), F.lit(parts)))
+    for i in range(parts):
+        delivery = valid.where(F.col("_part").isin(i, (i + 1) // 2)).drop("_part").select(*NORMALIZED.fieldNames())
+        ms.store_batch(tables.normalized, "deliveries")(delivery, i)
+        yield tables
+
+
+@query("store_compacted")
+def store_compacted(spark, sf_dir):
+    """Six deliveries, then the small parts rewritten as one; the table reads the same."""
+    for tables in _store_in_parts(spark, sf_dir, "store-compacted", 6):
+        pass
+    jobs.run_compaction(spark, tables)
+    return read_table(spark, tables.normalized).select(*NORMALIZED.fieldNames())
+
+
+@query("rating_incremental_batches")
+def rating_incremental_batches(spark, sf_dir):
+    """The store grows by three deliveries; each rating run reads the new batches alone."""
+    for tables in _store_in_parts(spark, sf_dir, "rating-incremental", 3):
+        jobs.run_rating_incremental(spark, fixtures.customers(spark, sf_dir), fixtures.rate_plans(spark), tables)
+    return read_table(spark, tables.rated).select(*rating.RATED_COLUMNS)
+
+
 # ---------------------------------------------------------------- sinks
 
 REVENUE_REGION_CSV = StructType([
@@ -472,7 +516,7 @@ def rating_job_rerun(spark, sf_dir):
     cust, plans = fixtures.customers(spark, sf_dir), fixtures.rate_plans(spark)
     for _ in range(2):
         jobs.run_rating(spark, valid, cust, plans, tables)
-    return spark.read.parquet(tables.rated).select(*rating.RATED_COLUMNS)
+    return read_table(spark, tables.rated).select(*rating.RATED_COLUMNS)
 
 
 @query("rating_rerun_null_time")
@@ -484,7 +528,7 @@ def rating_rerun_null_time(spark, sf_dir):
     cust, plans = fixtures.customers(spark, sf_dir), fixtures.rate_plans(spark)
     for as_of in (_dt.datetime(2024, 1, 31), _dt.datetime(2024, 2, 28)):
         jobs.run_rating(spark, valid, cust, plans, tables, _replace(DEFAULT_RULES, as_of=as_of))
-    return spark.read.parquet(tables.rated).select(*rating.RATED_COLUMNS)
+    return read_table(spark, tables.rated).select(*rating.RATED_COLUMNS)
 
 
 @query("billing_job_rerun")

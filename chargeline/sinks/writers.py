@@ -1,10 +1,9 @@
 """Table and file writers.
 
-* rated records: append, partitioned by ``billing_month`` (an overwrite would
-  erase records rated earlier in the month);
+* rated and normalised records: batches of a snapshot table (``snapshots``),
+  partitioned by ``billing_month``; normalised ones once per ``record_id`` (``ledger``);
 * invoices: dynamic partition overwrite of the billed period, so a re-run
   replaces that period's invoices and nothing else;
-* normalised records: idempotent append keyed by ``record_id``;
 * reports: one small CSV file per report (only for small results).
 
 Paths may be local or any Hadoop URI (``s3a://``, ``abfss://``, ``hdfs://``).
@@ -16,8 +15,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from chargeline.operators.joins import new_keys_only
-
 
 def path_exists(spark: SparkSession, path: str) -> bool:
     jvm = spark.sparkContext._jvm
@@ -55,17 +52,6 @@ def overwrite_partitions(df: DataFrame, path: str, partition_col: str) -> None:
        .partitionBy(partition_col).parquet(path))
 
 
-def idempotent_append(spark: SparkSession, batch: DataFrame, path: str, key: str,
-                      partition_col: str) -> None:
-    """Append rows whose key is new. A replayed micro-batch or a re-run job
-    writes nothing twice; errors propagate (nothing is swallowed)."""
-    from chargeline.operators.dedup import dedupe
-
-    existing = read_table_or_none(spark, path)
-    fresh = new_keys_only(dedupe(batch, [key]), existing, key)
-    append_partitioned(fresh, path, partition_col)
-
-
 def write_report_csv(report: DataFrame, path: str, single_file: bool = True) -> None:
     """A report as CSV with header.
 

@@ -8,11 +8,12 @@ run inside the streaming plan.
 * valid records are de-duplicated by record_id. By default this is exact and
   loses nothing; its state (record ids, on local disk) grows with the stream.
   ``rules.dedup_watermark`` bounds the state and then drops rows later than
-  it. ``start_mediation_store`` keeps no state and loses nothing;
+  it. ``streaming.bounded_dedup`` bounds it and drops nothing;
+  ``start_mediation_store`` keeps no state and loses nothing;
 * dead letters pass through unchanged (no state);
-* the normalised store is a ``foreachBatch`` idempotent append keyed by
-  record_id: a replayed micro-batch writes nothing twice, and errors fail the
-  query instead of being swallowed.
+* the normalised store is a snapshot table that ``foreachBatch`` appends to,
+  once per record_id (``sinks.ledger``): a replayed micro-batch writes nothing
+  twice, and errors fail the query instead of being swallowed.
 """
 
 from __future__ import annotations
@@ -25,7 +26,7 @@ from chargeline.functions.columns import month_start
 from chargeline.operators import mediation
 from chargeline.rules import DEFAULT_RULES, Rules
 from chargeline.schemas import NORMALIZED
-from chargeline.sinks import writers
+from chargeline.sinks import ledger, writers
 
 
 def usage_source(spark: SparkSession, kind: str = "kafka", *, path: str | None = None,
@@ -107,12 +108,14 @@ def start_mediation(messages: DataFrame, *, checkpoint_root: str, fmt: str = "pa
     ]
 
 
-def store_batch(table_path: str):
-    """``foreachBatch`` callback: idempotent append of a normalised micro-batch."""
+def store_batch(table_path: str, writer: str | None = None):
+    """``foreachBatch`` callback: commits a normalised micro-batch, each record once.
+
+    ``writer`` names the stream (its checkpoint): a batch that it has committed
+    before is left out without a look at its rows."""
     def write(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
         keyed = batch.withColumn("billing_month", month_start("timestamp"))
-        writers.idempotent_append(spark, keyed, table_path, "record_id", "billing_month")
+        ledger.append_new(batch.sparkSession, keyed, table_path, "record_id", "billing_month", writer, batch_id)
     return write
 
 
@@ -127,20 +130,21 @@ def start_normalized_store(spark: SparkSession, source_path: str | None, table_p
         stream = mediation.parse_normalized_messages(messages)
     else:
         stream = spark.readStream.schema(NORMALIZED).parquet(source_path)
-    return (stream.writeStream.foreachBatch(store_batch(table_path))
+    return (stream.writeStream.foreachBatch(store_batch(table_path, checkpoint))
             .option("checkpointLocation", checkpoint)
             .trigger(**(trigger or {"availableNow": True})).start())
 
 
-def mediate_and_store_batch(normalized_path: str, dead_path: str, rules: Rules = DEFAULT_RULES):
+def mediate_and_store_batch(normalized_path: str, dead_path: str, rules: Rules = DEFAULT_RULES,
+                            writer: str | None = None):
     """``foreachBatch`` callback of the single-read mode: parse and validate the
     micro-batch once, then
 
     * dead letters -> overwrite of the partition ``batch_id`` (a replayed
       batch rewrites its own partition: exactly once);
-    * valid records -> idempotent append keyed by record_id into the
-      normalised store, partitioned by month (duplicates within the batch and
-      against the store are dropped, whatever their event times).
+    * valid records -> a batch of the normalised store, partitioned by month
+      (duplicates within the batch and against the store are dropped, whatever
+      their event times).
     """
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
@@ -150,7 +154,7 @@ def mediate_and_store_batch(normalized_path: str, dead_path: str, rules: Rules =
             writers.overwrite_partitions(dead, dead_path, "batch_id")
             valid = mediation.valid_records(mediated).drop("status")
             keyed = valid.withColumn("status", F.lit("valid")).withColumn("billing_month", month_start("timestamp"))
-            writers.idempotent_append(spark, keyed, normalized_path, "record_id", "billing_month")
+            ledger.append_new(spark, keyed, normalized_path, "record_id", "billing_month", writer, batch_id)
         finally:
             mediated.unpersist()
     return write
@@ -163,7 +167,7 @@ def start_mediation_store(messages: DataFrame, *, normalized_path: str, dead_pat
     so no streaming state is kept and late records are never dropped. Within a
     batch the survivor is the smallest copy (as in batch de-duplication);
     across batches the first stored copy stays."""
-    return (messages.writeStream.foreachBatch(mediate_and_store_batch(normalized_path, dead_path, rules))
+    return (messages.writeStream.foreachBatch(mediate_and_store_batch(normalized_path, dead_path, rules, checkpoint))
             .queryName("mediation_store").option("checkpointLocation", checkpoint)
             .trigger(**(trigger or {"availableNow": True})).start())
 
@@ -185,7 +189,7 @@ def await_all(queries: list[StreamingQuery], timeout_s: int | None = None) -> No
 
 
 def late_rows(query: StreamingQuery) -> int:
-    """Rows dropped by the watermark across the query's recent progress."""
+    """Rows dropped by the watermark across the query's recent progress (``monitor.ProgressLog`` keeps all of it)."""
     total = 0
     for p in query.recentProgress:
         for op in p.get("stateOperators", []) if isinstance(p, dict) else p.stateOperators:

@@ -8,6 +8,7 @@ from chargeline.operators import mediation
 from chargeline.plans import flows
 from chargeline.session import scratch_path
 from chargeline.sources import fixtures
+from chargeline.streaming import bounded_dedup
 
 
 def test_phases_end_to_end(spark, tmp_path):
@@ -25,6 +26,8 @@ def test_phases_end_to_end(spark, tmp_path):
     rated = cli.main(["rate", "--tables", root, "--customers", customers, "--rules", str(rules)])
     assert rated["written"] == flows.valid_usage(spark, SF_SMALL).count()
     assert cli.main(["rate", "--tables", root, "--customers", customers])["written"] == 0
+    done = cli.main(["compact", "--tables", root])
+    assert done["rated_records"]["parts"] == 1
     billed = cli.main(["bill", "--tables", root, "--customers", customers, "--period", "2024-01",
                        "--as-of", "2024-01-31"])
     assert billed["invoices"] == flows.invoices(spark, SF_SMALL).count()
@@ -43,3 +46,19 @@ def test_phases_end_to_end(spark, tmp_path):
     doc = spark.read.parquet(f"{root}/invoice_documents").first().document
     assert doc.startswith("<!DOCTYPE html>") and "TOTAL DUE" in doc
     json.dumps(billed, default=str)
+
+
+def test_bounded_stream_and_reconcile(spark):
+    root = scratch_path(spark, "cli-bounded")
+    raw = fixtures.raw_usage(spark, SF_SMALL)
+    ids = flows.valid_usage(spark, SF_SMALL).select("record_id").distinct().count()
+    for early in (False, True):
+        mediation.to_messages(raw.where(f"coalesce(timestamp < '2024-01-20', true) = {early}")).write.mode("append").text(
+            f"{root}/inbox")
+        out = cli.main(["stream-mediation", "--source", "text", "--path", f"{root}/inbox", "--tables", root,
+                        "--sink", "bounded", "--delay", "1 day"])
+        assert out["late_rows"] == 0  # set aside, not dropped
+    assert spark.read.parquet(f"{root}/bounded/valid").count() < ids
+    assert cli.main(["reconcile", "--tables", root])["batches"] == 2
+    assert bounded_dedup.unique_records(spark, f"{root}/bounded").count() == ids
+    assert cli.main(["reconcile", "--tables", root])["batches"] == 0

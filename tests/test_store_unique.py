@@ -10,6 +10,7 @@ from conftest import SF_SMALL
 from chargeline.operators import rating
 from chargeline.plans import flows, jobs
 from chargeline.rules import DEFAULT_RULES
+from chargeline.sinks.snapshots import read_table
 from chargeline.session import checkpoint_root, scratch_path
 from chargeline.sources import fixtures
 from chargeline.streaming import mediation_stream as ms
@@ -25,7 +26,7 @@ def test_null_time_and_cross_month_redelivery_are_stored_once(spark):
     none = rows.withColumn("record_id", F.lit("x2")).withColumn("timestamp", F.lit(None).cast("timestamp_ntz"))
     for i in range(2):
         write(none, 10 + i)
-    assert sorted(r.record_id for r in spark.read.parquet(table).collect()) == ["x1", "x2"]
+    assert sorted(r.record_id for r in read_table(spark, table).collect()) == ["x1", "x2"]
 
 
 def test_a_record_without_time_is_rated_once_under_any_run_time(spark):
@@ -35,7 +36,7 @@ def test_a_record_without_time_is_rated_once_under_any_run_time(spark):
     ids = valid.select("record_id").distinct().count()
     for day in (dt.datetime(2024, 1, 31), dt.datetime(2024, 2, 28)):
         jobs.run_rating(spark, valid, cust, plans, tables, replace(DEFAULT_RULES, as_of=day))
-    rated = spark.read.parquet(tables.rated)
+    rated = read_table(spark, tables.rated)
     assert rated.count() == ids == rated.select("record_id").distinct().count()
 
 
