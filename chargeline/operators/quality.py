@@ -37,6 +37,28 @@ def key_violations(tables: Mapping[str, tuple[DataFrame, str]]) -> DataFrame:
     return out
 
 
+def key_changes(new: DataFrame, stored: DataFrame | None, key: str) -> DataFrame:
+    """Q01 for appended rows: one row with what they add to the table's duplicate
+    keys, surplus rows and NULL keys. ``stored`` has the rows that the table held
+    before of the keys in ``new`` (others are not looked at)."""
+    added = new.groupBy(key).agg(F.count(F.lit(1)).alias("c"))
+    if stored is None:
+        both = added.withColumn("n", F.lit(0))
+    else:
+        before = stored.groupBy(F.col(key).alias("_k")).agg(F.count(F.lit(1)).alias("n"))
+        both = added.join(before, F.col(key) == F.col("_k"), "left").withColumn("n", F.coalesce("n", F.lit(0)))
+    known, n, c = F.col(key).isNotNull(), F.col("n"), F.col("c")
+    return both.agg(
+        F.count_if(known & (n < 2) & (n + c > 1)).alias(f"{key}:duplicate_keys"),
+        F.coalesce(F.sum(F.when(known, F.when(n > 0, c).otherwise(c - 1))), F.lit(0)).alias(f"{key}:surplus_rows"),
+        F.coalesce(F.sum(F.when(~known, c)), F.lit(0)).alias(f"{key}:null_keys"))
+
+
+def summed_changes(changes: DataFrame, table: str) -> DataFrame:
+    """The check rows of ``key_violations`` from all changes since the table was empty."""
+    return _unpivot(changes.agg(*[F.coalesce(F.sum(f"`{c}`"), F.lit(0)).alias(c) for c in changes.columns]), table)
+
+
 def foreign_key_violations(rated: DataFrame, rate_plans: DataFrame,
                            rules: Rules = DEFAULT_RULES) -> DataFrame:
     """Q02: rated records whose plan id is not in the plan catalogue."""

@@ -7,12 +7,12 @@ stage counts cost no extra pass, and return them.
 from __future__ import annotations
 
 from contextlib import contextmanager
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from chargeline.operators import billing, rating
+from chargeline.operators import billing, quality, rating
 from chargeline.rules import DEFAULT_RULES, Rules
 from chargeline.sinks import ledger, writers
 from chargeline.sinks.snapshots import SnapshotTable, read_table
@@ -119,6 +119,30 @@ def run_rating_incremental(spark: SparkSession, customers: DataFrame, rate_plans
         return dict(obs.get) | {"batches": len(now.after(position))}
 
 
+def run_key_check(spark: SparkSession, table_path: str, key: str, name: str, checks_path: str) -> DataFrame:
+    """Q01 over a table with an id ledger, by its new batches.
+
+    What the batches since the last run add to the counts is committed to
+    ``checks_path`` together with the position, and the sum of all such changes is
+    returned. Of the older ids only those that new ids may repeat are read."""
+    table, checks = SnapshotTable(spark, table_path), SnapshotTable(spark, checks_path)
+    book = ledger.IdLedger(table, key)
+    now, position = table.snapshot(), checks.snapshot().consumed.get(name, -1)
+    fresh = book.new_ids(now, position)
+    if fresh is not None:
+        fresh = fresh.persist()
+        try:
+            older = replace(now, parts=tuple(p for p in now.parts if p.last <= position))
+            change = quality.key_changes(fresh, book.stored_among(fresh, older), key)
+            checks.append(change.withColumn("table_name", F.lit(name)), "table_name", consumed={name: now.last})
+        finally:
+            fresh.unpersist()
+    done = checks.read()
+    if done is None:
+        return quality.summed_changes(quality.key_changes(spark.createDataFrame([], f"{key} string"), None, key), name)
+    return quality.summed_changes(done.where(F.col("table_name") == name).drop("batch", "table_name"), name)
+
+
 def run_compaction(spark: SparkSession, tables: TablePaths, target_bytes: int = 512 << 20, keep_versions: int = 2) -> dict:
     """Rewrite the small batches of the normalised store and the rated table; readers keep the version they read.
 

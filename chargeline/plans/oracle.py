@@ -279,6 +279,27 @@ def revenue_aggs(amount: str, count_name: str) -> str:
 
 ORACLE: dict[str, str] = {}
 
+# Damage done to messages: cut short (no field survives), event time impossible or of another form, text for seconds.
+_DAMAGED = """
+damaged AS (
+  SELECT * REPLACE (
+    CASE WHEN kind IN (1, 2) THEN NULL ELSE "timestamp" END AS "timestamp",
+    CASE WHEN kind = 3 AND record_type = 'voice' THEN NULL ELSE duration_sec END AS duration_sec)
+  FROM (SELECT *, CAST(substr(record_id, 3) AS BIGINT) % 7 AS kind FROM normalized)
+  WHERE kind <> 0
+  UNION ALL
+  SELECT NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, 0
+  FROM normalized WHERE CAST(substr(record_id, 3) AS BIGINT) % 7 = 0)
+"""
+
+# Subscribers as loaded: the table's defaults where the input has none.
+_LOADED_CUSTOMERS = """customers AS (
+  SELECT msisdn, customer_name, CASE WHEN n % 4 <> 1 THEN subscription_type ELSE 'postpaid' END AS subscription_type,
+         rate_plan_id, activation_date, CASE WHEN n % 5 <> 2 THEN status ELSE 'active' END AS status, region,
+         CASE WHEN n % 3 <> 0 THEN student ELSE false END AS student
+  FROM (SELECT *, CAST(substr(msisdn, 5) AS BIGINT) AS n FROM given_customers)),
+rate_plans AS ("""
+
 
 def oracle(name: str, select: str, r: Rules = DEFAULT_RULES, extra: str = "",
            source: str = "events") -> None:
@@ -297,6 +318,11 @@ RATED_COLS = (NORM_COLS + ', cost, rate_plan_id, rating_status, billing_month')
 oracle("mediate_json_parse", f"SELECT {NORM_COLS}, 'valid' AS status FROM normalized")
 oracle("mediate_normalize", f"SELECT {NORM_COLS}, 'valid' AS status FROM normalized")
 oracle("mediate_validate", "SELECT * FROM mediated")
+oracle("mediate_damaged_messages", f"""SELECT {NORM_COLS},
+  CASE WHEN record_id IS NULL OR msisdn IS NULL OR starts_with(msisdn, '999')
+            OR coalesce(duration_sec, 0) < 0 OR coalesce(data_volume_mb, 0) < 0
+            OR record_type NOT IN ('voice', 'sms', 'data') THEN 'error' ELSE 'valid' END AS status
+  FROM damaged""", extra=_DAMAGED)
 oracle("mediate_status_counts", "SELECT status, count(*) AS records FROM mediated GROUP BY status")
 oracle("mediate_valid_dedup", "SELECT * FROM valid_unique")
 oracle("mediate_dead_letters", "SELECT * FROM mediated WHERE status = 'error'")
@@ -543,6 +569,12 @@ oracle("quality_keys", " UNION ALL ".join([
     _key_sql("rated_records", "rated", "record_id"),
     _key_sql("invoices", "invoices", "invoice_id"),
 ]))
+oracle("quality_keys_incremental", _key_sql("records", "delivered", "record_id"), extra="""
+delivered AS (
+  SELECT CASE WHEN CAST(substr(record_id, 3) AS BIGINT) % 13 <> 5 THEN record_id END AS record_id
+  FROM mediated, (VALUES (1), (2)) AS t(copy)
+  WHERE copy = 1 OR CAST(substr(record_id, 3) AS BIGINT) % 3 = 1)
+""")
 oracle("quality_foreign_keys",
        "SELECT record_id, rate_plan_id, rating_status FROM rated WHERE rate_plan_id IS NOT NULL "
        "AND rate_plan_id NOT IN (SELECT rate_plan_id FROM rate_plans)")
@@ -623,6 +655,7 @@ oracle("stream_normalized_store", "SELECT * FROM valid_unique")
 oracle("stream_mediation_single_read", "SELECT * FROM valid_unique")
 oracle("stream_late_records", "SELECT * FROM valid_unique")
 oracle("stream_bounded_dedup", "SELECT * FROM valid_unique")
+oracle("stream_store_from_messages", "SELECT * FROM valid_unique")
 oracle("store_compacted", "SELECT * FROM valid_unique")
 oracle("rating_incremental_batches", f"SELECT {RATED_COLS} FROM rated")
 oracle("stream_store_null_time", "SELECT * FROM valid_unique", source="events_no_time")
@@ -646,3 +679,13 @@ def _orders_rules() -> Rules:
 oracle("mediate_valid_dedup_orders", "SELECT * FROM valid_unique", _orders_rules(), source="orders")
 oracle("rated_records_orders", f"SELECT {RATED_COLS} FROM rated", _orders_rules(), source="orders")
 oracle("billing_invoices_orders", "SELECT * FROM invoices", _orders_rules(), source="orders")
+
+
+# ------------------------------------------------------------------ customers as loaded
+def _with_loaded_customers(select: str) -> str:
+    sql = with_base(select)
+    return sql.replace("customers AS (", "given_customers AS (", 1).replace("rate_plans AS (", _LOADED_CUSTOMERS, 1)
+
+
+ORACLE["customers_loaded"] = _with_loaded_customers("SELECT * FROM customers")
+ORACLE["billing_invoices_loaded_customers"] = _with_loaded_customers("SELECT * FROM invoices")

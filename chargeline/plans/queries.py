@@ -10,15 +10,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType, LongType, StringType, StructField, StructType
 
-from chargeline.functions.columns import ts_literal
+from chargeline.functions.columns import month_start, ts_literal
 from chargeline.operators import (billing, counters, customers as cust_ops, invoices as inv_ops,
                                   mediation, quality, rating, reports)
 from chargeline.plans import flows, jobs
 from chargeline.rules import DEFAULT_RULES
 from chargeline.schemas import NORMALIZED, USAGE_RAW
 from chargeline.session import scratch_path
-from chargeline.sinks import writers
-from chargeline.sinks.snapshots import read_table
+from chargeline.sinks import ledger, writers
+from chargeline.sinks.snapshots import SnapshotTable, read_table
 from chargeline.sources import fixtures
 from chargeline.streaming import bounded_dedup, mediation_stream as ms
 
@@ -76,6 +76,29 @@ def mediate_dead_letters(spark, sf_dir):
     return mediation.dead_letters(flows.mediated(spark, sf_dir))
 
 
+def damaged_messages(spark, sf_dir):
+    """Messages of which some are cut short, have an impossible event time, text
+    where a number belongs, or a field that nobody knows."""
+    raw = fixtures.raw_usage(spark, sf_dir)
+    kind = F.col("kind")
+    raw = raw.withColumn("kind", F.substring("record_id", 3, 20).cast("bigint") % 7)
+    raw = raw.withColumns({
+        "timestamp": F.when(kind == 1, F.concat(F.lit("2024-13-"), F.substring("timestamp", 9, 11))).when(
+            kind == 2, F.replace("timestamp", F.lit(" "), F.lit("T"))).otherwise(F.col("timestamp")),
+        "duration_sec": F.when(kind == 3, F.lit("long")).otherwise(F.col("duration_sec").cast("string")),
+        "operator": F.when(kind == 4, F.lit("x"))})
+    value = F.to_json(F.struct(*[c for c in raw.columns if c != "kind"]))
+    # numbers are bare again, but for the text in their place
+    value = F.regexp_replace(value, r'"duration_sec":"(-?[0-9]+)"', r'"duration_sec":$1')
+    return raw.select(F.when(kind == 0, F.substring(value, 1, 40)).otherwise(value).alias("value"))
+
+
+@query("mediate_damaged_messages")
+def mediate_damaged_messages(spark, sf_dir):
+    """Damaged text becomes an empty record (a dead letter) or a missing field, never a failure."""
+    return mediation.mediate(mediation.parse_messages(damaged_messages(spark, sf_dir)))
+
+
 # ---------------------------------------------------------------- rating
 MID_MONTH = _dt.datetime(2024, 1, 16)
 
@@ -189,6 +212,29 @@ def billing_invoices_late_run(spark, sf_dir):
 INCUMBENT_BEFORE = _dt.date(2022, 1, 1)
 
 
+def incomplete_customers(spark, sf_dir):
+    """Subscribers with missing values where the table has defaults, and every row twice."""
+    n = F.substring("msisdn", 5, 20).cast("bigint")
+    rows = fixtures.customers(spark, sf_dir).withColumns({
+        "subscription_type": F.when(n % 4 != 1, F.col("subscription_type")),
+        "status": F.when(n % 5 != 2, F.col("status")),
+        "student": F.when(n % 3 != 0, F.col("student"))})
+    return rows.unionByName(rows)
+
+
+@query("customers_loaded")
+def customers_loaded(spark, sf_dir):
+    """Q05 + Q01 on load: defaults filled in, one row per subscriber."""
+    return cust_ops.load(incomplete_customers(spark, sf_dir))
+
+
+@query("billing_invoices_loaded_customers")
+def billing_invoices_loaded_customers(spark, sf_dir):
+    """Rating and billing with subscribers as loaded: defaults decide status and student discount."""
+    cust, plans = cust_ops.load(incomplete_customers(spark, sf_dir)), fixtures.rate_plans(spark)
+    return billing.bill(rating.rate(flows.valid_usage(spark, sf_dir), cust, plans), cust, plans)
+
+
 @query("eligible_customers")
 def eligible_customers(spark, sf_dir):
     return cust_ops.eligible(fixtures.customers(spark, sf_dir))
@@ -313,6 +359,22 @@ def quality_keys(spark, sf_dir):
     })
 
 
+@query("quality_keys_incremental")
+def quality_keys_incremental(spark, sf_dir):
+    """Q01 by new batches: three deliveries without de-duplication, some ids missing,
+    one delivery twice; each check reads the new ids and what they may repeat."""
+    base = scratch_path(spark, "key-check")
+    n = F.substring("record_id", 3, 20).cast("bigint")
+    rows = flows.mediated(spark, sf_dir).withColumn("part", n % 3).withColumn(
+        "record_id", F.when(n % 13 != 5, F.col("record_id"))).withColumn("billing_month", month_start("timestamp"))
+    table = SnapshotTable(spark, f"{base}/table")
+    book = ledger.IdLedger(table, "record_id")
+    for part in (0, 1, 2, 1):
+        table.append(rows.where(F.col("part") == part).drop("part"), "billing_month", also=book.write)
+        out = jobs.run_key_check(spark, table.root, "record_id", "records", f"{base}/checks")
+    return out
+
+
 @query("quality_foreign_keys")
 def quality_foreign_keys(spark, sf_dir):
     return quality.foreign_key_violations(flows.rated(spark, sf_dir), fixtures.rate_plans(spark))
@@ -440,6 +502,19 @@ def _store_deliveries(spark, name, deliveries):
     return read_table(spark, f"{base}/normalized_records").select(*NORMALIZED.fieldNames())
 
 
+@query("stream_store_from_messages")
+def stream_store_from_messages(spark, sf_dir):
+    """M10 + S02: valid records serialised as messages, sent twice, and consumed into the store."""
+    base = scratch_path(spark, "store-messages")
+    messages = mediation.serialize(flows.valid_usage(spark, sf_dir).select(*NORMALIZED.fieldNames()), key="record_id")
+    for _ in range(2):
+        messages.select("value").write.mode("append").text(f"{base}/topic")
+        source = ms.usage_source(spark, "text", path=f"{base}/topic")
+        ms.start_normalized_store(spark, None, f"{base}/normalized_records", f"{base}/checkpoint",
+                                  messages=source).awaitTermination()
+    return read_table(spark, f"{base}/normalized_records").select(*NORMALIZED.fieldNames())
+
+
 @query("stream_store_null_time")
 def stream_store_null_time(spark, sf_dir):
     """Records without an event time, delivered twice, are stored once."""

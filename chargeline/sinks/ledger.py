@@ -36,7 +36,7 @@ SIDES = ((IDS, "bucket"), (BLOOMS, "bucket"))
 class IdLedger:
     table: SnapshotTable
     key: str
-    buckets: int = 64
+    buckets: int = 32
     words: int = 1 << 20
 
     def _bucket(self) -> Column:
@@ -86,6 +86,17 @@ class IdLedger:
         known = None if maybe is None else self.ids(snapshot, self._touched(maybe))
         return rows if known is None else rows.join(known.select(self.key), self.key, "left_anti")
 
+    def stored_among(self, rows: DataFrame, snapshot: Snapshot) -> DataFrame | None:
+        """The stored ids (as often as they are stored) that ``rows`` hold too; None where there is none."""
+        maybe = self.maybe_known(rows, snapshot)
+        known = None if maybe is None else self.ids(snapshot, self._touched(maybe))
+        return None if known is None else known.select(self.key).join(maybe.distinct(), self.key, "left_semi")
+
+    def new_ids(self, snapshot: Snapshot, after: int) -> DataFrame | None:
+        """The ids of the batches later than ``after``."""
+        rows = self.table.read(snapshot, after=after, schema=self._schema(IDS), side=IDS)
+        return None if rows is None else rows.select(self.key)
+
     def write(self, name: str, rows: DataFrame) -> None:
         """The ids and filters of a written part."""
         writers.append_partitioned(rows.select(self.key, self._bucket().alias("bucket")), f"{self.table.root}/{IDS}/{name}",

@@ -95,3 +95,39 @@ def test_rule_constants():
         2000, 0.08, 100, 0.05)
     assert (r.student_discount_rate, r.urban_discount_rate, r.loyalty_rate_per_year, r.loyalty_max_rate,
             r.loyalty_min_months) == (0.15, 0.05, 0.02, 0.10, 12)
+
+
+def test_quantile_predicates_cut_crowded_ids_evenly(spark):
+    """Nine tenths of the ids crowd in a thousandth of their range."""
+    from pyspark.sql import functions as F
+
+    from chargeline.sources.jdbc import quantile_predicates
+
+    ids = spark.range(10_000).select(F.when(F.col("id") % 10 == 0, F.col("id") * 100).otherwise(F.col("id") % 1000).alias("k"))
+    table = ids.unionByName(spark.sql("SELECT CAST(NULL AS BIGINT) AS k UNION ALL SELECT -5 UNION ALL SELECT 99999999"))
+    parts = quantile_predicates(ids, "k", 8)
+    assert len(parts) == 8
+    sizes = [table.where(p).count() for p in parts]
+    assert sum(sizes) == 10_003  # each row in one part, also rows outside the extract and NULL
+    assert max(sizes) < 2 * 10_003 / 8
+    assert quantile_predicates(ids.limit(0), "k", 4) == ["1 = 1"] == quantile_predicates(ids, "k", 1)
+    same = quantile_predicates(ids.select(F.lit(3).alias("k")), "k", 4)
+    assert same == ["k < 3 OR k IS NULL", "k >= 3"]
+
+
+def test_key_changes_add_up_to_the_full_check(spark):
+    import random
+
+    from chargeline.operators import quality
+
+    rnd = random.Random(3)
+    rows = [(rnd.choice([None, *"abcdefgh", f"x{rnd.randrange(60)}"]),) for _ in range(300)]
+    frame = lambda r: spark.createDataFrame(r, "k string")
+    changes, at = None, 0
+    for size in (0, 7, 100, 1, 192):
+        new, old = frame(rows[at:at + size]), frame(rows[:at])
+        one = quality.key_changes(new, old if at else None, "k")
+        changes = one if changes is None else changes.unionByName(one)
+        at += size
+    got = {r.check_name: r.violations for r in quality.summed_changes(changes, "t").collect()}
+    assert got == {r.check_name: r.violations for r in quality.key_violations({"t": (frame(rows), "k")}).collect()}
