@@ -92,3 +92,66 @@ def test_ibans_before_other_tokens_and_near_invoices(spark):
 def test_redaction_of_an_iban_before_its_bic(spark):
     docs = [(1, "invoice AT61 1904 3002 3457 3201 BIC BKAUATWW")]
     assert [r.text for r in pii.redact(frame(spark, docs)).collect()] == ["invoice [IBAN] BIC BKAUATWW"]
+
+
+def test_very_many_labels_and_hits_in_one_text(spark):
+    """100,000 labels in one address (no recursion), 50,000 addresses in one text (no squares)."""
+    import time
+
+    docs = [(1, "x a@b" + ".c" * 100_000 + " y"), (2, "1.1.1.1 " * 50_000), (3, "1." * 50_000), (4, "+1 " + "(" * 100_000),
+            (5, "a@b.c " * 30_000 + "é" * 5000 + " 4111111111111111"), (6, "token = " * 20_000), (7, "1-" * 60_000),
+            (8, "GB82 WEST 1234 5698 7654 32 " * 5000), (9, "+1 415 555 2671;" * 10_000)]
+    start = time.time()
+    rows = {r.doc_id: r for r in found(spark, docs)}
+    assert time.time() - start < 60
+    for i, t in docs:
+        hits = base(t)
+        n = collections.Counter(k for *_, k in hits)
+        text = ",".join(f"{k}:{s}:{e}" for s, _, e, k in hits)
+        assert (rows[i].n_email, rows[i].n_ip, rows[i].n_card, rows[i].n_phone) == (n["email"], n["ip"], n["card"], n["phone"])
+        assert rows[i].base_sha256 == hashlib.sha256(text.encode()).hexdigest()
+    assert rows[1].n_email == 1 and rows[2].n_ip == 50_000 and rows[8].spans.count("iban") == 5000
+    start = time.time()
+    out = {r.doc_id: r.text for r in pii.redact(frame(spark, docs)).collect()}
+    assert time.time() - start < 60
+    assert out[1] == "x [EMAIL] y" and out[2] == "[IP] " * 50_000 and out[5] == "[EMAIL] " * 30_000 + "é" * 5000 + " [CARD]"
+
+
+def test_secrets(spark):
+    key = "04dbebab91ab85687d33eeaaf9ac699e1188f962"
+    texts = [f'a token = "{key}" b', f"API_KEY:{key}", "AKIA" + "A1B2C3D4E5F6G7H8", "a token of appreciation and nothing else",
+             "password: correct horse", "secret=aaaaaaaaaaaaaaaaaaaaaaaa1", f"mytoken = {key}", f"Bearer {key}."]
+    rows = {r.doc_id: r for r in found(spark, enumerate(texts))}
+    assert [rows[i].n_secret for i in range(len(texts))] == [1, 1, 1, 0, 0, 0, 0, 1]
+    assert rows[0].spans.startswith("secret:2:") and rows[0].n_spans == rows[0].spans.count(",") + 1
+    out = {r.doc_id: r.text for r in pii.redact(frame(spark, enumerate(texts))).collect()}
+    assert out[0] == "a [SECRET] b" and out[3] == texts[3]
+
+
+def test_running_sums_in_blocks(spark):
+    import random
+
+    from pyspark.sql import functions as F
+
+    rnd = random.Random(1)
+    rows = [([rnd.randrange(9) for _ in range(n)],) for n in (0, 1, 2, 63, 64, 65, 500, 5000)]
+    df = spark.createDataFrame(rows, "v array<int>")
+    for r in df.select("v", pii.running(F.col("v"), lambda a, x: a + x).alias("s"),
+                       pii.running(F.col("v"), lambda a, x: F.greatest(a, x)).alias("m")).collect():
+        assert r.s == [sum(r.v[:i]) for i in range(len(r.v) + 1)]
+        assert r.m == [max(r.v[:i], default=0) for i in range(len(r.v) + 1)]
+
+
+def test_redaction_matches_brute_force(spark, edge_docs):
+    """Every span's text goes, everything else stays, whatever overlaps; short pieces are joined again."""
+    docs = [*edge_docs, *((3000 + i, t) for i, t in enumerate(TRICKY))]
+    df = frame(spark, docs).where("doc_id is not null").dropDuplicates(["doc_id"])
+    hits = {r.doc_id: [x.split(":") for x in r.spans.split(",") if x] for r in pii.summary(pii.find(df)).collect()}
+    texts = {r.doc_id: r.text for r in df.collect()}
+    for r in pii.redact(df).collect():
+        out, pos = "", 0
+        for kind, s, e in hits[r.doc_id]:
+            if int(s) >= pos:
+                out += texts[r.doc_id][pos:int(s)] + f"[{kind.upper()}]"
+            pos = max(pos, int(e))
+        assert r.text == (None if texts[r.doc_id] is None else out + texts[r.doc_id][pos:])
