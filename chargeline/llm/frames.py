@@ -23,6 +23,18 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def release(*frames: DataFrame) -> None:
+    """Delete what ``stored`` wrote for frames that are no longer read."""
+    for df in frames:
+        spark = df.sparkSession
+        root = checkpoint_root(spark)
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+        for folder in {f.rpartition("/")[0] for f in df.inputFiles()}:
+            at = path(folder)
+            if at.toUri().getPath().startswith(path(root).toUri().getPath() + "/"):
+                at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+
+
 def offsets(totals: DataFrame, keys: list[str], block: str, amount: str, into: str,
             group: int = 1024) -> DataFrame:
     """Exclusive running sum of ``amount`` over ``block`` within ``keys``.

@@ -3,27 +3,29 @@
 Two documents link when their sets of 5-word shingles have a Jaccard similarity
 of 0.8 or more; a group is a connected component of links. The result is exact.
 
-* Documents with equal sets are one *node* (set hash and size).
-* The n-gram space is cut into fragments by hash. Each task sends every
-  fragment its n-grams as one sorted block, so the shuffle moves few large rows.
-* First all n-grams are counted by fragment, and the most frequent ones
-  (``FREQUENT`` at most) are put last in the global n-gram order; the rest are
-  ordered by hash. Any order gives the same result; this one keeps the n-grams
-  that many documents share out of the prefixes.
+* Documents with equal sets are one *node* (a hash of set and size).
+* All n-grams are counted, and the most frequent ones (``FREQUENT`` at most) are
+  put last in the *global order*: by frequency class, then by hash. Any order
+  gives the same result; this one keeps n-grams that many documents share out
+  of the prefixes.
+* The order is cut into *fragments*, contiguous pieces of about as many
+  occurrences each. Every set is cut along it, and its pieces meet by fragment.
+* Within a fragment, every n-gram names ``HUBS`` of its nodes as hubs, by hash,
+  so near copies of a text name the same few; shared n-grams of each node with
+  its hubs are counted. Partial counts, summed per pair over all fragments, are
+  at least a lower bound of the overlap: a pair that reaches the similarity is
+  a link. This joins most near copies at a few counts each, and rejects nothing.
 * Linked sets share an n-gram of their prefixes (the first n - ceil(0.8 n) + 1
-  in the order). Prefixes meet by fragment; those found twice name candidates.
-* In a few rounds each node is tested against the one node of another group it
-  shares most prefix n-grams with among the n-grams' hubs, together with the
-  other nodes of that hub. This joins most near copies to their group at about
-  one test each; it decides nothing else.
-* What is then still in different groups, shares a prefix n-gram and passes
-  filters on sizes and places is a pair to count: both sets are cut into
-  fragments, overlaps are counted per fragment in separate tasks, and the
-  partial counts are summed per pair.
+  in the order). Pairs of nodes that do, that the links so far do not connect,
+  and that pass filters on sizes and places, are counted in full: their sets are
+  cut along the order again, overlaps are counted per piece in separate tasks,
+  and the partial counts are summed per pair.
 
 Texts with fewer than 5 words have their whole sequence as one shingle; texts
 without words (or null) are empty and linked with nothing. Repeated rows are
-documents with equal sets.
+documents with equal sets. A row without an id takes part; where a group has no
+id at all its component is null. Very long texts are handled whole, by one task.
+Ties cannot occur: a group's name is its smallest id.
 """
 
 from __future__ import annotations
@@ -35,25 +37,26 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from chargeline.llm import text as tx
-from chargeline.llm.frames import settle, stored
+from chargeline.llm.frames import release, settle, stored
 
 SHINGLE = 5
-#: Most frequent n-grams that are moved to the end of the order (a broadcast of 4 bytes each).
+#: Most frequent n-grams that are moved to the end of the order (a broadcast of 5 bytes each).
 FREQUENT = 500_000
 #: N-grams of fewer documents than this are never moved.
 FREQUENT_FROM = 8
 #: N-grams gathered by a task before it sends its blocks.
-GATHER = 3_000_000
-#: Bits of the bitmap of documents whose n-grams are wanted (4 MB).
-MARKS = 1 << 25
-#: Rounds of tests against hubs before all pairs that are still apart are listed.
-STAR_ROUNDS = 2
-#: Fragments in which the overlaps of those pairs are counted.
-FRAGMENTS = 2
-#: Nodes tested together with one hub in one task.
+GATHER = 1_500_000
+#: Occurrences of n-grams in a fragment of the order.
+FRAGMENT = 2_500_000
+#: Hubs that an n-gram names.
+HUBS = 2
+#: Bits of the bitmap of documents whose n-grams are wanted: 32 for each, 2^31 (256 MB) at most.
+MARKS = 1 << 31
+#: Pieces of the order in which the overlaps of the remaining pairs are counted.
+PIECES = 4
+#: Nodes counted together with one of theirs in one task.
 HUB_GROUP = 512
 
 
@@ -100,15 +103,11 @@ def sets_of(data: np.ndarray, off: np.ndarray, k: int = SHINGLE) -> tuple[np.nda
 
 
 def signatures(h: np.ndarray, at: np.ndarray) -> np.ndarray:
-    """Order-free 64-bit hash of each set."""
+    """Order-free 64-bit hash of each set and its size."""
     total = np.zeros(len(h) + 1, np.uint64)
     np.cumsum(tx.mix(h ^ np.uint64(0xA0761D6478BD642F)), out=total[1:])
-    return tx.mix(total[at[1:]] - total[at[:-1]]).view(np.int64)
-
-
-def _fragments(spark) -> int:
-    """Fragments of the n-gram space: a few for each shuffle partition."""
-    return 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    size = np.diff(at).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    return tx.mix(total[at[1:]] - total[at[:-1]] + size).view(np.int64)
 
 
 def _pack(values: np.ndarray) -> bytes:
@@ -120,39 +119,47 @@ def _frag_of(h: np.ndarray, fragments: int) -> np.ndarray:
     return ((h >> np.uint64(32)) * np.uint64(fragments)) >> np.uint64(32)
 
 
+def _bits_cut(top: np.ndarray, parts: int) -> np.ndarray:
+    """Which of ``parts`` equal ranges of 32-bit numbers each number lies in."""
+    return (top.astype(np.uint64) * np.uint64(parts)) >> np.uint64(32)
+
+
 def _nodes(docs: DataFrame, k: int) -> DataFrame:
-    """doc_id, text_key, sig and n (set size) of every document."""
+    """doc_id, text_key, node and n (set size) of every document."""
     def run(batches):
         for batch in batches:
             for a, b, data, off in tx.slices(batch.column(2)):
                 h, at = sets_of(data, off, k)
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(a, b - a), batch.column(1).slice(a, b - a), pa.array(signatures(h, at)),
-                     pa.array(np.diff(at).astype(np.int64))], names=["doc_id", "text_key", "sig", "n"])
+                     pa.array(np.diff(at).astype(np.int64))], names=["doc_id", "text_key", "node", "n"])
 
-    return docs.select("doc_id", "text_key", "text").mapInArrow(run, "doc_id long, text_key long, sig long, n long")
+    return docs.select("doc_id", "text_key", "text").mapInArrow(run, "doc_id long, text_key long, node long, n long")
 
 
 class _Fresh:
     """Marks the sets that a task has not met before, so copies within it count once."""
 
     def __init__(self):
-        self.done: set[tuple[int, int]] = set()
+        self.done: set[int] = set()
 
-    def __call__(self, sig: np.ndarray, n: np.ndarray) -> np.ndarray:
-        if len(self.done) > 500_000:
+    def __call__(self, node: np.ndarray, n: np.ndarray) -> np.ndarray:
+        if len(self.done) > 200_000:
             self.done.clear()
         fresh = np.zeros(len(n), bool)
-        for i, key in enumerate(zip(sig.tolist(), n.tolist())):
-            if key[1] and key not in self.done:
+        for i, key in enumerate(node.tolist()):
+            if n[i] and key not in self.done:
                 self.done.add(key)
                 fresh[i] = True
         return fresh
 
 
-def _all_grams(docs: DataFrame, fragments: int, k: int) -> DataFrame:
-    """Blocks (frag, block) of the upper 32 bits of all n-grams."""
-    bounds = np.array([-(-f * (1 << 32) // fragments) for f in range(fragments + 1)], np.uint64)
+# ------------------------------------------------------------------ the global order
+
+
+def _counted_grams(docs: DataFrame, parts: int, k: int) -> DataFrame:
+    """Blocks (part, block) of the upper 32 bits of all n-grams."""
+    bounds = np.array([-(-f * (1 << 32) // parts) for f in range(parts + 1)], np.uint64)
 
     def run(batches):
         held: list[np.ndarray] = []
@@ -163,46 +170,63 @@ def _all_grams(docs: DataFrame, fragments: int, k: int) -> DataFrame:
             held.clear()
             cut = np.searchsorted(top, bounds)
             rows = [(f, zlib.compress(np.diff(top[cut[f]:cut[f + 1]], prepend=np.uint32(0)).tobytes(), 1))
-                    for f in range(fragments) if cut[f] < cut[f + 1]]
+                    for f in range(parts) if cut[f] < cut[f + 1]]
             return pa.RecordBatch.from_arrays([pa.array([f for f, _ in rows], pa.int32()),
-                                               pa.array([b for _, b in rows], pa.binary())], names=["frag", "block"])
+                                               pa.array([b for _, b in rows], pa.binary())], names=["part", "block"])
 
         for batch in batches:
             for _, _, data, off in tx.slices(batch.column(0)):
                 h, at = sets_of(data, off, k)
                 n = np.diff(at).astype(np.int64)
                 held.append((h[np.repeat(fresh(signatures(h, at), n), n)] >> np.uint64(32)).astype(np.uint32))
-                if sum(map(len, held)) >= GATHER:
+                if sum(map(len, held)) >= 2 * GATHER:
                     yield blocks()
         if held:
             yield blocks()
 
-    return docs.select("text").mapInArrow(run, "frag int, block binary")
+    return docs.select("text").mapInArrow(run, "part int, block binary")
 
 
 def _frequent(blocks: DataFrame, least: int) -> DataFrame:
-    """(top, df) of the 32-bit n-gram prefixes of at least ``least`` documents."""
+    """(top, df) of the 32-bit n-gram prefixes of at least ``least`` documents; parts arrive one after the other."""
+    def counted(held):
+        top, n = np.unique(np.concatenate(held), return_counts=True)
+        keep = n >= least
+        return pa.RecordBatch.from_arrays([pa.array(top[keep].astype(np.int64)), pa.array(n[keep].astype(np.int64))],
+                                          names=["top", "df"])
+
     def run(batches):
-        held: dict[int, list[np.ndarray]] = {}
+        part, held = None, []
         for batch in batches:
             for f, b in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                held.setdefault(f, []).append(np.cumsum(np.frombuffer(zlib.decompress(b), np.uint32), dtype=np.uint32))
-        for parts in held.values():
-            top, n = np.unique(np.concatenate(parts), return_counts=True)
-            keep = n >= least
-            yield pa.RecordBatch.from_arrays([pa.array(top[keep].astype(np.int64)), pa.array(n[keep].astype(np.int64))],
-                                             names=["top", "df"])
+                if f != part and held:
+                    yield counted(held)
+                    held = []
+                part = f
+                held.append(np.cumsum(np.frombuffer(zlib.decompress(b), np.uint32), dtype=np.uint32))
+        if held:
+            yield counted(held)
 
-    return blocks.repartition("frag").mapInArrow(run, "top long, df long")
+    return blocks.repartition("part").sortWithinPartitions("part").mapInArrow(run, "top long, df long")
 
 
 class Order:
-    """The global n-gram order: frequent n-grams last, by their frequency class; else by hash."""
+    """The global n-gram order: frequent n-grams last, by their frequency class; else by hash. And its fragments.
 
-    def __init__(self, top: np.ndarray, df: np.ndarray):
+    Class c is cut into ``pieces[c]`` contiguous ranges of hashes, so fragments are
+    numbered along the order.
+    """
+
+    def __init__(self, top: np.ndarray, df: np.ndarray, occurrences: int, fragment: int):
         by = np.argsort(top)
         self.top = top[by].astype(np.uint32)
         self.rank = np.floor(np.log2(np.maximum(df[by], 1))).astype(np.uint8)
+        held = np.bincount(self.rank, df[by], 64)[:64].astype(np.int64)
+        held[0] += max(0, occurrences - int(held.sum()))
+        self.pieces = -(-held // fragment)
+        self.pieces[0] = max(1, self.pieces[0])
+        self.first = np.cumsum(self.pieces) - self.pieces
+        self.fragments = int(self.pieces.sum())
 
     def classes(self, h: np.ndarray) -> np.ndarray:
         if not len(self.top):
@@ -212,113 +236,167 @@ class Order:
         at[at == len(self.top)] = 0
         return np.where(self.top[at] == t, self.rank[at], 0).astype(np.uint8)
 
+    def fragment(self, classes: np.ndarray, h: np.ndarray) -> np.ndarray:
+        own = np.maximum(self.pieces[classes], 1).astype(np.uint64)
+        return self.first[classes] + (((h >> np.uint64(32)) * own) >> np.uint64(32)).astype(np.int64)
+
 
-def _prefixes(docs: DataFrame, order, fragments: int, k: int, limit: Threshold) -> DataFrame:
-    """Blocks (frag, n-grams, nodes) of all prefix n-grams: the parts of every document's prefix, by fragment."""
+def _segments(docs: DataFrame, order, k: int, limit: Threshold) -> DataFrame:
+    """Blocks (frag, block): the parts of every set in each fragment, and the places of those in the prefix."""
     def run(batches):
         held: list[tuple[np.ndarray, ...]] = []
         size = nodes = 0
         new = _Fresh()
 
         def blocks():
-            h, which, place = (np.concatenate([x[c] for x in held]) for c in range(3))
-            sig, n = (np.concatenate([x[c] for x in held]) for c in (3, 4))
+            h, frag, which, place = (np.concatenate([x[c] for x in held]) for c in range(4))
+            node, n = (np.concatenate([x[c] for x in held]) for c in (4, 5))
             held.clear()
-            by = np.argsort(h, kind="stable")
-            h, which, place = h[by], which[by], place[by]
-            cut = np.searchsorted(_frag_of(h, fragments), np.arange(fragments + 1, dtype=np.uint64))
-            for f in range(fragments):
-                a, b = cut[f], cut[f + 1]
-                if a == b:
-                    continue
+            by = np.lexsort((h, frag))
+            h, frag, which, place = h[by], frag[by], which[by], place[by]
+            names = np.unique(frag)
+            cut = np.r_[np.searchsorted(frag, names), len(frag)]
+            rows = []
+            for f, a, b in zip(names.tolist(), cut[:-1], cut[1:]):
                 own, local = np.unique(which[a:b], return_inverse=True)
-                yield f, zlib.compress(b"".join((
+                rows.append((f, zlib.compress(b"".join((
                     np.array([b - a, len(own)], np.int64).tobytes(), np.diff(h[a:b], prepend=np.uint64(0)).tobytes(),
-                    sig[own].tobytes(), n[own].astype(np.int32).tobytes(),
-                    local.astype(np.int32).tobytes(), place[a:b].astype(np.int32).tobytes())), 1)
-
-        def batch_of():
-            rows = list(blocks())
+                    node[own].tobytes(), n[own].astype(np.int32).tobytes(),
+                    local.astype(np.int32).tobytes(), place[a:b].tobytes())), 1)))
             return pa.RecordBatch.from_arrays([pa.array([f for f, _ in rows], pa.int32()),
                                                pa.array([b for _, b in rows], pa.binary())], names=["frag", "block"])
 
         for batch in batches:
             for _, _, data, off in tx.slices(batch.column(0)):
                 h, at = sets_of(data, off, k)
-                sig, n = signatures(h, at), np.diff(at).astype(np.int64)
-                fresh = new(sig, n)
+                node, n = signatures(h, at), np.diff(at).astype(np.int64)
+                fresh = new(node, n)
                 doc = np.repeat(np.arange(len(n)), n)
                 ok = fresh[doc]
                 h, doc = h[ok], doc[ok]
-                by = np.lexsort((h, order.value.classes(h), doc))
-                h, doc = h[by], doc[by]
+                cls = order.value.classes(h)
+                by = np.lexsort((h, cls, doc))
+                h, doc, cls = h[by], doc[by], cls[by]
                 first = np.searchsorted(doc, np.arange(len(n)))
-                place = np.arange(len(doc)) - first[doc]
-                front = place < limit.prefix(n[doc])
-                held.append((h[front], doc[front] + nodes, place[front], sig, n))
-                size += int(front.sum())
+                place = (np.arange(len(doc)) - first[doc]).astype(np.int32)
+                place[place >= limit.prefix(n[doc])] = -1
+                held.append((h, order.value.fragment(cls, h), doc + nodes, place, node, n))
+                size += len(h)
                 nodes += len(n)
-                if size >= GATHER // 3:
-                    yield batch_of()
+                if size >= GATHER:
+                    yield blocks()
                     size = nodes = 0
-        if held:
-            yield batch_of()
+        if size:
+            yield blocks()
 
     return docs.select("text").mapInArrow(run, "frag int, block binary")
 
 
-_MEMBER = "gram long, sig long, n long, place int"
-
-
-def _shared_grams(prefixes: DataFrame) -> DataFrame:
-    """(n-gram, node, place in the node's order) of prefix n-grams that two nodes or more have."""
+def _opened(blocks: list[bytes]) -> tuple[np.ndarray, ...]:
+    """n-gram, node, size and place (-1: not in the prefix) of a fragment's occurrences, by n-gram and node, each once."""
+    columns: list[list[np.ndarray]] = [[], [], [], []]
+    for b in blocks:
+        raw = zlib.decompress(b)
+        m, own = np.frombuffer(raw, np.int64, 2)
+        at, take = 16, []
+        for kind, count in ((np.uint64, m), (np.int64, own), (np.int32, own), (np.int32, m), (np.int32, m)):
+            take.append(np.frombuffer(raw, kind, count, at))
+            at += take[-1].nbytes
+        d, node, n, local, place = take
+        for c, v in zip(columns, (np.cumsum(d, dtype=np.uint64), node[local], n[local], place)):
+            c.append(v)
+    h, node, n, place = (np.concatenate(c) for c in columns)
+    by = np.lexsort((node, h))
+    h, node, n, place = h[by], node[by], n[by], place[by]
+    new = np.ones(len(h), bool)
+    new[1:] = (h[1:] != h[:-1]) | (node[1:] != node[:-1])
+    return h[new], node[new], n[new], place[new]
+
+
+_SALTS = [int(x) for x in tx.mix(np.arange(11, 19, dtype=np.uint64))]
+_FOUND = "kind int, gram long, a long, a_n int, b long, b_n int, c int"
+
+
+def _in_fragment(h, node, n, place, limit: Threshold, hubs: int):
+    """Counts (kind 0: hub, its size, node, its size, shared n-grams) and prefix n-grams that nodes share
+    (kind 1: n-gram, node, its size, place) of one fragment."""
+    names, which, segment = np.unique(node, return_inverse=True, return_counts=True)
+    g = np.cumsum(np.r_[True, h[1:] != h[:-1]]) - 1
+    many = np.bincount(g)[g] > 1
+    h, node, n, place, which = h[many], node[many], n[many], place[many], which[many]
+    if not len(h):
+        return
+    g = np.cumsum(np.r_[True, h[1:] != h[:-1]]) - 1
+    start = np.flatnonzero(np.r_[True, g[1:] != g[:-1]])
+    chosen: list[np.ndarray] = []
+    pairs = []
+    for salt in _SALTS[:hubs]:
+        rank = tx.mix(node.view(np.uint64) ^ np.uint64(salt))
+        is_hub = np.flatnonzero(rank == np.minimum.reduceat(rank, start)[g])
+        hub = np.zeros(len(start), np.int64)
+        hub[g[is_hub]] = is_hub  # the row of each n-gram's hub
+        far = np.ones(len(start), bool)
+        for other in chosen:
+            far &= node[hub] != node[other]
+        chosen.append(hub)
+        near = hub[g]
+        low, high = np.minimum(n, n[near]), np.maximum(n, n[near])
+        ok = np.flatnonzero(far[g] & (node != node[near]) & (low.astype(np.int64) * limit.den >= high.astype(np.int64) * limit.num))
+        pairs.append(which[near[ok]].astype(np.int64) * len(names) + which[ok])
+    key, c = np.unique(np.concatenate(pairs), return_counts=True)
+    a, b = key // len(names), key % len(names)
+    size = np.zeros(len(names), np.int32)
+    size[which] = n
+    # a pair that shares little here hardly links, and its counts elsewhere still bound it from below
+    keep = 2 * c >= np.minimum(segment[a], segment[b])
+    a, b, c = a[keep], b[keep], c[keep]
+    if len(c):
+        yield _found_batch(0, np.zeros(len(c), np.int64), names[a], size[a], names[b], size[b], c)
+    front = place >= 0
+    shared = np.flatnonzero(front & (np.bincount(g, front)[g] > 1))
+    if len(shared):
+        zero = np.zeros(len(shared), np.int32)
+        yield _found_batch(1, h[shared].view(np.int64), zero.astype(np.int64), zero, node[shared], n[shared], place[shared])
+
+
+def _found_batch(kind, gram, a, a_n, b, b_n, c):
+    return pa.RecordBatch.from_arrays(
+        [pa.array(np.full(len(c), kind, np.int32)), pa.array(gram), pa.array(a), pa.array(a_n.astype(np.int32)), pa.array(b),
+         pa.array(b_n.astype(np.int32)), pa.array(c.astype(np.int32))], names=[x.split()[0] for x in _FOUND.split(", ")])
+
+
+def _by_fragment(segments: DataFrame, limit: Threshold, hubs: int = HUBS) -> DataFrame:
+    """What ``_in_fragment`` finds; a task finishes one fragment before it takes the next."""
     def run(batches):
-        held: dict[int, list[bytes]] = {}
+        frag, held = None, []
         for batch in batches:
             for f, b in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                held.setdefault(f, []).append(b)
-        for parts in held.values():
-            columns: list[list[np.ndarray]] = [[], [], [], []]
-            for b in parts:
-                raw = zlib.decompress(b)
-                m, own = np.frombuffer(raw, np.int64, 2)
-                at = 16
-                take = []
-                for kind, count in ((np.uint64, m), (np.int64, own), (np.int32, own), (np.int32, m), (np.int32, m)):
-                    take.append(np.frombuffer(raw, kind, count, at))
-                    at += take[-1].nbytes
-                d, sig, n, local, place = take
-                for c, v in zip(columns, (np.cumsum(d, dtype=np.uint64), sig[local], n[local], place)):
-                    c.append(v)
-            h, sig, n, place = (np.concatenate(c) for c in columns)
-            by = np.lexsort((n, sig, h))
-            h, sig, n, place = h[by], sig[by], n[by], place[by]
-            new = np.ones(len(h), bool)
-            new[1:] = (h[1:] != h[:-1]) | (sig[1:] != sig[:-1]) | (n[1:] != n[:-1])
-            h, sig, n, place = h[new], sig[new], n[new], place[new]
-            g = np.cumsum(np.r_[True, h[1:] != h[:-1]]) - 1
-            many = np.bincount(g)[g] > 1
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(h[many].view(np.int64)), pa.array(sig[many]), pa.array(n[many].astype(np.int64)),
-                 pa.array(place[many])], names=["gram", "sig", "n", "place"])
-
-    return prefixes.repartition("frag").mapInArrow(run, _MEMBER)
-
-
-# ------------------------------------------------------------------ testing pairs
-
-
-def _sets(docs: DataFrame, nodes: DataFrame, rows: DataFrame, k: int, parts: int) -> DataFrame:
-    """The n-grams, packed and cut into so many fragments, of the named nodes (and of a few more).
-
-    One document of each node is marked in a bitmap of ``MARKS`` bits, which is
-    all that is broadcast; documents that are not marked are passed over.
+                if f != frag and held:
+                    yield from _in_fragment(*_opened(held), limit, hubs)
+                    held = []
+                frag = f
+                held.append(b)
+        if held:
+            yield from _in_fragment(*_opened(held), limit, hubs)
+
+    return segments.repartition("frag").sortWithinPartitions("frag").mapInArrow(run, _FOUND)
+
+
+# ------------------------------------------------------------------ counting given pairs in full
+
+
+def _sets(docs: DataFrame, rows: DataFrame, wanted: DataFrame, order, k: int, pieces: int) -> DataFrame:
+    """The n-grams, packed and cut along the order into so many pieces, of the wanted nodes (and of a few more).
+
+    One document of each node is marked in a bitmap, which is all that is
+    broadcast; documents that are not marked are passed over.
     """
-    reps = (rows.groupBy("sig", "n").agg(F.min("doc_id").alias("rep")).join(nodes, ["sig", "n"])
-            .select(F.pmod(F.xxhash64("rep"), F.lit(MARKS)).alias("bit")))
-    words = (reps.groupBy((F.col("bit") / 64).cast("int").alias("at"))
+    reps = (rows.join(wanted, "node").groupBy("node").agg(F.min("doc_id").alias("rep")))
+    marked = 1 << int(np.clip(32 * max(1, wanted.count()), 1 << 16, MARKS)).bit_length() - 1
+    words = (reps.select(F.pmod(F.xxhash64("rep"), F.lit(marked)).alias("bit"))
+             .groupBy((F.col("bit") / 64).cast("long").alias("at"))
              .agg(F.bit_or(F.expr("shiftleft(1L, cast(bit % 64 as int))")).alias("bits")).toArrow())
-    marks = np.zeros(MARKS // 64, np.uint64)
+    marks = np.zeros(marked // 64, np.uint64)
     marks[words["at"].to_numpy()] = words["bits"].to_numpy().view(np.uint64)
     shared = docs.sparkSession.sparkContext.broadcast(marks)
 
@@ -326,24 +404,24 @@ def _sets(docs: DataFrame, nodes: DataFrame, rows: DataFrame, k: int, parts: int
         fresh = _Fresh()
         for batch in batches:
             bit = batch.column(0).to_numpy().astype(np.uint64)
-            marked = (shared.value[bit >> np.uint64(6)] >> (bit & np.uint64(63))) & np.uint64(1)
-            texts = batch.column(1).filter(pa.array(marked.astype(bool)))
+            hit = (shared.value[bit >> np.uint64(6)] >> (bit & np.uint64(63))) & np.uint64(1)
+            texts = batch.column(1).filter(pa.array(hit.astype(bool)))
             for _, _, data, off in tx.slices(texts):
                 h, at = sets_of(data, off, k)
-                sig, n = signatures(h, at), np.diff(at).astype(np.int64)
-                own = np.flatnonzero(fresh(sig, n))
-                for f in range(parts):
+                node, n = signatures(h, at), np.diff(at).astype(np.int64)
+                piece = order.value.fragment(order.value.classes(h), h) * pieces // order.value.fragments
+                own = np.flatnonzero(fresh(node, n))
+                for f in range(pieces):
                     packed = []
                     for i in own:
-                        one = h[at[i]:at[i + 1]]
-                        a, b = np.searchsorted(_frag_of(one, parts), np.array([f, f + 1], np.uint64))
-                        packed.append(_pack(one[a:b]))
+                        one = slice(at[i], at[i + 1])
+                        packed.append(_pack(h[one][piece[one] == f]))
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(sig[own]), pa.array(n[own]), pa.array([f] * len(own), pa.int32()),
-                         pa.array(packed, pa.binary())], names=["sig", "n", "frag", "grams"])
+                        [pa.array(node[own]), pa.array([f] * len(own), pa.int32()), pa.array(packed, pa.binary())],
+                        names=["node", "piece", "grams"])
 
-    return (docs.select(F.pmod(F.xxhash64("doc_id"), F.lit(MARKS)).alias("bit"), "text")
-            .mapInArrow(run, "sig long, n long, frag int, grams binary"))
+    return (docs.select(F.pmod(F.xxhash64("doc_id"), F.lit(marked)).alias("bit"), "text")
+            .mapInArrow(run, "node long, piece int, grams binary"))
 
 
 def _unpack(b: bytes) -> np.ndarray:
@@ -359,103 +437,112 @@ def _overlaps(one: np.ndarray, others: np.ndarray, owner: np.ndarray, n_others:
     return np.bincount(owner[one[at] == others], minlength=n_others)
 
 
-_EDGE = "a_sig long, a_n long, b_sig long, b_n long"
-
-
-def _by_hub(rows: DataFrame, solve, schema: str) -> DataFrame:
-    """Calls solve(lead, members, out) for the members (sig, n, grams) of each (hub, salt, frag), ``HUB_GROUP`` at a time.
-
-    ``rows`` has hub, salt, frag, lead (true for the hub itself), sig, n and grams.
-    """
-    names = [c.split()[0] for c in schema.split(", ")]
+def _partial_overlaps(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """Shared n-grams of each pair (a, b), counted within a piece of the order; a's many partners are dealt over tasks."""
+    size = pairs.groupBy("a").agg((F.floor(F.count(F.lit(1)) / HUB_GROUP) + 1).cast("int").alias("salts"))
+    members = (pairs.join(size, "a").join(sets.withColumnRenamed("node", "b"), "b")
+               .select("a", F.pmod(F.xxhash64("b"), F.col("salts")).cast("int").alias("salt"), F.lit(False).alias("lead"),
+                       "piece", F.col("b").alias("node"), "grams"))
+    leads = (size.join(sets, size.a == sets.node)
+             .select("a", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"), F.lit(True).alias("lead"),
+                     "piece", "node", "grams"))
+    group = HUB_GROUP
 
     def run(batches):
         lead, members, current, out = None, [], None, []
 
-        def found():
-            got = pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out)], names=names)
-            out.clear()
-            return got
+        def solve():
+            sets = [_unpack(m[1]) for m in members]
+            owner = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+            shared = _overlaps(lead, np.concatenate(sets), owner, len(sets))
+            out.extend((current[0], members[i][0], current[2], int(shared[i])) for i in np.flatnonzero(shared))
 
         for batch in batches:
-            for hub, salt, frag, first, sig, n, grams in zip(*(c.to_pylist() for c in batch.columns)):
-                if (hub, salt, frag) != current:
+            for a, salt, piece, first, node, grams in zip(*(c.to_pylist() for c in batch.columns)):
+                if (a, salt, piece) != current:
                     if members:
-                        solve(lead, members, out)
-                    current, lead, members = (hub, salt, frag), None, []
+                        solve()
+                    current, lead, members = (a, salt, piece), None, []
                 if first:
-                    lead = (sig, n, grams, frag)
+                    lead = _unpack(grams)
                 else:
-                    members.append((sig, n, grams))
-                if len(members) >= HUB_GROUP:
-                    solve(lead, members, out)
+                    members.append((node, grams))
+                if len(members) >= group:
+                    solve()
                     members = []
             if out:
-                yield found()
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out)], names=["a", "b", "piece", "shared"])
+                out = []
         if members:
-            solve(lead, members, out)
+            solve()
         if out:
-            yield found()
-
-    return (rows.select("hub", "salt", "frag", "lead", "sig", "n", "grams").repartition("hub", "salt", "frag")
-            .sortWithinPartitions("hub", "salt", "frag", F.desc("lead"), "sig").mapInArrow(run, schema))
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out)], names=["a", "b", "piece", "shared"])
 
+    return (members.unionByName(leads).select("a", "salt", "piece", "lead", "node", "grams")
+            .repartition("a", "salt", "piece").sortWithinPartitions("a", "salt", "piece", F.desc("lead"), "node")
+            .mapInArrow(run, "a long, b long, piece long, shared long"))
 
-def _lined_up(members) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
-    """The sets of the members, all their n-grams one after the other, and the member of each."""
-    sets = [_unpack(m[2]) for m in members]
-    return sets, np.concatenate(sets), np.repeat(np.arange(len(sets)), [len(s) for s in sets])
 
+def _cross_pairs(members: DataFrame, limit: Threshold) -> DataFrame:
+    """Pairs of nodes of different labels that share a prefix n-gram and could link from there on."""
+    names = ["a", "a_n", "b", "b_n"]
 
-def _test_groups(rows: DataFrame, limit: Threshold) -> DataFrame:
-    """Links between a hub and its members, and among members that are not yet in one group."""
-    def solve(lead, members, out):
-        sets, others, owner = _lined_up(members)
-        n = np.array([m[1] for m in members])
-
-        def links(size, grams):
-            return np.flatnonzero(limit.links(_overlaps(grams, others, owner, len(sets)), n, size))
-
-        group = np.arange(len(members))
-        got = links(lead[1], _unpack(lead[2]))
-        out += [(lead[0], lead[1], members[i][0], members[i][1]) for i in got]
-        group[got] = len(members)
-        for i in range(len(members)):
-            names, size = np.unique(group, return_counts=True)
-            if len(names) == 1:
-                break
-            if size[np.searchsorted(names, group[i])] * 2 > len(members):
-                continue  # those outside the largest group look for it
-            for j in links(members[i][1], sets[i]):
-                if group[i] != group[j]:
-                    out.append((members[i][0], members[i][1], members[j][0], members[j][1]))
-                    group[group == group[j]] = group[i]
-
-    return _by_hub(rows, solve, _EDGE)
-
+    def batch_of(a, b, node, n):
+        a, b = np.where(node[a] < node[b], a, b), np.where(node[a] < node[b], b, a)
+        by = np.lexsort((node[b], node[a]))
+        a, b = a[by], b[by]
+        new = np.r_[True, (node[a[1:]] != node[a[:-1]]) | (node[b[1:]] != node[b[:-1]])]
+        a, b = a[new], b[new]
+        return pa.RecordBatch.from_arrays([pa.array(c) for c in (node[a], n[a], node[b], n[b])], names=names)
+
+    def pairs(gram, node, n, place, label):
+        """Every row outside its n-gram's largest label against all rows of the n-gram."""
+        by = np.lexsort((label, gram))
+        gram, node, n, place, label = gram[by], node[by], n[by], place[by], label[by]
+        edge = np.flatnonzero(np.r_[True, gram[1:] != gram[:-1]])
+        end = np.r_[edge[1:], len(gram)]
+        mixed = label[edge] != label[end - 1]
+        got, size = [], 0
+        for s, e in zip(edge[mixed], end[mixed]):
+            run = np.flatnonzero(np.r_[True, label[s + 1:e] != label[s:e - 1]]) + s
+            length = np.diff(np.r_[run, e])
+            big = int(length.argmax())
+            for i in np.r_[s:run[big], run[big] + length[big]:e]:
+                # against the largest label and, of the others, the rows after this one
+                them = np.r_[run[big]:run[big] + length[big], max(i + 1, s):run[big], max(i + 1, run[big] + length[big]):e]
+                low, high = np.minimum(n[i], n[them]), np.maximum(n[i], n[them])
+                rest = np.minimum(n[i] - place[i], n[them] - place[them])
+                # as the first n-gram that a pair shares: could what comes after it suffice in both sets?
+                ok = (label[them] != label[i]) & (low * limit.den >= high * limit.num) & limit.links(rest, n[i], n[them])
+                if ok.any():
+                    got.append(np.stack([np.full(int(ok.sum()), i), them[ok]]))
+                    size += got[-1].shape[1]
+                    if size > 500_000:
+                        yield batch_of(*np.concatenate(got, 1), node, n)
+                        got, size = [], 0
+        if got:
+            yield batch_of(*np.concatenate(got, 1), node, n)
 
-def _partial_overlaps(rows: DataFrame) -> DataFrame:
-    """Shared n-grams of a hub with each member, counted within a fragment."""
-    def solve(lead, members, out):
-        sets, others, owner = _lined_up(members)
-        shared = _overlaps(_unpack(lead[2]), others, owner, len(sets))
-        out += [(lead[0], lead[1], members[i][0], members[i][1], lead[3], int(shared[i])) for i in np.flatnonzero(shared)]
+    def run(batches):
+        tail = None
+        for batch in batches:
+            cols = [c.to_numpy(zero_copy_only=False) for c in batch.columns]
+            if tail is not None:
+                cols = [np.concatenate([t, c]) for t, c in zip(tail, cols)]
+            if not len(cols[0]):
+                continue
+            cut = int(np.searchsorted(cols[0], cols[0][-1]))  # the last n-gram may go on in the next batch
+            tail = [c[cut:] for c in cols]
+            if cut:
+                yield from pairs(*[c[:cut] for c in cols])
+        if tail is not None and len(tail[0]):
+            yield from pairs(*tail)
 
-    return _by_hub(rows, solve, _EDGE + ", frag long, shared long")
+    return (members.select("gram", "node", "n", "place", "label").repartition("gram").sortWithinPartitions("gram")
+            .mapInArrow(run, "a long, a_n long, b long, b_n long").distinct())
 
 
-def _hub_rows(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """Rows for ``_by_hub`` from pairs (hub_sig, hub_n, sig, n); large hubs are dealt over several tasks."""
-    hub = F.xxhash64("hub_sig", "hub_n")
-    size = pairs.groupBy("hub_sig", "hub_n").agg(F.count(F.lit(1)).alias("m")).withColumn(
-        "salts", (F.floor(F.col("m") / HUB_GROUP) + 1).cast("int"))
-    members = (pairs.join(size, ["hub_sig", "hub_n"]).join(sets, ["sig", "n"])
-               .select(hub.alias("hub"), F.pmod(F.xxhash64("sig", "n"), F.col("salts")).cast("int").alias("salt"),
-                       F.lit(False).alias("lead"), "sig", "n", "frag", "grams"))
-    leads = (size.withColumnsRenamed({"hub_sig": "sig", "hub_n": "n"}).join(sets, ["sig", "n"])
-             .select(F.xxhash64("sig", "n").alias("hub"), F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"),
-                     F.lit(True).alias("lead"), "sig", "n", "frag", "grams"))
-    return members.unionByName(leads)
+# ------------------------------------------------------------------ groups
 
 
 def _components(edges: DataFrame) -> DataFrame:
@@ -483,141 +570,62 @@ def _components(edges: DataFrame) -> DataFrame:
         e.select(F.col("v").alias("node"), F.col("v").alias("group")).distinct())
 
 
-_PAIR = "a_sig long, a_n long, b_sig long, b_n long"
-
-
-def _cross_pairs(members: DataFrame, limit: Threshold) -> DataFrame:
-    """Pairs of nodes of different groups that share a prefix n-gram and could link from there on."""
-    names = ["a_sig", "a_n", "b_sig", "b_n"]
-
-    def pairs(gram, sig, n, place, group):
-        """Pairs of whole n-grams: each row with the one d places on, for d = 1, 2, ... while any are of one n-gram."""
-        by = np.lexsort((sig, n, gram))
-        gram, sig, n, place, group = gram[by], sig[by], n[by], place[by], group[by]
-        live, d, got, size = np.arange(len(gram)), 0, [], 0
-        while True:
-            d += 1
-            live = live[live + d < len(gram)]
-            # sizes ascend, so a row that is too far from one is too far from all after it
-            live = live[(gram[live] == gram[live + d]) & (n[live + d] * limit.num <= n[live] * limit.den)]
-            if not len(live):
-                break
-            apart = live[group[live] != group[live + d]]
-            # as the first n-gram that a pair shares: could what comes after it suffice in both sets?
-            rest = np.minimum(n[apart] - place[apart], n[apart + d] - place[apart + d])
-            apart = apart[limit.links(rest, n[apart], n[apart + d])]
-            if len(apart):
-                got.append(np.stack([apart, apart + d]))
-                size += len(apart)
-                if size > 1_000_000:
-                    yield distinct(np.concatenate(got, 1), sig, n)
-                    got, size = [], 0
-        if got:
-            yield distinct(np.concatenate(got, 1), sig, n)
-
-    def distinct(at, sig, n):
-        """One row per pair of nodes."""
-        a, b = at
-        by = np.lexsort((n[b], sig[b], n[a], sig[a]))
-        a, b = a[by], b[by]
-        new = np.r_[True, (sig[a[1:]] != sig[a[:-1]]) | (n[a[1:]] != n[a[:-1]]) | (sig[b[1:]] != sig[b[:-1]])
-                    | (n[b[1:]] != n[b[:-1]])]
-        a, b = a[new], b[new]
-        return pa.RecordBatch.from_arrays([pa.array(c) for c in (sig[a], n[a], sig[b], n[b])], names=names)
-
-    def run(batches):
-        tail = None
-        for batch in batches:
-            cols = [c.to_numpy(zero_copy_only=False) for c in batch.columns]
-            if tail is not None:
-                cols = [np.concatenate([t, c]) for t, c in zip(tail, cols)]
-            if not len(cols[0]):
-                continue
-            cut = int(np.searchsorted(cols[0], cols[0][-1]))  # the last n-gram may go on in the next batch
-            tail = [c[cut:] for c in cols]
-            if cut:
-                yield from pairs(*[c[:cut] for c in cols])
-        if tail is not None and len(tail[0]):
-            yield from pairs(*tail)
-
-    return (members.select("gram", "sig", "n", "place", "group").repartition("gram").sortWithinPartitions("gram")
-            .mapInArrow(run, _PAIR).distinct())
-
-
-def _node(sig: str, n: str):
-    return F.xxhash64(sig, n)
-
-
-def _edges(links: DataFrame) -> DataFrame:
-    return links.select(_node("a_sig", "a_n").alias("u"), _node("b_sig", "b_n").alias("v"))
-
-
-def _labelled(members: DataFrame, near: DataFrame | None) -> DataFrame:
-    """Members with their group so far (a node alone is its own) and the group's size."""
-    out = members.withColumn("node", _node("sig", "n"))
-    if near is None:
-        return out.withColumn("group", F.col("node")).withColumn("weight", F.lit(1).cast("long"))
-    sized = near.join(near.groupBy("group").agg(F.count(F.lit(1)).alias("weight")), "group")
-    return (out.join(sized, "node", "left").withColumn("group", F.coalesce("group", "node"))
-            .withColumn("weight", F.coalesce("weight", F.lit(1).cast("long"))))
+def _labels(links: DataFrame, rounds: int = 2) -> DataFrame:
+    """(node, label) of linked nodes: the smallest node within a few links. Equal labels mean one group."""
+    both = links.select(F.col("a").alias("u"), F.col("b").alias("v"))
+    both = both.unionByName(both.select(F.col("v").alias("u"), F.col("u").alias("v")))
+    label = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("label"))
+    for _ in range(rounds):
+        seen = both.join(label.withColumnRenamed("u", "v"), "v").groupBy("u").agg(F.min("label").alias("near"))
+        label = label.join(seen, "u").select("u", F.least("label", "near").alias("label"))
+    return label.withColumnRenamed("u", "node")
 
 
 def groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = SHINGLE,
            limit: Threshold = DEFAULT_THRESHOLD) -> DataFrame:
     """doc_id, text_key, n_shingles and component_id (the group's smallest doc_id) of every row."""
     spark = df.sparkSession
-    fragments = _fragments(spark)
+    parts = 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     docs = df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"),
                      F.xxhash64(text_col).alias("text_key"))
     rows = stored(_nodes(docs, k), "nodes")
-    top = (_frequent(_all_grams(docs, fragments, k), FREQUENT_FROM)
+    top = (_frequent(_counted_grams(docs, parts, k), FREQUENT_FROM)
            .orderBy(F.desc("df"), "top").limit(FREQUENT).toArrow())
-    order = spark.sparkContext.broadcast(Order(top["top"].to_numpy(), top["df"].to_numpy()))
-    members = stored(_shared_grams(_prefixes(docs, order, fragments, k, limit)), "members")
-
-    def rows_of(pairs: DataFrame, parts: int) -> DataFrame:
-        pairs = settle(pairs)
-        nodes = pairs.select("sig", "n").union(pairs.select("hub_sig", "hub_n")).distinct()
-        return _hub_rows(pairs, stored(_sets(docs, nodes, rows, k, parts), "sets"))
-
-    # each node and the hub it shares most prefix n-grams with; a hub lies in the n-gram's largest group, and each
-    # round picks others, so few near copies stay apart from their group
-    links, near = None, None
-    for turn in range(STAR_ROUNDS):
-        here = _labelled(members, near).withColumn("h", F.xxhash64(F.lit(turn), "sig", "n"))
-        hubs = here.groupBy("gram").agg(
-            F.min(F.struct(-F.col("weight"), "h", "sig", "n", "place", "group")).alias("hub"))
-        stars = (here.join(hubs, "gram").where("`group` <> hub.`group`")
-                 .select(F.col("hub.sig").alias("a_sig"), F.col("hub.n").alias("a_n"),
-                         F.col("hub.place").alias("a_place"), F.col("sig").alias("b_sig"), F.col("n").alias("b_n"),
-                         F.col("place").alias("b_place"))
-                 .where(f"least(a_n, b_n) * {limit.den} >= greatest(a_n, b_n) * {limit.num} and least(a_n - a_place, "
-                        f"b_n - b_place) * {limit.num + limit.den} >= (a_n + b_n) * {limit.num}")
-                 .groupBy("a_sig", "a_n", "b_sig", "b_n").agg(F.count(F.lit(1)).alias("shared")))
-        best = (stars.groupBy(F.col("b_sig").alias("sig"), F.col("b_n").alias("n"))
-                .agg(F.max(F.struct("shared", "a_sig", "a_n")).alias("best"))
-                .select("sig", "n", F.col("best.a_sig").alias("hub_sig"), F.col("best.a_n").alias("hub_n")))
-        more = settle(_test_groups(rows_of(best, 1), limit))
-        links = more if links is None else settle(links.unionByName(more))
-        near = settle(_components(_edges(links)))
-
-    # what shares a prefix n-gram and is still apart
-    labelled = _labelled(members, near)
-    mixed = labelled.groupBy("gram").agg(F.min("group").alias("lo"), F.max("group").alias("hi")).where("lo <> hi")
-    cross = _cross_pairs(labelled.join(mixed.select("gram"), "gram"), limit)
-    partial = _partial_overlaps(rows_of(cross.select(
-        F.col("a_sig").alias("hub_sig"), F.col("a_n").alias("hub_n"), F.col("b_sig").alias("sig"),
-        F.col("b_n").alias("n")), FRAGMENTS))
-    # two tasks may have packed the same set, so a fragment's count can come twice
-    late = (partial.groupBy("a_sig", "a_n", "b_sig", "b_n", "frag").agg(F.max("shared").alias("shared"))
-            .groupBy("a_sig", "a_n", "b_sig", "b_n").agg(F.sum("shared").alias("shared"))
-            .where(limit.links(F.col("shared"), F.col("a_n"), F.col("b_n"))))
-    joined = settle(_components(_edges(links).unionByName(_edges(late))))
-
-    tagged = rows.withColumn("node", _node("sig", "n")).join(joined, "node", "left").withColumn(
-        "group", F.coalesce("group", "node"))
-    firsts = tagged.where("n > 0").groupBy("group").agg(F.min("doc_id").alias("first"))
-    return tagged.join(firsts, "group", "left").select(
+    occurrences = rows.agg(F.sum("n")).first()[0] or 0
+    order = spark.sparkContext.broadcast(Order(
+        top["top"].to_numpy(), top["df"].to_numpy(), occurrences, min(FRAGMENT, max(1, occurrences // parts))))
+
+    # lower bounds of overlaps with hubs, and the prefix n-grams that nodes share
+    found = stored(_by_fragment(_segments(docs, order, k, limit), limit), "fragments")
+    links = settle(found.where("kind = 0").groupBy("a", "a_n", "b", "b_n").agg(F.sum("c").alias("shared"))
+                   .where(limit.links(F.col("shared"), F.col("a_n"), F.col("b_n"))).select("a", "b"))
+    near = settle(_labels(links))
+
+    # what shares a prefix n-gram and has another label
+    members = (found.where("kind = 1").select("gram", F.col("b").alias("node"), F.col("b_n").cast("long").alias("n"),
+                                              F.col("c").cast("long").alias("place"))
+               .join(near, "node", "left").withColumn("label", F.coalesce("label", "node")))
+    pairs = settle(_cross_pairs(members, limit))
+    wanted = settle(pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct())
+    sets = stored(_sets(docs, rows, wanted, order, k, PIECES), "sets")
+    # two tasks may have packed the same set, so a piece's count can come twice
+    late = (_partial_overlaps(pairs.select("a", "b"), sets)
+            .groupBy("a", "b", "piece").agg(F.max("shared").alias("shared"))
+            .groupBy("a", "b").agg(F.sum("shared").alias("shared"))
+            .join(pairs, ["a", "b"]).where(limit.links(F.col("shared"), F.col("a_n"), F.col("b_n"))).select("a", "b"))
+
+    # components of what is linked but has two labels
+    a, b = near.toDF("a", "la"), near.toDF("b", "lb")
+    apart = (links.unionByName(late).join(a, "a", "left").join(b, "b", "left")
+             .select(F.coalesce("la", "a").alias("u"), F.coalesce("lb", "b").alias("v")).where("u <> v"))
+    joined = _components(apart).withColumnsRenamed({"node": "label", "group": "whole"})
+    nodes = rows.where("n > 0").groupBy("node").agg(F.min("doc_id").alias("low")).join(near, "node", "left")
+    named = (nodes.withColumn("label", F.coalesce("label", "node")).join(joined, "label", "left")
+             .select("node", "low", F.coalesce("whole", "label").alias("group")))
+    firsts = named.groupBy("group").agg(F.min("low").alias("first"))
+    tags = stored(named.join(firsts, "group").select("node", "first"), "tags")
+    release(found, sets)
+    return rows.join(tags, "node", "left").select(
         "doc_id", "text_key", F.col("n").alias("n_shingles"),
         F.when(F.col("n") > 0, F.coalesce("first", "doc_id")).otherwise(F.col("doc_id")).alias("component_id"))
 
