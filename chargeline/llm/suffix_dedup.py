@@ -17,13 +17,21 @@ windows have equal anchors at equal distances. So
    twice where two anchors share both classes;
 5. the windows found are joined to their texts, and covered bytes removed.
 
+Passages shorter than that are told, not removed: ``n_shared`` counts the places
+that a text shares with another one by a rule of the same kind. Of every
+``PASSAGE_WORDS`` words in a row the ``PASSAGE_GRAM`` words with the smallest hash
+are an anchor, so texts that share so many words share an anchor; an anchor
+counts if another text (or a copy of this one) has its words too.
+
 Texts are keyed by two 64-bit hashes. Copies of a text are handled as one text
 with a count: each is removed whole if it has at least ``MIN_BYTES`` bytes.
 Grams at more than ``GROUP`` places do not meet in one task: their windows are
 counted by digest in map-side aggregates instead, so no group is unbounded.
 
 Null text is empty; texts shorter than ``MIN_BYTES`` keep everything; repeated
-rows are copies; an empty table gives an empty result.
+rows are copies; an empty table gives an empty result. Very long texts are
+handled whole, by one task, in overlapping blocks; ties of hashes go to the first
+place, alike in equal surroundings.
 """
 
 from __future__ import annotations
@@ -43,6 +51,8 @@ MIN_BYTES = 400
 GRAM = 64
 SHALLOW = 96
 GROUP = 1 << 15
+#: Words in a row of which any other text with the same is told, and of an anchor among them.
+PASSAGE_WORDS, PASSAGE_GRAM = 51, 16
 #: Bytes of contexts sorted at a time.
 BATCH_BYTES = 24 << 20
 _BLOCK = 1 << 20
@@ -103,6 +113,28 @@ def anchors(data: np.ndarray, off: np.ndarray, least: int = MIN_BYTES, gram: int
     return [np.concatenate(c) if c else np.zeros(0, np.int64) for c in out]
 
 
+def word_anchors(data: np.ndarray, off: np.ndarray, words: int = PASSAGE_WORDS, gram: int = PASSAGE_GRAM):
+    """Hash and document of the anchors among every ``words`` words in a row, each once a document."""
+    s, e, doc = tx.runs(tx.SPACE_WORDS[data], off)
+    h = tx.span_hashes(data, s, e)
+    keys, docs = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    width = words - gram + 1
+    for a in range(0, max(len(h) - words + 1, 0), _BLOCK):  # overlapping blocks
+        b = min(a + _BLOCK + words - 1, len(h))
+        one, own = h[a:b].copy(), doc[a:b]
+        value = one[:len(one) - gram + 1].copy()
+        for i in range(1, gram):
+            value = tx.mix(value + one[i:i + len(value)])
+        low = _sliding_min((value & ~_PLACE) | np.arange(len(value), dtype=np.uint64), width)
+        whole = np.flatnonzero(own[:len(low)] == own[words - 1:words - 1 + len(low)])  # windows inside a document
+        at = (low[whole] & _PLACE).astype(np.int64)
+        new = np.r_[True, at[1:] != at[:-1]] if len(at) else np.zeros(0, bool)
+        keys.append(value[at[new]].view(np.int64))
+        docs.append(own[at[new]])
+    both = np.unique(np.stack([np.concatenate(docs), np.concatenate(keys)]), axis=1)
+    return both[1], both[0]
+
+
 # ------------------------------------------------------------------ sorting
 
 
@@ -447,6 +479,28 @@ def _counted_spans(contexts: DataFrame, least: int) -> DataFrame:
     return rows.join(twice, ["h1", "h2"]).select("t1", "t2", "s", (F.col("s") + least).alias("e"))
 
 
+def _shared(texts: DataFrame) -> DataFrame:
+    """t1 and ``n_shared``: a text's anchors that another text has too."""
+    def run(batches):
+        done: set[int] = set()
+        for batch in batches:
+            t1 = batch.column(1).to_numpy()
+            for a, b, data, off in tx.slices(batch.column(0)):
+                key, doc = word_anchors(data, off)
+                own = t1[a + doc]
+                fresh = np.array([t not in done for t in own.tolist()], bool)
+                done.update(own.tolist())
+                if fresh.any():
+                    yield pa.RecordBatch.from_arrays([pa.array(key[fresh]), pa.array(own[fresh])], names=["key", "t1"])
+            if len(done) > 200_000:
+                done.clear()
+
+    listed = texts.select("raw", "t1").mapInArrow(run, "key long, t1 long")
+    twice = (listed.groupBy("key").agg(F.min("t1").alias("lo"), F.max("t1").alias("hi")).where("lo <> hi").select("key"))
+    return (listed.join(twice, "key", "left_semi").groupBy("t1", "key").agg(F.lit(1).alias("one"))
+            .groupBy("t1").agg(F.count(F.lit(1)).alias("n_shared")))
+
+
 def _merged(spans: list[tuple[int, int]]) -> list[list[int]]:
     out: list[list[int]] = []
     for s, e in sorted(spans):
@@ -459,7 +513,7 @@ def _merged(spans: list[tuple[int, int]]) -> list[list[int]]:
 
 def spans(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: int = MIN_BYTES,
           gram: int = GRAM, group: int = GROUP, shallow: int = SHALLOW) -> DataFrame:
-    """doc_id, raw (bytes), copies and the byte spans ``[s, e)`` to remove, not merged, of every row."""
+    """doc_id, raw (bytes), copies, n_shared and the byte spans ``[s, e)`` to remove, not merged, of every row."""
     texts = _texts(df, id_col, text_col)
     rows = stored(_list_anchors(texts, least, gram), "anchors")
     listed = rows.where("key is not null")
@@ -485,23 +539,29 @@ def spans(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", least:
     if not crowded.isEmpty():
         found = found.unionByName(_counted_spans(contexts(crowded), least))
     by_text = found.groupBy("t1", "t2").agg(F.collect_set(F.struct("s", "e")).alias("spans"))
-    fate = copies.select("t1", "t2", "copies").join(by_text, ["t1", "t2"], "left")
-    return texts.join(fate, ["t1", "t2"]).select("doc_id", "raw", "copies", "spans")
+    fate = (copies.select("t1", "t2", "copies").join(by_text, ["t1", "t2"], "left").join(_shared(texts), "t1", "left")
+            .withColumn("n_shared", F.coalesce("n_shared", F.lit(0))))
+    return texts.join(fate, ["t1", "t2"]).select("doc_id", "raw", "copies", "n_shared", "spans")
 
 
-RESULT = "n_bytes long, n_removed long, n_spans long, kept_sha256 string"
+RESULT = "n_bytes long, n_removed long, n_spans long, kept_sha256 string, n_shared long"
 
 
 def dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: int = MIN_BYTES,
           gram: int = GRAM, group: int = GROUP, shallow: int = SHALLOW) -> DataFrame:
-    """n_bytes, n_removed, n_spans, kept_sha256 and the merged spans (``start:end``) of every row."""
+    """n_bytes, n_removed, n_spans, kept_sha256, n_shared and the merged spans (``start:end``) of every row.
+
+    A text that has copies shares all its anchors.
+    """
     rows = spans(df, id_col, text_col, least, gram, group, shallow)
     id_type = rows.schema["doc_id"].dataType.simpleString()
 
     def run(batches):
         for batch in batches:
             out = []
-            for raw, copies, found in zip(*(batch.column(i).to_pylist() for i in (1, 2, 3))):
+            for raw, copies, shared, found in zip(*(batch.column(i).to_pylist() for i in (1, 2, 3, 4))):
+                if copies > 1:
+                    shared = len(word_anchors(np.frombuffer(raw, np.uint8), np.array([0, len(raw)]))[0])
                 if copies > 1 and len(raw) >= least:
                     cuts = [[0, len(raw)]]
                 else:
@@ -511,11 +571,11 @@ def dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", least:
                     kept.update(raw[at:s])
                     at = e
                 kept.update(raw[at:])
-                out.append((len(raw), sum(e - s for s, e in cuts), len(cuts), kept.hexdigest(),
+                out.append((len(raw), sum(e - s for s, e in cuts), len(cuts), kept.hexdigest(), shared,
                             ",".join(f"{s}:{e}" for s, e in cuts)))
-            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.string())
+            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.string())
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), *[pa.array([r[i] for r in out], k) for i, k in enumerate(kinds)]],
-                names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "spans"])
+                names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "n_shared", "spans"])
 
     return rows.mapInArrow(run, f"doc_id {id_type}, {RESULT}, spans string")

@@ -1,11 +1,14 @@
 import collections
+import functools
 import hashlib
 import random
+import re
 
 import numpy as np
 import pytest
 
 from chargeline.llm import suffix_dedup as sd
+from chargeline.llm import text as tx
 from tests.llm.conftest import frame
 
 
@@ -93,3 +96,52 @@ def test_sort_orders_strings_with_their_common_prefixes():
 
 def test_empty_table(spark):
     assert sd.dedup(frame(spark, [])).collect() == []
+
+
+def shared_places(texts):
+    """n_shared by a plain scan: the anchors of all windows of 51 words, against those of the other texts."""
+    def anchors_of(t):
+        words = re.findall(rb"[^\x20\x09-\x0D]+", (t or "").encode())
+        out = set()
+        for i in range(len(words) - sd.PASSAGE_WORDS + 1):
+            grams = [tuple(words[j:j + sd.PASSAGE_GRAM]) for j in range(i, i + sd.PASSAGE_WORDS - sd.PASSAGE_GRAM + 1)]
+            out.add(min(grams, key=rank))
+        return out
+
+    @functools.cache
+    def rank(gram):
+        data = np.frombuffer(b" ".join(gram), np.uint8)
+        s, e, _ = tx.runs(tx.SPACE_WORDS[data], np.array([0, len(data)]))
+        h = tx.span_hashes(data, s, e)
+        v = h[:1]
+        for i in range(1, len(h)):
+            v = tx.mix(v + h[i:i + 1])
+        return int(v[0]) >> 24
+
+    each = [anchors_of(t) for t in texts]
+    held = collections.Counter(g for a in each for g in a)
+    return [sum(held[g] > 1 for g in a) for a in each]
+
+
+def test_shared_passages_are_told(spark, small_docs, monkeypatch):
+    rnd = random.Random(8)
+    word = lambda: "".join(rnd.choice("abcdefgh") for _ in range(rnd.randrange(2, 9)))
+    text = lambda n: " ".join(word() for _ in range(n))
+    passages = [text(n) for n in (51, 60, 90, 15, 40)]
+    docs = [" ".join((text(rnd.randrange(0, 120)), passages[i % 5], text(rnd.randrange(0, 120)))) for i in range(40)]
+    docs += [text(200) for _ in range(30)] + [docs[0], None, "", text(51), "x y " * 300]
+    rows = {r.doc_id: r for r in sd.dedup(frame(spark, list(enumerate(docs))).repartition(4)).collect()}
+    want = shared_places(docs)
+    assert [rows[i].n_shared for i in range(len(docs))] == want
+    for i in range(40):  # the passages of 51 words and more are all found
+        assert i % 5 > 2 or rows[i].n_shared > 0
+    assert not any(rows[i].n_shared for i in range(40, 70))
+    real = [t for _, t, *_ in small_docs[:50]]
+    got = {r.doc_id: r.n_shared for r in sd.dedup(frame(spark, list(enumerate(real)))).collect()}
+    assert [got[i] for i in range(len(real))] == shared_places(real)
+    monkeypatch.setattr(sd, "_BLOCK", 64)  # long texts in overlapping blocks
+    data = np.frombuffer(" ".join(real).encode(), np.uint8)
+    off = np.array([0, len(data) // 3, len(data)])
+    parts = {*zip(*(x.tolist() for x in sd.word_anchors(data, off)))}
+    monkeypatch.undo()
+    assert parts == {*zip(*(x.tolist() for x in sd.word_anchors(data, off)))}
