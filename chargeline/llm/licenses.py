@@ -5,17 +5,25 @@ notices and short phrases). A text is streamed through it: after each word the
 automaton's state is the longest suffix of the text read so far that occurs in
 any template (matching statistics). Maximal matches are chained per template,
 in text and template order with bounded gaps; a chain that covers enough of
-the template is a span, and its template gives a label.
+the template is a span, and its template gives a label. Notices of one family
+differ in a word or a number: of their spans that overlap the best covered one
+stands (ties: the longer template, the first in the text, the first template).
 
 The automaton is only entered where two neighbouring words are neighbours in
 some template; elsewhere the match length is at most one word.
 
+The templates are notices and distinguishing clauses, not whole licence bodies.
+A text of the clauses that the BSD licences share is labelled ``bsd``, unless it
+goes on as the two-clause or the three-clause licence does.
+
 Null and empty texts have no words, labels or spans and score 0. Every input
-row gives one row.
+row, repeated or not, gives one row. Very long texts are scanned whole, by one
+task, in time about proportional to their matches.
 """
 
 from __future__ import annotations
 
+from bisect import bisect
 from collections import defaultdict
 from dataclasses import dataclass
 
@@ -45,18 +53,47 @@ TEMPLATES = (
             "subject to the following conditions: The above copyright notice and this permission notice shall be "
             "included in all copies or substantial portions of the Software."),
     ("gpl-3.0", "licensed under the gnu general public license version 3"),
-    ("gpl", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU "
-            "General Public License as published by the Free Software Foundation, either version 3 of the License, "
-            "or (at your option) any later version."),
-    ("bsd-3-clause", "Redistribution and use in source and binary forms, with or without modification, are permitted "
-                     "provided that the following conditions are met: Redistributions of source code must retain the "
-                     "above copyright notice, this list of conditions and the following disclaimer."),
+    ("gpl-2.0", "licensed under the gnu general public license version 2"),
+    ("gpl-3.0", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU "
+                "General Public License as published by the Free Software Foundation, either version 3 of the License, "
+                "or (at your option) any later version."),
+    ("gpl-2.0", "This program is free software; you can redistribute it and/or modify it under the terms of the GNU "
+                "General Public License as published by the Free Software Foundation; either version 2 of the License, "
+                "or (at your option) any later version."),
+    ("lgpl-2.1", "This library is free software; you can redistribute it and/or modify it under the terms of the GNU "
+                 "Lesser General Public License as published by the Free Software Foundation; either version 2.1 of the "
+                 "License, or (at your option) any later version."),
+    ("lgpl-3.0", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU "
+                 "Lesser General Public License as published by the Free Software Foundation, either version 3 of the "
+                 "License, or (at your option) any later version."),
+    ("agpl-3.0", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU "
+                 "Affero General Public License as published by the Free Software Foundation, either version 3 of the "
+                 "License, or (at your option) any later version."),
+    ("bsd", "Redistribution and use in source and binary forms, with or without modification, are permitted "
+            "provided that the following conditions are met: Redistributions of source code must retain the "
+            "above copyright notice, this list of conditions and the following disclaimer."),
+    ("bsd-2-clause", "in the documentation and/or other materials provided with the distribution. THIS SOFTWARE IS PROVIDED"),
+    ("bsd-3-clause", "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or "
+                     "promote products derived from this software without specific prior written permission."),
+    ("isc", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is "
+            "hereby granted, provided that the above copyright notice and this permission notice appear in all copies."),
+    ("zlib", "Permission is granted to anyone to use this software for any purpose, including commercial applications, and "
+             "to alter it and redistribute it freely, subject to the following restrictions:"),
+    ("unlicense", "This is free and unencumbered software released into the public domain."),
+    ("cc0-1.0", "To the extent possible under law, the author(s) have dedicated all copyright and related and neighboring "
+                "rights to this software to the public domain worldwide."),
+    ("epl-2.0", "made available under the terms of the Eclipse Public License 2.0"),
     ("mpl-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."),
     ("cc-by-4.0", "licensed under a creative commons attribution 4.0 international license"),
     ("cc-by-nc-4.0", "licensed under cc by nc 4.0"),
     ("all-rights-reserved", "all rights reserved"),
 )
 
+#: Labels whose notices differ in a few words: one span stands where theirs overlap.
+FAMILIES = {"gnu": ("gpl-2.0", "gpl-3.0", "lgpl-2.1", "lgpl-3.0", "agpl-3.0")}
+#: Labels that say less than one of others beside them.
+GENERAL = {"bsd": ("bsd-2-clause", "bsd-3-clause")}
+
 
 @dataclass(frozen=True)
 class Limits:
@@ -154,6 +191,8 @@ class Scanner:
         self.labels = [label for label, _ in templates] + list(phrases.values())
         sequences = [words_of(t) for t in [*(t for _, t in templates), *phrases]]
         self.n_templates = len(templates)
+        family = {label: name for name, labels in FAMILIES.items() for label in labels}
+        self.family = [family.get(label, t) for t, (label, _) in enumerate(templates)]
         self.sizes = [len(s) for s in sequences]
         vocabulary = sorted({w for s in sequences for w in s})
         data = np.frombuffer(b"".join(vocabulary), np.uint8)
@@ -204,19 +243,21 @@ class Scanner:
         return base, [m for m in found if m[1] >= 2]
 
     def chains(self, found: list[tuple[int, int, int]]) -> list[tuple[int, int, int, float]]:
-        """(template, first word, end word, coverage) of the best chain ending at each place, best first."""
-        by_template: dict[int, list[tuple[int, int, int]]] = defaultdict(list)
+        """(template, first word, end word, coverage): chains that cover enough and, of a family, do not overlap;
+        without one, the best chain of the family."""
+        by_template: dict[int, set[tuple[int, int, int]]] = defaultdict(set)
         for at, n, s in found:
             for t, end in self.automaton.ends[s]:
                 if t < self.n_templates and n >= min(self.limits.min_match, self.sizes[t]):
-                    by_template[t].append((at, end - n, n))
-        out = []
+                    by_template[t].add((at, end - n, n))
+        by_family: dict[str | int, list[tuple[float, int, int, int, int]]] = defaultdict(list)
         for t, items in by_template.items():
-            items = sorted(set(items))
+            items = sorted(items)
             best: list[tuple[int, int]] = []  # covered words, first text word
             reach = 0
             for i, (at, pos, n) in enumerate(items):
                 covered, start = n, at
+                # chained matches end at most max_gap words before, and none is longer than the template
                 while items[reach][0] + self.sizes[t] + self.limits.max_gap < at:
                     reach += 1
                 for j in range(reach, i):
@@ -225,15 +266,21 @@ class Scanner:
                         if best[j][0] + n > covered:
                             covered, start = best[j][0] + n, best[j][1]
                 best.append((covered, start))
-            ranked = sorted(((c / self.sizes[t], s, items[i][0] + items[i][2]) for i, (c, s) in enumerate(best)),
-                            key=lambda x: (-x[0], x[1], x[2]))
-            taken: list[tuple[int, int]] = []
-            for cover, a, b in ranked:
-                if all(b <= c or d <= a for c, d in taken):
-                    taken.append((a, b))
-                    out.append((t, a, b, cover))
-                if cover < self.limits.min_cover:
+            by_family[self.family[t]] += [(-c / self.sizes[t], -self.sizes[t], s, items[i][0] + items[i][2], t)
+                                          for i, (c, s) in enumerate(best)]
+        out = []
+        for ranked in by_family.values():
+            ranked.sort()
+            starts: list[int] = []
+            ends: list[int] = []
+            for cover, _, a, b, t in ranked:
+                if -cover < self.limits.min_cover and starts:
                     break
+                i = bisect(starts, a)  # taken spans do not overlap, so starts and ends ascend alike
+                if (not i or ends[i - 1] <= a) and (i == len(starts) or b <= starts[i]):
+                    starts.insert(i, a)
+                    ends.insert(i, b)
+                    out.append((t, a, b, -cover))
         return out
 
 
@@ -259,12 +306,14 @@ def _scan_slice(scanner: Scanner, data: np.ndarray, off: np.ndarray) -> dict[str
         spans = sorted((a, b, scanner.labels[t], c) for t, a, b, c in chains if c >= scanner.limits.min_cover)
         own = sorted({scanner.labels[p] for _, p in hits})
         top = max([c for *_, c in chains], default=0.0)
+        named = {x for _, _, x, _ in spans}
+        named -= {x for x, more in GENERAL.items() if named & {*more}}
         out["n_words"].append(int(counts[doc]))
         out["n_base"].append(len(hits))
         out["first_word"].append(hits[0][0] if hits else None)
         out["last_word"].append(hits[-1][0] if hits else None)
         out["base_labels"].append(",".join(own))
-        out["labels"].append(",".join(sorted({*own, *(x for _, _, x, _ in spans)})))
+        out["labels"].append(",".join(sorted({*own, *named})))
         out["score"].append(1.0 if hits else min(1.0, top))
         out["spans"].append(",".join(f"{x}:{a}:{b}" for a, b, x, _ in spans))
     return out

@@ -7,7 +7,9 @@ ones text without structure (encoded or random data); short texts compress
 badly whatever they say, so the bands depend on the length.
 
 Null and empty texts fail the base rules (no words). Words are maximal runs
-of bytes other than space and tab to carriage return. Every row gives one row.
+of bytes other than space and tab to carriage return. Every row gives one row,
+repeated ones alike. Very long texts are read whole, by one task; nothing is
+ranked, so there are no ties.
 """
 
 from __future__ import annotations
@@ -109,14 +111,20 @@ def base_counts(data: np.ndarray, off: np.ndarray) -> dict[str, np.ndarray]:
 
 
 def ratios(text: bytes, packer: zstandard.ZstdCompressor, bands: Bands) -> tuple[float, float]:
-    """Ratio of the whole text, and the share of full chunks outside the chunk band."""
+    """Ratio of the whole text, and the share of chunks outside the chunk band.
+
+    The last chunk is the last ``chunk_bytes`` of the text, so no byte is left
+    out; a text shorter than a chunk has the band of its length alone.
+    """
     if not text:
         return 0.0, 0.0
     whole = len(packer.compress(text)) / len(text)
     size, (low, high) = bands.chunk_bytes, bands.chunk
-    full = len(text) // size
-    odd = sum(not low <= len(packer.compress(text[i * size:(i + 1) * size])) / size <= high for i in range(full))
-    return whole, odd / full if full else 0.0
+    if len(text) < size:
+        return whole, 0.0
+    starts = [*range(0, len(text) - size, size), len(text) - size]
+    odd = sum(not low <= len(packer.compress(text[i:i + size])) / size <= high for i in starts)
+    return whole, odd / len(starts)
 
 
 def _verdicts(column: pa.Array, bands: Bands, base: Base) -> Iterator[tuple[int, int, dict[str, np.ndarray]]]:

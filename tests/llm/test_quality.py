@@ -30,6 +30,8 @@ def brute(text):
         low, high = bands.limits(len(raw))
         size = bands.chunk_bytes
         full = [raw[i:i + size] for i in range(0, len(raw) - size + 1, size)]
+        if len(raw) > size and len(raw) % size:
+            full.append(raw[-size:])
         odd = sum(not bands.chunk[0] <= len(packer.compress(c)) / size <= bands.chunk[1] for c in full)
         ok = low <= len(packer.compress(raw)) / len(raw) <= high and (not full or odd / len(full) <= bands.max_odd_chunks)
     return (len(words), sum(map(len, words)), sum(text.count(c) for c in "#*$%&|<>"), dup, len(repeat), failed,
@@ -72,3 +74,13 @@ def test_clean_labelled_documents_stay(spark):
 
 def test_empty_table(spark):
     assert quality.score(frame(spark, [])).collect() == [] == quality.keep(frame(spark, [])).collect()
+
+
+def test_the_end_of_a_text_is_seen(spark, small_docs):
+    """A text of ordinary words whose last part, less than a chunk, is one word again and again."""
+    words = " ".join(t for _, t, *_ in small_docs[:40] if t).split()
+    size = quality.DEFAULT_BANDS.chunk_bytes
+    clean = " ".join(words)[:size + 40]
+    tail = "".join(dict.fromkeys("abcdefghij")) + " "
+    rows = {r.doc_id: r for r in quality.score(frame(spark, [(1, clean + tail * 180), (2, clean)])).collect()}
+    assert rows[1].odd_chunks >= 0.5 and rows[2].odd_chunks == 0
