@@ -13,10 +13,17 @@ last sequence holds padding.
 Without ``targets`` the mixture is the corpus's own token proportions and all
 queues end together. With ``targets`` the queues are served in their
 proportions until one is empty; from there on the others share what is left
-in proportion (a new phase), until nothing remains.
+in proportion (a new phase), until nothing remains. ``temper`` gives targets by
+rule: each queue's token count to that power, so small sources come sooner.
+
+Any number of sources is packed. The ``QUEUES`` with the most bytes of text, and
+those that ``targets`` names, have a queue of their own; the documents of all
+others share one more, in input order, whose share is theirs together.
 
 Null text is packed as an empty document (its end id alone); a null source is a
-queue of its own; repeated rows are packed each; an empty table packs nothing.
+source like any other; repeated rows are packed each; an empty table packs nothing.
+Very long texts are encoded whole, by one task, and cut at windows and sequences.
+Queues of equal size are ordered by name.
 """
 
 from __future__ import annotations
@@ -32,7 +39,7 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -41,8 +48,8 @@ from chargeline.llm.frames import offsets, stored
 SEQUENCE_TOKENS = 1024
 WINDOW_SEQUENCES = 64
 END_ID = 0
-#: A mixture is a schedule over this many queues at most.
-MAX_SOURCES = 4096
+#: Sources with a queue of their own; a schedule holds a number per queue and phase.
+QUEUES = 512
 
 PIECES = T.StructType([
     T.StructField("doc_id", T.LongType()), T.StructField("start", T.LongType()),
@@ -134,23 +141,27 @@ def served(n: int, w: int, windows: int) -> int:
     return (2 * n * w + windows) // (2 * windows)
 
 
+def many_served(n: np.ndarray, w: int, windows: int) -> np.ndarray:
+    """``served`` of many queues; products stay below 2 * windows^2."""
+    whole, rest = np.divmod(n, windows)
+    return whole * w + (2 * rest * w + windows) // (2 * windows)
+
+
 class Planner:
     """Where each token of each queue goes."""
 
     def __init__(self, phases: list[Phase]):
         self.phases = phases
 
-        @lru_cache(maxsize=20_000)
-        def window(k: int, w: int) -> tuple[list[int], list[int]]:
+        takes = [np.array(p.takes, np.int64) for p in phases]
+
+        @lru_cache(maxsize=256)
+        def window(k: int, w: int) -> tuple[np.ndarray, np.ndarray]:
             """First token of every queue in a window, and the window's place of that token."""
             p = phases[k]
-            first = [served(n, w, p.windows) for n in p.takes]
-            at = p.base + sum(first)
-            places = []
-            for n, f in zip(p.takes, first):
-                places.append(at)
-                at += served(n, w + 1, p.windows) - f
-            return first, places
+            first, end = many_served(takes[k], w, p.windows), many_served(takes[k], w + 1, p.windows)
+            part = end - first
+            return first, p.base + int(first.sum()) + np.cumsum(part) - part
 
         self.window = window
 
@@ -171,17 +182,34 @@ class Planner:
                 w -= 1
             stop = min(end, p.starts[queue] + served(n, w + 1, p.windows))
             first, places = self.window(k, w)
-            yield at - start, places[queue] + u - first[queue], stop - at
+            yield at - start, int(places[queue]) + u - int(first[queue]), stop - at
             at = stop
 
 
-def tokenise(df: DataFrame, vocabulary: Vocabulary, id_col: str = "doc_id", text_col: str = "text",
+def queue_of(source) -> Column:
+    """Name of a source's own queue."""
+    return F.when(source.isNull(), "n").otherwise(F.concat(F.lit("s"), source.cast("string")))
+
+
+#: The queue that all other sources share.
+POOL = "p"
+
+
+def own_queues(df: DataFrame, targets: dict | None, text_col: str, source_col: str, queues: int = QUEUES) -> list[str]:
+    """The sources with a queue of their own: those in ``targets``, and the largest by bytes of text."""
+    named = ["n" if x is None else f"s{x}" for x in targets or ()]
+    size = (df.select(queue_of(F.col(source_col)).alias("queue"), F.octet_length(F.col(text_col)).alias("bytes"))
+            .groupBy("queue").agg(F.coalesce(F.sum("bytes"), F.lit(0)).alias("bytes")))
+    largest = size.orderBy(F.desc("bytes"), "queue").limit(queues).collect()
+    return sorted({*named, *(r["queue"] for r in largest)})
+
+
+def tokenise(df: DataFrame, vocabulary: Vocabulary, own: list[str], id_col: str = "doc_id", text_col: str = "text",
              source_col: str = "source") -> DataFrame:
-    """One row per document: queue, block, its first token in the block's queue, and its ids."""
-    rows = df.select(
-        F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"),
-        F.when(F.col(source_col).isNull(), "n").otherwise(F.concat(F.lit("s"), F.col(source_col).cast("string")))
-        .alias("queue"))
+    """One row per document: queue, source, block, its first token in the block's queue, and its ids."""
+    rows = df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"),
+                     F.col(source_col).cast("string").alias("source"), queue_of(F.col(source_col)).alias("queue"))
+    known = frozenset(own)
 
     def run(batches):
         encoder = Encoder(vocabulary)
@@ -190,7 +218,7 @@ def tokenise(df: DataFrame, vocabulary: Vocabulary, id_col: str = "doc_id", text
         for batch in batches:
             for i in range(0, batch.num_rows, 512):
                 texts = batch.column(1).slice(i, 512)
-                queues = batch.column(2).slice(i, 512).to_pylist()
+                queues = [q if q in known else POOL for q in batch.column(3).slice(i, 512).to_pylist()]
                 ids = [np.concatenate([encoder.encode(t.as_py()), end]) for t in texts]
                 starts = []
                 for q, x in zip(queues, ids):
@@ -199,35 +227,37 @@ def tokenise(df: DataFrame, vocabulary: Vocabulary, id_col: str = "doc_id", text
                 wide = 2 if max(int(x.max()) for x in ids) < 65536 else 4
                 n = len(ids)
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(i, n), pa.array(queues, pa.string()), pa.array([block] * n, pa.int64()),
-                     pa.array(starts, pa.int64()), pa.array([len(x) for x in ids], pa.int64()),
-                     pa.array([wide] * n, pa.int32()),
+                    [batch.column(0).slice(i, n), batch.column(2).slice(i, n), pa.array(queues, pa.string()),
+                     pa.array([block] * n, pa.int64()), pa.array(starts, pa.int64()),
+                     pa.array([len(x) for x in ids], pa.int64()), pa.array([wide] * n, pa.int32()),
                      pa.array([x.astype(f"<u{wide}").tobytes() for x in ids], pa.binary())],
-                    names=["doc_id", "queue", "block", "first", "tokens", "wide", "ids"])
+                    names=["doc_id", "source", "queue", "block", "first", "tokens", "wide", "ids"])
 
-    return rows.mapInArrow(run, "doc_id long, queue string, block long, first long, tokens long, wide int, ids binary")
+    return rows.mapInArrow(run, "doc_id long, source string, queue string, block long, first long, tokens long, "
+                                "wide int, ids binary")
 
 
 def pack(df: DataFrame, vocabulary: Vocabulary, targets: dict | None = None, id_col: str = "doc_id",
          text_col: str = "text", source_col: str = "source", sequence_tokens: int = SEQUENCE_TOKENS,
-         window_sequences: int = WINDOW_SEQUENCES) -> DataFrame:
+         window_sequences: int = WINDOW_SEQUENCES, temper: float | None = None, queues: int = QUEUES) -> DataFrame:
     """The pieces of every document, with their sequence and offset; ``source`` and ``ids`` come along.
 
     ``targets`` maps a source to its weight; sources it leaves out are served last.
     """
-    docs = stored(tokenise(df, vocabulary, id_col, text_col, source_col), "tokens")
+    own = own_queues(df, targets, text_col, source_col, queues)
+    docs = stored(tokenise(df, vocabulary, own, id_col, text_col, source_col), "tokens")
     sums = docs.groupBy("queue", "block").agg(F.sum("tokens").alias("n"))
-    totals = {r["queue"]: r["n"] for r in sums.groupBy("queue").agg(F.sum("n").alias("n"))
-              .limit(MAX_SOURCES + 1).collect()}
-    if len(totals) > MAX_SOURCES:
-        raise ValueError(f"more than {MAX_SOURCES} sources: group them before packing")
-    queues = sorted(totals)
-    weights = None if targets is None else [
-        Fraction(targets.get(None if q == "n" else q[1:], 0)) for q in queues]
-    phases = schedule([totals[q] for q in queues], weights, sequence_tokens * window_sequences)
-    number = {q: i for i, q in enumerate(queues)}
+    totals = {r["queue"]: r["n"] for r in sums.groupBy("queue").agg(F.sum("n").alias("n")).collect()}  # queues + 1 at most
+    names = sorted(totals)
+    weights = None
+    if targets is not None:
+        weights = [Fraction(0) if q == POOL else Fraction(targets.get(None if q == "n" else q[1:], 0)) for q in names]
+    elif temper is not None:
+        weights = [Fraction(round(totals[q] ** temper * 1000), 1000) for q in names]
+    phases = schedule([totals[q] for q in names], weights, sequence_tokens * window_sequences)
+    number = {q: i for i, q in enumerate(names)}
     placed = docs.join(offsets(sums, ["queue"], "block", "n", "before"), ["queue", "block"]).select(
-        "doc_id", "queue", (F.col("before") + F.col("first")).alias("at"), "tokens", "wide", "ids")
+        "doc_id", "source", "queue", (F.col("before") + F.col("first")).alias("at"), "tokens", "wide", "ids")
     schema = T.StructType([*PIECES.fields, T.StructField("source", T.StringType()),
                            T.StructField("ids", T.BinaryType())])
 
@@ -236,7 +266,7 @@ def pack(df: DataFrame, vocabulary: Vocabulary, targets: dict | None = None, id_
         for batch in batches:
             rows = [c.to_pylist() for c in batch.columns]
             out: list[list] = [[] for _ in schema.names]
-            for doc, queue, at, tokens, wide, ids in zip(*rows):
+            for doc, source, queue, at, tokens, wide, ids in zip(*rows):
                 ids = np.frombuffer(ids, f"<u{wide}").astype("<u4").tobytes()
                 for start, place, length in planner.runs(number[queue], at, tokens):
                     while length:
@@ -244,7 +274,7 @@ def pack(df: DataFrame, vocabulary: Vocabulary, targets: dict | None = None, id_
                         n = min(length, sequence_tokens - offset)
                         piece = ids[4 * start:4 * (start + n)]
                         for c, v in zip(out, (doc, start, n, zlib.crc32(piece), tokens, place // sequence_tokens,
-                                              offset, None if queue == "n" else queue[1:], piece)):
+                                              offset, source, piece)):
                             c.append(v)
                         start, place, length = start + n, place + n, length - n
                 if len(out[0]) >= 4096:

@@ -12,6 +12,9 @@ from chargeline.llm.frames import documents
 #: Shards of the sharding query; the grown tree has one more.
 SHARDS = 40
 
+#: Sources are mixed in proportion to their tokens to this power, until each is used up.
+TEMPER = 0.7
+
 
 def vocabulary(added: bool = False) -> packing.Vocabulary:
     import public_tokenizers as files
@@ -50,7 +53,7 @@ def op6_ngram_join(spark, sf_dir):
 
 
 def op7_packing(spark, sf_dir):
-    return packing.pack(documents(spark, sf_dir), vocabulary(added=True)).drop("ids", "source")
+    return packing.pack(documents(spark, sf_dir), vocabulary(added=True), temper=TEMPER).drop("ids", "source")
 
 
 def op8_pii(spark, sf_dir):

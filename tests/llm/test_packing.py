@@ -124,3 +124,92 @@ def test_the_query_and_the_pipeline_encode_added_tokens_as_the_tokenizer_file(sp
     for rows in (op7_packing(spark, str(tmp_path)), corpus_pipeline.packed(spark, docs, "")):
         got = {r.doc_id: (r.doc_tokens, r.ids_crc32) for r in rows.collect()}
         assert got == {i: (len(x), zlib.crc32(np.array(x, "<u4").tobytes())) for i, x in want.items()}
+
+
+def round_robin(tokens, targets, window):
+    """Deficit round-robin step by step: the queue of every token, in order."""
+    left, out = list(tokens), []
+    while any(left):
+        weight = [Fraction(n) if targets is None else t if n else Fraction(0) for n, t in zip(left, targets or tokens)]
+        if not any(w and n for w, n in zip(weight, left)):
+            weight = [Fraction(n) for n in left]
+        rounds = min(n / w for n, w in zip(left, weight) if n and w)
+        takes = [n if w * rounds == n else int(w * rounds) for n, w in zip(left, weight)]
+        windows = -(-sum(takes) // window)
+        deficit = [Fraction(0)] * len(left)
+        for _ in range(windows):
+            for q, n in enumerate(takes):
+                deficit[q] += Fraction(n, windows)
+                now = int(deficit[q] + Fraction(1, 2))
+                deficit[q] -= now
+                out += [q] * now
+        left = [n - t for n, t in zip(left, takes)]
+    return out
+
+
+def test_closed_form_is_the_round_robin_step_by_step():
+    import random
+
+    rnd = random.Random(2)
+    for _ in range(40):
+        tokens = [rnd.randrange(0, 900) for _ in range(rnd.randrange(1, 8))]
+        targets = rnd.choice([None, [Fraction(rnd.randrange(0, 5)) for _ in tokens]])
+        window = rnd.choice([1, 7, 64, 500])
+        plan, place = packing.Planner(packing.schedule(tokens, targets, window)), {}
+        for q, n in enumerate(tokens):
+            for s, at, length in plan.runs(q, 0, n):
+                place.update((at + i, q) for i in range(length))
+        assert [place[i] for i in range(sum(tokens))] == round_robin(tokens, targets, window)
+
+
+def test_any_number_of_sources(spark):
+    """10,000 sources and more: the largest have queues, the others share one; nothing is lost or doubled."""
+    docs = [(i, "word " * (1 + i % 3), "en", f"host{i}") for i in range(10_000)]
+    docs += [(20_000 + i, "a longer text " * 40, "en", None if i % 2 else "big") for i in range(60)]
+    rows = packing.pack(frame(spark, docs).repartition(6), VOCABULARY, queues=5, temper=0.5).collect()
+    assert {r.doc_id for r in rows} == {d[0] for d in docs}
+    assert {(r.doc_id, r.source) for r in rows} == {(d[0], d[3]) for d in docs}
+    total = dict(zip((d[0] for d in docs), (len(x) + 1 for x in ids_of([d[1] for d in docs]))))
+    got = collections.Counter()
+    for r in rows:
+        got[r.doc_id] += r.length
+    assert got == total
+    at = 0
+    for r in sorted(rows, key=lambda r: (r.sequence_id, r.offset)):
+        assert r.sequence_id * 1024 + r.offset == at
+        at += r.length
+    assert at == sum(total.values())
+
+
+def test_tempered_targets_bring_small_sources_sooner(spark):
+    docs = [(i, "a b c d e f g h " * 60, "en", "large") for i in range(200)] + [(1000 + i, "x y z " * 60, "en", "small") for i in range(20)]
+    df = frame(spark, docs)
+    pack = lambda **k: packing.pack(df, VOCABULARY, window_sequences=4, **k).collect()
+    plain, tempered = pack(), pack(temper=0.5)
+    where = lambda rows: max(r.sequence_id for r in rows if r.source == "small") / max(r.sequence_id for r in rows)
+    assert where(plain) > 0.9 and where(tempered) < 0.7
+    named = pack(targets={"small": 3, "large": 1})
+    window = packing.schedule([sum(r.length for r in named if r.source == x) for x in ("large", "small")], [1, 3], 4096)[0]
+    first = [r for r in named if r.sequence_id * 1024 + r.offset < sum(window.takes) // window.windows]
+    share = sum(r.length for r in first if r.source == "small") / sum(r.length for r in first)
+    assert abs(share - 0.75) < 0.01
+
+
+def test_the_query_over_its_whole_table(spark):
+    """Ids of the tokenizer file, each in one piece, sequences without gaps."""
+    from chargeline.llm.queries import op7_packing
+
+    texts = {r.doc_id: r.text or "" for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect()}
+    t = Tokenizer.from_file(PATH)
+    ids = {i: np.array([*x.ids, 0], "<u4") for i, x in zip(texts, t.encode_batch(list(texts.values()), add_special_tokens=False))}
+    rows = op7_packing(spark, "/root/testdata/sf0.001").collect()
+    seen = collections.Counter()
+    for r in rows:
+        assert r.doc_tokens == len(ids[r.doc_id])
+        assert zlib.crc32(ids[r.doc_id][r.start:r.start + r.length].tobytes()) == r.ids_crc32
+        seen.update((r.doc_id, x) for x in range(r.start, r.start + r.length))
+    assert set(seen.values()) == {1} and len(seen) == sum(map(len, ids.values()))
+    at = 0
+    for r in sorted(rows, key=lambda r: (r.sequence_id, r.offset)):
+        assert r.sequence_id * 1024 + r.offset == at
+        at += r.length
