@@ -3,10 +3,12 @@
 Test items are the indexed side and training passages the queries. A posting's
 impact is the BM25 weight of the term in the item, divided by the item's score
 against itself, so a passage scores an item between 0 and 1: the weighted share
-of the item's terms that it holds. Every passage (overlapping windows at least
-twice as long as the longest item) retrieves all items that score
+of the item's terms that it holds. Every passage retrieves all items that score
 ``MIN_SCORE`` or more, and each is verified: enough of the question's word
-trigrams and of the answer's words must occur in the passage.
+trigrams and of the answer's words must occur in the passage. Passages are
+overlapping windows twice as long as the item's *span*, 32 words or the least
+doubling of it that holds the item, so an item is found or not by its own
+length, whatever other items there are.
 
 Postings lie in blocks of ``BLOCK_ITEMS`` items with the block's largest impact.
 A vectorised pass adds block maxima over each window, with the most frequent
@@ -17,12 +19,14 @@ threshold has a posting hit. What is left is searched by WAND within its block:
 ordered by their next item, a pivot where their upper bounds reach the
 threshold, and full scoring only at pivots.
 
-The index is sharded by item: a shard holds at most ``SHARD_ITEMS`` items and is
-broadcast, and the documents are read once per shard. Document frequencies and
-lengths are of the whole benchmark, so the result does not depend on the
-number of shards. Items of equal words are indexed once a shard. Null and empty
-items match nothing; null and empty texts hold nothing; a repeated item or
-document gives a row each.
+The index is sharded by span and item: a shard holds at most ``SHARD_ITEMS`` items
+and, but for a single longer item, ``SHARD_WORDS`` words. One pass over the
+documents takes shards of up to ``PASS_WORDS`` words, which are broadcast.
+Document frequencies and lengths are of the whole benchmark, so the result does
+not depend on the number of shards. Items of equal words are indexed once a
+shard. Null and empty items match nothing; null and empty texts hold nothing; a
+repeated item or document gives a row each. Very long texts are searched whole,
+by one task. Of windows that score alike the first is told.
 """
 
 from __future__ import annotations
@@ -44,6 +48,10 @@ from chargeline.llm.frames import settle
 K1, B = 1.2, 0.75
 BLOCK_ITEMS = 8
 SHARD_ITEMS = 10_000
+#: Words of a shard's items, and of all shards of a pass.
+SHARD_WORDS, PASS_WORDS = 500_000, 2_000_000
+#: Words of the shortest span.
+SPAN = 32
 COMMON_SHARE = 0.05
 #: Postings expanded at a time.
 EXPANDED = 4_000_000
@@ -227,15 +235,20 @@ def overlap(item: Item, ids: list[int]) -> tuple[float, float]:
     return share(grams, there), share(set(item.answer), set(ids))
 
 
-def _search_slice(index: Index, data: np.ndarray, off: np.ndarray, limits: Limits):
-    """(document, item, score, question share, answer share, first word) of each verified pair."""
+def _search_slice(indexes: list[Index], data: np.ndarray, off: np.ndarray, limits: Limits):
+    """(document, item numbers, score, question share, answer share, first word) of each verified pair."""
     low = tx.fold_case(data)
     s, e, d = tx.runs(tx.ALNUM_WORDS[low], off)
     if not len(s):
         return []
-    ids = index.lookup(tx.span_hashes(low, s, e))
+    hashes = tx.span_hashes(low, s, e)
     first_word = np.searchsorted(d, np.arange(len(off)))
-    at = np.arange(len(s)) - first_word[d]
+    return [row for index in indexes for row in _search_words(index, hashes, d, first_word, limits)]
+
+
+def _search_words(index: Index, hashes: np.ndarray, d: np.ndarray, first_word: np.ndarray, limits: Limits):
+    ids = index.lookup(hashes)
+    at = np.arange(len(ids)) - first_word[d]
     # chunks of span words, numbered through the slice
     n_chunks = -(-np.diff(first_word) // index.span)
     chunk_base = np.r_[0, np.cumsum(n_chunks)]
@@ -257,10 +270,11 @@ def _search_slice(index: Index, data: np.ndarray, off: np.ndarray, limits: Limit
             if q >= limits.min_question and a >= limits.min_answer:
                 best = found.get((doc, i))
                 if best is None or score > best[2] + 1e-12:
-                    found[doc, i] = (doc, i, score, q, a, at_word)
+                    found[doc, i] = (doc, index.items[i].numbers, score, q, a, at_word)
     return [found[k] for k in sorted(found)]
 
 
+
 def read_items(items: DataFrame, id_col: str, question_col: str, answer_col: str | None,
                limits: Limits) -> DataFrame:
     """item_id and the 64-bit hashes of its question and answer words; empty items go."""
@@ -300,8 +314,7 @@ def search(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col:
         def found(batches, search=run):
             for batch in batches:
                 for a, b, data, off in tx.slices(batch.column(1)):
-                    index, rows = search(data, off)
-                    rows = [(d, k, *more) for d, i, *more in rows for k in index.items[i].numbers]
+                    rows = [(d, k, *more) for d, numbers, *more in search(data, off) for k in numbers]
                     if rows:
                         d, number, score, q, ans, at = zip(*rows)
                         yield pa.RecordBatch.from_arrays(
@@ -325,7 +338,7 @@ def clean(docs: DataFrame, items: DataFrame, text_col: str = "text", item_id_col
             for batch in batches:
                 for a, b, data, off in tx.slices(batch.column(at)):
                     ok = np.ones(b - a, bool)
-                    ok[[r[0] for r in search(data, off)[1]]] = False
+                    ok[[r[0] for r in search(data, off)]] = False
                     yield batch.slice(a, b - a).filter(pa.array(ok))
 
         docs = docs.mapInArrow(kept, docs.schema)
@@ -333,34 +346,48 @@ def clean(docs: DataFrame, items: DataFrame, text_col: str = "text", item_id_col
 
 
 def _passes(spark, items: DataFrame, item_id_col, question_col, answer_col, limits, shard_items):
-    """A search function per index shard."""
+    """A search function per pass over the documents."""
+    size = F.size("question") + F.size("answer")
+    doublings = F.greatest(F.lit(0), F.ceil(F.log2(size / SPAN))).cast("int")
     words = settle(read_items(items, item_id_col, question_col, answer_col, limits)
-                   .withColumn("size", F.size("question") + F.size("answer")))
-    stat = words.agg(F.count(F.lit(1)).alias("n"), F.avg("size").alias("mean"), F.max("size").alias("longest")).first()
+                   .withColumn("size", size).withColumn("span", (F.lit(SPAN) * F.pow(F.lit(2), doublings)).cast("long")))
+    stat = words.agg(F.count(F.lit(1)).alias("n"), F.avg("size").alias("mean")).first()
     if not stat["n"]:
         return
-    shards = -(-stat["n"] // shard_items)
-    shard = F.pmod(F.xxhash64("item_id", "question", "answer"), F.lit(shards))
     df = (words.select(F.explode(F.array_distinct(F.concat("question", "answer"))).alias("term"))
           .groupBy("term").agg(F.count(F.lit(1)).alias("df")))
-    for k in range(shards):
-        mine = words.where(shard == k)
-        rows = mine.toArrow().to_pylist()
-        if not rows:
-            continue
-        own = mine.select(F.explode(F.array_distinct(F.concat("question", "answer"))).alias("term")).distinct()
-        freq = df.join(own, "term").toArrow()
-        freq = dict(zip(np.array(freq["term"].to_numpy()).view(np.uint64).tolist(), freq["df"].to_pylist()))
-        equal: dict[tuple, list] = defaultdict(list)
-        for r in sorted(rows, key=lambda r: (r["item_id"] is None, r["item_id"] or 0, r["question"], r["answer"])):
-            equal[tuple(r["question"]), tuple(r["answer"])].append(r["item_id"])
-        parsed = [(tuple(numbers), np.array(q, np.int64).view(np.uint64), np.array(a, np.int64).view(np.uint64))
-                  for (q, a), numbers in equal.items()]
-        shared = spark.sparkContext.broadcast(Index(parsed, freq, stat["n"], stat["mean"], max(32, stat["longest"]),
-                                                    limits.min_score))
+    plan: list[list[tuple[int, int, int]]] = []  # shards (span, number of them, which) of each pass
+    held = 0
+    for r in words.groupBy("span").agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("words")).orderBy("span").collect():
+        shards = max(-(-r["n"] // shard_items), -(-r["words"] // SHARD_WORDS))
+        for k in range(shards):
+            if not plan or held + r["words"] // shards > PASS_WORDS:
+                plan.append([])
+                held = 0
+            held += r["words"] // shards
+            plan[-1].append((r["span"], shards, k))
+    for one in plan:
+        indexes = [x for span, shards, k in one if (x := _index(words, df, span, shards, k, stat, limits))]
+        shared = spark.sparkContext.broadcast(indexes)
 
         def run(data, off, shared=shared):
-            index = shared.value
-            return index, _search_slice(index, data, off, limits)
+            return _search_slice(shared.value, data, off, limits)
 
         yield run
+
+
+def _index(words: DataFrame, df: DataFrame, span: int, shards: int, k: int, stat, limits: Limits) -> Index | None:
+    """One shard of the items of a span."""
+    mine = words.where((F.col("span") == span) & (F.pmod(F.xxhash64("item_id", "question", "answer"), F.lit(shards)) == k))
+    rows = mine.select("item_id", "question", "answer").toArrow().to_pylist()
+    if not rows:
+        return None
+    own = mine.select(F.explode(F.array_distinct(F.concat("question", "answer"))).alias("term")).distinct()
+    freq = df.join(own, "term").toArrow()
+    freq = dict(zip(np.array(freq["term"].to_numpy()).view(np.uint64).tolist(), freq["df"].to_pylist()))
+    equal: dict[tuple, list] = defaultdict(list)
+    for r in sorted(rows, key=lambda r: (r["item_id"] is None, r["item_id"] or 0, r["question"], r["answer"])):
+        equal[tuple(r["question"]), tuple(r["answer"])].append(r["item_id"])
+    parsed = [(tuple(numbers), np.array(q, np.int64).view(np.uint64), np.array(a, np.int64).view(np.uint64))
+              for (q, a), numbers in equal.items()]
+    return Index(parsed, freq, stat["n"], stat["mean"], span, limits.min_score)

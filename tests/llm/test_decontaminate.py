@@ -22,15 +22,23 @@ def brute(docs, items, limits=dc.DEFAULT_LIMITS):
         for t in set(w):
             df[t] = df.get(t, 0) + 1
     mean = sum(len(w) for *_, w in parsed) / max(1, len(parsed))
-    span = max(32, max((len(w) for *_, w in parsed), default=0))
+    def span_of(w):
+        span = 32
+        while span < len(w):
+            span *= 2
+        return span
+
     out = set()
     for row, (_, text, *_) in enumerate(docs):
         words = dc.words_of(text)
-        for a in range(0, max(1, len(words)), span):
+        for span, a in ((span, a) for span in {span_of(w) for *_, w in parsed} for a in range(0, max(1, len(words)), span)):
             passage = words[a:a + 2 * span]
             there = set(passage)
             grams = {tuple(passage[i:i + 3]) for i in range(len(passage) - 2)} | {(x,) for x in passage}
             for number, q, ans, w in parsed:
+                if span_of(w) != span:
+                    continue
+
                 def weight(t):
                     tf = w.count(t)
                     idf = math.log(1 + (len(parsed) - df[t] + .5) / (df[t] + .5))
@@ -150,3 +158,25 @@ def test_survivors_in_small_steps_are_the_same(monkeypatch):
     for step in (1, 40, 300):
         monkeypatch.setattr(dc, "EXPANDED", step)
         assert all((x == y).all() for x, y in zip(whole, index.survivors(ids, chunk, new_doc, 0.5)))
+
+
+def test_a_long_item_does_not_change_what_others_find(spark, monkeypatch):
+    """Each item is searched in windows of its own length; shards of several spans and passes give the same."""
+    rnd = random.Random(11)
+    word = lambda: "".join(rnd.choice("abcdefghijk") for _ in range(rnd.randrange(3, 9)))
+    text = lambda n: " ".join(word() for _ in range(n))
+    items = [(i, text(n)) for i, n in enumerate((24, 20, 33, 64, 65, 100))] + [(9, text(400))]
+    docs = [(i, " ".join((text(rnd.randrange(400)), t, text(rnd.randrange(400))))) for i, t in items]
+    # the words of an item strewn over a long stretch: a window as wide as the longest item would hold most of them
+    strewn = " ".join(f"{w} {text(12)}" for w in items[0][1].split())
+    docs += [(50, strewn), (51, text(900)), (52, None), (53, "")]
+    table = lambda rows: spark.createDataFrame(rows, "item_id long, text string")
+    found = lambda rows, **k: {(r.doc_id, r.item_id) for r in dc.search(frame(spark, docs), table(rows), **k).collect()}
+    want = {(i, i) for i, _ in items}
+    assert found(items) == want == {(docs[r][0], i) for r, i in brute(docs, items)}
+    assert found(items[:-1]) == want - {(9, 9)}
+    monkeypatch.setattr(dc, "SHARD_WORDS", 50)
+    monkeypatch.setattr(dc, "PASS_WORDS", 120)
+    assert found(items, shard_items=1) == want
+    left = dc.clean(frame(spark, docs), table(items), shard_items=1)
+    assert {r.doc_id for r in left.collect()} == {50, 51, 52, 53}
