@@ -28,8 +28,7 @@ def benchmark(spark, sf_dir):
 
 
 def op1_sharding(spark, sf_dir):
-    tree = sharding.even_tree(SHARDS)
-    return sharding.assign(documents(spark, sf_dir), tree, sharding.grow(tree))
+    return sharding.assign(documents(spark, sf_dir), sharding.tree_of(SHARDS), sharding.tree_of(SHARDS + 1))
 
 
 def op2_decontamination(spark, sf_dir):

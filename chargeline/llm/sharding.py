@@ -9,7 +9,9 @@ further draw of its region, so rows move only into the new wave, and a changed
 weight moves rows only into or out of the subtree that changed.
 
 Null keys hash as the text ``null``; repeated keys go to the same shard; an
-empty table gives an empty result. Only the named columns are read, so further
+empty table gives an empty result. Of equal draws (52 bits) the candidate that
+comes first in the tree wins. A text's length does not matter to the work but
+for its checksum. Only the named columns are read, so further
 columns (also ones called ``shard`` or ``slot``) do no harm.
 """
 
@@ -52,6 +54,18 @@ def grow(tree: list[Shard], region: int = 0, rack: int = 0, weight: float = 1.0)
     return [*tree, Shard(1 + max(s.shard for s in tree), region, rack, weight, 1 + max(s.wave for s in tree))]
 
 
+def tree_of(shards: int, base: int = 32, regions: int = 4, racks: int = 2) -> list[Shard]:
+    """The one tree of so many shards: an even one of ``base``, and a wave for each shard beyond, dealt in turn.
+
+    So key and number of shards alone decide a row's shard; from ``base`` shards
+    on, one more takes rows only into itself.
+    """
+    tree = even_tree(min(shards, base), regions, racks)
+    for s in range(base, shards):
+        tree = grow(tree, s % regions, s // regions % racks)
+    return tree
+
+
 def _levels(tree: list[Shard]) -> tuple[dict, list[dict]]:
     """Weight of every node, and per level the children of every parent."""
     weight: dict[str, float] = defaultdict(float)

@@ -1,6 +1,10 @@
 import collections
+import hashlib
+import math
 import zlib
 
+from pyspark.sql import functions as F
+
 from chargeline.llm import sharding
 from tests.llm.conftest import frame
 
@@ -67,3 +71,39 @@ def test_written_shards(spark, tmp_path, small_docs):
     tree = sharding.even_tree(4)
     sharding.write_shards(frame(spark, small_docs), str(tmp_path / "out"), tree)
     assert spark.read.parquet(str(tmp_path / "out")).count() == len(small_docs)
+
+
+def placed(key, tree):
+    """The shard of a key, level by level, by hand."""
+    def draw(node, weight):
+        bits = int(hashlib.md5(f"{key}|{node}".encode()).hexdigest()[:13], 16)
+        return -math.log((bits + 0.5) / (1 << 52)) / weight
+
+    left = tree
+    for level in range(3):
+        nodes = {}
+        for s in left:
+            nodes[s.path()[level]] = nodes.get(s.path()[level], 0) + s.weight
+        best = min(nodes, key=lambda n: draw(n, nodes[n]))
+        left = [s for s in left if s.path()[level] == best]
+    return left[0].shard
+
+
+def test_placement_matches_brute_force(spark):
+    tree = sharding.tree_of(41)
+    rows = spark.createDataFrame([(i,) for i in [*range(800), None, -5]], "k long")
+    got = rows.select("k", sharding.shard_of(rows.k, tree).alias("s")).collect()
+    assert [r.s for r in got] == [placed("null" if r.k is None else r.k, tree) for r in got]
+
+
+def test_one_tree_for_each_number_of_shards(spark):
+    assert sharding.tree_of(41) == sharding.grow(sharding.tree_of(40), 0, 0)
+    assert [s.shard for s in sharding.tree_of(7)] == list(range(7))
+    counts = (32, 33, 39, 40, 41, 42)
+    df = spark.range(3000).select(*[sharding.shard_of(F.col("id"), sharding.tree_of(n)).alias(f"n{n}") for n in counts])
+    rows = df.collect()
+    for a, b in zip(counts, counts[1:]):
+        moved = {r[f"n{b}"] for r in rows if r[f"n{a}"] != r[f"n{b}"]}
+        assert moved <= set(range(a, b)) and moved
+    load = collections.Counter(r.n42 for r in rows)
+    assert len(load) == 42 and max(load.values()) < 2.2 * 3000 / 42
