@@ -15,21 +15,22 @@ def settle(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """Write as Parquet to the shared checkpoint folder and read it back."""
+def stored(df: DataFrame, name: str, by: str | None = None) -> DataFrame:
+    """Write as Parquet to the shared checkpoint folder, in folders by a column if given, and read it back."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.option("compression", "zstd").parquet(path)
+    writer = df.write.option("compression", "zstd")
+    (writer.partitionBy(by) if by else writer).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
 def release(*frames: DataFrame) -> None:
-    """Delete what ``stored`` wrote for frames that are no longer read."""
+    """Delete the files that ``stored`` wrote for frames that are no longer read (of a condition on ``by``: its folders)."""
     for df in frames:
         spark = df.sparkSession
         root = checkpoint_root(spark)
         path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
-        for folder in {f.rpartition("/")[0] for f in df.inputFiles()}:
+        for folder in {r.f.rpartition("/")[0] for r in df.select(F.input_file_name().alias("f")).distinct().collect() if r.f}:
             at = path(folder)
             if at.toUri().getPath().startswith(path(root).toUri().getPath() + "/"):
                 at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)

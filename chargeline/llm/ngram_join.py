@@ -10,11 +10,13 @@ of 0.8 or more; a group is a connected component of links. The result is exact.
   of the prefixes.
 * The order is cut into *fragments*, contiguous pieces of about as many
   occurrences each. Every set is cut along it, and its pieces meet by fragment.
-* Within a fragment, every n-gram names ``HUBS`` of its nodes as hubs, by hash,
-  so near copies of a text name the same few; shared n-grams of each node with
-  its hubs are counted. Partial counts, summed per pair over all fragments, are
-  at least a lower bound of the overlap: a pair that reaches the similarity is
-  a link. This joins most near copies at a few counts each, and rejects nothing.
+* Candidates first are each node and the *leader* of its bucket: nodes whose sets
+  have the same least n-gram by a hash share a bucket, near copies nearly always.
+  The one with the fewest rare n-grams leads, which of near copies is the least
+  edited; other ways to hash choose others. Within a fragment the n-grams that a
+  node shares with its leader are counted, for ``HUBS`` ways to hash, and the
+  partial counts are summed per pair over all fragments. This joins most near
+  copies at a few counts each.
 * Linked sets share an n-gram of their prefixes (the first n - ceil(0.8 n) + 1
   in the order). Pairs of nodes that do, that the links so far do not connect,
   and that pass filters on sizes and places, are counted in full: their sets are
@@ -30,11 +32,11 @@ Ties cannot occur: a group's name is its smallest id.
 
 from __future__ import annotations
 
-import zlib
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -47,11 +49,11 @@ FREQUENT = 500_000
 #: N-grams of fewer documents than this are never moved.
 FREQUENT_FROM = 8
 #: N-grams gathered by a task before it sends its blocks.
-GATHER = 1_500_000
+GATHER = 1_000_000
 #: Occurrences of n-grams in a fragment of the order.
 FRAGMENT = 2_500_000
-#: Hubs that an n-gram names.
-HUBS = 2
+#: Ways to hash nodes into buckets, each with its leaders.
+HUBS = 3
 #: Bits of the bitmap of documents whose n-grams are wanted: 32 for each, 2^31 (256 MB) at most.
 MARKS = 1 << 31
 #: Pieces of the order in which the overlaps of the remaining pairs are counted.
@@ -110,31 +112,31 @@ def signatures(h: np.ndarray, at: np.ndarray) -> np.ndarray:
     return tx.mix(total[at[1:]] - total[at[:-1]] + size).view(np.int64)
 
 
-def _pack(values: np.ndarray) -> bytes:
-    """Ascending 64-bit numbers as compressed differences."""
-    return zlib.compress(np.diff(values, prepend=np.uint64(0)).tobytes(), 1)
+def _squeezed(*arrays: np.ndarray) -> bytes:
+    """Arrays of whole numbers, compressed by byte planes: the high bytes of small numbers take no room."""
+    planes = [np.ascontiguousarray(a.view(np.uint8).reshape(a.size, a.itemsize).T).tobytes() for a in arrays]
+    return zstandard.ZstdCompressor(level=1).compress(b"".join(planes))
 
 
-def _frag_of(h: np.ndarray, fragments: int) -> np.ndarray:
-    return ((h >> np.uint64(32)) * np.uint64(fragments)) >> np.uint64(32)
+def _unsqueezed(raw: bytes, *kinds) -> list[np.ndarray]:
+    """The arrays of ``_squeezed``, for (type, length) of each, or as one if a type alone is given."""
+    data = np.frombuffer(zstandard.ZstdDecompressor().decompress(raw), np.uint8)
+    out, at = [], 0
+    for kind in kinds:
+        kind, m = kind if isinstance(kind, tuple) else (kind, len(data) // np.dtype(kind).itemsize)
+        width = np.dtype(kind).itemsize
+        out.append(np.ascontiguousarray(data[at:at + m * width].reshape(width, m).T).view(kind).reshape(m))
+        at += m * width
+    return out
 
 
-def _bits_cut(top: np.ndarray, parts: int) -> np.ndarray:
-    """Which of ``parts`` equal ranges of 32-bit numbers each number lies in."""
-    return (top.astype(np.uint64) * np.uint64(parts)) >> np.uint64(32)
+def _pack(values: np.ndarray) -> bytes:
+    """Ascending 64-bit numbers as compressed differences."""
+    return _squeezed(np.diff(values, prepend=np.uint64(0)))
 
 
-def _nodes(docs: DataFrame, k: int) -> DataFrame:
-    """doc_id, text_key, node and n (set size) of every document."""
-    def run(batches):
-        for batch in batches:
-            for a, b, data, off in tx.slices(batch.column(2)):
-                h, at = sets_of(data, off, k)
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(a, b - a), batch.column(1).slice(a, b - a), pa.array(signatures(h, at)),
-                     pa.array(np.diff(at).astype(np.int64))], names=["doc_id", "text_key", "node", "n"])
-
-    return docs.select("doc_id", "text_key", "text").mapInArrow(run, "doc_id long, text_key long, node long, n long")
+def _frag_of(h: np.ndarray, fragments: int) -> np.ndarray:
+    return ((h >> np.uint64(32)) * np.uint64(fragments)) >> np.uint64(32)
 
 
 class _Fresh:
@@ -157,9 +159,20 @@ class _Fresh:
 # ------------------------------------------------------------------ the global order
 
 
-def _counted_grams(docs: DataFrame, parts: int, k: int) -> DataFrame:
-    """Blocks (part, block) of the upper 32 bits of all n-grams."""
+_GATHERED = "doc_id long, text_key long, node long, n long, part int, block binary, kind int"
+
+
+def _gathered(docs: DataFrame, parts: int, k: int) -> DataFrame:
+    """Kind 0: doc_id, text_key, node and n (set size) of every document. Kind 1: blocks (part, block) of the upper
+    32 bits of all n-grams."""
     bounds = np.array([-(-f * (1 << 32) // parts) for f in range(parts + 1)], np.uint64)
+    names = [x.split()[0] for x in _GATHERED.split(", ")]
+    kinds = [pa.int64()] * 4 + [pa.int32(), pa.binary(), pa.int32()]
+
+    def batch_of(kind, m, **columns):
+        return pa.RecordBatch.from_arrays(
+            [pa.array(np.full(m, kind, np.int32)) if x == "kind" else columns.get(x, pa.nulls(m, t))
+             for x, t in zip(names, kinds)], names=names)
 
     def run(batches):
         held: list[np.ndarray] = []
@@ -169,22 +182,24 @@ def _counted_grams(docs: DataFrame, parts: int, k: int) -> DataFrame:
             top = np.sort(np.concatenate(held))
             held.clear()
             cut = np.searchsorted(top, bounds)
-            rows = [(f, zlib.compress(np.diff(top[cut[f]:cut[f + 1]], prepend=np.uint32(0)).tobytes(), 1))
+            rows = [(f, _squeezed(np.diff(top[cut[f]:cut[f + 1]], prepend=np.uint32(0))))
                     for f in range(parts) if cut[f] < cut[f + 1]]
-            return pa.RecordBatch.from_arrays([pa.array([f for f, _ in rows], pa.int32()),
-                                               pa.array([b for _, b in rows], pa.binary())], names=["part", "block"])
+            return batch_of(1, len(rows), part=pa.array([f for f, _ in rows], pa.int32()),
+                            block=pa.array([b for _, b in rows], pa.binary()))
 
         for batch in batches:
-            for _, _, data, off in tx.slices(batch.column(0)):
+            for a, b, data, off in tx.slices(batch.column(2)):
                 h, at = sets_of(data, off, k)
-                n = np.diff(at).astype(np.int64)
-                held.append((h[np.repeat(fresh(signatures(h, at), n), n)] >> np.uint64(32)).astype(np.uint32))
+                node, n = signatures(h, at), np.diff(at).astype(np.int64)
+                yield batch_of(0, b - a, doc_id=batch.column(0).slice(a, b - a), text_key=batch.column(1).slice(a, b - a),
+                               node=pa.array(node), n=pa.array(n))
+                held.append((h[np.repeat(fresh(node, n), n)] >> np.uint64(32)).astype(np.uint32))
                 if sum(map(len, held)) >= 2 * GATHER:
                     yield blocks()
         if held:
             yield blocks()
 
-    return docs.select("text").mapInArrow(run, "part int, block binary")
+    return docs.select("doc_id", "text_key", "text").mapInArrow(run, _GATHERED)
 
 
 def _frequent(blocks: DataFrame, least: int) -> DataFrame:
@@ -203,7 +218,7 @@ def _frequent(blocks: DataFrame, least: int) -> DataFrame:
                     yield counted(held)
                     held = []
                 part = f
-                held.append(np.cumsum(np.frombuffer(zlib.decompress(b), np.uint32), dtype=np.uint32))
+                held.append(np.cumsum(_unsqueezed(b, np.uint32)[0], dtype=np.uint32))
         if held:
             yield counted(held)
 
@@ -241,8 +256,22 @@ class Order:
         return self.first[classes] + (((h >> np.uint64(32)) * own) >> np.uint64(32)).astype(np.int64)
 
 
+_SALTS = [int(x) for x in tx.mix(np.arange(11, 19, dtype=np.uint64))]
+
+
+def buckets(h: np.ndarray, at: np.ndarray, hubs: int = HUBS) -> np.ndarray:
+    """For each set the least n-gram by so many hashes (0 for an empty set)."""
+    out = np.zeros((hubs, len(at) - 1), np.uint64)
+    full = np.flatnonzero(np.diff(at))
+    for i, salt in enumerate(_SALTS[:hubs]):
+        if len(full):
+            out[i, full] = np.minimum.reduceat(tx.mix(h ^ np.uint64(salt)), at[:-1][full])
+    return out
+
+
 def _segments(docs: DataFrame, order, k: int, limit: Threshold) -> DataFrame:
-    """Blocks (frag, block): the parts of every set in each fragment, and the places of those in the prefix."""
+    """Blocks (frag, occurrences, sets, block): the parts of every set in each fragment, and the places of those in
+    the prefix."""
     def run(batches):
         held: list[tuple[np.ndarray, ...]] = []
         size = nodes = 0
@@ -251,6 +280,8 @@ def _segments(docs: DataFrame, order, k: int, limit: Threshold) -> DataFrame:
         def blocks():
             h, frag, which, place = (np.concatenate([x[c] for x in held]) for c in range(4))
             node, n = (np.concatenate([x[c] for x in held]) for c in (4, 5))
+            bucket = np.concatenate([x[6] for x in held], axis=1)
+            rare = np.concatenate([x[7] for x in held])
             held.clear()
             by = np.lexsort((h, frag))
             h, frag, which, place = h[by], frag[by], which[by], place[by]
@@ -259,18 +290,18 @@ def _segments(docs: DataFrame, order, k: int, limit: Threshold) -> DataFrame:
             rows = []
             for f, a, b in zip(names.tolist(), cut[:-1], cut[1:]):
                 own, local = np.unique(which[a:b], return_inverse=True)
-                rows.append((f, zlib.compress(b"".join((
-                    np.array([b - a, len(own)], np.int64).tobytes(), np.diff(h[a:b], prepend=np.uint64(0)).tobytes(),
-                    node[own].tobytes(), n[own].astype(np.int32).tobytes(),
-                    local.astype(np.int32).tobytes(), place[a:b].tobytes())), 1)))
-            return pa.RecordBatch.from_arrays([pa.array([f for f, _ in rows], pa.int32()),
-                                               pa.array([b for _, b in rows], pa.binary())], names=["frag", "block"])
+                rows.append((f, b - a, len(own), _squeezed(
+                    np.diff(h[a:b], prepend=np.uint64(0)), node[own], n[own].astype(np.int32),
+                    np.ascontiguousarray(bucket[:, own]).ravel(), rare[own], local.astype(np.int32), place[a:b])))
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(
+                zip(*rows), (pa.int32(), pa.int64(), pa.int64(), pa.binary()))], names=["frag", "m", "own", "block"])
 
         for batch in batches:
             for _, _, data, off in tx.slices(batch.column(0)):
                 h, at = sets_of(data, off, k)
                 node, n = signatures(h, at), np.diff(at).astype(np.int64)
                 fresh = new(node, n)
+                bucket = buckets(h, at)
                 doc = np.repeat(np.arange(len(n)), n)
                 ok = fresh[doc]
                 h, doc = h[ok], doc[ok]
@@ -280,7 +311,8 @@ def _segments(docs: DataFrame, order, k: int, limit: Threshold) -> DataFrame:
                 first = np.searchsorted(doc, np.arange(len(n)))
                 place = (np.arange(len(doc)) - first[doc]).astype(np.int32)
                 place[place >= limit.prefix(n[doc])] = -1
-                held.append((h, order.value.fragment(cls, h), doc + nodes, place, node, n))
+                rare = np.bincount(doc[cls == 0], minlength=len(n)).astype(np.int32)
+                held.append((h, order.value.fragment(cls, h), doc + nodes, place, node, n, bucket, rare))
                 size += len(h)
                 nodes += len(n)
                 if size >= GATHER:
@@ -289,74 +321,87 @@ def _segments(docs: DataFrame, order, k: int, limit: Threshold) -> DataFrame:
         if size:
             yield blocks()
 
-    return docs.select("text").mapInArrow(run, "frag int, block binary")
-
-
-def _opened(blocks: list[bytes]) -> tuple[np.ndarray, ...]:
-    """n-gram, node, size and place (-1: not in the prefix) of a fragment's occurrences, by n-gram and node, each once."""
-    columns: list[list[np.ndarray]] = [[], [], [], []]
-    for b in blocks:
-        raw = zlib.decompress(b)
-        m, own = np.frombuffer(raw, np.int64, 2)
-        at, take = 16, []
-        for kind, count in ((np.uint64, m), (np.int64, own), (np.int32, own), (np.int32, m), (np.int32, m)):
-            take.append(np.frombuffer(raw, kind, count, at))
-            at += take[-1].nbytes
-        d, node, n, local, place = take
-        for c, v in zip(columns, (np.cumsum(d, dtype=np.uint64), node[local], n[local], place)):
+    return docs.select("text").mapInArrow(run, "frag int, m long, own long, block binary")
+
+
+def _opened(blocks: list[tuple[int, int, bytes]]):
+    """Of a fragment's occurrences, by n-gram and node, each once: n-gram, node's number, place (-1: not in the prefix);
+    and of the numbered nodes: node, size, rare n-grams and buckets."""
+    columns: list[list[np.ndarray]] = [[], [], [], [], [], [], []]
+    nodes = 0
+    for m, own, raw in blocks:
+        d, node, n, bucket, rare, local, place = _unsqueezed(
+            raw, (np.uint64, m), (np.int64, own), (np.int32, own), (np.uint64, HUBS * own), (np.int32, own), (np.int32, m),
+            (np.int32, m))
+        for c, v in zip(columns, (np.cumsum(d, dtype=np.uint64), local + nodes, place, node, n, rare, bucket.reshape(HUBS, -1))):
             c.append(v)
-    h, node, n, place = (np.concatenate(c) for c in columns)
-    by = np.lexsort((node, h))
-    h, node, n, place = h[by], node[by], n[by], place[by]
-    new = np.ones(len(h), bool)
-    new[1:] = (h[1:] != h[:-1]) | (node[1:] != node[:-1])
-    return h[new], node[new], n[new], place[new]
+        nodes += own
+    h, which, place, node, n, rare = (np.concatenate(c) for c in columns[:6])
+    bucket = np.concatenate(columns[6], axis=1)
+    # a set may come from several tasks
+    node, first, number = np.unique(node, return_index=True, return_inverse=True)
+    which = number[which]
+    by = np.argsort(h, kind="stable")
+    h, which, place = h[by], which[by], place[by]
+    if len(first) < nodes:
+        by = np.lexsort((which, h))
+        h, which, place = h[by], which[by], place[by]
+        new = np.ones(len(h), bool)
+        new[1:] = (h[1:] != h[:-1]) | (which[1:] != which[:-1])
+        h, which, place = h[new], which[new], place[new]
+    return h, which, place, node, n[first], rare[first], bucket[:, first]
 
 
-_SALTS = [int(x) for x in tx.mix(np.arange(11, 19, dtype=np.uint64))]
 _FOUND = "kind int, gram long, a long, a_n int, b long, b_n int, c int"
 
 
-def _in_fragment(h, node, n, place, limit: Threshold, hubs: int):
-    """Counts (kind 0: hub, its size, node, its size, shared n-grams) and prefix n-grams that nodes share
+def _in_fragment(h, which, place, node, n, rare, bucket, limit: Threshold):
+    """Counts (kind 0: leader, its size, node, its size, shared n-grams) and prefix n-grams that nodes share
     (kind 1: n-gram, node, its size, place) of one fragment."""
-    names, which, segment = np.unique(node, return_inverse=True, return_counts=True)
-    g = np.cumsum(np.r_[True, h[1:] != h[:-1]]) - 1
-    many = np.bincount(g)[g] > 1
-    h, node, n, place, which = h[many], node[many], n[many], place[many], which[many]
+    segment = np.bincount(which, minlength=len(node))
+    edge = np.r_[True, h[1:] != h[:-1]]
+    many = ~(edge & np.r_[edge[1:], True])  # n-grams of two nodes at least
+    h, which, place = h[many], which[many], place[many]
     if not len(h):
         return
-    g = np.cumsum(np.r_[True, h[1:] != h[:-1]]) - 1
-    start = np.flatnonzero(np.r_[True, g[1:] != g[:-1]])
-    chosen: list[np.ndarray] = []
     pairs = []
-    for salt in _SALTS[:hubs]:
-        rank = tx.mix(node.view(np.uint64) ^ np.uint64(salt))
-        is_hub = np.flatnonzero(rank == np.minimum.reduceat(rank, start)[g])
-        hub = np.zeros(len(start), np.int64)
-        hub[g[is_hub]] = is_hub  # the row of each n-gram's hub
-        far = np.ones(len(start), bool)
-        for other in chosen:
-            far &= node[hub] != node[other]
-        chosen.append(hub)
-        near = hub[g]
-        low, high = np.minimum(n, n[near]), np.maximum(n, n[near])
-        ok = np.flatnonzero(far[g] & (node != node[near]) & (low.astype(np.int64) * limit.den >= high.astype(np.int64) * limit.num))
-        pairs.append(which[near[ok]].astype(np.int64) * len(names) + which[ok])
-    key, c = np.unique(np.concatenate(pairs), return_counts=True)
-    a, b = key // len(names), key % len(names)
-    size = np.zeros(len(names), np.int32)
-    size[which] = n
-    # a pair that shares little here hardly links, and its counts elsewhere still bound it from below
+    for i, (salt, own) in enumerate(zip(_SALTS, bucket)):
+        # the rows of an n-gram and a bucket together; the first of its nodes leads, in every n-gram that it has
+        key = tx.mix(h ^ own[which])
+        by = np.argsort(key)
+        key = key[by]
+        start = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
+        size = np.diff(np.r_[start, len(key)])
+        edited = rare // (1, 8, 1 << 30)[min(i, 2)]  # the least edited; one of them; any
+        first = np.lexsort((tx.mix(node.view(np.uint64) ^ np.uint64(salt)), edited))
+        rank = np.empty(len(node), np.int64)
+        rank[first] = np.arange(len(node))
+        lead = np.minimum.reduceat(rank[which[by]], start)
+        leader, member = first[np.repeat(lead, size)], which[by]
+        low, high = np.minimum(n[leader], n[member]).astype(np.int64), np.maximum(n[leader], n[member]).astype(np.int64)
+        ok = (leader != member) & (low * limit.den >= high * limit.num)
+        found, c = np.unique(leader[ok] * len(node) + member[ok], return_counts=True)
+        pairs.append((found, c))
+    # a pair that several ways to hash give is counted by each; the largest count holds all that the others have
+    key, c = (np.concatenate(x) for x in zip(*pairs))
+    by = np.lexsort((-c, key))
+    key, c = key[by], c[by]
+    new = np.r_[True, key[1:] != key[:-1]] if len(key) else np.zeros(0, bool)
+    a, b, c = key[new] // len(node), key[new] % len(node), c[new]
+    # a pair that shares little of its pieces here hardly links
     keep = 2 * c >= np.minimum(segment[a], segment[b])
     a, b, c = a[keep], b[keep], c[keep]
     if len(c):
-        yield _found_batch(0, np.zeros(len(c), np.int64), names[a], size[a], names[b], size[b], c)
-    front = place >= 0
-    shared = np.flatnonzero(front & (np.bincount(g, front)[g] > 1))
-    if len(shared):
+        yield _found_batch(0, np.zeros(len(c), np.int64), node[a], n[a], node[b], n[b], c)
+    front = np.flatnonzero(place >= 0)
+    h, which, place = h[front], which[front], place[front]
+    if len(h):
+        edge = np.r_[True, h[1:] != h[:-1]]
+        shared = np.flatnonzero(~(edge & np.r_[edge[1:], True]))
         zero = np.zeros(len(shared), np.int32)
-        yield _found_batch(1, h[shared].view(np.int64), zero.astype(np.int64), zero, node[shared], n[shared], place[shared])
+        if len(shared):
+            own = which[shared]
+            yield _found_batch(1, h[shared].view(np.int64), zero.astype(np.int64), zero, node[own], n[own], place[shared])
 
 
 def _found_batch(kind, gram, a, a_n, b, b_n, c):
@@ -365,19 +410,19 @@ def _found_batch(kind, gram, a, a_n, b, b_n, c):
          pa.array(b_n.astype(np.int32)), pa.array(c.astype(np.int32))], names=[x.split()[0] for x in _FOUND.split(", ")])
 
 
-def _by_fragment(segments: DataFrame, limit: Threshold, hubs: int = HUBS) -> DataFrame:
+def _by_fragment(segments: DataFrame, limit: Threshold) -> DataFrame:
     """What ``_in_fragment`` finds; a task finishes one fragment before it takes the next."""
     def run(batches):
         frag, held = None, []
         for batch in batches:
-            for f, b in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            for f, *block in zip(*(c.to_pylist() for c in batch.columns)):
                 if f != frag and held:
-                    yield from _in_fragment(*_opened(held), limit, hubs)
+                    yield from _in_fragment(*_opened(held), limit)
                     held = []
                 frag = f
-                held.append(b)
+                held.append(block)
         if held:
-            yield from _in_fragment(*_opened(held), limit, hubs)
+            yield from _in_fragment(*_opened(held), limit)
 
     return segments.repartition("frag").sortWithinPartitions("frag").mapInArrow(run, _FOUND)
 
@@ -425,7 +470,7 @@ def _sets(docs: DataFrame, rows: DataFrame, wanted: DataFrame, order, k: int, pi
 
 
 def _unpack(b: bytes) -> np.ndarray:
-    return np.cumsum(np.frombuffer(zlib.decompress(b), np.uint64), dtype=np.uint64)
+    return np.cumsum(_unsqueezed(b, np.uint64)[0], dtype=np.uint64)
 
 
 def _overlaps(one: np.ndarray, others: np.ndarray, owner: np.ndarray, n_others: int) -> np.ndarray:
@@ -588,14 +633,16 @@ def groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int
     parts = 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     docs = df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"),
                      F.xxhash64(text_col).alias("text_key"))
-    rows = stored(_nodes(docs, k), "nodes")
-    top = (_frequent(_counted_grams(docs, parts, k), FREQUENT_FROM)
+    gathered = stored(_gathered(docs, parts, k), "gathered", by="kind")
+    rows = gathered.where("kind = 0").select("doc_id", "text_key", "node", "n")
+    top = (_frequent(gathered.where("kind = 1").select("part", "block"), FREQUENT_FROM)
            .orderBy(F.desc("df"), "top").limit(FREQUENT).toArrow())
+    release(gathered.where("kind = 1"))
     occurrences = rows.agg(F.sum("n")).first()[0] or 0
     order = spark.sparkContext.broadcast(Order(
         top["top"].to_numpy(), top["df"].to_numpy(), occurrences, min(FRAGMENT, max(1, occurrences // parts))))
 
-    # lower bounds of overlaps with hubs, and the prefix n-grams that nodes share
+    # overlaps with leaders, and the prefix n-grams that nodes share
     found = stored(_by_fragment(_segments(docs, order, k, limit), limit), "fragments")
     links = settle(found.where("kind = 0").groupBy("a", "a_n", "b", "b_n").agg(F.sum("c").alias("shared"))
                    .where(limit.links(F.col("shared"), F.col("a_n"), F.col("b_n"))).select("a", "b"))
