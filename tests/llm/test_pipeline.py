@@ -1,7 +1,10 @@
+import collections
+
 import corpus_pipeline
 
 
 from chargeline.llm.queries import QUERIES, benchmark
+from tests.llm.conftest import frame
 from tests.llm.test_decontaminate import brute as leaks
 from tests.llm.test_ngram_join import brute as near
 from tests.llm.test_packing import ids_of
@@ -56,8 +59,34 @@ def test_every_operator_is_registered(spark):
     assert set(QUERIES) <= set(names)
 
 
-def test_toxic_or_clean_documents_are_not_lost_by_later_stages(spark):
+def test_empty_table_through_all_stages(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet").limit(0)
     for name, stage in corpus_pipeline.STAGES:
         docs = stage(spark, docs, SF)
         assert docs.count() == 0
+
+
+def test_stages_on_odd_rows(spark, edge_docs):
+    """Null, empty, very long, tied and repeated rows, rows without an id, and columns of clashing names."""
+    more = ", component_id int, kept string, n_words int, found string"
+    df = frame(spark, edge_docs, more, (1, "x", 2, "y"))
+    count = lambda rows: collections.Counter((r.doc_id, r.text) for r in rows)
+    given = count(df.collect())
+    good = corpus_pipeline.quality_rules(spark, df, SF)
+    assert good.schema == df.schema
+    assert count(good.collect()) == {(i, t): n for (i, t), n in given.items() if quality(t)[-1]}
+    one = corpus_pipeline.near_duplicates(spark, df, SF)
+    assert one.schema == df.schema
+    keep = {(i, n) for i, n, c in near(edge_docs) if i is None or i == c}
+    assert {i for i, _ in count(one.collect())} == {i for i, _ in keep}
+    clean = corpus_pipeline.decontamination(spark, df, SF)
+    assert clean.schema == df.schema
+    items = [(r.item_id, r.text) for r in benchmark(spark, SF).collect()]
+    bad = {k for k, _ in leaks(edge_docs, items)}
+    assert count(clean.collect()) == collections.Counter((d[0], d[1]) for k, d in enumerate(edge_docs) if k not in bad)
+    safe = corpus_pipeline.personal_data(spark, df, SF)
+    assert safe.schema.names == df.schema.names and safe.count() == len(edge_docs)
+    assert all(r.n_chars == (None if r.text is None else len(r.text)) for r in safe.collect())
+    pieces = corpus_pipeline.packed(spark, df, SF).collect()
+    assert {r.doc_id for r in pieces} == {d[0] for d in edge_docs}
+    assert sum(r.length for r in pieces) == sum(len(x) + 1 for x in ids_of([d[1] for d in edge_docs]))
