@@ -10,12 +10,16 @@ filter by length (``end_byte - first_byte``); ``DEFAULT_CHUNKING`` leaves out ru
 under ``min_run_bytes``, mostly lines and phrases that ordinary texts share.
 
 Counting goes through map-side aggregates per digest, so a chunk held by a
-third of all documents is no large group; marking joins the digests found in
-two documents or more back to the places.
+third of all documents is no large group. Marking joins the digests found in
+two documents or more back to the places; those with more than one in
+``HOT_SHARE`` of these places, so that many at most, are broadcast, and their
+places are spread over all tasks.
 
 Null and empty texts have no chunks. Rows that share a doc_id count as one
-document (their copies of each other are not reported). A null doc_id sorts
-before all others.
+document (their copies of each other are not reported). A row without an id is a
+document of its own, before all others; ``remove`` leaves such rows alone. Very
+long texts are chunked whole, by one task. Of equal chunks in one text the first
+is kept.
 """
 
 from __future__ import annotations
@@ -30,6 +34,7 @@ from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from chargeline.llm import text as tx
+from chargeline.llm.frames import stored
 
 GEAR32 = (tx.GEAR >> np.uint64(32)).astype(np.uint32)
 
@@ -47,6 +52,12 @@ class Chunking:
 DEFAULT_CHUNKING = Chunking()
 EVERY_RUN = Chunking(min_run_bytes=1)
 WINDOW = 16
+#: Digests of fewer places than this are never broadcast.
+HOT_FROM = 1000
+#: A digest with more than one in so many of the shared places is joined by broadcast.
+HOT_SHARE = 2000
+#: Rows without an id are numbered from here on; ids lie above the next bound.
+_NO_ID, _IDS = -(1 << 63), -(1 << 63) + (1 << 61)
 #: Bytes inside a character: no chunk begins with one.
 _CONTINUES = np.zeros(256, bool)
 _CONTINUES[0x80:0xC0] = True
@@ -94,7 +105,7 @@ def digests(data: np.ndarray, s: np.ndarray, e: np.ndarray) -> tuple[np.ndarray,
     return tx.span_hashes(data, s, e), tx.span_hashes(_OTHER[data], s, e)
 
 
-CHUNK = "doc_id long, start long, length int, h1 long, h2 long, again boolean"
+CHUNK = "doc long, start long, length int, h1 long, h2 long, again boolean"
 
 
 def places(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -113,38 +124,46 @@ def places(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 yield pa.RecordBatch.from_arrays(
                     [ids.slice(a, b - a).take(pa.array(d)), pa.array(s - off[d]), pa.array((e - s).astype(np.int32)),
                      pa.array(h1.view(np.int64)), pa.array(h2.view(np.int64)), pa.array(again)],
-                    names=["doc_id", "start", "length", "h1", "h2", "again"])
+                    names=["doc", "start", "length", "h1", "h2", "again"])
 
-    return df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(run, CHUNK)
+    doc = F.coalesce(F.col(id_col).cast("long"), F.lit(_NO_ID) + F.monotonically_increasing_id())
+    return df.select(doc.alias("doc"), F.col(text_col).alias("text")).mapInArrow(run, CHUNK)
 
 
 def duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                how: Chunking = DEFAULT_CHUNKING) -> DataFrame:
     """doc_id, first and end byte, chunks and keeping document of every run of duplicate chunks."""
-    lowest = F.lit(-(1 << 63))
-    rows = places(df, id_col, text_col, how)
-    known = rows.withColumn("doc", F.coalesce("doc_id", lowest))
-    shared = (known.groupBy("h1", "h2").agg(F.min("doc").alias("kept"), F.max("doc").alias("_last"),
-                                            F.max("again").alias("_again"))
-              .where((F.col("kept") < F.col("_last")) | F.col("_again")).select("h1", "h2", "kept"))
-    marked = (known.join(shared, ["h1", "h2"]).where((F.col("doc") > F.col("kept")) | F.col("again"))
-              .select("doc_id", "doc", "start", "length", "kept"))
+    known = places(df, id_col, text_col, how)
+    shared = stored(known.groupBy("h1", "h2").agg(F.min("doc").alias("kept"), F.max("doc").alias("_last"),
+                                                  F.max("again").alias("_again"), F.count(F.lit(1)).alias("n"))
+                    .where((F.col("kept") < F.col("_last")) | F.col("_again")).select("h1", "h2", "kept", "n"), "shared")
+    often = (shared.agg(F.sum("n")).first()[0] or 0) // HOT_SHARE
+    hot = F.broadcast(shared.where(F.col("n") > often).where(f"n > {HOT_FROM}")  # HOT_SHARE rows at most
+                      .select("h1", "h2", F.col("kept").alias("_hot")))
+    rest = shared.where((F.col("n") <= often) | (F.col("n") <= HOT_FROM)).select(
+        F.col("h1").alias("_h1"), F.col("h2").alias("_h2"), "kept")
+    told = (known.join(hot, ["h1", "h2"], "left")
+            .withColumn("_key", F.when(F.col("_hot").isNull(), F.col("h1")).otherwise(F.xxhash64("doc", "start"))))
+    marked = (told.join(rest, (F.col("_key") == F.col("_h1")) & (F.col("h2") == F.col("_h2")), "left")
+              .withColumn("kept", F.coalesce("_hot", "kept"))
+              .where("kept is not null and (doc > kept or again)")
+              .select("doc", "start", "length", "kept"))
     by_doc = Window.partitionBy("doc").orderBy("start")
     runs = (marked.withColumn("_new", (F.col("start") > F.coalesce(
                 F.lag(F.col("start") + F.col("length")).over(by_doc), F.lit(-1))).cast("int"))
             .withColumn("_run", F.sum("_new").over(by_doc.rowsBetween(Window.unboundedPreceding, 0))))
-    return (runs.groupBy("doc_id", "_run")
+    return (runs.groupBy("doc", "_run")
             .agg(F.min("start").alias("first_byte"), F.max(F.col("start") + F.col("length")).alias("end_byte"),
                  F.count(F.lit(1)).alias("n_chunks"), F.min("kept").alias("kept"))
             .where(F.col("end_byte") - F.col("first_byte") >= how.min_run_bytes)
-            .select("doc_id", "first_byte", "end_byte", "n_chunks",
-                    F.nullif("kept", lowest).alias("kept_doc_id")))
+            .select(F.when(F.col("doc") >= _IDS, F.col("doc")).alias("doc_id"), "first_byte", "end_byte", "n_chunks",
+                    F.when(F.col("kept") >= _IDS, F.col("kept")).alias("kept_doc_id")))
 
 
 def remove(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
            how: Chunking = DEFAULT_CHUNKING) -> DataFrame:
     """The rows with the reported runs cut out of their texts."""
-    cuts = (duplicates(df, id_col, text_col, how).groupBy("doc_id")
+    cuts = (duplicates(df, id_col, text_col, how).where("doc_id is not null").groupBy("doc_id")
             .agg(F.array_sort(F.collect_list(F.struct("first_byte", "end_byte"))).alias("_cuts"))
             .withColumnRenamed("doc_id", "_cut_id"))
     raw = F.col(text_col).cast("binary")

@@ -104,3 +104,28 @@ def test_the_query_reports_short_texts_and_every_run(spark, edge_docs, tmp_path)
     got = collections.Counter(tuple(r) for r in op10_chunk_dedup(spark, str(tmp_path)).collect())
     assert got[2001, 0, 10, 1, 2000] == got[2003, 0, 2, 1, 2002] == got[1005, 0, 7, 1, 1004] == 1
     assert got == brute(docs, cd.EVERY_RUN)
+
+
+def test_rows_without_an_id_are_documents_of_their_own(spark):
+    rnd = random.Random(7)
+    a, b = ("".join(rnd.choice("abcdefgh ") for _ in range(700)) for _ in range(2))
+    rows = cd.duplicates(frame(spark, [(None, a), (None, a), (None, b), (7, b), (8, "other")]).coalesce(1), how=cd.EVERY_RUN).collect()
+    assert collections.Counter((r.doc_id, r.first_byte, r.end_byte, r.kept_doc_id) for r in rows) == {
+        (None, 0, 700, None): 1, (7, 0, 700, None): 1}
+    out = collections.Counter((r.doc_id, r.text) for r in cd.remove(frame(spark, [(None, a), (None, a), (7, a)])).collect())
+    assert out == {(None, a): 2, (7, ""): 1}
+
+
+def test_hot_digests_give_the_same(spark, edge_docs, monkeypatch):
+    docs = [d for d in {d[0]: d for d in edge_docs}.values() if d[0] != 1003]
+    docs += [(5000 + i, "one line that every text has, and no other " + str(i)) for i in range(200)]
+    monkeypatch.setattr(cd, "HOT_FROM", 3)
+    monkeypatch.setattr(cd, "HOT_SHARE", 200)
+    df = frame(spark, docs).repartition(5)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        rows = cd.duplicates(df, how=cd.EVERY_RUN)
+        assert collections.Counter(tuple(r) for r in rows.collect()) == brute(docs, cd.EVERY_RUN)
+        assert "BroadcastHashJoin" in rows._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
