@@ -10,7 +10,10 @@ least total loss wins. A small lead over the runner-up is flagged ambiguous.
 Training reads the text and language of rows that are not held out. It uses a
 hash-chosen sample of about ``SAMPLE_PER_LANG`` rows of each language (all rows
 of a language that has fewer), so the model's size and cost are bounded. A row
-without a doc_id counts as held out. Text that is null or has no letter gives
+without a doc_id counts as held out; repeated rows are learned from and told
+alike. Languages whose losses tie go to the first by name. Very long texts are
+read whole, by one task. The model holds some 50,000 numbers a language, on the
+driver and on every executor. Text that is null or has no letter gives
 ``und`` and score 0, as does everything if there is nothing to learn from.
 """
 
