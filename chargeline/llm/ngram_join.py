@@ -49,9 +49,9 @@ FREQUENT = 500_000
 #: N-grams of fewer documents than this are never moved.
 FREQUENT_FROM = 8
 #: N-grams gathered by a task before it sends its blocks.
-GATHER = 1_000_000
+GATHER = 600_000
 #: Occurrences of n-grams in a fragment of the order.
-FRAGMENT = 2_500_000
+FRAGMENT = 1_500_000
 #: Ways to hash nodes into buckets, each with its leaders.
 HUBS = 3
 #: Bits of the bitmap of documents whose n-grams are wanted: 32 for each, 2^31 (256 MB) at most.
@@ -260,12 +260,12 @@ _SALTS = [int(x) for x in tx.mix(np.arange(11, 19, dtype=np.uint64))]
 
 
 def buckets(h: np.ndarray, at: np.ndarray, hubs: int = HUBS) -> np.ndarray:
-    """For each set the least n-gram by so many hashes (0 for an empty set)."""
-    out = np.zeros((hubs, len(at) - 1), np.uint64)
+    """For each set 32 bits of the least n-gram by so many hashes (0 for an empty set)."""
+    out = np.zeros((hubs, len(at) - 1), np.uint32)
     full = np.flatnonzero(np.diff(at))
     for i, salt in enumerate(_SALTS[:hubs]):
         if len(full):
-            out[i, full] = np.minimum.reduceat(tx.mix(h ^ np.uint64(salt)), at[:-1][full])
+            out[i, full] = tx.mix(np.minimum.reduceat(tx.mix(h ^ np.uint64(salt)), at[:-1][full])) >> np.uint64(32)
     return out
 
 
@@ -331,7 +331,7 @@ def _opened(blocks: list[tuple[int, int, bytes]]):
     nodes = 0
     for m, own, raw in blocks:
         d, node, n, bucket, rare, local, place = _unsqueezed(
-            raw, (np.uint64, m), (np.int64, own), (np.int32, own), (np.uint64, HUBS * own), (np.int32, own), (np.int32, m),
+            raw, (np.uint64, m), (np.int64, own), (np.int32, own), (np.uint32, HUBS * own), (np.int32, own), (np.int32, m),
             (np.int32, m))
         for c, v in zip(columns, (np.cumsum(d, dtype=np.uint64), local + nodes, place, node, n, rare, bucket.reshape(HUBS, -1))):
             c.append(v)
@@ -367,7 +367,7 @@ def _in_fragment(h, which, place, node, n, rare, bucket, limit: Threshold):
     pairs = []
     for i, (salt, own) in enumerate(zip(_SALTS, bucket)):
         # the rows of an n-gram and a bucket together; the first of its nodes leads, in every n-gram that it has
-        key = tx.mix(h ^ own[which])
+        key = tx.mix(h ^ (own[which].astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)))
         by = np.argsort(key)
         key = key[by]
         start = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
@@ -640,7 +640,7 @@ def groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int
     release(gathered.where("kind = 1"))
     occurrences = rows.agg(F.sum("n")).first()[0] or 0
     order = spark.sparkContext.broadcast(Order(
-        top["top"].to_numpy(), top["df"].to_numpy(), occurrences, min(FRAGMENT, max(1, occurrences // parts))))
+        top["top"].to_numpy(), top["df"].to_numpy(), occurrences, min(FRAGMENT, max(1, 2 * occurrences // parts))))
 
     # overlaps with leaders, and the prefix n-grams that nodes share
     found = stored(_by_fragment(_segments(docs, order, k, limit), limit), "fragments")

@@ -64,8 +64,8 @@ def made(seed):
 def test_matches_brute_force(spark, seed, monkeypatch):
     monkeypatch.setattr(nj, "HUB_GROUP", 16 if seed > 1 else 512)
     monkeypatch.setattr(nj, "FREQUENT", 50 if seed == 3 else 500_000)
-    monkeypatch.setattr(nj, "FRAGMENT", {1: 2_500_000, 2: 700, 3: 90}[seed])
-    monkeypatch.setattr(nj, "GATHER", 2000 if seed == 2 else 1_000_000)
+    monkeypatch.setattr(nj, "FRAGMENT", {1: 1_500_000, 2: 700, 3: 90}[seed])
+    monkeypatch.setattr(nj, "GATHER", 2000 if seed == 2 else 600_000)
     docs = made(seed)
     rows = nj.groups(frame(spark, docs, ", sig int, n string", (1, "x")).repartition(6)).collect()
     assert collections.Counter((r.doc_id, r.n_shingles, r.component_id) for r in rows) == brute(docs)
