@@ -52,7 +52,7 @@ GRAM = 64
 SHALLOW = 96
 GROUP = 1 << 15
 #: Words in a row of which any other text with the same is told, and of an anchor among them.
-PASSAGE_WORDS, PASSAGE_GRAM = 51, 16
+PASSAGE_WORDS, PASSAGE_GRAM = 51, 10
 #: Bytes of contexts sorted at a time.
 BATCH_BYTES = 24 << 20
 _BLOCK = 1 << 20
@@ -496,7 +496,9 @@ def _shared(texts: DataFrame) -> DataFrame:
                 done.clear()
 
     listed = texts.select("raw", "t1").mapInArrow(run, "key long, t1 long")
-    twice = (listed.groupBy("key").agg(F.min("t1").alias("lo"), F.max("t1").alias("hi")).where("lo <> hi").select("key"))
+    half = F.shiftright("t1", 32).cast("int")  # tells two texts apart but for one pair in 2^32
+    twice = (listed.select("key", half.alias("t")).groupBy("key").agg(F.min("t").alias("lo"), F.max("t").alias("hi"))
+             .where("lo <> hi").select("key"))
     return (listed.join(twice, "key", "left_semi").groupBy("t1", "key").agg(F.lit(1).alias("one"))
             .groupBy("t1").agg(F.count(F.lit(1)).alias("n_shared")))
 
