@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import ctypes
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -36,6 +39,22 @@ def release(*frames: DataFrame) -> None:
                 at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
 
 
+def tidy(run):
+    """A task's function that gives memory it has freed back to the system at its end.
+
+    Workers live on from task to task, and what their allocators keep counts
+    against the executor's memory all the time.
+    """
+    def inner(batches):
+        yield from run(batches)
+        pa.default_memory_pool().release_unused()
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc has it
+        if trim is not None:
+            trim(0)
+
+    return inner
+
+
 def offsets(totals: DataFrame, keys: list[str], block: str, amount: str, into: str,
             group: int = 1024) -> DataFrame:
     """Exclusive running sum of ``amount`` over ``block`` within ``keys``.

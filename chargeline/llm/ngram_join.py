@@ -41,7 +41,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from chargeline.llm import text as tx
-from chargeline.llm.frames import release, settle, stored
+from chargeline.llm.frames import release, settle, stored, tidy
 
 SHINGLE = 5
 #: Most frequent n-grams that are moved to the end of the order (a broadcast of 5 bytes each).
@@ -199,7 +199,7 @@ def _gathered(docs: DataFrame, parts: int, k: int) -> DataFrame:
         if held:
             yield blocks()
 
-    return docs.select("doc_id", "text_key", "text").mapInArrow(run, _GATHERED)
+    return docs.select("doc_id", "text_key", "text").mapInArrow(tidy(run), _GATHERED)
 
 
 def _frequent(blocks: DataFrame, least: int) -> DataFrame:
@@ -222,7 +222,7 @@ def _frequent(blocks: DataFrame, least: int) -> DataFrame:
         if held:
             yield counted(held)
 
-    return blocks.repartition("part").sortWithinPartitions("part").mapInArrow(run, "top long, df long")
+    return blocks.repartition("part").sortWithinPartitions("part").mapInArrow(tidy(run), "top long, df long")
 
 
 class Order:
@@ -321,7 +321,7 @@ def _segments(docs: DataFrame, order, k: int, limit: Threshold) -> DataFrame:
         if size:
             yield blocks()
 
-    return docs.select("text").mapInArrow(run, "frag int, m long, own long, block binary")
+    return docs.select("text").mapInArrow(tidy(run), "frag int, m long, own long, block binary")
 
 
 def _opened(blocks: list[tuple[int, int, bytes]]):
@@ -424,7 +424,7 @@ def _by_fragment(segments: DataFrame, limit: Threshold) -> DataFrame:
         if held:
             yield from _in_fragment(*_opened(held), limit)
 
-    return segments.repartition("frag").sortWithinPartitions("frag").mapInArrow(run, _FOUND)
+    return segments.repartition("frag").sortWithinPartitions("frag").mapInArrow(tidy(run), _FOUND)
 
 
 # ------------------------------------------------------------------ counting given pairs in full
@@ -466,7 +466,7 @@ def _sets(docs: DataFrame, rows: DataFrame, wanted: DataFrame, order, k: int, pi
                         names=["node", "piece", "grams"])
 
     return (docs.select(F.pmod(F.xxhash64("doc_id"), F.lit(marked)).alias("bit"), "text")
-            .mapInArrow(run, "node long, piece int, grams binary"))
+            .mapInArrow(tidy(run), "node long, piece int, grams binary"))
 
 
 def _unpack(b: bytes) -> np.ndarray:
@@ -525,7 +525,7 @@ def _partial_overlaps(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
     return (members.unionByName(leads).select("a", "salt", "piece", "lead", "node", "grams")
             .repartition("a", "salt", "piece").sortWithinPartitions("a", "salt", "piece", F.desc("lead"), "node")
-            .mapInArrow(run, "a long, b long, piece long, shared long"))
+            .mapInArrow(tidy(run), "a long, b long, piece long, shared long"))
 
 
 def _cross_pairs(members: DataFrame, limit: Threshold) -> DataFrame:
@@ -584,7 +584,7 @@ def _cross_pairs(members: DataFrame, limit: Threshold) -> DataFrame:
             yield from pairs(*tail)
 
     return (members.select("gram", "node", "n", "place", "label").repartition("gram").sortWithinPartitions("gram")
-            .mapInArrow(run, "a long, a_n long, b long, b_n long").distinct())
+            .mapInArrow(tidy(run), "a long, a_n long, b long, b_n long").distinct())
 
 
 # ------------------------------------------------------------------ groups
