@@ -2,6 +2,7 @@ import collections
 import random
 import re
 
+import numpy as np
 import pytest
 
 from chargeline.llm import ngram_join as nj
@@ -93,3 +94,46 @@ def test_components_of_a_long_path(spark):
     edges = spark.range(200).selectExpr("id as u", "id + 1 as v").repartition(4)
     rows = nj._components(edges).collect()
     assert {r.node: r.group for r in rows} == {i: 0 for i in range(201)}
+
+
+def test_partial_counts_with_leaders_join_near_copies(spark, monkeypatch):
+    """Without the pairs counted in full, the sums over the fragments already join an edited group of copies."""
+    rnd = random.Random(6)
+    word = lambda: "".join(rnd.choice("abcdefg") for _ in range(rnd.randrange(2, 7)))
+    base = [word() for _ in range(150)]
+    docs = [(0, " ".join(base))]
+    for i in range(1, 80):
+        w = list(base)
+        for _ in range(rnd.randrange(1, 4)):
+            w[rnd.randrange(len(w))] = word()
+        docs.append((i, " ".join(w)))
+    docs += [(100 + i, " ".join(word() for _ in range(150))) for i in range(30)]
+    monkeypatch.setattr(nj, "FRAGMENT", 400)
+    monkeypatch.setattr(nj, "_cross_pairs", lambda members, limit: spark.createDataFrame([], "a long, a_n long, b long, b_n long"))
+    rows = {r.doc_id: r.component_id for r in nj.groups(frame(spark, docs).repartition(5)).collect()}
+    assert sum(rows[i] == 0 for i in range(80)) >= 76 and all(rows[100 + i] == 100 + i for i in range(30))
+
+
+def test_fragments_follow_the_order():
+    """Fragments are contiguous pieces of (class, hash), and hold about as many occurrences each."""
+    rnd = np.random.default_rng(3)
+    h = rnd.integers(0, 1 << 64, 20_000, dtype=np.uint64)
+    top = (h[:300] >> np.uint64(32)).astype(np.int64)
+    df = rnd.integers(8, 900, 300)
+    order = nj.Order(top, df, 19_700 + int(df.sum()), 5000)
+    cls = order.classes(h)
+    assert (cls[:300] == np.floor(np.log2(df))).all() and (cls[300:] == 0).all()
+    frag = order.fragment(cls, h)
+    by = np.lexsort((h, cls))
+    assert (np.diff(frag[by]) >= 0).all() and frag.max() < order.fragments
+    weight = np.r_[df, np.ones(19_700)]
+    assert np.bincount(frag, weight).max() < 3 * 5000
+    assert nj.Order(np.zeros(0, np.int64), np.zeros(0, np.int64), 0, 10).fragments == 1
+
+
+def test_byte_planes_round_trip():
+    rnd = np.random.default_rng(4)
+    arrays = [rnd.integers(0, 1 << 62, 77).astype(np.uint64), np.arange(5, dtype=np.int32) - 2, np.zeros(0, np.int64)]
+    got = nj._unsqueezed(nj._squeezed(*arrays), (np.uint64, 77), (np.int32, 5), (np.int64, 0))
+    assert all((a == b).all() and a.dtype == b.dtype for a, b in zip(arrays, got))
+    assert (nj._unpack(nj._pack(np.sort(arrays[0]))) == np.sort(arrays[0])).all()
