@@ -45,9 +45,10 @@ def append_partitioned(df: DataFrame, path: str, partition_col: str) -> None:
     _balanced(df, partition_col).write.mode("append").partitionBy(partition_col).parquet(path)
 
 
-def overwrite_partitions(df: DataFrame, path: str, partition_col: str) -> None:
-    """Replace only the partitions present in ``df``."""
-    (_balanced(df, partition_col)
+def overwrite_partitions(df: DataFrame, path: str, partition_col: str, balance: bool = True) -> None:
+    """Replace only the partitions present in ``df``. Rows of a single
+    partition need no grouping: without ``balance`` each task writes its own."""
+    ((_balanced(df, partition_col) if balance else df)
        .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
        .partitionBy(partition_col).parquet(path))
 

@@ -61,8 +61,8 @@ def split_batch(root: str, delay: str, rules: Rules = DEFAULT_RULES):
         try:
             line = F.lit(None).cast("timestamp_ntz") if newest is None else ts_literal(newest) - F.expr(f"INTERVAL {delay}")
             on_time = F.col("timestamp").isNotNull() & F.coalesce(F.col("timestamp") >= line, F.lit(True))
-            writers.overwrite_partitions(valid.where(on_time), f"{root}/on_time", "batch_id")
-            writers.overwrite_partitions(valid.where(~on_time), f"{root}/late", "batch_id")
+            writers.overwrite_partitions(valid.where(on_time), f"{root}/on_time", "batch_id", balance=False)
+            writers.overwrite_partitions(valid.where(~on_time), f"{root}/late", "batch_id", balance=False)
             now = valid.agg(F.greatest(F.max("timestamp"), F.lit(newest).cast("timestamp_ntz")).alias("newest"))
             now.write.mode("overwrite").parquet(f"{root}/progress/batch_id={batch_id}")
         finally:

@@ -128,3 +128,17 @@ def test_late_rows_are_totalled(spark):
     valid = flows.valid_usage(spark, SF_SMALL)
     assert dropped["mediation_valid"] == sum(valid.where(p).count() for p in ("timestamp < '2024-01-02'", "timestamp < '2024-01-03'"))
     assert dropped["mediation_dead"] == 0
+
+
+def test_a_batch_is_split_by_all_tasks(spark):
+    """Each task writes its own rows of a batch: none waits for a shuffle into a few."""
+    base = scratch_path(spark, "bounded-tasks")
+    messages = mediation.to_messages(fixtures.raw_usage(spark, SF_SMALL).repartition(6))
+    write = bounded_dedup.split_batch(f"{base}/out", "2 days")
+    for batch_id in range(2):
+        write(mediation.mediate(mediation.parse_messages(messages)), batch_id)
+    split = spark.read.parquet(f"{base}/out/on_time").unionByName(spark.read.parquet(f"{base}/out/late"))
+    files = split.select("batch_id", F.input_file_name().alias("f")).where(F.col("f").contains("/late/")).distinct()
+    assert files.where("batch_id = 1").count() == 6
+    valid = expected(spark).count()
+    assert [r["count"] for r in split.groupBy("batch_id").count().orderBy("batch_id").collect()] == [valid, valid]
