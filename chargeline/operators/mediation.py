@@ -75,8 +75,19 @@ def error_condition(rules: Rules = DEFAULT_RULES) -> Column:
             | ~F.col("record_type").isin(*rules.record_types))
 
 
+def _computed_once(df: DataFrame) -> DataFrame:
+    """The same rows; a filter above is not pushed below.
+
+    Spark moves a filter under the projections it refers to and puts their
+    expressions in place of each mention, so a filter on the status would
+    parse the JSON text of a row (or compute its fields) a dozen times. It
+    does not move one under a generator.
+    """
+    return df.select(F.inline(F.array(F.struct(*df.columns))))
+
+
 def validate(normalized: DataFrame, rules: Rules = DEFAULT_RULES) -> DataFrame:
-    return normalized.withColumn(
+    return _computed_once(normalized).withColumn(
         "status", F.when(error_condition(rules), F.lit("error")).otherwise(F.col("status")))
 
 

@@ -174,3 +174,36 @@ def test_store_to_invoices_shuffles_usage_once(spark):
                 spark.conf.unset(k)
             else:
                 spark.conf.set(k, v)
+
+
+def test_a_filter_on_the_status_evaluates_nothing_again(spark):
+    from pyspark.sql import functions as F
+
+    from chargeline.operators import mediation
+    from chargeline.sources import fixtures
+
+    def mentions(df, text):
+        return explain(df).split("== Physical Plan ==")[1].count(text)
+
+    sent = mediation.to_messages(fixtures.raw_usage(spark, SF_SMALL)).where(F.length("value") > 0)
+    for part in (mediation.valid_records, mediation.dead_letters):
+        parsed = mediation.parse_messages(sent)
+        assert mentions(part(mediation.mediate(parsed)), "from_json(") == mentions(parsed, "from_json(") == 1
+        raw = fixtures.raw_usage(spark, SF_SMALL)
+        assert mentions(part(mediation.mediate(raw)), "lpad(") == mentions(raw, "lpad(")
+
+
+def test_status_of_odd_rows(spark):
+    """Text that is none, empty or no JSON, and records that fail one rule each, come out once with their status."""
+    from chargeline.operators import mediation
+
+    texts = {None: "error", "": "error", "no json": "error", "[]": "error",
+             '{"record_id": "a", "record_type": "voice", "caller_id": "1", "duration_sec": 3}': "valid",
+             '{"record_id": "b", "record_type": "voice", "caller_id": "1", "duration_sec": -3}': "error",
+             '{"record_id": "c", "user_id": "1"}': "valid",
+             '{"record_id": "d", "record_type": "fax", "user_id": "1"}': "error"}
+    sent = spark.createDataFrame([(t,) for t in texts], "value string")
+    out = mediation.mediate(mediation.parse_messages(sent))
+    assert sorted(r.status for r in out.collect()) == sorted(texts.values())
+    assert sorted(r.record_id for r in mediation.valid_records(out).collect()) == ["a", "c"]
+    assert mediation.dead_letters(out).count() == 6
