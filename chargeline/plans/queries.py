@@ -8,7 +8,7 @@ from dataclasses import replace as _replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DecimalType, LongType, StringType, StructField, StructType
+from pyspark.sql.types import DecimalType, IntegerType, LongType, StringType, StructField, StructType
 
 from chargeline.functions.columns import month_start, ts_literal
 from chargeline.operators import (billing, counters, customers as cust_ops, invoices as inv_ops,
@@ -531,11 +531,17 @@ def stream_store_cross_month(spark, sf_dir):
 
 
 def _store_in_parts(spark, sf_dir, name, parts):
-    """The normalised store after the month came in so many deliveries, each with one of the others again."""
+    """The normalised store after the month came in so many deliveries, each with one of the others again.
+
+    The month is mediated once, into one folder per part; a delivery reads its folders."""
     tables = jobs.TablePaths(scratch_path(spark, name))
-    valid = flows.valid_usage(spark, sf_dir).withColumn("_part", F.pmod(F.xxhash64("record_id"), F.lit(parts)))
+    inbox = f"{tables.root}/deliveries"
+    valid = flows.valid_usage(spark, sf_dir).select(*NORMALIZED.fieldNames())
+    (valid.withColumn("_part", F.pmod(F.xxhash64("record_id"), F.lit(parts)).cast("int"))
+     .write.partitionBy("_part").parquet(inbox))
+    delivered = spark.read.schema(StructType([*NORMALIZED.fields, StructField("_part", IntegerType())])).parquet(inbox)
     for i in range(parts):
-        delivery = valid.where(F.col("_part").isin(i, (i + 1) // 2)).drop("_part").select(*NORMALIZED.fieldNames())
+        delivery = delivered.where(F.col("_part").isin(i, (i + 1) // 2)).drop("_part")
         ms.store_batch(tables.normalized, "deliveries")(delivery, i)
         yield tables
 

@@ -179,3 +179,19 @@ def test_incremental_rating_after_a_full_run(spark):
     jobs.run_rating_incremental(spark, cust, plans, tables)
     rated = read_table(spark, tables.rated).select(*rating.RATED_COLUMNS)
     assert rated.count() == rated.select("record_id").distinct().count() == valid.select("record_id").distinct().count()
+
+
+def test_deliveries_mediate_each_row_once(spark, monkeypatch):
+    """However many deliveries the month comes in, its rows are computed once."""
+    from chargeline.plans import queries
+
+    seen = spark.sparkContext.accumulator(0)
+
+    def look(s):
+        seen.add(1)
+        return s
+    usage = flows.valid_usage(spark, SF_SMALL)
+    monkeypatch.setattr(queries.flows, "valid_usage", lambda *a, **k: usage.withColumn("status", F.udf(look)("status")))
+    got = queries.REGISTRY["store_compacted"](spark, SF_SMALL)
+    assert seen.value == usage.count()
+    assert sorted(map(str, got.collect())) == sorted(map(str, usage.dropDuplicates(["record_id"]).select(*got.columns).collect()))
